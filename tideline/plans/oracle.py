@@ -13,7 +13,7 @@ from tideline.plans.queries import (
 
 EVENTS = """
 e AS (SELECT event_id, 'shard-' || (user_id % 5) AS shard_id, CAST(user_id AS VARCHAR) AS partition_key,
-             CAST(event_id AS VARCHAR) AS base, epoch_ms(ts) AS arrival_ms, event_type, value, props
+             CAST(event_id AS VARCHAR) AS base, epoch_us(ts) // 1000 AS arrival_ms, event_type, value, props
       FROM events)
 """
 
@@ -111,14 +111,14 @@ ev AS (SELECT shard_id, kind, base, arrival_ms, arrival_ms AS clock, CASE WHEN k
 ROUNDS = f"""{EVENTS},
 c AS (SELECT *, CAST(floor(event_id / 40) + event_id * 13 % 7 AS BIGINT) AS done_round FROM e),
 r AS (SELECT *, max(done_round) OVER (PARTITION BY shard_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS ready FROM c),
-h AS (SELECT shard_id, ready AS round, max(event_id) AS at FROM r GROUP BY 1, 2)"""
+h AS (SELECT shard_id, ready AS round, max(event_id) AS reached FROM r GROUP BY 1, 2)"""
 
 SCHEDULE = f"""{ROUNDS},
 o AS (SELECT shard_id, done_round AS round, max(arrival_ms) AS clock_ms FROM c GROUP BY 1, 2),
 ev AS (SELECT o.shard_id, o.round, o.clock_ms,
               max(o.clock_ms) OVER (PARTITION BY o.shard_id ORDER BY o.round ROWS UNBOUNDED PRECEDING) AS clock,
-              CASE WHEN h.at IS NULL THEN 0 ELSE 1 END AS weight, true AS needs,
-              max(h.at) OVER (PARTITION BY o.shard_id ORDER BY o.round ROWS UNBOUNDED PRECEDING) AS at,
+              CASE WHEN h.reached IS NULL THEN 0 ELSE 1 END AS weight, true AS needs,
+              max(h.reached) OVER (PARTITION BY o.shard_id ORDER BY o.round ROWS UNBOUNDED PRECEDING) AS reached,
               row_number() OVER (PARTITION BY o.shard_id ORDER BY o.round) AS rn
        FROM o LEFT JOIN h ON h.shard_id = o.shard_id AND h.round = o.round)"""
 
@@ -163,10 +163,10 @@ def frontier_lines(extra: str) -> str:
     return f"""WITH {LINES},
     s AS (SELECT shard_id, min(CASE WHEN l_quantity >= 50 THEN l_orderkey * 1000 + user_sub END) AS opened FROM l GROUP BY 1),
     f AS (SELECT s.shard_id, max(CASE WHEN (s.opened IS NULL OR l_orderkey * 1000 + user_sub < s.opened) {extra}
-                                 THEN l_orderkey * 1000 + user_sub END) AS at
+                                 THEN l_orderkey * 1000 + user_sub END) AS reached
           FROM s JOIN l ON l.shard_id = s.shard_id GROUP BY 1)
     SELECT f.shard_id, l.base, l.user_sub, l.user_total
-    FROM f LEFT JOIN l ON l.shard_id = f.shard_id AND l.l_orderkey * 1000 + l.user_sub = f.at"""
+    FROM f LEFT JOIN l ON l.shard_id = f.shard_id AND l.l_orderkey * 1000 + l.user_sub = f.reached"""
 
 
 WHOLE = "AND user_sub = user_total - 1"
@@ -274,12 +274,12 @@ def all_oracles() -> dict[str, str]:
         "frontier_whole_records": frontier_lines(WHOLE),
         "frontier_subsequence": frontier_lines(""),
         "aggregated_frontier": frontier_lines(WHOLE),
-        "frontier_history": f"WITH {ROUNDS} SELECT shard_id, round, CAST(at AS VARCHAR) AS base FROM h",
+        "frontier_history": f"WITH {ROUNDS} SELECT shard_id, round, CAST(reached AS VARCHAR) AS base FROM h",
         "checkpoint_schedule": gate(
             SCHEDULE,
             12 * HOUR,
             None,
-            f"SELECT g.shard_id, g.batch_no AS checkpoint_no, ev.round, ev.clock_ms, CAST(ev.at AS VARCHAR) AS base {JOINED}"
+            f"SELECT g.shard_id, g.batch_no AS checkpoint_no, ev.round, ev.clock_ms, CAST(ev.reached AS VARCHAR) AS base {JOINED}"
             " WHERE g.fired IS NOT NULL",
         ),
         "final_checkpoints": f"""WITH {LINES}

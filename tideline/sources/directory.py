@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import posixpath
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
-from pyspark.sql import DataFrame, Row, SparkSession
+import pyarrow as pa
+from pyarrow import fs as pafs
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.functions.sequence import order_key
@@ -54,24 +56,28 @@ def _target(fs, root: str, key: str) -> str:
     return path
 
 
-def _write_rows(rows: Iterable[Row], uri: str) -> None:
-    from pyarrow import fs as pafs
+def _writer(uri: str):
+    def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, root = pafs.FileSystem.from_uri(uri)
+        for batch in batches:
+            for key, data in zip(batch.column("partition_key"), batch.column("data")):
+                path = _target(fs, root, key.as_py())
+                # A retried or duplicated task rewrites the same bytes; readers never see half a file.
+                partial = f"{path}.{uuid.uuid4().hex}.tmp"
+                with fs.open_output_stream(partial) as out:
+                    out.write(data.as_buffer())
+                fs.move(partial, path)
+            yield pa.RecordBatch.from_pydict({"n_files": pa.array([batch.num_rows], pa.int64())})
 
-    fs, root = pafs.FileSystem.from_uri(uri)
-    for row in rows:
-        path = _target(fs, root, row.partition_key)
-        # A retried or duplicated task rewrites the same bytes; readers never see half a file.
-        partial = f"{path}.{uuid.uuid4().hex}.tmp"
-        with fs.open_output_stream(partial) as out:
-            out.write(bytes(row.data))
-        fs.move(partial, path)
+    return write
 
 
-def dump_to_dir(records: DataFrame, uri: str) -> None:
-    """Write the last record of every key to a file named by the key.
+def dump_to_dir(records: DataFrame, uri: str) -> int:
+    """Write the last record of every key to a file named by the key; return how many.
 
     ``uri`` is a location every executor reaches (``hdfs://``, ``s3://``,
     ``file:///`` on a shared mount).
     """
     latest = latest_per_key(records).select("partition_key", "data")
-    latest.foreachPartition(lambda rows: _write_rows(rows, uri))
+    written = latest.mapInArrow(_writer(uri), "n_files bigint").agg(F.sum("n_files")).first()[0]
+    return int(written or 0)

@@ -30,6 +30,12 @@ def read_lines(spark: SparkSession, path: str, stream_name: str, *, streaming: b
     return lines.select(F.lit(stream_name).alias(STREAM), SHARD, "value")
 
 
+def _request(value: Column) -> Column:
+    """Parsed request of a line that is not blank; anything else but a request fails."""
+    parsed = F.from_json(value, REQUEST, {"mode": "FAILFAST"})
+    return F.when(~value.isin("", "\r"), parsed)
+
+
 def parse_requests(lines: DataFrame, *, value: str = "value", on_error: str = "fail") -> DataFrame:
     """Add a ``request`` struct parsed from each line; blank lines are dropped.
 
@@ -38,11 +44,11 @@ def parse_requests(lines: DataFrame, *, value: str = "value", on_error: str = "f
     """
     if on_error not in ("fail", "route"):
         raise ValueError("on_error is 'fail' or 'route'")
-    text = F.regexp_replace(F.col(value), r"\r$", "")
-    lines = lines.withColumn(value, text).filter(F.col(value) != "")
+    # JSON allows a trailing carriage return, so only blank lines need care.
+    lines = lines.filter(~F.col(value).isin("", "\r"))
     if on_error == "fail":
-        parsed = F.from_json(F.col(value), REQUEST, {"mode": "FAILFAST"})
-        return lines.withColumn("request", parsed).drop(value)
+        return lines.withColumn("request", _request(F.col(value))).drop(value)
+    lines = lines.withColumn(value, F.regexp_replace(value, r"\r$", ""))
     schema = T.StructType([*REQUEST.fields, T.StructField(CORRUPT, T.StringType())])
     parsed = F.from_json(F.col(value), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     lines = lines.withColumn("_parsed", parsed)
@@ -61,16 +67,18 @@ def parse_envelopes(lines: DataFrame, *, value: str = "value") -> DataFrame:
     ``data`` is still base64 text. ``delay_ms`` is the request's distance from
     the stream's tip; ``is_v2`` tells whether the request carried one at all.
     """
-    requests = parse_requests(lines, value=value)
     carried = [c for c in lines.columns if c != value]
+    requests = lines.select(*carried, _request(F.col(value)).alias("request"))
     r = F.col("r")
+    delivered = F.when(F.col("request.action") == "processRecords", F.col("request.records"))
+    # No filter here may refer to ``request``: pushed below the projection, it would parse every line twice.
     return (
-        requests.filter(F.col("request.action") == "processRecords")
-        .select(
+        requests.select(
             *carried,
             F.col("request.millisBehindLatest").alias("delay_ms"),
-            F.explode("request.records").alias("r"),
+            F.explode_outer(delivered).alias("r"),
         )
+        .filter(r.isNotNull())
         .select(
             *carried,
             r["action"].alias("action"),

@@ -1,8 +1,8 @@
 """Sequence-number expressions.
 
 Sequence numbers run to 56 decimal digits and beyond DECIMAL(38), so they stay
-strings: ``base`` is the canonical text, ``base_key`` a fixed-width form whose
-string order is the number order. Non-numeric markers sort after every number.
+strings: ``base`` is the canonical text, ``base_key`` a form of it whose string
+order is the number order. Non-numeric markers sort after every number.
 """
 
 from __future__ import annotations
@@ -10,31 +10,38 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-KEY_WIDTH = 64
+MAX_DIGITS = 99
 
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _led_by_digit(c: Column) -> Column:
+    return F.ascii(c).between(48, 57)
+
+
 def decode_base(c: Column | str) -> Column:
     """Canonical text of a sequence number; text led by a digit must be a number."""
     c = _col(c)
-    return (
-        F.when(c.rlike(r"^[0-9]+$"), F.regexp_replace(c, r"^0+(?=[0-9])", ""))
-        .when(c.rlike(r"^[0-9]"), F.raise_error(F.concat(F.lit("not a sequence number: "), c)))
-        .otherwise(c)
-    )
+    digits = F.ltrim(c, F.lit("0"))
+    number = F.when(digits == "", "0").otherwise(digits)
+    broken = F.raise_error(F.concat(F.lit("not a sequence number: "), c)).cast("string")
+    return F.when(_led_by_digit(c), F.when(c.rlike("^[0-9]+$"), number).otherwise(broken)).otherwise(c)
 
 
 def base_key(base: Column | str) -> Column:
-    """Sort key of a canonical ``base``."""
+    """Sort key of a canonical ``base``: a number's digits behind their count.
+
+    Without leading zeros the longer number is the greater one, so the count, as
+    two digits, decides first. That keeps keys as short as the numbers are.
+    """
     base = _col(base)
-    return (
-        F.when(base.rlike(r"^[0-9]") & (F.length(base) > KEY_WIDTH), F.raise_error(F.lit("sequence number too long")))
-        .when(base.rlike(r"^[0-9]"), F.lpad(base, KEY_WIDTH, "0"))
-        .otherwise(F.concat(F.lit("~"), base))
-    )
+    count = F.length(base)
+    number = F.when(
+        count > MAX_DIGITS, F.raise_error(F.concat(F.lit("sequence number too long: "), base)).cast("string")
+    ).otherwise(F.concat(F.substring((count + 100).cast("string"), 2, 2), base))
+    return F.when(_led_by_digit(base), number).otherwise(F.concat(F.lit("~"), base))
 
 
 def order_columns() -> list[Column]:

@@ -19,9 +19,9 @@ def _unpack_column(check: bool):
     def unpack(blobs: pa.Array) -> pa.Array:
         offsets, keys, payloads = [0], [], []
         # A NULL list keeps its place with an empty range.
-        for blob in blobs:
-            if blob.is_valid:
-                inner_keys, inner_data = codec.unpack(blob.as_py(), check)
+        for blob in blobs.to_numpy(zero_copy_only=False):
+            if blob is not None:
+                inner_keys, inner_data = codec.unpack(blob, check)
                 keys.extend(inner_keys)
                 payloads.extend(inner_data)
             offsets.append(len(payloads))

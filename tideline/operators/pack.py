@@ -20,6 +20,11 @@ from tideline.schema import MAX_RECORD_BYTES, NEAR_LIMIT_SLACK
 _OUT_BYTES = 8 << 20
 
 
+def _bytes(column: pa.Array) -> list[bytes | None]:
+    # By way of an object array, which is many times faster than scalar by scalar.
+    return column.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+
+
 class _Pack(OrderedFold):
     """State: (open aggregate, its batch key, number of the next aggregate in the lane)."""
 
@@ -58,9 +63,9 @@ class _Pack(OrderedFold):
         return pa.RecordBatch.from_arrays(columns, schema=self.out)
 
     def step(self, key, state, rows):
-        keys = rows.column("partition_key").cast(pa.binary()).to_pylist()
-        payloads = rows.column("data").to_pylist()
-        hashes = rows.column("explicit_hash_key").cast(pa.binary()).to_pylist()
+        keys = _bytes(rows.column("partition_key"))
+        payloads = _bytes(rows.column("data"))
+        hashes = _bytes(rows.column("explicit_hash_key"))
         batches = rows.column(self.batch_key).to_pylist() if self.batch_key else [None] * len(keys)
         limit = self.max_bytes - NEAR_LIMIT_SLACK
         out, done, size_out = [], [], 0
@@ -69,14 +74,14 @@ class _Pack(OrderedFold):
             if batch != current:
                 aggregate, _, number = self._close(key, (aggregate, current, number), done)
                 current = batch
-            head, size = aggregate.encode(pk, data, ehk)
+            head, size = aggregate.head(pk, data, ehk)
             if aggregate.count and aggregate.estimate + size > limit:
-                size_out += aggregate.size
+                size_out += aggregate.estimate
                 aggregate, _, number = self._close(key, (aggregate, current, number), done)
                 if size_out >= _OUT_BYTES:
                     out.append(self._batch(done))
                     done, size_out = [], 0
-                head, size = aggregate.encode(pk, data, ehk)
+                head, size = aggregate.head(pk, data, ehk)
             if size > self.max_bytes:
                 raise ValueError(f"a record of {size} bytes does not fit an aggregated record")
             aggregate.add(pk, data, ehk, head, size)

@@ -1,0 +1,13 @@
+from tideline.streaming.flush import flush_stream
+from tideline.streaming.frontier import FrontierTracker, completion_runs, merge_runs
+from tideline.streaming.processor import process_shards_stream
+from tideline.streaming.stalls import stalled_shards_stream
+
+__all__ = [
+    "FrontierTracker",
+    "completion_runs",
+    "flush_stream",
+    "merge_runs",
+    "process_shards_stream",
+    "stalled_shards_stream",
+]

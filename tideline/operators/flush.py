@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from tideline.functions.sequence import order_columns
 from tideline.operators.fold import slices_by_key
 from tideline.operators.gate import CLOCK, NEEDS, WEIGHT, interval_gate
-from tideline.operators.sizing import broadcast_if_small, ensure_checkpoint_dir
+from tideline.operators.sizing import broadcast_if_small, materialize
 from tideline.schema import SHARD_KEYS
 
 
@@ -150,7 +150,6 @@ def flush_batches(
     Returns one row per written batch. The writes happen here, once; a retried
     task writes its batches again, so the writer must overwrite by batch number.
     """
-    ensure_checkpoint_dir(batched.sparkSession)
     keys = list(keys)
     tokens = flush_tokens(batched, keys, final)
     todo = tokens.filter("done").drop("done", "done_round", "fired")
@@ -162,9 +161,8 @@ def flush_batches(
             T.StructField("n_written", T.LongType()),
         ]
     )
-    return (
+    return materialize(
         todo.repartition(*keys, "batch_no")
         .sortWithinPartitions(*keys, "batch_no", *order_columns())
         .mapInArrow(_written(len(keys), write_batch, out.names), out)
-        .checkpoint()
     )

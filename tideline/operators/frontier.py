@@ -17,7 +17,7 @@ from tideline.functions.checkpoints import shutdown_reason
 from tideline.functions.sequence import is_sub_record, order_key, position
 from tideline.operators.gate import CLOCK, NEEDS, WEIGHT, interval_gate
 from tideline.operators.ordering import running_max
-from tideline.operators.sizing import broadcast_if_small
+from tideline.operators.sizing import broadcast_if_small, materialize
 from tideline.schema import POSITION_FIELDS, SHARD_KEYS
 
 
@@ -31,14 +31,22 @@ def _eligible(subsequence: bool) -> Column:
 
 
 def frontier(
-    completions: DataFrame, done: str = "done", subsequence: bool = False, keys: Sequence[str] = SHARD_KEYS
+    completions: DataFrame,
+    done: str = "done",
+    subsequence: bool = False,
+    keys: Sequence[str] = SHARD_KEYS,
+    computed: bool = False,
 ) -> DataFrame:
     """Frontier per shard; shards whose first record is open have NULL positions.
 
     Two plain aggregates with map-side combine and one join against a row per
-    shard: no window, no sort, and a hot shard costs no more than any other rows.
+    shard: no window, and a hot shard costs no more than any other rows.
+    ``completions`` is read twice. Say ``computed`` if that means more than
+    scanning a table: positions and flags are then kept in between.
     """
     keys = list(keys)
+    if computed:
+        completions = materialize(completions.select(*keys, *POSITION_FIELDS, done))
     is_done = F.coalesce(F.col(done), F.lit(False))
     first_open = completions.groupBy(*keys).agg(F.min(F.when(~is_done, order_key())).alias("_open"))
     joined = completions.join(broadcast_if_small(first_open), keys)

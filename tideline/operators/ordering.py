@@ -21,7 +21,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tideline.functions.sequence import order_columns
-from tideline.operators.sizing import broadcast_if_small, ensure_checkpoint_dir, fits_one_task
+from tideline.operators.sizing import broadcast_if_small, fits_one_task, materialize
 from tideline.schema import SHARD_KEYS
 
 CHUNK = "_chunk"
@@ -50,16 +50,14 @@ def ordered_chunks(
     chunks), ``_chunk`` names the partition a row lies in. A chunk may hold the
     end of one group and the start of others.
     """
-    ensure_checkpoint_dir(df.sparkSession)
     total = df.count()
     n = max(1, math.ceil(total / chunk_rows))
     by = [F.col(k) for k in keys] + _orders(order)
-    return (
+    return materialize(
         df.repartitionByRange(n, *by)
         .sortWithinPartitions(*by)
         .withColumn(POS, F.monotonically_increasing_id())
         .withColumn(CHUNK, F.shiftright(POS, _PARTITION_SHIFT).cast("int"))
-        .checkpoint()
     )
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,18 +18,24 @@ GROUP_ROWS = 5_000_000
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` marked for broadcast if it is known to be small, else unchanged.
 
-    ``df`` should be an aggregate with one row per shard or key. It is kept, so
-    counting it does not compute it twice. Beyond the bound the join shuffles
-    both sides and adaptive execution splits hot keys. Streams are left alone.
+    ``df`` should be an aggregate with one row per shard, key or chunk. It is
+    computed once, to a reliable checkpoint, and counted there. (A cached table
+    would do too, but Spark matches those by path and would go on using it after
+    the files behind it have changed.) Beyond the bound the join shuffles both
+    sides and adaptive execution splits hot keys.
     """
-    if df.isStreaming:
-        return df
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    kept = materialize(df)
     if kept.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(kept)
     return kept
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """``df`` computed once, to the shared checkpoint folder."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
     """Rows of the largest group; reads the key columns only."""
     row = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()

@@ -368,7 +368,7 @@ def frontier_query(spark, sf_dir):
 
 def frontier_lines_query(subsequence: bool) -> Query:
     def query(spark, sf_dir):
-        reached = frontier(lines_open(spark, sf_dir), subsequence=subsequence)
+        reached = frontier(lines_open(spark, sf_dir), subsequence=subsequence, computed=True)
         return reached.select("shard_id", "base", "user_sub", "user_total")
 
     return query
@@ -485,7 +485,8 @@ def aggregated_frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Envelopes of an aggregated stream to the last whole record handled per shard."""
     records = unpacked_orders(spark, sf_dir)
     quantity = F.split(F.decode("data", "UTF-8"), "\\|")[0].cast("bigint")
-    return frontier(records.withColumn("done", quantity < 50)).select("shard_id", "base", "user_sub", "user_total")
+    reached = frontier(records.withColumn("done", quantity < 50), computed=True)
+    return reached.select("shard_id", "base", "user_sub", "user_total")
 
 
 def all_queries() -> dict[str, Query]:

@@ -9,7 +9,7 @@ from tideline.operators.counters import arrival_counter, count_checkpoints, flus
 from tideline.operators.ordering import CHUNK, POS, ordered_chunks, running_max
 from tideline.operators.pack import with_lanes
 from tideline.operators.processor import process_shards
-from tideline.operators.sizing import broadcast_if_small, ensure_checkpoint_dir, largest_group
+from tideline.operators.sizing import ensure_checkpoint_dir, largest_group, ordered_lookup
 from tideline.plans.queries import BYTE_MARKS, ByteMarks
 
 
@@ -107,12 +107,14 @@ def test_lanes_bound_a_hot_producer(skewed):
     assert largest_group(laned, ["shard_id", "lane"]) == 64
 
 
-def test_only_a_small_side_is_broadcast(spark):
-    big = spark.range(100)
-    small = broadcast_if_small(big, max_rows=100)
-    large = broadcast_if_small(big.withColumn("x", F.lit(1)), max_rows=99)
-    assert "ResolvedHint (strategy=broadcast)" in small._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" not in large._jdf.queryExecution().analyzed().toString()
+@pytest.mark.parametrize("max_rows, broadcast", [(101, True), (100, False)])
+def test_only_a_small_side_is_broadcast(spark, max_rows, broadcast):
+    rows = spark.range(1000).select(F.when(F.col("id") < 900, F.col("id") % 100).alias("k"), "id")
+    joined, in_order = ordered_lookup(rows, rows.groupBy("k").count(), ["k"], max_rows=max_rows)
+    assert in_order is broadcast
+    assert ("strategy=broadcast" in joined._jdf.queryExecution().analyzed().toString()) is broadcast
+    # Rows without a key are a group like any other.
+    assert joined.count() == 1000 and joined.filter("k is null and count = 100").count() == 100
 
 
 def test_checkpoints_go_where_the_session_says(spark):

@@ -80,7 +80,7 @@ def test_fullness(spark):
     )
     got = sorted(rows.collect(), key=lambda r: r.batch_no)
     assert [(r.partition_key, r.explicit_hash_key, r.n_records) for r in got] == [("pk1", "ehk1", 1), ("pk2", "ehk2", 2)]
-    keys = [codec.unpack(bytes(r.data))[0] for r in got]
+    keys = [codec.unpacker()(bytes(r.data))[0] for r in got]
     assert keys == [[b"pk1"], [b"pk2", b"pk3"]]
 
 
@@ -95,7 +95,7 @@ def test_random_records_fill_an_aggregate(spark):
     for r in got[:-1]:
         assert MAX_RECORD_BYTES - 4096 <= len(r.data) + len(r.partition_key) <= MAX_RECORD_BYTES
         assert r.est_bytes == len(r.data) + len(r.partition_key)
-    pairs = [p for r in got for p in zip(*codec.unpack(bytes(r.data)))]
+    pairs = [p for r in got for p in zip(*codec.unpacker()(bytes(r.data)))]
     assert pairs == [(k.encode(), d) for k, d, _ in rows]
 
 

@@ -17,11 +17,12 @@ INNER = T.ArrayType(
 
 def _unpack_column(check: bool):
     def unpack(blobs: pa.Array) -> pa.Array:
+        unpack_one = codec.unpacker(check)
         offsets, keys, payloads = [0], [], []
         # A NULL list keeps its place with an empty range.
         for blob in blobs.to_numpy(zero_copy_only=False):
             if blob is not None:
-                inner_keys, inner_data = codec.unpack(blob, check)
+                inner_keys, inner_data = unpack_one(blob)
                 keys.extend(inner_keys)
                 payloads.extend(inner_data)
             offsets.append(len(payloads))

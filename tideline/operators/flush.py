@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from tideline.functions.sequence import order_columns
 from tideline.operators.fold import slices_by_key
 from tideline.operators.gate import CLOCK, NEEDS, WEIGHT, interval_gate
-from tideline.operators.sizing import broadcast_if_small, materialize
+from tideline.operators.sizing import lookup, materialize
 from tideline.schema import SHARD_KEYS
 
 
@@ -95,7 +95,7 @@ def flush_tokens(batched: DataFrame, keys: Sequence[str] = SHARD_KEYS, final: bo
     else:
         closed = F.max("batch_no")
     flushed = batched.groupBy(*keys).agg(closed.alias("_closed"))
-    joined = batched.join(broadcast_if_small(flushed), list(keys))
+    joined = lookup(batched, flushed, keys)
     done = F.col("batch_no") < F.col("_closed")
     return (
         joined.withColumn("done", done)

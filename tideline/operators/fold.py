@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideline.operators.ordering import CHUNK, CHUNK_ROWS, _before, _orders, ordered_chunks
-from tideline.operators.sizing import broadcast_if_small, fits_one_task
+from tideline.operators.sizing import fits_one_task, ordered_lookup
 from tideline.schema import SHARD_KEYS
 
 CARRY = "_carry"
@@ -199,8 +199,9 @@ def ordered_fold(
     if carry_max is not None:
         tops = chunks.groupBy(*keys, CHUNK).agg(F.max(carry_max).alias("_top"))
         tops = tops.withColumn(CARRY, _before(tops, keys, F.max("_top"))).select(*keys, CHUNK, CARRY)
-        # Summaries read the rows in chunk order; a broadcast join keeps it, a shuffled one would not.
-        source = chunks.join(broadcast_if_small(tops), [*keys, CHUNK]).sortWithinPartitions(*by)
+        source, in_order = ordered_lookup(chunks, tops, [*keys, CHUNK])
+        if not in_order:
+            source = source.sortWithinPartitions(*by)
         source = source.select(*keys, *wanted, CARRY, CHUNK)
     summary_schema = T.StructType(
         [*key_fields, T.StructField(CHUNK, T.IntegerType()), T.StructField("_summary", T.BinaryType())]
@@ -223,6 +224,8 @@ def ordered_fold(
         .sortWithinPartitions(*keys, CHUNK)
         .mapInArrow(_entries(fold, len(keys)), entry_schema)
     )
-    placed = chunks.join(broadcast_if_small(entries), [*keys, CHUNK]).sortWithinPartitions(*by)
+    placed, in_order = ordered_lookup(chunks, entries, [*keys, CHUNK])
+    if not in_order:
+        placed = placed.sortWithinPartitions(*by)
     placed = placed.select(*keys, *rest, CHUNK, FINAL, ENTRY)
     return placed.mapInArrow(_run_chunks(fold, len(keys)), out_schema)

@@ -17,7 +17,7 @@ from tideline.functions.checkpoints import shutdown_reason
 from tideline.functions.sequence import is_sub_record, order_key, position
 from tideline.operators.gate import CLOCK, NEEDS, WEIGHT, interval_gate
 from tideline.operators.ordering import running_max
-from tideline.operators.sizing import broadcast_if_small, materialize
+from tideline.operators.sizing import lookup, materialize
 from tideline.schema import POSITION_FIELDS, SHARD_KEYS
 
 
@@ -49,7 +49,7 @@ def frontier(
         completions = materialize(completions.select(*keys, *POSITION_FIELDS, done))
     is_done = F.coalesce(F.col(done), F.lit(False))
     first_open = completions.groupBy(*keys).agg(F.min(F.when(~is_done, order_key())).alias("_open"))
-    joined = completions.join(broadcast_if_small(first_open), keys)
+    joined = lookup(completions, first_open, keys)
     before = F.col("_open").isNull() | (order_key() < F.col("_open"))
     passed = joined.groupBy(*keys).agg(
         F.max(F.when(before & _eligible(subsequence), position())).alias("_p")

@@ -21,7 +21,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tideline.functions.sequence import order_columns
-from tideline.operators.sizing import broadcast_if_small, fits_one_task, materialize
+from tideline.operators.sizing import fits_one_task, lookup, materialize
 from tideline.schema import SHARD_KEYS
 
 CHUNK = "_chunk"
@@ -88,7 +88,7 @@ def dense_counter(
     starts = chunks.groupBy(*keys, CHUNK).agg(F.min(POS).alias("_first"), F.count(F.lit(1)).alias("_rows"))
     offset = F.coalesce(_before(starts, keys, F.sum("_rows")), F.lit(0))
     starts = starts.withColumn("_shift", offset - F.col("_first")).select(*keys, CHUNK, "_shift")
-    counted = chunks.join(broadcast_if_small(starts), [*keys, CHUNK])
+    counted = lookup(chunks, starts, [*keys, CHUNK])
     return counted.withColumn(name, (F.col(POS) + F.col("_shift")).cast("bigint")).select(*df.columns, name)
 
 
@@ -112,5 +112,5 @@ def running_max(
     tops = chunks.groupBy(*keys, CHUNK).agg(F.max("_v").alias("_top"))
     tops = tops.withColumn("_before", _before(tops, keys, F.max("_top"))).select(*keys, CHUNK, "_before")
     inside = W.partitionBy(*keys, CHUNK).orderBy(POS).rowsBetween(W.unboundedPreceding, 0)
-    joined = chunks.join(broadcast_if_small(tops), [*keys, CHUNK])
+    joined = lookup(chunks, tops, [*keys, CHUNK])
     return joined.withColumn(name, F.greatest(F.max("_v").over(inside), F.col("_before"))).select(*columns, name)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,22 +14,37 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 
 #: Most rows of one group that a single task may sort for a window.
-GROUP_ROWS = 5_000_000
+GROUP_ROWS = 2_000_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` marked for broadcast if it is known to be small, else unchanged.
+def lookup(
+    rows: DataFrame, side: DataFrame, keys: Sequence[str], how: str = "inner", max_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Join ``rows`` to an aggregate with one row per shard, key or chunk; NULL keys match each other.
 
-    ``df`` should be an aggregate with one row per shard, key or chunk. It is
-    computed once, to a reliable checkpoint, and counted there. (A cached table
-    would do too, but Spark matches those by path and would go on using it after
-    the files behind it have changed.) Beyond the bound the join shuffles both
-    sides and adaptive execution splits hot keys.
+    See :func:`ordered_lookup`.
     """
-    kept = materialize(df)
-    if kept.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(kept)
-    return kept
+    return ordered_lookup(rows, side, keys, how, max_rows)[0]
+
+
+def ordered_lookup(
+    rows: DataFrame, side: DataFrame, keys: Sequence[str], how: str = "inner", max_rows: int = BROADCAST_ROWS
+) -> tuple[DataFrame, bool]:
+    """:func:`lookup`, and whether the order of ``rows`` in their partitions is kept.
+
+    ``side`` is computed once, to a reliable checkpoint, and counted there. (A
+    cached table would do too, but Spark matches those by path and would go on
+    using it after the files behind it have changed.) Up to ``max_rows`` it is
+    broadcast and order is kept. Beyond, the join shuffles both sides and
+    adaptive execution splits hot keys.
+    """
+    side = materialize(side)
+    small = side.limit(max_rows + 1).count() <= max_rows
+    renamed = {k: f"_side_{k}" for k in keys}
+    side = side.withColumnsRenamed(renamed)
+    same = reduce(and_, (F.col(k).eqNullSafe(F.col(r)) for k, r in renamed.items()))
+    joined = rows.join(F.broadcast(side) if small else side, same, how).drop(*renamed.values())
+    return joined, small
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tideline.functions.sequence import is_sub_record, order_key, position
 from tideline.operators.counters import arrival_counter
-from tideline.operators.sizing import broadcast_if_small
+from tideline.operators.sizing import lookup
 from tideline.schema import SHARD_KEYS, STREAM
 
 
@@ -38,7 +38,7 @@ def _after(records: DataFrame, marks: DataFrame, keys: Sequence[str], parts: int
     ]
     marks = marks.filter(F.col("base_key").isNotNull()).select(*keys, F.struct(*mark_key[:parts]).alias("_mark"))
     row_key = F.struct(*[order_key()[f].alias(f) for f in ("k_base", "k_sub", "k_user_sub")[:parts]])
-    joined = records.join(broadcast_if_small(marks), list(keys), "left")
+    joined = lookup(records, marks, keys, "left")
     return joined.filter(F.col("_mark").isNull() | (row_key > F.col("_mark"))).drop("_mark")
 
 
@@ -81,7 +81,7 @@ def resume_from_checkpoint(
     )
     marks = checkpoints.filter(F.col("base_key").isNotNull()).select(*keys, passed.alias("_mark"))
     row_key = F.struct(order_key()["k_base"].alias("k_base"), order_key()["k_sub"].alias("k_sub"))
-    joined = records.join(broadcast_if_small(marks), list(keys), "left")
+    joined = lookup(records, marks, keys, "left")
     return joined.filter(F.col("_mark").isNull() | (row_key > F.col("_mark"))).drop("_mark")
 
 

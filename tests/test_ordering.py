@@ -31,6 +31,24 @@ def test_chunks_spread_a_hot_group_in_order(skewed):
     assert largest_group(chunks, [CHUNK]) < 500
 
 
+def test_a_partition_may_hold_many_chunks(skewed, monkeypatch):
+    from tideline.operators import ordering
+
+    expected = {}
+    for limit in (ordering.MAX_PARTITIONS, 2):
+        monkeypatch.setattr(ordering, "MAX_PARTITIONS", limit)
+        chunks = ordered_chunks(skewed, chunk_rows=50).cache()
+        assert chunks.rdd.getNumPartitions() <= limit
+        assert largest_group(chunks, [CHUNK]) <= 50
+        source = skewed.select("stream_name", "shard_id", "base", "base_key", "sub", "user_sub", "data")
+        marks = process_shards(
+            source, ByteMarks(300), BYTE_MARKS, summary_columns=["data"], max_group_rows=0, chunk_rows=50
+        )
+        top = running_max(skewed, F.col("v"), "m", max_group_rows=0, chunk_rows=50)
+        got = (sorted(map(tuple, marks.collect())), sorted((r.shard_id, r.base, r.m) for r in top.collect()))
+        assert expected.setdefault("first", got) == got
+
+
 def test_counter_is_the_same_in_both_forms(skewed):
     plain = arrival_counter(skewed, ignored=F.col("v") > 900)
     chunked = arrival_counter(skewed, ignored=F.col("v") > 900, max_group_rows=0, chunk_rows=100)

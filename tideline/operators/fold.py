@@ -101,24 +101,24 @@ def _run(fold: OrderedFold, n_keys: int):
 
 
 def _summaries(fold: OrderedFold, n_keys: int, schema: pa.Schema):
-    def row(key, chunk, slices):
+    def row(place, slices):
         blob = pickle.dumps(fold.summarize(slices))
         return pa.RecordBatch.from_arrays(
-            [pa.array([v], t.type) for v, t in zip([*key, chunk, blob], schema)], schema=schema
+            [pa.array([v], t.type) for v, t in zip([*place, blob], schema)], schema=schema
         )
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, chunk, held = None, None, []
+        # Holds one chunk of one group at a time. The chunk is the column after the keys.
+        current, held = None, []
         for batch in batches:
-            for key, rows in slices_by_key(batch, n_keys):
-                if key != current:
+            for place, rows in slices_by_key(batch, n_keys + 1):
+                if place != current:
                     if current is not None:
-                        yield row(current, chunk, held)
-                    current, held = key, []
-                    chunk = rows.column(CHUNK)[0].as_py()
+                        yield row(current, held)
+                    current, held = place, []
                 held.append(rows)
         if current is not None:
-            yield row(current, chunk, held)
+            yield row(current, held)
 
     return run
 
@@ -145,11 +145,11 @@ def _run_chunks(fold: OrderedFold, n_keys: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, state, final = None, None, False
         for batch in batches:
-            for key, rows in slices_by_key(batch, n_keys):
-                place = (key, rows.column(CHUNK)[0].as_py())
+            for place, rows in slices_by_key(batch, n_keys + 1):
+                key = place[:n_keys]
                 if place != current:
                     if current is not None and final:
-                        yield from _emit(fold.finish(current[0], state))
+                        yield from _emit(fold.finish(current[:n_keys], state))
                     current = place
                     state = pickle.loads(rows.column(ENTRY)[0].as_py())
                     final = rows.column(FINAL)[0].as_py()
@@ -157,7 +157,7 @@ def _run_chunks(fold: OrderedFold, n_keys: int):
                 state, out = fold.step(key, state, bare)
                 yield from _emit(out)
         if current is not None and final:
-            yield from _emit(fold.finish(current[0], state))
+            yield from _emit(fold.finish(current[:n_keys], state))
 
     return run
 
@@ -195,16 +195,16 @@ def ordered_fold(
     chunks = ordered_chunks(df, keys, order, chunk_rows)
     key_fields = [df.schema[k] for k in keys]
     wanted = list(summary_columns)
-    source = chunks.select(*keys, *wanted, CHUNK)
+    source = chunks.select(*keys, CHUNK, *wanted)
     if carry_max is not None:
         tops = chunks.groupBy(*keys, CHUNK).agg(F.max(carry_max).alias("_top"))
-        tops = tops.withColumn(CARRY, _before(tops, keys, F.max("_top"))).select(*keys, CHUNK, CARRY)
+        tops = tops.withColumn(CARRY, _before(keys, F.max("_top"))).select(*keys, CHUNK, CARRY)
         source, in_order = ordered_lookup(chunks, tops, [*keys, CHUNK])
         if not in_order:
             source = source.sortWithinPartitions(*by)
-        source = source.select(*keys, *wanted, CARRY, CHUNK)
+        source = source.select(*keys, CHUNK, *wanted, CARRY)
     summary_schema = T.StructType(
-        [*key_fields, T.StructField(CHUNK, T.IntegerType()), T.StructField("_summary", T.BinaryType())]
+        [*key_fields, T.StructField(CHUNK, T.LongType()), T.StructField("_summary", T.BinaryType())]
     )
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -214,7 +214,7 @@ def ordered_fold(
     entry_schema = T.StructType(
         [
             *key_fields,
-            T.StructField(CHUNK, T.IntegerType()),
+            T.StructField(CHUNK, T.LongType()),
             T.StructField(FINAL, T.BooleanType()),
             T.StructField(ENTRY, T.BinaryType()),
         ]
@@ -227,5 +227,5 @@ def ordered_fold(
     placed, in_order = ordered_lookup(chunks, entries, [*keys, CHUNK])
     if not in_order:
         placed = placed.sortWithinPartitions(*by)
-    placed = placed.select(*keys, *rest, CHUNK, FINAL, ENTRY)
+    placed = placed.select(*keys, CHUNK, *rest, FINAL, ENTRY)
     return placed.mapInArrow(_run_chunks(fold, len(keys)), out_schema)

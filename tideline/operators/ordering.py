@@ -5,10 +5,11 @@ forms with equal results:
 
 * while the largest group fits a task: one shuffle by group and a window;
 * beyond: rows are range-partitioned by ``(group, order)``, so a hot group is
-  spread over as many *chunks* as its rows need. The sorted chunks are
+  spread over as many partitions as its rows need. The sorted partitions are
   checkpointed once, because range bounds come from a sample and a recomputed
-  sample must not move a row between chunks. What a chunk needs to know of the
-  chunks before it is computed from one small row per (group, chunk).
+  sample must not move a row to another partition. They are read in *chunks* of
+  a fixed number of rows; what a chunk needs to know of the chunks before it is
+  computed from one small row per (group, chunk).
 """
 
 from __future__ import annotations
@@ -27,9 +28,12 @@ from tideline.schema import SHARD_KEYS
 CHUNK = "_chunk"
 POS = "_pos"
 
-#: Rows aimed at per chunk.
+#: Rows per chunk.
 CHUNK_ROWS = 1_000_000
 
+#: Most partitions of the range shuffle; larger inputs get several chunks per partition.
+MAX_PARTITIONS = 50_000
+
 # Bits monotonically_increasing_id leaves for the row inside its partition.
 _PARTITION_SHIFT = 33
 
@@ -46,22 +50,24 @@ def ordered_chunks(
 ) -> DataFrame:
     """``df`` globally ordered by ``(keys, order)`` on reliable storage.
 
-    ``_pos`` numbers the rows increasingly in that order (with jumps between
-    chunks), ``_chunk`` names the partition a row lies in. A chunk may hold the
-    end of one group and the start of others.
+    ``_pos`` numbers the rows increasingly in that order, with jumps between
+    partitions. ``_chunk`` names the run of ``chunk_rows`` rows a row lies in by
+    the ``_pos`` of its first. A chunk may hold the end of one group and the
+    start of others.
     """
     total = df.count()
-    n = max(1, math.ceil(total / chunk_rows))
+    n = min(MAX_PARTITIONS, max(1, math.ceil(total / chunk_rows)))
+    row = F.col(POS).bitwiseAND(F.lit((1 << _PARTITION_SHIFT) - 1))
     by = [F.col(k) for k in keys] + _orders(order)
     return materialize(
         df.repartitionByRange(n, *by)
         .sortWithinPartitions(*by)
         .withColumn(POS, F.monotonically_increasing_id())
-        .withColumn(CHUNK, F.shiftright(POS, _PARTITION_SHIFT).cast("int"))
+        .withColumn(CHUNK, F.col(POS) - row % chunk_rows)
     )
 
 
-def _before(summary: DataFrame, keys: Sequence[str], agg: Column) -> Column:
+def _before(keys: Sequence[str], agg: Column) -> Column:
     """``agg`` over the chunks before this one in the same group."""
     return agg.over(W.partitionBy(*keys).orderBy(CHUNK).rowsBetween(W.unboundedPreceding, -1))
 
@@ -76,17 +82,18 @@ def dense_counter(
 ) -> DataFrame:
     """Add a gapless 0-based counter per group.
 
-    The chunked form needs no window over the rows: a row's place in its chunk
-    follows from ``_pos``, and one small table holds where each group starts in
-    each chunk and how many rows it has before it.
+    The chunked form needs no window over the rows: a row's place in its
+    partition follows from ``_pos``, and one small table holds where each group
+    starts in each partition and how many rows it has before.
     """
     keys = list(keys)
     if fits_one_task(df, keys, max_group_rows):
         w = W.partitionBy(*keys).orderBy(*_orders(order))
         return df.withColumn(name, (F.row_number().over(w) - 1).cast("bigint"))
     chunks = ordered_chunks(df, keys, order, chunk_rows)
+    chunks = chunks.withColumn(CHUNK, F.shiftright(POS, _PARTITION_SHIFT))
     starts = chunks.groupBy(*keys, CHUNK).agg(F.min(POS).alias("_first"), F.count(F.lit(1)).alias("_rows"))
-    offset = F.coalesce(_before(starts, keys, F.sum("_rows")), F.lit(0))
+    offset = F.coalesce(_before(keys, F.sum("_rows")), F.lit(0))
     starts = starts.withColumn("_shift", offset - F.col("_first")).select(*keys, CHUNK, "_shift")
     counted = lookup(chunks, starts, [*keys, CHUNK])
     return counted.withColumn(name, (F.col(POS) + F.col("_shift")).cast("bigint")).select(*df.columns, name)
@@ -110,7 +117,7 @@ def running_max(
         return df.withColumn(name, F.max("_v").over(w)).select(*columns, name)
     chunks = ordered_chunks(df, keys, order, chunk_rows)
     tops = chunks.groupBy(*keys, CHUNK).agg(F.max("_v").alias("_top"))
-    tops = tops.withColumn("_before", _before(tops, keys, F.max("_top"))).select(*keys, CHUNK, "_before")
+    tops = tops.withColumn("_before", _before(keys, F.max("_top"))).select(*keys, CHUNK, "_before")
     inside = W.partitionBy(*keys, CHUNK).orderBy(POS).rowsBetween(W.unboundedPreceding, 0)
     joined = lookup(chunks, tops, [*keys, CHUNK])
     return joined.withColumn(name, F.greatest(F.max("_v").over(inside), F.col("_before"))).select(*columns, name)

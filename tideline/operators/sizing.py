@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Most rows a join side may have to be broadcast.
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS = 1_000_000
 
 #: Most rows of one group that a single task may sort for a window.
 GROUP_ROWS = 2_000_000

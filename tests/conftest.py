@@ -15,6 +15,8 @@ def spark(tmp_path_factory):
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
+        # Small Arrow batches, so that groups and chunks span several.
+        .config("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))
         .getOrCreate()
     )

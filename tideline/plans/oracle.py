@@ -274,6 +274,9 @@ def all_oracles() -> dict[str, str]:
         "frontier_whole_records": frontier_lines(WHOLE),
         "frontier_subsequence": frontier_lines(""),
         "aggregated_frontier": frontier_lines(WHOLE),
+        "stream_deaggregate": DEAGGREGATE,
+        "stream_frontier": """SELECT 'all' AS shard_id, CAST(max(event_id) AS VARCHAR) AS base FROM events
+            WHERE event_id < (SELECT coalesce(min(event_id), 1e18) FROM events WHERE value >= 450)""",
         "frontier_history": f"WITH {ROUNDS} SELECT shard_id, round, CAST(reached AS VARCHAR) AS base FROM h",
         "checkpoint_schedule": gate(
             SCHEDULE,

@@ -43,6 +43,7 @@ from tideline.operators.frontier import (
 )
 from tideline.operators.pack import key_dictionary, oversize_records, pack, pack_header, with_lanes
 from tideline.operators.processor import RecordProcessor, process_shards
+from tideline.plans.stream_queries import stream_deaggregate, stream_frontier
 from tideline.plans.streams import (
     document_records,
     event_stream,
@@ -535,4 +536,6 @@ def all_queries() -> dict[str, Query]:
         "flush_tokens": flush_tokens_query,
         "flush_log": flush_log_query,
         "aggregated_frontier": aggregated_frontier,
+        "stream_deaggregate": stream_deaggregate,
+        "stream_frontier": stream_frontier,
     }

@@ -227,6 +227,25 @@ def test_formats(spark):
     assert df.filter(record_format("data") != F.col("kind")).count() == 0
 
 
+def test_keys_need_not_be_text(spark):
+    key, data = b"\xff\xfe", b"d"
+    agg = codec.OpenAggregate()
+    agg.add(key, data, None, *agg.head(key, data, None))
+    df = spark.createDataFrame([("k", "1", 0, None, None, agg.finish(False))], ENVELOPE_DDL)
+    assert bytes(deaggregate(df).select(F.col("partition_key").cast("binary")).first()[0]) == key
+    rows = spark.createDataFrame([(0, 0, key, data, None)], "lane int, n int, k binary, data binary, explicit_hash_key string")
+    out = pack(rows.withColumn("partition_key", F.col("k").cast("string")), ["lane"], [F.col("n")])
+    assert bytes(out.select(F.col("partition_key").cast("binary")).first()[0]) == key
+    assert bytes(out.select("data").first()[0]) == agg.finish(False)
+
+
+def test_clustered_input_is_not_shuffled_again(spark):
+    df = users(spark, [("a", b"1", None), ("b", b"2", None)]).repartition("lane")
+    once = pack(df, ["lane"], [F.col("n")], clustered=True)
+    assert once._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert [r.n_records for r in once.collect()] == [2]
+
+
 def test_unknown_fields_and_tags_are_skipped(spark):
     record = bytes.fromhex("0800") + b"\x1a\x01d" + b"\x22\x03\x0a\x01t"  # with a tag
     body = b"\x0a\x01k" + b"\x1a" + bytes([len(record)]) + record + b"\x7a\x01z"

@@ -103,6 +103,8 @@ def test_round_trip_through_the_wire(spark):
 def test_base64_is_strict_and_replaceable(spark):
     df = spark.createDataFrame([("aGk=",)], "d string")
     assert bytes(df.select(decode_data("d")).first()[0]) == b"hi"
+    wrapped = spark.createDataFrame([("aGk=\n",), ("a\nGk=",)], "d string")
+    assert [bytes(r[0]) for r in wrapped.select(decode_data("d")).collect()] == [b"hi", b"hi"]
     assert df.select(decode_data("d", lambda c: F.upper(c))).first()[0] == "AGK="
     with pytest.raises(PySparkException):
         spark.createDataFrame([("%%%",)], "d string").select(decode_data("d")).collect()

@@ -27,7 +27,7 @@ def _unpack_column(check: bool):
                 payloads.extend(inner_data)
             offsets.append(len(payloads))
         items = pa.StructArray.from_arrays(
-            [pa.array(keys, pa.binary()).cast(pa.string()), pa.array(payloads, pa.binary())],
+            [codec.text_array(keys), pa.array(payloads, pa.binary())],
             names=["partition_key", "data"],
         )
         return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), items, mask=blobs.is_null())

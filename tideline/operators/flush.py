@@ -86,7 +86,8 @@ def flush_tokens(batched: DataFrame, keys: Sequence[str] = SHARD_KEYS, final: bo
 
     Batches close in order, so a batch is flushed if a later one exists or the
     gate fired on its own last row. ``final`` flushes the open batch too, as
-    when a shard is closed.
+    when a shard is closed. Ignored records and heartbeats have no token: take
+    them out of the result, not of ``batched``, where they may close a batch.
     """
     if final:
         return batched.withColumn("done", F.lit(True)).withColumn("done_round", F.col("batch_no"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideline.functions.sizing import record_size
-from tideline.operators.codec import OpenAggregate
+from tideline.operators.codec import OpenAggregate, text_array
 from tideline.operators.fold import OrderedFold, ordered_fold
 from tideline.operators.ordering import dense_counter
 from tideline.schema import MAX_RECORD_BYTES, NEAR_LIMIT_SLACK
@@ -43,15 +43,14 @@ class _Pack(OrderedFold):
         if aggregate.count == 0:
             return OpenAggregate(), batch, number
         own = [batch] if self.batch_key is not None else []
-        hash_key = aggregate.hash_key
         rows.append(
             (
                 *key,
                 *own,
                 number,
-                aggregate.partition_key.decode(),
+                aggregate.partition_key,
                 aggregate.finish(self.deflate),
-                None if hash_key is None else hash_key.decode(),
+                aggregate.hash_key,
                 aggregate.count,
                 aggregate.estimate,
             )
@@ -59,7 +58,10 @@ class _Pack(OrderedFold):
         return OpenAggregate(), batch, number + 1
 
     def _batch(self, rows):
-        columns = [pa.array(c, f.type) for c, f in zip(zip(*rows), self.out)]
+        columns = [
+            text_array(c) if f.name in ("partition_key", "explicit_hash_key") else pa.array(c, f.type)
+            for c, f in zip(zip(*rows), self.out)
+        ]
         return pa.RecordBatch.from_arrays(columns, schema=self.out)
 
     def step(self, key, state, rows):

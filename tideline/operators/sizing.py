@@ -39,7 +39,7 @@ def ordered_lookup(
     adaptive execution splits hot keys.
     """
     side = materialize(side)
-    small = side.limit(max_rows + 1).count() <= max_rows
+    small = side.count() <= max_rows
     renamed = {k: f"_side_{k}" for k in keys}
     side = side.withColumnsRenamed(renamed)
     same = reduce(and_, (F.col(k).eqNullSafe(F.col(r)) for k, r in renamed.items()))

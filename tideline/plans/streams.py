@@ -10,7 +10,7 @@ from tideline.functions.sequence import base_key
 from tideline.operators.pack import pack
 
 #: Orders per packing lane: bounds a lane's rows and grows the number of lanes with the data.
-ORDERS_PER_LANE = 4096
+ORDERS_PER_LANE = 1024
 
 LINE_ORDER = (
     "l_orderkey",

@@ -168,6 +168,7 @@ def ordered_fold(
     out_schema: T.StructType,
     keys: Sequence[str] = SHARD_KEYS,
     order: Sequence[Column] | None = None,
+    columns: Sequence[str] | None = None,
     summary_columns: Sequence[str] = (),
     carry_max: str | None = None,
     clustered: bool = False,
@@ -176,7 +177,8 @@ def ordered_fold(
 ) -> DataFrame:
     """Run ``fold`` over every group of ``df``.
 
-    The fold sees the key columns first, then the other columns of ``df``.
+    The fold sees the key columns first, then ``columns``, by default all others
+    of ``df``; what is only needed for the order then stays out of Python.
     ``clustered`` says that ``df`` is already partitioned so that no group spans
     two partitions, which saves the shuffle. For a splittable fold
     ``summary_columns`` are the columns ``summarize`` reads (besides the keys);
@@ -184,13 +186,12 @@ def ordered_fold(
     over the group's earlier chunks.
     """
     keys = list(keys)
-    rest = [c for c in df.columns if c not in keys]
-    df = df.select(*keys, *rest)
+    rest = [c for c in df.columns if c not in keys] if columns is None else list(columns)
     by = [F.col(k) for k in keys] + _orders(order)
     if not fold.splittable or clustered or fits_one_task(df, keys, max_group_rows):
         if not clustered:
             df = df.repartition(*keys)
-        return df.sortWithinPartitions(*by).mapInArrow(_run(fold, len(keys)), out_schema)
+        return df.sortWithinPartitions(*by).select(*keys, *rest).mapInArrow(_run(fold, len(keys)), out_schema)
 
     chunks = ordered_chunks(df, keys, order, chunk_rows)
     key_fields = [df.schema[k] for k in keys]

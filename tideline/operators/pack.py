@@ -155,7 +155,7 @@ def pack(
             T.StructField("est_bytes", T.LongType()),
         ]
     )
-    # Sort keys ride along under names of their own; the fold ignores them.
+    # Sort keys go as far as the sort, under names of their own.
     by = [c.alias(f"_o{i}") for i, c in enumerate(order)]
     source = records.select(*wanted, *by)
     fold = _Pack(to_arrow_schema(out), len(keys), batch_key, max_bytes, deflate)
@@ -165,6 +165,7 @@ def pack(
         out,
         keys=keys,
         order=[F.col(f"_o{i}") for i in range(len(by))],
+        columns=[c for c in wanted if c not in keys],
         clustered=clustered,
     )
 

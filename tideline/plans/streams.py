@@ -4,6 +4,7 @@ sub-records of its orders, ``documents`` as user records to pack."""
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tideline.functions.sequence import base_key
@@ -63,6 +64,11 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def line_data() -> Column:
+    quantity = F.col("l_quantity").cast("bigint").cast("string")
+    return F.encode(F.concat_ws("|", quantity, "l_returnflag", "l_linestatus"), "UTF-8")
+
+
 def line_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``lineitem`` as user records to pack: one lane per block of orders."""
     return table(spark, sf_dir, "lineitem").select(
@@ -71,30 +77,33 @@ def line_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor(F.col("l_orderkey") / F.lit(ORDERS_PER_LANE)).cast("bigint").alias("lane"),
         F.col("l_partkey").cast("string").alias("partition_key"),
         F.when(F.col("l_linenumber") % 2 == 0, F.col("l_suppkey").cast("string")).alias("explicit_hash_key"),
-        F.encode(
-            F.concat_ws("|", F.col("l_quantity").cast("bigint").cast("string"), "l_returnflag", "l_linestatus"),
-            "UTF-8",
-        ).alias("data"),
+        line_data().alias("data"),
     )
 
 
 def line_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``lineitem`` as sub-records: every order is one aggregate of its lines."""
-    from pyspark.sql import Window as W
-
     base = F.col("l_orderkey").cast("string")
     order = W.partitionBy("l_orderkey").orderBy(*LINE_ORDER[1:])
     whole = W.partitionBy("l_orderkey")
-    return line_records(spark, sf_dir).select(
+    # Numbered first, on the table's own narrow columns; what is derived from them need not be shuffled.
+    numbered = table(spark, sf_dir, "lineitem").select(
+        *LINE_ORDER,
+        "l_returnflag",
+        "l_linestatus",
+        (F.row_number().over(order) - 1).cast("bigint").alias("user_sub"),
+        F.count(F.lit(1)).over(whole).alias("user_total"),
+    )
+    return numbered.select(
         F.lit("lineitem").alias("stream_name"),
-        "shard_id",
-        "partition_key",
+        shard("l_orderkey").alias("shard_id"),
+        F.col("l_partkey").cast("string").alias("partition_key"),
         base.alias("base"),
         base_key(base).alias("base_key"),
         F.lit(0).cast("bigint").alias("sub"),
-        (F.row_number().over(order) - 1).cast("bigint").alias("user_sub"),
-        F.count(F.lit(1)).over(whole).alias("user_total"),
-        "data",
+        "user_sub",
+        "user_total",
+        line_data().alias("data"),
         "l_quantity",
     )
 

@@ -113,6 +113,12 @@ def test_full_flush_is_not_followed_by_an_interval_check(spark):
     assert out == {"0": (0, None), "1": (0, None), "2": (1, "full"), "3": (1, None)}
 
 
+def test_records_without_a_clock_fail(spark):
+    df = records(spark, [("a", 1, None, None, 0), ("a", 2, None, None, None)])
+    with pytest.raises(Exception, match="no clock"):
+        flush_by_interval(df, 10).collect()
+
+
 def test_gate_refuses_settings_that_cannot_work(spark):
     df = spark.createDataFrame([("s", "a")], "stream_name string, shard_id string")
     with pytest.raises(ValueError):

@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tideline.llm.bpe import bpe_report
+from tideline.llm.exact_dedup import dedup_report
+from tideline.llm.mixing import mix_report
 from tideline.llm.secret_scan import secret_report
 from tideline.llm.sharding import shard_report
+from tideline.llm.simhash import simhash_report
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,12 +25,35 @@ def op1_secret_scans(spark, sf_dir):
     return secret_report(table(spark, sf_dir, "documents"))
 
 
+def op3_byte_bpe(spark, sf_dir, path: str | None = None):
+    """``path``: the rank file; by default that of the public tokenizers."""
+    return bpe_report(
+        table(spark, sf_dir, "documents"), path or tokenizers.path("byte_bpe_multi_50k.tiktoken"), tokenizers.PATTERN
+    )
+
+
+def op4_exact_dedup(spark, sf_dir):
+    return dedup_report(table(spark, sf_dir, "documents"))
+
+
 def op7_sharding(spark, sf_dir):
     return shard_report(table(spark, sf_dir, "documents"))
 
 
+def op8_simhash(spark, sf_dir):
+    return simhash_report(table(spark, sf_dir, "documents"))
+
+
+def op10_mixing(spark, sf_dir):
+    return mix_report(table(spark, sf_dir, "documents"))
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_secret_scans": op1_secret_scans,
+        "op3_byte_bpe": op3_byte_bpe,
+        "op4_exact_dedup": op4_exact_dedup,
         "op7_sharding": op7_sharding,
+        "op8_simhash": op8_simhash,
+        "op10_mixing": op10_mixing,
     }

@@ -26,6 +26,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tideline.llm.shared import own_names
+
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ASSIGN_VALUE_CHARS = 6
 #: A run too short to count cannot hold a longer one, so the length may stand in the pattern.
@@ -161,8 +163,10 @@ def scan_secrets(
     window: int = WINDOW,
 ) -> DataFrame:
     """``df`` with ``secrets``: array<struct<start, rank, end, kind, value>> in the order of start, then kind."""
-    names = [c for c in df.columns if c != "secrets"]
-    df = df.select(*names, F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_text"))
+    kept = [c for c in df.columns if c != "secrets"]
+    df, own = own_names(df)
+    names = [own[c] for c in kept]
+    df = df.select(*names, F.coalesce(own[text], F.lit("")).alias("_text"))
     t = F.col("_text")
     assign = F.filter(matches(t, ASSIGN, 2), lambda m: F.char_length(m["value"]) >= ASSIGN_VALUE_CHARS)
     df = df.withColumns(
@@ -192,7 +196,7 @@ def scan_secrets(
             "_all", F.when(some, F.concat("_all", _spans(high, c.kind))).otherwise(F.col("_all"))
         )
     # Structs order by start, then kind; spans of one kind never share a start.
-    return df.select(*names, F.array_sort("_all").alias("secrets"))
+    return df.select(*names, F.array_sort("_all")).toDF(*kept, "secrets")
 
 
 def _ranged(found: Column, cls: CharacterClass, window: int) -> Column:

@@ -37,6 +37,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def own_names(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with names that clash with nothing an operator adds, and the new name of each column."""
+    names = {c: f"_own{i}" for i, c in enumerate(df.columns)}
+    return df.toDF(*names.values()), names
+
+
 def word_count(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("bigint")
 

@@ -162,10 +162,9 @@ def mix_report(
     ranked = checkpointed(schedule(targets, n))
     blocks = ranked.groupBy("group").agg(F.count(F.lit(1)).alias("blocks"))
     largest = rows.groupBy("group").count().agg(F.max("count")).first()[0] or 0
-    placed = running(rows, "group", "_h", ["doc_id", "size"], F.col("size"), bucket_bits(largest, rows_per_bucket))
-    placed = checkpointed(
-        placed.join(targets.join(blocks, "group", "left").fillna(0, ["blocks"]).drop("lo", "hi"), "group")
-    )
+    plan = targets.join(blocks, "group", "left").fillna(0, ["blocks"]).drop("lo", "hi")
+    bits = bucket_bits(largest, rows_per_bucket)
+    placed = checkpointed(running(rows, "group", "_h", ["doc_id", "size"], F.col("size"), bits, plan))
     begin = placed.filter("size > 0").select(
         "group", "pos", "size", "source_size", F.explode(_epochs(repeats, block)).alias("at")
     )
@@ -219,10 +218,10 @@ def mix(
     blocks = schedule(targets, n).groupBy("group").agg(F.count(F.lit(1)).alias("blocks"))
     plan = checkpointed(targets.join(blocks, "group").select("group", "source_size", "blocks"))
     largest = narrow.groupBy("group").agg(F.sum("_bytes").alias("b")).agg(F.max("b")).first()[0] or 0
-    placed = running(sized, "group", "_h", [names[key], "size"], F.col("size"), bucket_bits(largest, bucket_bytes))
+    bits = bucket_bits(largest, bucket_bytes)
+    placed = running(sized, "group", "_h", [names[key], "size"], F.col("size"), bits, plan)
     passes = (
         placed.filter("size > 0")
-        .join(plan, "group")
         .withColumn("at", F.explode(_epochs(repeats, block)))
         .withColumn("_take", F.least(F.col("size"), F.col("blocks") * block - F.col("at")))
     )

@@ -57,7 +57,15 @@ def bucket_bits(largest: int, per_bucket: int) -> int:
     return max(BUCKET_BITS, math.ceil(math.log2(max(1, largest / per_bucket))))
 
 
-def running(df: DataFrame, group: str, h: str, order: list[str], value: Column, bits: int) -> DataFrame:
+def running(
+    df: DataFrame,
+    group: str,
+    h: str,
+    order: list[str],
+    value: Column,
+    bits: int,
+    per_group: DataFrame | None = None,
+) -> DataFrame:
     """Number the rows of every group and sum ``value`` before each, in the order of the hash column ``h``.
 
     Adds ``pos`` (rows before) and ``start`` (sum before). A group of any size
@@ -65,6 +73,9 @@ def running(df: DataFrame, group: str, h: str, order: list[str], value: Column,
     numbered by itself, and the sums of the buckets before it, one small row
     per bucket, are added. The result does not depend on ``bits``. ``group``
     must not be NULL; ``df`` is evaluated twice.
+
+    ``per_group``, a row for each group, adds its columns: it joins the sums of
+    the buckets, so that the rows of a group are never dealt by the group alone.
     """
     df = df.withColumns({"_bucket": F.shiftrightunsigned(h, 64 - bits), "_value": value})
     whole = W.partitionBy(group).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
@@ -78,6 +89,8 @@ def running(df: DataFrame, group: str, h: str, order: list[str], value: Column,
             F.coalesce(F.sum("_sum").over(whole), F.lit(0)).alias("_sum_before"),
         )
     )
+    if per_group is not None:
+        before = before.join(per_group, group)
     inside = W.partitionBy(group, "_bucket").orderBy(h, *order)
     earlier = inside.rowsBetween(W.unboundedPreceding, -1)
     return (

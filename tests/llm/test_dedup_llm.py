@@ -105,11 +105,11 @@ def test_tile_links_connect_what_is_near(size):
     fps = list({rng.choice(seeds) ^ sum(1 << rng.randrange(64) for _ in range(rng.randrange(5))) for _ in range(size)})
     whole = np.array(fps, np.uint64).view(np.int64)
     half = len(fps) // 2
-    forest = tile_links(whole[:half], whole[half:], 4) + tile_links(whole[:half], None, 4) + tile_links(whole[half:], None, 4)
-    at = {int(x): i for i, x in enumerate(whole)}
+    second = [(a + half, b + half) for a, b in tile_links(whole[half:], None, 4)]
+    forest = tile_links(whole[:half], whole[half:], 4) + tile_links(whole[:half], None, 4) + second
     label = list(range(len(fps)))
     for a, b in forest:
-        x, y = label[at[a]], label[at[b]]
+        x, y = label[a], label[b]
         label = [min(x, y) if v in (x, y) else v for v in label]
     assert label == clusters(fps, 4)
     assert len(forest) <= 3 * len(fps)

@@ -2,7 +2,7 @@
 
 A fingerprint has a bit set if over half the hashes of the text's word
 shingles have it. Distinct fingerprints are sorted by their number of set bits,
-then by the numbers of set bits in their four 16-bit parts, and cut to tiles.
+then by the numbers of set bits in their four quarters, and cut to tiles.
 Two fingerprints that differ in r bits differ by at most r in their counts,
 summed over the parts; so a pair of tiles whose ranges of counts are further
 apart is skipped unread. Other pairs are compared in full: exclusive-or and
@@ -37,28 +37,39 @@ TILE = 8192
 STRIP = 64
 #: Shingles hashed at once.
 CHUNK = 1 << 16
-PARTS = (48, 32, 16, 0)
 EDGES = "a bigint, b bigint"
 
 
-def fingerprint(text: bytes, words: int) -> int:
+def shingle_spans(text: bytes, words: int) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """The words of a lower-cased text joined by blanks, and where its shingles start and end in that."""
     w = text.lower().split()
     if not w:
-        return 0
-    joined = b" ".join(w)
+        none = np.zeros(0, np.int64)
+        return b"", none, none
     k = min(words, len(w))
     lengths = np.fromiter(map(len, w), np.int64, len(w))
     ends = np.cumsum(lengths + 1) - 1
-    starts = (ends - lengths)[: len(w) - k + 1]
-    ends = ends[k - 1 :]
-    counts = np.zeros(64, np.int64)
+    return b" ".join(w), (ends - lengths)[: len(w) - k + 1], ends[k - 1 :]
+
+
+def set_bits(text: bytes, words: int, wide: bool = False) -> np.ndarray:
+    """The fingerprint's bits, lowest first: 64 by XXH64, or 128 by XXH3."""
+    joined, starts, ends = shingle_spans(text, words)
+    size = 16 if wide else 8
+    counts = np.zeros(8 * size, np.int64)
     for i in range(0, len(starts), CHUNK):
         spans = zip(starts[i : i + CHUNK].tolist(), ends[i : i + CHUNK].tolist(), strict=True)
-        hashes = np.array([xxhash.xxh64_intdigest(joined[s:e], SEED) for s, e in spans], dtype="<u8")
-        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        if wide:
+            hashes = np.frombuffer(b"".join([xxhash.xxh3_128_digest(joined[s:e], SEED) for s, e in spans]), np.uint8)
+        else:
+            hashes = np.array([xxhash.xxh64_intdigest(joined[s:e], SEED) for s, e in spans], dtype="<u8").view(np.uint8)
+        bits = np.unpackbits(hashes.reshape(-1, size), axis=1, bitorder="little")
         counts += bits.sum(axis=0, dtype=np.uint32)
-    set_bits = np.flatnonzero(2 * counts > len(starts))
-    return int(np.bitwise_or.reduce(np.uint64(1) << set_bits.astype(np.uint64))) if len(set_bits) else 0
+    return 2 * counts > len(starts)
+
+
+def fingerprint(text: bytes, words: int) -> int:
+    return int.from_bytes(np.packbits(set_bits(text, words), bitorder="little").tobytes(), "little")
 
 
 def fingerprint_column(text: Column, words: int) -> Column:
@@ -72,80 +83,124 @@ def fingerprint_column(text: Column, words: int) -> Column:
     return simhash(text)
 
 
-def tile_links(a: np.ndarray, b: np.ndarray | None, radius: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links between two tiles, or within one if ``b`` is None."""
-    nodes = a if b is None else np.concatenate([a, b])
-    # Unsigned, as bits are counted in the absolute value.
-    a = a.view(np.uint64)
-    other = a if b is None else b.view(np.uint64)
-    shift = 0 if b is None else len(a)
-    label = np.arange(len(nodes))
-    forest: list[tuple[int, int]] = []
-    for i in range(0, len(a), STRIP):
-        first = i if b is None else 0
-        near = np.bitwise_count(a[i : i + STRIP, None] ^ other[None, first:]) <= radius
-        if b is None:
-            near = np.triu(near, 1)
-        if not near.any():
-            continue
-        x, y = np.nonzero(near)
-        x, y = label[x + i], label[y + first + shift]
+class Forest:
+    """A spanning forest of links between numbered nodes, built from blocks of links."""
+
+    def __init__(self, n: int) -> None:
+        self.n = n
+        self.label = np.arange(n)
+        self.edges: list[tuple[int, int]] = []
+
+    def add(self, x: np.ndarray, y: np.ndarray) -> None:
+        x, y = self.label[x], self.label[y]
         apart = x != y
         if not apart.any():
-            continue
-        pairs = np.unique(x[apart] * len(nodes) + y[apart])
+            return
+        pairs = np.unique(x[apart] * self.n + y[apart])
         root: dict[int, int] = {}
 
-        def find(n: int, root: dict[int, int] = root) -> int:
+        def find(n: int) -> int:
             while (up := root.get(n, n)) != n:
                 root[n] = root.get(up, up)
                 n = root[n]
             return n
 
-        for p, q in zip((pairs // len(nodes)).tolist(), (pairs % len(nodes)).tolist(), strict=True):
+        for p, q in zip((pairs // self.n).tolist(), (pairs % self.n).tolist(), strict=True):
             p, q = find(p), find(q)
             if p != q:
                 root[max(p, q)] = min(p, q)
-                forest.append((p, q))
-        moved = np.arange(len(nodes))
+                self.edges.append((p, q))
+        moved = np.arange(self.n)
         for n in list(root):
             moved[n] = find(n)
-        label = moved[label]
-    return [(int(nodes[p]), int(nodes[q])) for p, q in forest]
+        self.label = moved[self.label]
+
+
+def tile_links(a: np.ndarray, b: np.ndarray | None, radius: int) -> list[tuple[int, int]]:
+    """A spanning forest of the links between two tiles, or within one if ``b`` is None, by position.
+
+    Rows are fingerprints of one or more 64-bit words. Positions in the second tile follow those in the first.
+    """
+    # Unsigned, as bits are counted in the absolute value.
+    a = np.ascontiguousarray(a.reshape(len(a), -1).T).view(np.uint64)
+    other = a if b is None else np.ascontiguousarray(b.reshape(len(b), -1).T).view(np.uint64)
+    n = a.shape[1]
+    shift = 0 if b is None else n
+    forest = Forest(n if b is None else n + other.shape[1])
+    for i in range(0, n, STRIP):
+        first = i if b is None else 0
+        apart = np.bitwise_count(a[0, i : i + STRIP, None] ^ other[0, None, first:])
+        for word in range(1, len(a)):
+            apart += np.bitwise_count(a[word, i : i + STRIP, None] ^ other[word, None, first:])
+        near = apart <= radius
+        if b is None:
+            near = np.triu(near, 1)
+        if near.any():
+            x, y = np.nonzero(near)
+            forest.add(x + i, y + first + shift)
+    return forest.edges
+
+
+def edge_batch(edges: list[tuple[int, int]], nodes: np.ndarray) -> pa.RecordBatch:
+    at = np.array(edges)
+    return pa.RecordBatch.from_pydict({"a": pa.array(nodes[at[:, 0]]), "b": pa.array(nodes[at[:, 1]])})
 
 
 def compare_tiles(radius: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def column(batch: pa.RecordBatch, name: str, i: int) -> np.ndarray:
+            return batch.column(name)[i].values.to_numpy()
+
         for batch in batches:
             for i in range(batch.num_rows):
-                a = batch.column("a_fps")[i].values.to_numpy()
-                b = None if batch.column("same")[i].as_py() else batch.column("b_fps")[i].values.to_numpy()
-                links = tile_links(a, b, radius)
-                if links:
-                    u, v = zip(*links, strict=True)
-                    yield pa.RecordBatch.from_pydict({"a": pa.array(u, pa.int64()), "b": pa.array(v, pa.int64())})
+                a, nodes = column(batch, "a_fps", i), column(batch, "a_nodes", i)
+                a = a.reshape(len(nodes), -1)
+                b = None
+                if not batch.column("same")[i].as_py():
+                    more = column(batch, "b_nodes", i)
+                    b = column(batch, "b_fps", i).reshape(len(more), -1)
+                    nodes = np.concatenate([nodes, more])
+                edges = tile_links(a, b, radius)
+                if edges:
+                    yield edge_batch(edges, nodes)
 
     return run
 
 
 def tiles_of(fps: DataFrame, tile: int) -> DataFrame:
-    """Tiles of distinct fingerprints: (p, tile, fps, lo, hi); p set bits each, lo and hi by part."""
-    part = [F.bit_count(F.shiftrightunsigned("fp", s).bitwiseAND(0xFFFF)).cast("bigint") for s in PARTS]
+    """Tiles of fingerprints (node, fp array<bigint>): (p, tile, nodes, fps, lo, hi).
+
+    All fingerprints of a tile have p set bits; lo and hi are the least and most set bits of each part.
+    """
+    words = len(fps.select("fp").first()[0]) if not fps.isEmpty() else 1
+    width = 16 * words
+    # A part is a quarter of the bits.
+    part = [
+        F.bit_count(
+            F.shiftrightunsigned(F.col("fp")[i * width // 64], i * width % 64).bitwiseAND(F.lit((1 << width) - 1))
+        ).cast("bigint")
+        for i in range(4)
+    ]
+    bits = width.bit_length()
     key = F.lit(0).cast("bigint")
     for i, c in enumerate(part):
-        key = key.bitwiseOR(F.shiftleft(c, 59 - 5 * i))
-    keyed = fps.select("fp", F.bit_count("fp").alias("p"), key.alias("key"), F.array(*part).alias("parts"))
-    # The first two parts, ten bits of the key, cut a count's fingerprints into the buckets of the running count.
-    placed = running(keyed, "p", "key", ["fp"], F.lit(0), 10)
-    low = F.array(*(F.min(F.col("parts")[i]) for i in range(len(PARTS))))
-    high = F.array(*(F.max(F.col("parts")[i]) for i in range(len(PARTS))))
-    return placed.groupBy("p", F.floor(F.col("pos") / tile).alias("tile")).agg(
-        F.collect_list("fp").alias("fps"), low.alias("lo"), high.alias("hi")
+        key = key.bitwiseOR(F.shiftleft(c, 64 - bits * (i + 1)))
+    keyed = fps.select("node", "fp", sum(part[1:], part[0]).cast("int").alias("p"), key.alias("key"), F.array(*part).alias("parts"))
+    # The first parts, leading bits of the key, cut a count's fingerprints into the buckets of the running count.
+    placed = running(keyed, "p", "key", ["node"], F.lit(0), 10)
+    low = F.array(*(F.min(F.col("parts")[i]) for i in range(4)))
+    high = F.array(*(F.max(F.col("parts")[i]) for i in range(4)))
+    both = F.collect_list(F.struct("node", "fp"))
+    tiles = placed.groupBy("p", F.floor(F.col("pos") / tile).alias("tile")).agg(
+        both.alias("both"), low.alias("lo"), high.alias("hi")
+    )
+    return tiles.select(
+        "p", "tile", F.col("both.node").alias("nodes"), F.flatten("both.fp").alias("fps"), "lo", "hi"
     )
 
 
 def links(fps: DataFrame, radius: int, tile: int = TILE) -> DataFrame:
-    """Edges (a, b) between distinct fingerprints that connect whatever is within ``radius`` bits."""
+    """Edges (a, b) between nodes that connect all whose fingerprints (node, fp array<bigint>) are within ``radius`` bits."""
     tiles = checkpointed(tiles_of(fps, tile))
     bounds = tiles.select("p", "tile", "lo", "hi")
     other = bounds.select(*(F.col(c).alias(f"b_{c}") for c in bounds.columns))
@@ -154,7 +209,7 @@ def links(fps: DataFrame, radius: int, tile: int = TILE) -> DataFrame:
     )
     gaps = [
         F.greatest(F.lit(0), F.col("a_lo")[i] - F.col("b_hi")[i], F.col("b_lo")[i] - F.col("a_hi")[i])
-        for i in range(len(PARTS))
+        for i in range(4)
     ]
     pairs = (
         mine.join(other, "b_p")
@@ -162,12 +217,13 @@ def links(fps: DataFrame, radius: int, tile: int = TILE) -> DataFrame:
         .filter(sum(gaps[1:], gaps[0]) <= radius)
         .select("a_p", "a_tile", "b_p", "b_tile")
     )
-    content = tiles.select("p", "tile", "fps")
-    left = content.withColumnsRenamed({"p": "a_p", "tile": "a_tile", "fps": "a_fps"})
-    right = content.withColumnsRenamed({"p": "b_p", "tile": "b_tile", "fps": "b_fps"})
+    content = tiles.select("p", "tile", "nodes", "fps")
+    left = content.withColumnsRenamed({c: f"a_{c}" for c in content.columns})
+    right = content.withColumnsRenamed({c: f"b_{c}" for c in content.columns})
     same = (F.col("a_p") == F.col("b_p")) & (F.col("a_tile") == F.col("b_tile"))
     full = pairs.join(left, ["a_p", "a_tile"]).join(right, ["b_p", "b_tile"])
-    return full.select("a_fps", "b_fps", same.alias("same")).mapInArrow(compare_tiles(radius), EDGES)
+    columns = ["a_nodes", "a_fps", "b_nodes", "b_fps", same.alias("same")]
+    return full.select(*columns).mapInArrow(compare_tiles(radius), EDGES)
 
 
 def near_duplicates(
@@ -178,7 +234,7 @@ def near_duplicates(
         df.select(F.col(f"`{key}`").alias(key), fingerprint_column(F.col(f"`{text}`"), words).alias("fp"))
     )
     nodes = checkpointed(rows.groupBy("fp").agg(F.min(key).alias("_first")))
-    label = components(links(nodes.select("fp"), radius, tile))
+    label = components(links(nodes.select(F.col("fp").alias("node"), F.array("fp").alias("fp")), radius, tile))
     labelled = nodes.join(label.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
         "label", F.coalesce("label", "fp")
     )

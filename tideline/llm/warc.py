@@ -50,7 +50,7 @@ from pyspark.sql.datasource import (
 )
 from pyspark.sql.types import StructType
 
-from tideline.llm.shared import scratch
+from tideline.llm.shared import checkpointed, scratch
 
 SCHEMA = (
     "record_type string, record_id string, target_uri string, refers_to string, "
@@ -391,7 +391,9 @@ def page_records(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     }
     rows = pages.withColumns(facts).drop("html")
     shared = rows.filter(F.col("payload_bytes") >= min_bytes)
-    first = shared.groupBy("id").agg(F.min("page_id").alias("first_id"))
+    place = F.struct(F.col("page_id").isNull(), F.col("page_id"), F.col("n"))
+    first = shared.groupBy("id", "page_id").agg(F.count(F.lit(1)).alias("n")).groupBy("id").agg(F.min(place).alias("p"))
+    first = checkpointed(first.select("id", F.col("p.page_id").alias("first_id"), F.col("p.n").alias("ties")))
     is_first = F.col("page_id").eqNullSafe(F.col("first_id"))
     none = F.lit(None).cast("string")
 
@@ -408,20 +410,25 @@ def page_records(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
 
     joined = shared.join(first, "id")
     # Rows that share the first id: one of them is the response, the rest refer to it like any other.
-    ties = (
-        joined.filter(is_first)
-        .groupBy("id", "first_id", "page_id", "payload_digest", "payload_bytes")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("url").alias("url"))
-        .filter("n > 1")
-        .withColumn("i", F.explode(F.sequence(F.lit(2).cast("bigint"), F.col("n"))))
-    )
-    later = joined.filter(~is_first).unionByName(ties.select(joined.columns))
+    later = joined.filter(~is_first)
+    tied = not first.filter("ties > 1").isEmpty()
+    if tied:
+        again = (
+            joined.filter(is_first & (F.col("ties") > 1))
+            .groupBy("id", "first_id", "ties", "page_id", "payload_digest", "payload_bytes")
+            .agg(F.min("url").alias("url"))
+            .withColumn("i", F.explode(F.sequence(F.lit(2).cast("bigint"), F.col("ties"))))
+        )
+        later = later.unionByName(again.select(joined.columns))
     revisits = records_of(later, "revisit", _urn(F.col("first_id")), F.lit(None))
     whole = pages.withColumns(facts).withColumn("payload", payload)
     small = whole.filter(F.col("payload_bytes") < min_bytes)
     match = (F.col("id") == F.col("_id")) & is_first
     keyed = first.withColumnRenamed("id", "_id")
-    responses = whole.filter(F.col("payload_bytes") >= min_bytes).join(keyed, match).dropDuplicates(["id"])
+    responses = whole.filter(F.col("payload_bytes") >= min_bytes).join(keyed, match)
+    if tied:
+        one = responses.filter("ties > 1").dropDuplicates(["id"])
+        responses = responses.filter("ties = 1").unionByName(one)
     return (
         records_of(responses, "response", none, F.col("payload"))
         .unionByName(records_of(small, "response", none, F.col("payload")))

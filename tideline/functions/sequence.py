@@ -1,8 +1,9 @@
 """Sequence-number expressions.
 
-Sequence numbers run to 56 decimal digits and beyond DECIMAL(38), so they stay
-strings: ``base`` is the canonical text, ``base_key`` a form of it whose string
-order is the number order. Non-numeric markers sort after every number.
+Sequence numbers run far beyond DECIMAL(38), so they stay strings: ``base`` is
+the canonical text, ``base_key`` a form of it whose string order is the number
+order. The marker of a stream's beginning sorts before every number, all other
+markers after.
 """
 
 from __future__ import annotations
@@ -10,7 +11,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MAX_DIGITS = 99
+#: Digits whose count fits the key; services use 129 at most.
+MAX_DIGITS = 99_999
+
+#: Markers that stand for a place in a stream: its beginning, its tip, and the end of a shard.
+BEGINNING = "TRIM_HORIZON"
+PLACES = (BEGINNING, "LATEST", "SHARD_END")
 
 
 def _col(c: Column | str) -> Column:
@@ -34,14 +40,23 @@ def base_key(base: Column | str) -> Column:
     """Sort key of a canonical ``base``: a number's digits behind their count.
 
     Without leading zeros the longer number is the greater one, so the count, as
-    two digits, decides first. That keeps keys as short as the numbers are.
+    five digits, decides first. That keeps keys as short as the numbers are.
     """
     base = _col(base)
     count = F.length(base)
     number = F.when(
         count > MAX_DIGITS, F.raise_error(F.concat(F.lit("sequence number too long: "), base)).cast("string")
-    ).otherwise(F.concat(F.substring((count + 100).cast("string"), 2, 2), base))
-    return F.when(_led_by_digit(base), number).otherwise(F.concat(F.lit("~"), base))
+    ).otherwise(F.concat(F.lpad(count.cast("string"), 5, "0"), base))
+    marker = F.when(base == BEGINNING, F.concat(F.lit("!"), base)).otherwise(F.concat(F.lit("~"), base))
+    return F.when(_led_by_digit(base), number).otherwise(marker)
+
+
+def place_key(base_key: Column | str) -> Column:
+    """The key of a number or of a marker that stands for a place; any other marker fails."""
+    key = _col(base_key)
+    known = _led_by_digit(key) | F.substring(key, 2, MAX_DIGITS).isin(*PLACES)
+    unknown = F.raise_error(F.concat(F.lit("no place in a stream: "), key)).cast("string")
+    return F.when(key.isNull() | known, key).otherwise(unknown)
 
 
 def order_columns() -> list[Column]:

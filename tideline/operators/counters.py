@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tideline.functions.sequence import position
 from tideline.operators.ordering import dense_counter
+from tideline.operators.sizing import keyed_join
 from tideline.schema import POSITION_FIELDS, SHARD_KEYS
 
 
@@ -77,6 +78,6 @@ def shard_counters(
         return counts.withColumn("n_checkpoints", F.lit(0).cast("bigint"))
     asked = checkpoints.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_checkpoints"))
     # Both sides have one row per shard by now.
-    return counts.join(asked, list(keys), "left").withColumn(
+    return keyed_join(counts, asked, keys, "left").withColumn(
         "n_checkpoints", F.coalesce("n_checkpoints", F.lit(0))
     )

@@ -174,6 +174,7 @@ def ordered_fold(
     clustered: bool = False,
     max_group_rows: int | None = None,
     chunk_rows: int = CHUNK_ROWS,
+    fits: bool | None = None,
 ) -> DataFrame:
     """Run ``fold`` over every group of ``df``.
 
@@ -188,7 +189,7 @@ def ordered_fold(
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys] if columns is None else list(columns)
     by = [F.col(k) for k in keys] + _orders(order)
-    if not fold.splittable or clustered or fits_one_task(df, keys, max_group_rows):
+    if not fold.splittable or clustered or (fits_one_task(df, keys, max_group_rows) if fits is None else fits):
         if not clustered:
             df = df.repartition(*keys)
         return df.sortWithinPartitions(*by).select(*keys, *rest).mapInArrow(_run(fold, len(keys)), out_schema)

@@ -17,7 +17,7 @@ from tideline.functions.checkpoints import shutdown_reason
 from tideline.functions.sequence import is_sub_record, order_key, position
 from tideline.operators.gate import CLOCK, NEEDS, WEIGHT, interval_gate
 from tideline.operators.ordering import running_max
-from tideline.operators.sizing import lookup, materialize
+from tideline.operators.sizing import fits_one_task, keyed_join, lookup, materialize
 from tideline.schema import POSITION_FIELDS, SHARD_KEYS
 
 
@@ -99,7 +99,10 @@ def checkpoint_schedule(
     """
     keys = list(keys)
     moved = history.select(*keys, "round", position().alias("_p"))
-    occasions = rounds.select(*keys, "round", clock).join(moved, [*keys, "round"], "left")
+    occasions = keyed_join(rounds.select(*keys, "round", clock), moved, [*keys, "round"], "left")
+    # Asked for its size, summed up and gated: worked out once, one narrow row per round.
+    occasions = materialize(occasions)
+    sizing = {"fits": fits_one_task(occasions, keys, sizing.get("max_group_rows")), **sizing}
     # The frontier never moves back, so the newest position so far is the maximum.
     occasions = running_max(occasions, F.col("_p"), "_at", keys=keys, order=[F.col("round")], **sizing)
     events = (
@@ -138,7 +141,7 @@ def final_checkpoints(
         F.max(position()).alias("_newest"),
         F.count(F.when(~is_done, 1)).alias("_n_open"),
     )
-    joined = ends.join(state, keys, "left")
+    joined = keyed_join(ends, state, keys, "left")
     left_over = (F.coalesce("_n_open", F.lit(0)) > 0) | (
         F.col("_newest").isNotNull() & (F.col("_p").isNull() | (F.col("_p") < F.col("_newest")))
     )

@@ -7,7 +7,8 @@ forms with equal results:
 * beyond: rows are range-partitioned by ``(group, order)``, so a hot group is
   spread over as many partitions as its rows need. The sorted partitions are
   checkpointed once, because range bounds come from a sample and a recomputed
-  sample must not move a row to another partition. They are read in *chunks* of
+  sample must not move a row to another partition. Callers that know which form
+  to take say so (``fits``), which saves a pass. They are read in *chunks* of
   a fixed number of rows; what a chunk needs to know of the chunks before it is
   computed from one small row per (group, chunk).
 """
@@ -79,6 +80,7 @@ def dense_counter(
     order: Sequence[Column] | None = None,
     max_group_rows: int | None = None,
     chunk_rows: int = CHUNK_ROWS,
+    fits: bool | None = None,
 ) -> DataFrame:
     """Add a gapless 0-based counter per group.
 
@@ -87,7 +89,7 @@ def dense_counter(
     starts in each partition and how many rows it has before.
     """
     keys = list(keys)
-    if fits_one_task(df, keys, max_group_rows):
+    if fits_one_task(df, keys, max_group_rows) if fits is None else fits:
         w = W.partitionBy(*keys).orderBy(*_orders(order))
         return df.withColumn(name, (F.row_number().over(w) - 1).cast("bigint"))
     chunks = ordered_chunks(df, keys, order, chunk_rows)
@@ -107,12 +109,13 @@ def running_max(
     order: Sequence[Column] | None = None,
     max_group_rows: int | None = None,
     chunk_rows: int = CHUNK_ROWS,
+    fits: bool | None = None,
 ) -> DataFrame:
     """Add the maximum of ``value`` over a row and all rows before it in its group."""
     keys = list(keys)
     df = df.withColumn("_v", value)
     columns = [c for c in df.columns if c != "_v"]
-    if fits_one_task(df, keys, max_group_rows):
+    if fits_one_task(df, keys, max_group_rows) if fits is None else fits:
         w = W.partitionBy(*keys).orderBy(*_orders(order)).rowsBetween(W.unboundedPreceding, 0)
         return df.withColumn(name, F.max("_v").over(w)).select(*columns, name)
     chunks = ordered_chunks(df, keys, order, chunk_rows)

@@ -3,18 +3,39 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
-from operator import and_
+from operator import add, and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: Most rows a join side may have to be broadcast.
+#: Most rows and bytes a join side may have to be broadcast.
 BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 64 << 20
 
-#: Most rows of one group that a single task may sort for a window.
+#: Most rows and bytes of one group that a single task may sort for a window.
 GROUP_ROWS = 2_000_000
+GROUP_BYTES = 512 << 20
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """About the bytes of a row: the lengths of its texts and blobs, and eight for any other column."""
+    long = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    lengths = [F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)).cast("bigint") for c in long]
+    return reduce(add, lengths, F.lit(8 * len(df.columns)).cast("bigint"))
+
+
+def same_keys(pairs: Mapping[str, str]) -> Column:
+    """Equality of key columns; NULL keys match each other."""
+    return reduce(and_, (F.col(a).eqNullSafe(F.col(b)) for a, b in pairs.items()))
+
+
+def keyed_join(rows: DataFrame, side: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """A join on keys that may be NULL, with the key columns of ``rows``."""
+    renamed = {k: f"_side_{k}" for k in keys}
+    return rows.join(side.withColumnsRenamed(renamed), same_keys(renamed), how).drop(*renamed.values())
 
 
 def lookup(
@@ -34,17 +55,14 @@ def ordered_lookup(
 
     ``side`` is computed once, to a reliable checkpoint, and counted there. (A
     cached table would do too, but Spark matches those by path and would go on
-    using it after the files behind it have changed.) Up to ``max_rows`` it is
-    broadcast and order is kept. Beyond, the join shuffles both sides and
+    using it after the files behind it have changed.) Up to ``max_rows`` and
+    ``BROADCAST_BYTES`` it is broadcast and order is kept. Beyond, the join shuffles both sides and
     adaptive execution splits hot keys.
     """
     side = materialize(side)
-    small = side.count() <= max_rows
-    renamed = {k: f"_side_{k}" for k in keys}
-    side = side.withColumnsRenamed(renamed)
-    same = reduce(and_, (F.col(k).eqNullSafe(F.col(r)) for k, r in renamed.items()))
-    joined = rows.join(F.broadcast(side) if small else side, same, how).drop(*renamed.values())
-    return joined, small
+    size = side.agg(F.count(F.lit(1)), F.sum(row_bytes(side))).first()
+    small = size[0] <= max_rows and (size[1] or 0) <= BROADCAST_BYTES
+    return keyed_join(rows, F.broadcast(side) if small else side, keys, how), small
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -59,8 +77,17 @@ def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
     return int(row[0] or 0)
 
 
+def _largest(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
+    """Rows and bytes of the largest groups."""
+    groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes(df)).alias("size"))
+    row = groups.agg(F.max("n"), F.max("size")).first()
+    return int(row[0] or 0), int(row[1] or 0)
+
+
 def fits_one_task(df: DataFrame, keys: Sequence[str], max_rows: int | None = None) -> bool:
-    return largest_group(df, keys) <= (GROUP_ROWS if max_rows is None else max_rows)
+    """Whether a task can sort each group; by rows and by the bytes of all columns that go along."""
+    rows, size = _largest(df, keys)
+    return rows <= (GROUP_ROWS if max_rows is None else max_rows) and size <= GROUP_BYTES
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:

@@ -16,6 +16,9 @@ from tideline.schema import REQUEST, SHARD, STREAM
 
 CORRUPT = "_corrupt_record"
 
+#: Requests that a consumer gets. Fixed values.
+ACTIONS = ("initialize", "processRecords", "shutdown", "shutdownRequested", "checkpoint")
+
 
 def read_lines(spark: SparkSession, path: str, stream_name: str, *, streaming: bool = False, **options) -> DataFrame:
     """Request lines below ``path``, one row per line, tagged with the stream's name.
@@ -30,34 +33,90 @@ def read_lines(spark: SparkSession, path: str, stream_name: str, *, streaming: b
     return lines.select(F.lit(stream_name).alias(STREAM), SHARD, "value")
 
 
-def _request(value: Column) -> Column:
-    """Parsed request of a line that is not blank; anything else but a request fails."""
-    parsed = F.from_json(value, REQUEST, {"mode": "FAILFAST"})
-    return F.when(~value.isin("", "\r"), parsed)
+def _requests(value: Column, mode: str = "FAILFAST") -> Column:
+    """All JSON values of a line; a request line holds one."""
+    return F.from_json(F.concat(F.lit("["), value, F.lit("]")), T.ArrayType(REQUEST), {"mode": mode})
+
+
+def _fault(request: Column) -> Column:
+    """What is wrong with a parsed request, or NULL."""
+    action = F.coalesce(request["action"], F.lit(""))
+    records = request["records"]
+    delivery = action == "processRecords"
+    return (
+        F.when(~action.isin(*ACTIONS), F.concat(F.lit("unknown action: "), action))
+        .when(delivery & records.isNull(), "delivery without records")
+        .when(
+            delivery & F.exists(records, lambda r: r.isNull() | r["data"].isNull()),
+            "record without data",
+        )
+    )
+
+
+def _checked(lines: DataFrame, value: str) -> DataFrame:
+    """``lines`` with ``request``, NULL for blank lines; a line that is not one whole request fails."""
+    blank = F.col(value).isin("", "\r")
+    # A projection each, so that no line is parsed twice.
+    parsed = lines.withColumn("_all", F.when(~blank, _requests(F.col(value))))
+    several = F.raise_error(F.lit("Malformed request line: more than one value")).cast(REQUEST)
+    one = F.when(F.size("_all") == 1, F.col("_all")[0]).when(~blank, several)
+    single = parsed.withColumn("_one", one).drop("_all")
+    fault = _fault(F.col("_one"))
+    wrong = F.raise_error(F.concat(F.lit("Malformed request: "), fault)).cast(REQUEST)
+    sound = F.when(~blank, F.when(fault.isNotNull(), wrong).otherwise(F.col("_one")))
+    return single.withColumn("request", sound).drop("_one")
 
 
 def parse_requests(lines: DataFrame, *, value: str = "value", on_error: str = "fail") -> DataFrame:
     """Add a ``request`` struct parsed from each line; blank lines are dropped.
 
-    A line that is not a JSON request fails the query. With ``on_error="route"``
-    it is kept instead, with ``request`` NULL and the line in ``_corrupt_record``.
+    A line must hold one request and nothing else, with a known action; a
+    delivery must have records, and each of them data. Any other line fails the
+    query. With ``on_error="route"`` it is kept instead, with ``request`` NULL
+    and the line in ``_corrupt_record``.
     """
     if on_error not in ("fail", "route"):
         raise ValueError("on_error is 'fail' or 'route'")
     # JSON allows a trailing carriage return, so only blank lines need care.
     lines = lines.filter(~F.col(value).isin("", "\r"))
     if on_error == "fail":
-        return lines.withColumn("request", _request(F.col(value))).drop(value)
+        return _checked(lines, value).drop(value)
     lines = lines.withColumn(value, F.regexp_replace(value, r"\r$", ""))
     schema = T.StructType([*REQUEST.fields, T.StructField(CORRUPT, T.StringType())])
     parsed = F.from_json(F.col(value), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    lines = lines.withColumn("_parsed", parsed)
-    corrupt = F.col(f"_parsed.{CORRUPT}")
+    # A struct tells of wrong types, a list of what stands beside the first value; only suspects are routed, so both are asked.
+    lines = lines.withColumns({"_parsed": parsed, "_all": F.size(_requests(F.col(value), "PERMISSIVE"))})
     fields = [F.col(f"_parsed.{f.name}").alias(f.name) for f in REQUEST.fields]
+    lines = lines.withColumn("_one", F.struct(*fields))
+    bad = F.col(f"_parsed.{CORRUPT}").isNotNull() | F.coalesce(F.col("_all") != 1, F.lit(True)) | _fault(F.col("_one")).isNotNull()
     return (
-        lines.withColumn(CORRUPT, corrupt)
-        .withColumn("request", F.when(corrupt.isNull(), F.struct(*fields)))
-        .drop(value, "_parsed")
+        lines.withColumn(CORRUPT, F.when(bad, F.col(value)))
+        .withColumn("request", F.when(~bad, F.col("_one")))
+        .drop(value, "_parsed", "_all", "_one")
+    )
+
+
+def _is_v2(request: str, value: str) -> Column:
+    """Whether a request names its delay, be it NULL."""
+    named = F.array_contains(F.json_object_keys(F.col(value)), "millisBehindLatest")
+    return F.when(F.col(f"{request}.millisBehindLatest").isNotNull(), True).otherwise(F.coalesce(named, F.lit(False)))
+
+
+def deliveries(lines: DataFrame, *, value: str = "value", clock: str | None = None) -> DataFrame:
+    """One row per delivery, empty ones included: its number of records, its delay and whether it names one.
+
+    Every delivery is a sign of life. With ``clock``, a column of ``lines``, it
+    is a heartbeat for the flush operators.
+    """
+    carried = [c for c in lines.columns if c not in (value, clock)]
+    requests = _checked(lines, value).filter(F.col("request.action") == "processRecords")
+    at = [] if clock is None else [F.col(clock)]
+    return requests.select(
+        *carried,
+        *at,
+        F.size("request.records").cast("bigint").alias("n_records"),
+        F.col("request.millisBehindLatest").alias("delay_ms"),
+        _is_v2("request", value).alias("is_v2"),
     )
 
 
@@ -65,10 +124,11 @@ def parse_envelopes(lines: DataFrame, *, value: str = "value") -> DataFrame:
     """One row per record of every ``processRecords`` line, in wire form.
 
     ``data`` is still base64 text. ``delay_ms`` is the request's distance from
-    the stream's tip; ``is_v2`` tells whether the request carried one at all.
+    the stream's tip; ``is_v2`` tells whether the request named one at all.
+    Malformed lines fail the query, see :func:`parse_requests`.
     """
     carried = [c for c in lines.columns if c != value]
-    requests = lines.select(*carried, _request(F.col(value)).alias("request"))
+    requests = _checked(lines, value)
     r = F.col("r")
     delivered = F.when(F.col("request.action") == "processRecords", F.col("request.records"))
     # No filter here may refer to ``request``: pushed below the projection, it would parse every line twice.
@@ -76,6 +136,7 @@ def parse_envelopes(lines: DataFrame, *, value: str = "value") -> DataFrame:
         requests.select(
             *carried,
             F.col("request.millisBehindLatest").alias("delay_ms"),
+            _is_v2("request", value).alias("is_v2"),
             F.explode_outer(delivered).alias("r"),
         )
         .filter(r.isNotNull())
@@ -87,7 +148,7 @@ def parse_envelopes(lines: DataFrame, *, value: str = "value") -> DataFrame:
             r["subSequenceNumber"].alias("sub"),
             r["approximateArrivalTimestamp"].alias("arrival_ms"),
             "delay_ms",
-            F.col("delay_ms").isNotNull().alias("is_v2"),
+            "is_v2",
             r["data"].alias("data"),
         )
     )

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.functions.sequence import is_sub_record, order_key, position
+from tideline.functions.sequence import is_sub_record, order_key, place_key, position
 from tideline.operators.counters import arrival_counter
 from tideline.operators.sizing import lookup
 from tideline.schema import SHARD_KEYS, STREAM
@@ -32,7 +32,7 @@ def stream_tip(records: DataFrame, keys: Sequence[str] = SHARD_KEYS) -> DataFram
 def _after(records: DataFrame, marks: DataFrame, keys: Sequence[str], parts: int) -> DataFrame:
     """Records behind their shard's mark, and all records of unmarked shards."""
     mark_key = [
-        F.col("base_key").alias("k_base"),
+        place_key("base_key").alias("k_base"),
         F.coalesce(F.col("sub"), F.lit(0)).cast("bigint").alias("k_sub"),
         F.coalesce(F.col("user_sub"), F.lit(0)).cast("bigint").alias("k_user_sub"),
     ]
@@ -67,7 +67,8 @@ def resume_from_checkpoint(
     ``base_sub`` resumes as the daemon does: what it stores does not tell the
     records of an own-format aggregate apart, so an aggregate is either passed
     or read again whole. A checkpoint in the middle of an aggregate then re-reads
-    it. ``user_sub`` resumes after the very record.
+    it. ``user_sub`` resumes after the very record. A checkpoint may be a marker:
+    the beginning (all records follow), the tip or the shard's end (none do).
     """
     if granularity == "user_sub":
         return _after(records, checkpoints, keys, 3)
@@ -76,7 +77,7 @@ def resume_from_checkpoint(
     inside = is_sub_record()
     # One step back for a checkpoint inside an aggregate: replay the aggregate.
     passed = F.struct(
-        F.col("base_key").alias("k_base"),
+        place_key("base_key").alias("k_base"),
         (F.coalesce(F.col("sub"), F.lit(0)) - F.when(inside, 1).otherwise(0)).cast("bigint").alias("k_sub"),
     )
     marks = checkpoints.filter(F.col("base_key").isNotNull()).select(*keys, passed.alias("_mark"))

@@ -1,8 +1,8 @@
 """Exact top-k inner products by norm-bucketed retrieval.
 
 Candidates are range-partitioned by length, longest first, and cut to buckets
-of similar length. Queries, in blocks, meet the first bucket; the k-th score
-there is a lower bound of what a query must reach. In every other bucket that
+of similar length. Queries, in blocks, meet the longest vectors, a bucket or
+several small ones; the k-th score there is a lower bound of what a query must reach. In every other bucket that
 bound becomes a local cosine threshold, bound / (|q| * longest vector):
 
 * above 1, the bucket is skipped (and, if that holds for a whole block of
@@ -37,6 +37,8 @@ from tideline.llm.shared import stored
 
 BUCKET_ROWS = 4096
 QUERY_ROWS = 512
+#: Most buckets that serve for the first bounds.
+FIRST_BUCKETS = 64
 #: Local cosine thresholds from here on prune by coordinate, on so many of the query's coordinates.
 COORDINATE_FROM = 0.4
 FOCUS = 3
@@ -236,8 +238,13 @@ def top_k(
     asked = rows.filter(F.col("_query") & F.col("id").isNotNull()).repartition(F.xxhash64("id")).select("id", "vector")
     blocks = stored(asked.mapInArrow(pack_rows(query_rows, scale), BLOB), "topk-queries")
 
-    first = buckets.select("no", "longest").orderBy(F.desc("longest"), "no").first()
-    if first is None:
+    # The longest vectors, as many as make up a bucket; small buckets are taken together.
+    first, held = [], 0
+    for row in buckets.select("no", "longest", "n").orderBy(F.desc("longest"), "no").limit(FIRST_BUCKETS).collect():
+        if held < bucket_rows:
+            first.append(row.no)
+            held += row.n
+    if not first:
         return _ranked(df.sparkSession.createDataFrame([], HITS), k)
     query = F.struct("no", "n", "ids", "width", "type", "data").alias("query")
     groups = buckets.count()
@@ -245,15 +252,14 @@ def top_k(
     every_group = F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g")
     bucket = F.struct("no", "longest", "n", "ids", "width", "type", "data").alias("bucket")
     targets = buckets.select("no", F.col("longest").alias("reach"), bucket, group)
-    is_first = F.col("no") == first.no
+    is_first = F.col("no").isin(first)
     none = F.lit(None).cast("array<double>").alias("bounds")
     beginning = blocks.select(query, every_group).join(targets.filter(is_first), "g")
     initial = stored(beginning.select("query", "bucket", none).mapInArrow(compare_blobs(k), HITS), "topk-first")
 
     # The k-th score so far, per query; a query without k hits has no bound.
-    kth = initial.groupBy("block", "place").agg(
-        F.when(F.count(F.lit(1)) == k, F.min("score").cast("double")).alias("bound")
-    )
+    best = F.sort_array(F.collect_list("score"), asc=False)
+    kth = initial.groupBy("block", "place").agg(F.get(best, F.lit(k - 1)).cast("double").alias("bound"))
     by_block = kth.groupBy("block").agg(F.map_from_entries(F.collect_list(F.struct("place", "bound"))).alias("found"))
     bounded = (
         blocks.select("no", "longest", query)

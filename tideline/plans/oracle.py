@@ -173,6 +173,14 @@ WHOLE = "AND user_sub = user_total - 1"
 
 
 def all_oracles() -> dict[str, str]:
+    found = _oracles()
+    # One shard for all events, and many chunks in it: the result does not know about chunks.
+    for name in ("arrival_counter", "flush_by_interval", "frontier_history", "process_shards"):
+        found[f"{name}_hot"] = found[name].replace("'shard-' || (user_id % 5) AS shard_id", "'all' AS shard_id")
+    return found
+
+
+def _oracles() -> dict[str, str]:
     noise = "|".join(f"(?:{p})" for p in NOISE)
     return {
         "parse_envelopes": f"""WITH {EVENTS},
@@ -180,6 +188,27 @@ def all_oracles() -> dict[str, str]:
                   WINDOW w AS (PARTITION BY shard_id, event_id // {EVENTS_PER_REQUEST}))
             SELECT shard_id, partition_key, base AS sequence_number, CAST(0 AS BIGINT) AS sub, arrival_ms, delay_ms,
                    base64(encode(props)) AS data FROM q""",
+        "route_bad_lines": """SELECT CAST(event_id AS VARCHAR) AS line,
+            CAST(CASE WHEN event_id % 13 < 4 THEN 1 ELSE 0 END AS BIGINT) AS routed,
+            CASE WHEN event_id % 13 >= 4 THEN CAST(event_id AS VARCHAR) END AS sequence_number FROM events""",
+        "delivery_heartbeats": f"""WITH {EVENTS}
+            SELECT shard_id, arrival_ms, CAST(CASE WHEN event_type = 'view' THEN 0 ELSE 1 END AS BIGINT) AS n_records,
+                   CASE WHEN event_id % 3 = 0 THEN event_id END AS delay_ms,
+                   CAST(CASE WHEN event_id % 3 = 0 OR event_id % 2 = 0 THEN 1 ELSE 0 END AS BIGINT) AS is_v2 FROM e""",
+        "read_dir": f"""WITH {EVENTS},
+            k AS (SELECT *, CASE WHEN event_id % 37 < 9 THEN '_' ELSE '' END || event_type || '-' || (event_id % 37) AS name FROM e),
+            l AS (SELECT name, arg_max(props, (shard_id, event_id)) AS data FROM k GROUP BY name)
+            SELECT name, CAST(strlen(data) AS BIGINT) AS n_bytes, md5(data) AS digest FROM l""",
+        "resume_from_markers": f"""WITH {EVENTS}
+            SELECT shard_id, base FROM e
+            WHERE shard_id IN ('shard-0', 'shard-4') OR (shard_id = 'shard-3' AND event_id > 5000)""",
+        "flush_batches": event_gate(
+            6 * HOUR,
+            None,
+            "1",
+            f"""SELECT shard_id, batch_no, base FROM (SELECT g.shard_id, g.batch_no, ev.base,
+                max(g.closed) OVER (PARTITION BY g.shard_id) AS closed {JOINED}) WHERE batch_no < closed""",
+        ),
         "dump_latest_per_key": f"""WITH {EVENTS},
             k AS (SELECT *, event_type || '-' || (event_id % 37) AS key FROM e)
             SELECT key AS partition_key, arg_max(shard_id, (shard_id, event_id)) AS shard_id,
@@ -210,7 +239,7 @@ def all_oracles() -> dict[str, str]:
               END AS line FROM l""",
         "b64_decode": f"WITH {EVENTS} SELECT base AS sequence_number, props AS data FROM e",
         "decode_seqno": """SELECT event_id, CASE WHEN event_id % 10 = 3 THEN upper(event_type)
-            ELSE CAST(event_id AS VARCHAR) END AS base FROM events""",
+            WHEN event_id % 10 = 4 THEN repeat('7', 125) || event_id ELSE CAST(event_id AS VARCHAR) END AS base FROM events""",
         "stream_records": f"""WITH {EVENTS}
             SELECT 'events' AS stream_name, shard_id, partition_key, base, CAST(0 AS BIGINT) AS sub,
                    CAST(NULL AS BIGINT) AS user_sub, CAST(NULL AS BIGINT) AS user_total, arrival_ms,
@@ -288,7 +317,8 @@ def all_oracles() -> dict[str, str]:
         "final_checkpoints": f"""WITH {LINES}
             SELECT shard_id, 'terminate' AS reason, 'frontier' AS kind, arg_max(base, (l_orderkey, user_sub)) AS base,
                    arg_max(user_sub, (l_orderkey, user_sub)) AS user_sub, arg_max(user_total, (l_orderkey, user_sub)) AS user_total
-            FROM l WHERE shard_id <> 'shard-4' GROUP BY shard_id""",
+            FROM l WHERE shard_id <> 'shard-4' GROUP BY shard_id
+            UNION ALL SELECT 'shard-9', 'terminate', 'latest', NULL, NULL, NULL""",
         "stalled_shards": f"""WITH {EVENTS},
             g AS (SELECT shard_id, arrival_ms AS since_ms,
                          lead(arrival_ms) OVER (PARTITION BY shard_id ORDER BY event_id) AS until_ms FROM e)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -24,7 +26,7 @@ from tideline.functions import (
     varint_size,
     verify_checksum,
 )
-from tideline.functions.sequence import order_columns
+from tideline.functions.sequence import base_key
 from tideline.operators.counters import (
     arrival_counter,
     count_checkpoints,
@@ -33,7 +35,7 @@ from tideline.operators.counters import (
     shard_counters,
 )
 from tideline.operators.deaggregate import deaggregate
-from tideline.operators.flush import flush_by_interval, flush_log, flush_tokens, heartbeat_flush
+from tideline.operators.flush import flush_batches, flush_by_interval, flush_log, flush_tokens, heartbeat_flush
 from tideline.operators.frontier import (
     checkpoint_schedule,
     final_checkpoints,
@@ -43,6 +45,7 @@ from tideline.operators.frontier import (
 )
 from tideline.operators.pack import key_dictionary, oversize_records, pack, pack_header, with_lanes
 from tideline.operators.processor import RecordProcessor, process_shards
+from tideline.operators.sizing import ensure_checkpoint_dir
 from tideline.plans.stream_queries import stream_deaggregate, stream_frontier
 from tideline.plans.streams import (
     document_records,
@@ -51,8 +54,8 @@ from tideline.plans.streams import (
     packed_orders,
     table,
 )
-from tideline.sources.directory import latest_per_key, read_dir
-from tideline.sources.envelopes import parse_envelopes, stream_records, to_request_lines
+from tideline.sources.directory import arrow_uri, dump_to_dir, latest_per_key, read_dir
+from tideline.sources.envelopes import deliveries, parse_envelopes, parse_requests, stream_records, to_request_lines
 from tideline.sources.streams import (
     fetch_batches,
     initial_position,
@@ -115,8 +118,59 @@ def parse_envelopes_query(spark, sf_dir):
     )
 
 
+def route_bad_lines_query(spark, sf_dir):
+    """One line per event; some hold more than one request, an end too many, or a record without data."""
+    lines = to_request_lines(event_stream(spark, sf_dir).withColumn("shard_id", F.col("base")))
+    kind = F.col("shard_id").cast("bigint") % 13
+    value = F.col("value")
+    damaged = (
+        F.when(kind == 0, F.concat(value, F.lit(" xyz")))
+        .when(kind == 1, F.concat(value, value))
+        .when(kind == 2, F.regexp_replace(value, '"data":"[^"]*",', ""))
+        .when(kind == 3, F.regexp_replace(value, "processRecords", "process"))
+        .otherwise(value)
+    )
+    routed = parse_requests(lines.withColumn("value", damaged), on_error="route")
+    number = F.col("request.records")[0]["sequenceNumber"]
+    return routed.select(
+        F.col("shard_id").alias("line"),
+        F.col("_corrupt_record").isNotNull().cast("bigint").alias("routed"),
+        number.alias("sequence_number"),
+    )
+
+
+def delivery_heartbeats_query(spark, sf_dir):
+    """Views arrive as deliveries without records; every delivery is a sign of life."""
+    events = event_stream(spark, sf_dir)
+    record = F.struct(F.base64("data").alias("data"), F.col("base").alias("sequenceNumber"))
+    none = F.array(record).cast("array<struct<data:string,sequenceNumber:string>>")
+    body = F.struct(
+        F.lit("processRecords").alias("action"),
+        F.when(F.col("event_id") % 3 == 0, F.col("event_id")).alias("millisBehindLatest"),
+        F.when(F.col("event_type") == "view", F.slice(none, 1, 0)).otherwise(F.array(record)).alias("records"),
+    )
+    named = F.to_json(body, {"ignoreNullFields": "false"})
+    bare = F.to_json(body)
+    value = F.when(F.col("event_id") % 2 == 0, named).otherwise(bare)
+    lines = events.select("stream_name", "shard_id", "arrival_ms", value.alias("value"))
+    return deliveries(lines, clock="arrival_ms").select(
+        "shard_id", "arrival_ms", "n_records", "delay_ms", F.col("is_v2").cast("bigint").alias("is_v2")
+    )
+
+
+def keyed_events(spark, sf_dir):
+    """Events keyed by names of files, some with a leading underscore."""
+    key = F.concat_ws("-", F.col("event_type"), (F.col("event_id") % 37).cast("string"))
+    return event_stream(spark, sf_dir).withColumn(
+        "partition_key", F.concat(F.when(F.col("event_id") % 37 < 9, "/_").otherwise("./"), key)
+    )
+
+
 def read_dir_query(spark, sf_dir):
-    files = read_dir(spark, sf_dir)
+    """The last event of each key to a file in the shared folder, and the folder back."""
+    target = f"{ensure_checkpoint_dir(spark)}/events-{uuid.uuid4().hex}"
+    dump_to_dir(keyed_events(spark, sf_dir), target)
+    files = read_dir(spark, target)
     return files.select(
         F.regexp_extract("partition_key", "([^/]+)$", 1).alias("name"),
         F.octet_length("data").cast("bigint").alias("n_bytes"),
@@ -152,6 +206,25 @@ def resume_query(spark, sf_dir):
     return resume_from_checkpoint(lines, stream_tip(half)).select("shard_id", "base", "user_sub", "user_total")
 
 
+def resume_markers_query(spark, sf_dir):
+    """One shard at its beginning, one at the tip, one at its end, one at a number; one knows nothing."""
+    places = spark.createDataFrame(
+        [("shard-0", "TRIM_HORIZON"), ("shard-1", "LATEST"), ("shard-2", "SHARD_END"), ("shard-3", "5000")],
+        "shard_id string, base string",
+    )
+    none = F.lit(None).cast("bigint")
+    marks = places.select(
+        F.lit("events").alias("stream_name"),
+        "shard_id",
+        "base",
+        base_key("base").alias("base_key"),
+        none.alias("sub"),
+        none.alias("user_sub"),
+        none.alias("user_total"),
+    )
+    return resume_from_checkpoint(event_stream(spark, sf_dir), marks).select("shard_id", "base")
+
+
 def fetch_batches_query(spark, sf_dir):
     return fetch_batches(event_stream(spark, sf_dir), 100).select("shard_id", "base", "fetch")
 
@@ -173,9 +246,10 @@ def b64_decode_query(spark, sf_dir):
 
 def decode_seqno_query(spark, sf_dir):
     events = table(spark, sf_dir, "events")
-    wire = F.when(F.col("event_id") % 10 == 3, F.upper("event_type")).otherwise(
-        F.lpad(F.col("event_id").cast("string"), 56, "0")
-    )
+    number = F.col("event_id").cast("string")
+    long = F.concat(F.repeat(F.lit("7"), 125), number)
+    kind = F.col("event_id") % 10
+    wire = F.when(kind == 3, F.upper("event_type")).when(kind == 4, long).otherwise(F.lpad(number, 56, "0"))
     return events.select("event_id", decode_base(wire).alias("base"))
 
 
@@ -329,6 +403,67 @@ def arrival_counter_query(spark, sf_dir):
     return arrival_counter(event_stream(spark, sf_dir)).select("shard_id", "base", "counter")
 
 
+def hot_events(spark, sf_dir):
+    """All events in one shard."""
+    return event_stream(spark, sf_dir).withColumn("shard_id", F.lit("all"))
+
+
+#: Sizes that cut a single shard of the smallest tables into several chunks; production sizes are the defaults.
+HOT = {"fits": False, "chunk_rows": 300}
+
+
+def arrival_counter_hot_query(spark, sf_dir):
+    return arrival_counter(hot_events(spark, sf_dir), **HOT).select("shard_id", "base", "counter")
+
+
+def flush_by_interval_hot_query(spark, sf_dir):
+    batched = flush_by_interval(
+        hot_events(spark, sf_dir), 6 * HOUR, capacity=12, ignored=F.col("event_type") == "view", **HOT
+    )
+    return batched.select("shard_id", "base", "batch_no", "fired")
+
+
+def frontier_history_hot_query(spark, sf_dir):
+    rounds = done_in_rounds(spark, sf_dir).withColumn("shard_id", F.lit("all"))
+    return frontier_history(rounds, **HOT).select("shard_id", "round", "base")
+
+
+def process_shards_hot_query(spark, sf_dir):
+    events = hot_events(spark, sf_dir).select("stream_name", "shard_id", "base", "base_key", "sub", "user_sub", "data")
+    marks = process_shards(events, ByteMarks(1000), BYTE_MARKS, summary_columns=["data"], **HOT)
+    return marks.select("shard_id", "base", "n_bytes")
+
+
+def flush_batches_query(spark, sf_dir):
+    """Closed batches to a file each, written by the tasks that hold them, and the files back."""
+    target = f"{ensure_checkpoint_dir(spark)}/batches-{uuid.uuid4().hex}"
+    batched = flush_by_interval(event_stream(spark, sf_dir), 6 * HOUR).select(
+        "stream_name", "shard_id", "base", "base_key", "sub", "user_sub", "batch_no", "fired"
+    )
+    flush_batches(batched, FileWriter(arrow_uri(target)))
+    files = read_dir(spark, target)
+    name = F.split(F.regexp_extract("partition_key", "([^/]+)$", 1), "_")
+    return files.select(
+        name[0].alias("shard_id"),
+        name[1].cast("bigint").alias("batch_no"),
+        F.explode(F.split(F.decode("data", "UTF-8"), ",")).alias("base"),
+    )
+
+
+class FileWriter:
+    """Writes a batch's sequence numbers to a file named by shard and batch: a batch written again is overwritten."""
+
+    def __init__(self, uri: str):
+        self.uri = uri
+
+    def __call__(self, shard: tuple, batch_no: int, batches) -> None:
+        fs, root = pafs.FileSystem.from_uri(self.uri)
+        fs.create_dir(root, recursive=True)
+        rows = [base for batch in batches for base in batch.column("base").to_pylist()]
+        with fs.open_output_stream(f"{root}/{shard[1]}_{batch_no}") as out:
+            out.write(",".join(rows).encode())
+
+
 def count_checkpoints_query(spark, sf_dir):
     return count_checkpoints(event_stream(spark, sf_dir)).select("shard_id", "base", "checkpoint_no")
 
@@ -400,6 +535,9 @@ def final_checkpoints_query(spark, sf_dir):
     ends = lines.select("stream_name", "shard_id").distinct().withColumn(
         "reason", F.when(F.col("shard_id") == "shard-4", "ZOMBIE").otherwise("TERMINATE")
     )
+    # A shard that ends without a record is checkpointed at the newest one seen, wherever that is.
+    empty = spark.createDataFrame([("lineitem", "shard-9", "TERMINATE")], "stream_name string, shard_id string, reason string")
+    ends = ends.unionByName(empty)
     closed = final_checkpoints(lines.withColumn("done", F.lit(True)), ends)
     return closed.select("shard_id", "reason", "kind", "base", "user_sub", "user_total")
 
@@ -493,11 +631,14 @@ def aggregated_frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, Query]:
     return {
         "parse_envelopes": parse_envelopes_query,
+        "route_bad_lines": route_bad_lines_query,
+        "delivery_heartbeats": delivery_heartbeats_query,
         "read_dir": read_dir_query,
         "dump_latest_per_key": dump_latest_query,
         "union_streams": union_streams_query,
         "initial_position": initial_position_query,
         "resume_from_checkpoint": resume_query,
+        "resume_from_markers": resume_markers_query,
         "fetch_batches": fetch_batches_query,
         "encode_checkpoints": encode_checkpoints_query,
         "b64_decode": b64_decode_query,
@@ -519,6 +660,11 @@ def all_queries() -> dict[str, Query]:
         "pack_header": pack_header_query,
         "oversize_records": oversize_query,
         "arrival_counter": arrival_counter_query,
+        "arrival_counter_hot": arrival_counter_hot_query,
+        "flush_by_interval_hot": flush_by_interval_hot_query,
+        "frontier_history_hot": frontier_history_hot_query,
+        "process_shards_hot": process_shards_hot_query,
+        "flush_batches": flush_batches_query,
         "count_checkpoints": count_checkpoints_query,
         "latest_checkpoint": latest_checkpoint_query,
         "flush_by_count": flush_by_count_query,

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tideline.llm.shared import WORD, bucket_bits, checkpointed, null_last, own_names, running, word_count
+from tideline.llm.shared import WORD, bucket_bits, checkpointed, md5_bits, null_last, own_names, running, word_count
 
 #: A schedule has at most so many slots (and two for rounding): a block is this part of all words, one word at least.
 SLOTS = 1 << 18
@@ -123,7 +123,7 @@ def _sized(df: DataFrame, text: str, source: str, key: str) -> DataFrame:
         {
             "size": word_count(F.col(text)),
             "group": null_last(F.col(source)),
-            "_h": F.xxhash64(key, text),
+            "_h": md5_bits(F.concat_ws("/", F.coalesce(F.col(key).cast("string"), F.lit("")), F.coalesce(text, F.lit("")))),
         }
     )
 

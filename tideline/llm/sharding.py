@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.shared import bucket_bits, running
+from tideline.llm.shared import bucket_bits, md5_bits, running
 
 HEX_DIGITS = 13
 #: Rows that one task numbers.
@@ -77,7 +77,7 @@ def shard_report(
         weights=(1.0,) * shards,
     )
     key = F.concat_ws("/", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("text_crc32").cast("string"))
-    rows = rows.withColumn("_h", F.conv(F.substring(F.md5(key), 1, 16), 16, -10).cast("bigint"))
+    rows = rows.withColumn("_h", md5_bits(key))
     bits = bucket_bits(df.count() // shards, rows_per_bucket)
     placed = running(rows, "shard", "_h", ["doc_id", "text_crc32", "size"], F.lit(0), bits)
     return placed.select(

@@ -47,6 +47,11 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("bigint")
 
 
+def md5_bits(text: Column) -> Column:
+    """The leading 64 bits of a text's MD5, whose order as unsigned numbers is that of the hexadecimal digits."""
+    return F.conv(F.substring(F.md5(text), 1, 16), 16, -10).cast("bigint")
+
+
 def null_last(column: Column) -> Column:
     """A text that is equal for equal values and orders by code point, NULL last."""
     return F.when(column.isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), column))

@@ -174,6 +174,7 @@ WHOLE = "AND user_sub = user_total - 1"
 
 def all_oracles() -> dict[str, str]:
     found = _oracles()
+    found["stream_process_shards"] = found["process_shards"]
     # One shard for all events, and many chunks in it: the result does not know about chunks.
     for name in ("arrival_counter", "flush_by_interval", "frontier_history", "process_shards"):
         found[f"{name}_hot"] = found[name].replace("'shard-' || (user_id % 5) AS shard_id", "'all' AS shard_id")
@@ -330,6 +331,13 @@ def _oracles() -> dict[str, str]:
             s AS (SELECT *, strlen(props) AS size, CAST(sum(strlen(props)) OVER (PARTITION BY shard_id ORDER BY event_id
                          ROWS UNBOUNDED PRECEDING) AS BIGINT) AS n_bytes FROM e)
             SELECT shard_id, base, n_bytes FROM s WHERE n_bytes // 1000 > (n_bytes - size) // 1000""",
+        "processor_checkpoints": f"{NUMBERED} SELECT shard_id, base FROM n WHERE (counter + 1) % 11 = 0",
+        "checkpoint_log": f"""{NUMBERED} SELECT shard_id, base,
+            '{{"action":"checkpoint","sequenceNumber":"' || base || '","subSequenceNumber":0}}' AS line
+            FROM n WHERE (counter + 1) % 11 = 0""",
+        "stream_flush": f"{NUMBERED} SELECT shard_id, base, counter, counter // 64 AS batch_no FROM n",
+        "stream_end_to_end": f"""WITH {EVENTS}
+            SELECT shard_id, CAST(max(event_id) AS VARCHAR) AS base FROM e WHERE event_type <> 'view' GROUP BY 1""",
         "flush_tokens": event_gate(
             6 * HOUR,
             None,

@@ -27,6 +27,7 @@ from tideline.functions import (
     verify_checksum,
 )
 from tideline.functions.sequence import base_key
+from tideline.operators.checkpoint_log import log_checkpoints, processor_checkpoints, read_checkpoint_log
 from tideline.operators.counters import (
     arrival_counter,
     count_checkpoints,
@@ -46,7 +47,15 @@ from tideline.operators.frontier import (
 from tideline.operators.pack import key_dictionary, oversize_records, pack, pack_header, with_lanes
 from tideline.operators.processor import RecordProcessor, process_shards
 from tideline.operators.sizing import ensure_checkpoint_dir
-from tideline.plans.stream_queries import stream_deaggregate, stream_frontier
+from tideline.plans.stream_queries import (
+    landed,
+    landing_files,
+    stream_deaggregate,
+    stream_end_to_end,
+    stream_flush,
+    stream_frontier,
+    work_folder,
+)
 from tideline.plans.streams import (
     document_records,
     event_stream,
@@ -63,6 +72,7 @@ from tideline.sources.streams import (
     stream_tip,
     union_streams,
 )
+from tideline.streaming.processor import process_shards_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -607,6 +617,59 @@ def process_shards_query(spark, sf_dir):
     return marks.select("shard_id", "base", "n_bytes")
 
 
+class CountingWorker(RecordProcessor):
+    """Asks for a checkpoint at every ``every``-th record."""
+
+    splittable = True
+
+    def __init__(self, every: int = 11):
+        self.every = every
+
+    def initialize(self, shard):
+        return 0
+
+    def process(self, shard, state, records):
+        return state + records.num_rows, None
+
+    def checkpoints(self, shard, state, records):
+        return (np.arange(state, state + records.num_rows) + 1) % self.every == 0
+
+    def summarize(self, batches):
+        return sum(b.num_rows for b in batches)
+
+    def advance(self, state, summary):
+        return state + summary
+
+
+def asked_checkpoints(spark, sf_dir):
+    events = event_stream(spark, sf_dir).select("stream_name", "shard_id", "base", "base_key", "sub", "user_sub", "user_total")
+    return processor_checkpoints(events, CountingWorker())
+
+
+def processor_checkpoints_query(spark, sf_dir):
+    return asked_checkpoints(spark, sf_dir).select("shard_id", "base")
+
+
+def checkpoint_log_query(spark, sf_dir):
+    """Two appends to one log, and the log."""
+    path = f"{ensure_checkpoint_dir(spark)}/checkpoints-{uuid.uuid4().hex}"
+    asked = asked_checkpoints(spark, sf_dir)
+    for early in (True, False):
+        log_checkpoints(asked.filter((F.col("base").cast("bigint") < 300) == early), path)
+    return read_checkpoint_log(spark, path).select("shard_id", "base", "line")
+
+
+def stream_process_shards_query(spark, sf_dir):
+    """Marks of a processor whose state goes through four micro-batches."""
+    folder = work_folder(spark)
+    landing_files(spark, sf_dir, f"{folder}/in", range(4))
+    events = landed(spark, f"{folder}/in").select("stream_name", "shard_id", "base", "base_key", "sub", "user_sub", "data")
+    marks = process_shards_stream(events, ByteMarks(1000), BYTE_MARKS)
+    writer = marks.writeStream.format("parquet").option("checkpointLocation", f"{folder}/progress")
+    writer.trigger(availableNow=True).start(f"{folder}/out").awaitTermination()
+    return spark.read.parquet(f"{folder}/out").select("shard_id", "base", "n_bytes")
+
+
 def flush_tokens_query(spark, sf_dir):
     batched = flush_by_interval(event_stream(spark, sf_dir), 6 * HOUR)
     tokens = flush_tokens(batched)
@@ -679,6 +742,11 @@ def all_queries() -> dict[str, Query]:
         "stalled_shards": stalled_shards_query,
         "shard_counters": shard_counters_query,
         "process_shards": process_shards_query,
+        "processor_checkpoints": processor_checkpoints_query,
+        "checkpoint_log": checkpoint_log_query,
+        "stream_process_shards": stream_process_shards_query,
+        "stream_flush": stream_flush,
+        "stream_end_to_end": stream_end_to_end,
         "flush_tokens": flush_tokens_query,
         "flush_log": flush_log_query,
         "aggregated_frontier": aggregated_frontier,

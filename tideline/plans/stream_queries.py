@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from tideline.functions import base_key
 from tideline.operators.deaggregate import deaggregate
 from tideline.operators.sizing import ensure_checkpoint_dir
-from tideline.plans.streams import packed_orders, table
+from tideline.plans.streams import event_stream, packed_orders, table
 from tideline.sources.envelopes import parse_envelopes, read_lines, stream_records, to_request_lines
+from tideline.streaming.flush import flush_stream
 from tideline.streaming.frontier import FrontierTracker
 
 FILES_PER_TRIGGER = 1_000
@@ -44,6 +45,51 @@ def stream_deaggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def landing_files(spark: SparkSession, sf_dir: str, folder: str, parts: range, of: int = 4) -> None:
+    """Events in ``of`` files in the order of their ids, some of them written now, one after the other."""
+    events = event_stream(spark, sf_dir)
+    top = table(spark, sf_dir, "events").agg(F.max("event_id")).first()[0] + 1
+    for i in parts:
+        mine = F.col("event_id").between(top * i // of, top * (i + 1) // of - 1)
+        events.filter(mine).coalesce(1).write.mode("append").parquet(folder)
+
+
+def landed(spark: SparkSession, folder: str) -> DataFrame:
+    """The files as a stream, one per micro-batch."""
+    schema = spark.read.parquet(folder).schema
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+def _run(writer, folder: str, **start) -> None:
+    query = writer.option("checkpointLocation", f"{folder}/progress").trigger(availableNow=True).start(**start)
+    query.awaitTermination()
+
+
+def stream_flush(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters and batches of events that land in four micro-batches."""
+    folder = work_folder(spark)
+    landing_files(spark, sf_dir, f"{folder}/in", range(4))
+    flushed = flush_stream(landed(spark, f"{folder}/in"), None, capacity=64)
+    _run(flushed.writeStream.format("parquet"), folder, path=f"{folder}/out")
+    return spark.read.parquet(f"{folder}/out").select("shard_id", "base", "counter", "batch_no")
+
+
+def stream_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records that land, are counted, batched and handed to the tracker; stopped half way and started again."""
+    folder = work_folder(spark)
+    tracker = FrontierTracker(f"{folder}/frontier")
+
+    def handled(rows: DataFrame, batch_id: int) -> None:
+        tracker(rows.filter(F.col("counter").isNotNull()).drop("kind", "batch_no", "fired", "clock_ms"), batch_id)
+
+    for parts in (range(2), range(2, 4)):
+        landing_files(spark, sf_dir, f"{folder}/in", parts)
+        records = landed(spark, f"{folder}/in").withColumn("skipped", F.col("event_type") == "view")
+        flushed = flush_stream(records, None, capacity=64, ignored="skipped")
+        _run(flushed.writeStream.foreachBatch(handled), folder)
+    return tracker.current(spark).select("shard_id", "base")
+
+
 def stream_frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Frontier of ``events`` as one shard, from completions as they land."""
     folder = work_folder(spark)

@@ -13,6 +13,7 @@ its nature and streams through one task per group.
 from __future__ import annotations
 
 import pickle
+import zlib
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
@@ -102,7 +103,7 @@ def _run(fold: OrderedFold, n_keys: int):
 
 def _summaries(fold: OrderedFold, n_keys: int, schema: pa.Schema):
     def row(place, slices):
-        blob = pickle.dumps(fold.summarize(slices))
+        blob = zlib.compress(pickle.dumps(fold.summarize(slices)), 1)
         return pa.RecordBatch.from_arrays(
             [pa.array([v], t.type) for v, t in zip([*place, blob], schema)], schema=schema
         )
@@ -133,7 +134,7 @@ def _entries(fold: OrderedFold, n_keys: int):
                 entries = []
                 for blob in rows.column("_summary"):
                     entries.append(pickle.dumps(state))
-                    state = fold.advance(state, pickle.loads(blob.as_py()))
+                    state = fold.advance(state, pickle.loads(zlib.decompress(blob.as_py())))
                 kept = [rows.column(i) for i in range(n_keys)] + [rows.column(CHUNK), rows.column(FINAL)]
                 names = [*rows.schema.names[:n_keys], CHUNK, FINAL, ENTRY]
                 yield pa.RecordBatch.from_arrays([*kept, pa.array(entries, pa.binary())], names=names)

@@ -1,3 +1,4 @@
+import pickle
 import random
 
 import numpy as np
@@ -61,6 +62,17 @@ def test_gate_equals_walk_in_slices_and_in_chunks(kinds):
             top = max([c for c, _, _ in piece] + ([top] if top is not None else []))
 
 
+@pytest.mark.parametrize("interval, capacity", [(6 * 3_600_000, None), (6 * 3_600_000, 1000), (60_000, 100_000)])
+def test_summaries_are_smaller_than_the_clocks_they_sum_up(interval, capacity):
+    import zlib
+
+    n = 200_000
+    clock = np.cumsum(np.random.default_rng(1).integers(0, 60, n))
+    columns = {CLOCK: clock, WEIGHT: np.ones(n, np.int64), NEEDS: np.zeros(n, bool), CARRY: pa.array([None] * n, pa.int64())}
+    summary = _Gate(interval, capacity).summarize([pa.RecordBatch.from_pydict(columns)])
+    assert len(zlib.compress(pickle.dumps(summary), 1)) < 4 * n
+
+
 def test_summary_stays_small_when_records_are_dense():
     rows = [(t // 10, 1, False) for t in range(100_000)]
     summary = _Gate(1000, None).summarize([batch(rows)])

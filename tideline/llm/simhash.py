@@ -53,19 +53,30 @@ def shingle_spans(text: bytes, words: int) -> tuple[bytes, np.ndarray, np.ndarra
 
 
 def set_bits(text: bytes, words: int, wide: bool = False) -> np.ndarray:
-    """The fingerprint's bits, lowest first: 64 by XXH64, or 128 by XXH3."""
+    """The fingerprint's bits, lowest first: 64 by XXH64, or 128 by XXH3.
+
+    Wide ones break ties by the text's least shingle hash. Cleared bits instead
+    would make the fingerprints of short texts sparse, and so close to each other.
+    """
     joined, starts, ends = shingle_spans(text, words)
     size = 16 if wide else 8
     counts = np.zeros(8 * size, np.int64)
+    least = None
     for i in range(0, len(starts), CHUNK):
         spans = zip(starts[i : i + CHUNK].tolist(), ends[i : i + CHUNK].tolist(), strict=True)
         if wide:
-            hashes = np.frombuffer(b"".join([xxhash.xxh3_128_digest(joined[s:e], SEED) for s, e in spans]), np.uint8)
+            digests = [xxhash.xxh3_128_digest(joined[s:e], SEED) for s, e in spans]
+            least = min(digests) if least is None else min(least, *digests)
+            hashes = np.frombuffer(b"".join(digests), np.uint8)
         else:
             hashes = np.array([xxhash.xxh64_intdigest(joined[s:e], SEED) for s, e in spans], dtype="<u8").view(np.uint8)
         bits = np.unpackbits(hashes.reshape(-1, size), axis=1, bitorder="little")
         counts += bits.sum(axis=0, dtype=np.uint32)
-    return 2 * counts > len(starts)
+    over = 2 * counts > len(starts)
+    if least is not None:
+        tie = 2 * counts == len(starts)
+        over[tie] = np.unpackbits(np.frombuffer(least, np.uint8), bitorder="little")[tie].astype(bool)
+    return over
 
 
 def fingerprint(text: bytes, words: int) -> int:

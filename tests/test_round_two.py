@@ -1,0 +1,163 @@
+"""Malformed requests, markers, long numbers, inflating records, wide integers, hidden names, checkpoints of processors."""
+
+import json
+
+import pyarrow as pa
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from helpers import records
+from tideline.functions import base_key
+from tideline.operators.checkpoint_log import processor_checkpoints, with_hook
+from tideline.operators.deaggregate import deaggregate
+from tideline.operators.pack import pack
+from tideline.operators.processor import RecordProcessor
+from tideline.operators import sizing
+from tideline.operators.sizing import keyed_join, ordered_lookup
+from tideline.sources import dump_to_dir, parse_envelopes, parse_requests, read_dir, resume_from_checkpoint
+from tideline.sources.envelopes import deliveries
+from tideline.streaming import process_shards_stream
+
+RECORD = '{"data":"YQ==","partitionKey":"k","sequenceNumber":"1"}'
+GOOD = '{"action":"processRecords","millisBehindLatest":null,"records":[%s]}' % RECORD
+BAD = [
+    GOOD + GOOD,
+    GOOD + "," + GOOD,
+    GOOD + " xyz",
+    '{"action":"processRecords","records":[null]}',
+    '{"action":"processRecords","records":[%s,null]}' % RECORD,
+    '{"action":"processRecords","records":[{"partitionKey":"k","sequenceNumber":"1"}]}',
+    '{"action":"processRecords"}',
+    '{"action":"dance"}',
+    "{}",
+    "null",
+    "[]",
+    '{"action":"processRecords","millisBehindLatest":"soon","records":[]}',
+]
+
+
+def lines(spark, rows):
+    return spark.createDataFrame([("s", "a", i, v) for i, v in enumerate(rows)], "stream_name string, shard_id string, at bigint, value string")
+
+
+@pytest.mark.parametrize("bad", BAD)
+def test_malformed_requests_fail(spark, bad):
+    with pytest.raises(Exception, match="(?i)malformed|parse|json"):
+        parse_envelopes(lines(spark, [GOOD, bad])).collect()
+
+
+def test_malformed_requests_are_routed(spark):
+    rows = parse_requests(lines(spark, [GOOD, *BAD, GOOD + "\r", ""]), on_error="route").collect()
+    assert [r._corrupt_record for r in sorted(rows, key=lambda r: r.at)] == [None, *BAD, None]
+    assert all((r.request is None) == (r._corrupt_record is not None) for r in rows)
+
+
+def test_a_named_delay_makes_version_two(spark):
+    got = parse_envelopes(lines(spark, [GOOD, '{"action":"processRecords","records":[%s]}' % RECORD])).collect()
+    assert [r.is_v2 for r in sorted(got, key=lambda r: r.at)] == [True, False]
+    beats = deliveries(lines(spark, [GOOD, '{"action":"processRecords","records":[]}', "", '{"action":"shutdown","reason":"X"}']), clock="at")
+    assert sorted((r["at"], r.n_records, r.is_v2) for r in beats.collect()) == [(0, 1, True), (1, 0, False)]
+
+
+@pytest.mark.parametrize("marker, n", [("TRIM_HORIZON", 3), ("LATEST", 0), ("SHARD_END", 0), ("1", 1)])
+def test_resuming_at_a_marker(spark, marker, n):
+    df = records(spark, [("a", i, None, None, 0) for i in (0, 1, 2)])
+    at = records(spark, [("a", marker, None, None, 0)])
+    for granularity in ("base_sub", "user_sub"):
+        assert resume_from_checkpoint(df, at, granularity).count() == n
+
+
+def test_other_markers_fail(spark):
+    df = records(spark, [("a", 1, None, None, 0)])
+    with pytest.raises(PySparkException, match="no place"):
+        resume_from_checkpoint(df, records(spark, [("a", "AT_TIMESTAMP", None, None, 0)])).collect()
+
+
+def test_numbers_of_any_length_keep_their_order(spark):
+    numbers = ["TRIM_HORIZON", "9", "10", "9" * 99, "1" + "0" * 99, "7" * 129, "7" * 1200, "LATEST"]
+    df = spark.createDataFrame([(n,) for n in reversed(numbers)], "b string")
+    assert [r.b for r in df.orderBy(base_key("b")).collect()] == numbers
+
+
+@pytest.mark.parametrize("limits", [{"out_bytes": 10}, {"out_rows": 3}, {}])
+def test_deaggregation_in_pieces(spark, limits):
+    rows = [(i, f"k{i % 5}", f"data{i}".encode(), None) for i in range(40)]
+    df = spark.createDataFrame(rows, "i bigint, partition_key string, data binary, explicit_hash_key string")
+    packed = pack(df.withColumn("lane", F.col("i") % 3), ["lane"], [F.col("i")], deflate=True)
+    none = F.lit(None).cast("bigint")
+    flat = packed.select("lane", "partition_key", "data", none.alias("user_sub"), none.alias("user_total"))
+    plain = df.filter("i < 4").select((F.col("i") + 100).alias("lane"), "partition_key", "data", F.lit(7).cast("bigint").alias("user_sub"), none.alias("user_total"))
+    got = deaggregate(flat.unionByName(plain).coalesce(1), **limits)
+    assert got.columns == flat.columns
+    mine = [tuple(r) for r in got.collect()]
+    want = [(i % 3, f"k{i % 5}", f"data{i}".encode(), i // 3, len(range(i % 3, 40, 3))) for i in range(40)]
+    want += [(100 + i, f"k{i % 5}", f"data{i}".encode(), 7, None) for i in range(4)]
+    assert sorted((a, b, bytes(c), d, e) for a, b, c, d, e in mine) == sorted(want)
+
+
+def test_streamed_integers_keep_all_bits(spark, tmp_path):
+    # Classes of functions go to workers by value.
+    class Echo(RecordProcessor):
+        def process(self, shard, state, rows):
+            return state, rows.select(["stream_name", "shard_id", "base", "user_total"])
+
+    big = 9007199254740993
+    df = records(spark, [("a", 1, None, big, 0), ("a", 2, None, None, 0), ("b", 3, None, -big, 0)])
+    df.write.parquet(f"{tmp_path}/in")
+    out = T.StructType([df.schema[c] for c in ("stream_name", "shard_id", "base", "user_total")])
+    stream = process_shards_stream(spark.readStream.schema(df.schema).parquet(f"{tmp_path}/in"), Echo(), out)
+    writer = stream.writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True)
+    writer.start(f"{tmp_path}/out").awaitTermination()
+    got = {(r.base, r.user_total) for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+    assert got == {("1", big), ("2", None), ("3", -big)}
+
+
+def test_names_and_spellings_of_files(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    for name in ("_a", ".hidden", "b c", "é"):
+        (source / name).write_bytes(name.encode())
+    assert {bytes(r.data).decode() for r in read_dir(spark, str(source)).collect()} == {"_a", "b c", "é"}
+    rows = [("s1", i, None, None, 0) for i in range(4)]
+    df = records(spark, rows).withColumn("partition_key", F.element_at(F.array(*map(F.lit, ["a//b", "/a/b", "x/../a/b", "./c"])), (F.col("base") + 1).cast("int")))
+    assert dump_to_dir(df, f"file:{tmp_path}/out") == 2
+    assert (tmp_path / "out/a/b").read_bytes() == b"2" and (tmp_path / "out/c").read_bytes() == b"3"
+
+
+def test_checkpoints_of_a_processor_and_a_hook(spark, tmp_path):
+    class Third(RecordProcessor):
+        def initialize(self, shard):
+            return 0, []
+
+        def process(self, shard, state, rows):
+            return (state[0] + rows.num_rows, state[1]), None
+
+        def checkpoints(self, shard, state, rows):
+            return [(state[0] + i) % 3 == 2 for i in range(rows.num_rows)]
+
+        def checkpointed(self, shard, state, position):
+            return state[0], [*state[1], position["base"]]
+
+    df = records(spark, [(s, i, None, None, 0) for s in "ab" for i in range(8)])
+    asked = processor_checkpoints(df, Third())
+    target = str(tmp_path / "seen")
+
+    def hook(batch: pa.RecordBatch) -> None:
+        with open(target, "a") as f:
+            f.write("".join(json.dumps(r["base"]) + "\n" for r in batch.to_pylist()))
+
+    got = with_hook(asked, hook).collect()
+    assert sorted((r.shard_id, r.base) for r in got) == [(s, b) for s in "ab" for b in ("2", "5")]
+    assert sorted(open(target).read().split()) == sorted(['"2"', '"5"'] * 2)
+
+
+def test_sides_are_measured_in_bytes_and_null_keys_match(spark, monkeypatch):
+    rows = spark.createDataFrame([(None, 1), ("a", 2)], "k string, v int")
+    side = spark.createDataFrame([(None, "x"), ("a", "y")], "k string, w string")
+    assert {(r.v, r.w) for r in keyed_join(rows, side, ["k"]).collect()} == {(1, "x"), (2, "y")}
+    assert ordered_lookup(rows, side, ["k"])[1]
+    monkeypatch.setattr(sizing, "BROADCAST_BYTES", 20)
+    joined, small = ordered_lookup(rows, side, ["k"])
+    assert not small and joined.count() == 2

@@ -6,8 +6,6 @@ those are tested against brute force, a round trip or held-out rows.
 
 from __future__ import annotations
 
-import math
-
 from tideline.llm import mixing, secret_scan, sharding, warc
 
 OP2 = f"""

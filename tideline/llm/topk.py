@@ -132,8 +132,9 @@ class Bucket:
             self.unit[f] = self.m[:, f] / np.where(self.norms > 0, self.norms, 1.0)
         return self.unit[f]
 
-    def search(self, q: np.ndarray, query_id: int, k: int, bound: float) -> list[tuple[int | None, int]]:
-        """The k best of the bucket's candidates that may reach ``bound``."""
+    def search(self, q: np.ndarray, query_id: int, k: int, worst: tuple | None) -> list[tuple[int | None, int]]:
+        """The k best of the bucket's candidates that come before ``worst``, the k-th so far: (-score, no id, id)."""
+        bound = -np.inf if worst is None else -float(worst[0])
         width = min(len(q), self.m.shape[1])
         q = np.concatenate([q, np.zeros(max(0, self.m.shape[1] - len(q)))])[: self.m.shape[1]]
         norm = float(np.sqrt(np.dot(q, q)))
@@ -168,7 +169,8 @@ class Bucket:
         rows = [
             (-int(s), not self.known[i], int(self.ids[i])) for s, i in zip(scores.tolist(), found.tolist(), strict=True)
         ]
-        return [(None if unknown else vec_id, -s) for s, unknown, vec_id in sorted(rows)[:k]]
+        rows = sorted(rows)[:k]
+        return [(None if r[1] else r[2], -r[0]) for r in rows if worst is None or r < worst]
 
 
 def compare_blobs(k: int):
@@ -185,7 +187,8 @@ def compare_blobs(k: int):
                 out: list[tuple] = []
                 bounds = row["bounds"] or [None] * len(queries)
                 for place, (q, query_id, bound) in enumerate(zip(queries, row["query"]["ids"], bounds, strict=True)):
-                    hits = bucket.search(q, query_id, k, -np.inf if bound is None else float(bound))
+                    worst = None if bound is None else (bound["less"], bound["unknown"], bound["id"])
+                    hits = bucket.search(q, query_id, k, worst)
                     out += [(row["query"]["no"], place, query_id, vec_id, score) for vec_id, score in hits]
                 if out:
                     arrays = [
@@ -253,13 +256,18 @@ def top_k(
     bucket = F.struct("no", "longest", "n", "ids", "width", "type", "data").alias("bucket")
     targets = buckets.select("no", F.col("longest").alias("reach"), bucket, group)
     is_first = F.col("no").isin(first)
-    none = F.lit(None).cast("array<double>").alias("bounds")
+    none = F.lit(None).cast("array<struct<less:bigint,unknown:boolean,id:bigint>>").alias("bounds")
     beginning = blocks.select(query, every_group).join(targets.filter(is_first), "g")
     initial = stored(beginning.select("query", "bucket", none).mapInArrow(compare_blobs(k), HITS), "topk-first")
 
-    # The k-th score so far, per query; a query without k hits has no bound.
-    best = F.sort_array(F.collect_list("score"), asc=False)
-    kth = initial.groupBy("block", "place").agg(F.get(best, F.lit(k - 1)).cast("double").alias("bound"))
+    # The k-th hit so far, per query; a query without k hits has no bound.
+    hit = F.struct(
+        (-F.col("score")).alias("less"),
+        F.col("vec_id").isNull().alias("unknown"),
+        F.coalesce("vec_id", F.lit(0)).alias("id"),
+    )
+    best = F.array_sort(F.collect_list(hit))
+    kth = initial.groupBy("block", "place").agg(F.get(best, F.lit(k - 1)).alias("bound")).filter("bound is not null")
     by_block = kth.groupBy("block").agg(F.map_from_entries(F.collect_list(F.struct("place", "bound"))).alias("found"))
     bounded = (
         blocks.select("no", "longest", query)
@@ -271,7 +279,12 @@ def top_k(
                 lambda p: F.try_element_at("found", p),
             ),
         )
-        .withColumn("least", F.array_min(F.transform("bounds", lambda b: F.coalesce(b, F.lit(float("-inf"))))))
+        .withColumn(
+            "least",
+            F.array_min(
+                F.transform("bounds", lambda b: F.coalesce(-b["less"].cast("double"), F.lit(float("-inf"))))
+            ),
+        )
     )
     sent = bounded.select("query", "bounds", "longest", "least", every_group)
     # No query of the block can reach its bound in a bucket whose vectors are this short.

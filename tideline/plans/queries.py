@@ -20,7 +20,6 @@ from tideline.functions import (
     encode_checkpoint,
     is_sub_record,
     keep_lines,
-    position,
     record_format,
     record_size,
     varint_size,

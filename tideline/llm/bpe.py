@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from functools import lru_cache
+from collections.abc import Callable
 from itertools import chain
 
 import numpy as np
@@ -106,14 +106,17 @@ class MergeForest:
 
     def __init__(self, ranks: dict[bytes, int]) -> None:
         self.byte_ids = np.array([ranks.get(bytes([b]), -1) for b in range(256)], np.int64)
-        pairs = {}
-        for token, rank in ranks.items():
-            for cut in range(1, len(token)):
-                a, b = ranks.get(token[:cut]), ranks.get(token[cut:])
-                if a is not None and b is not None:
-                    pairs[(a << 32) | b] = rank
-        self.pairs = np.array(sorted(pairs), np.int64)
-        self.rank = np.array([pairs[p] for p in self.pairs.tolist()], np.int64)
+        # Every way to put a token together from two others.
+        find = ranks.get
+        pairs = [
+            (a << 32 | b, rank)
+            for token, rank in ranks.items()
+            for cut in range(1, len(token))
+            if (a := find(token[:cut])) is not None and (b := find(token[cut:])) is not None
+        ]
+        pair, rank = np.array(pairs, np.int64).reshape(-1, 2).T
+        order = np.argsort(pair)
+        self.pairs, self.rank = pair[order], rank[order]
 
     def _keys(self, a: np.ndarray, b: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
         pair = (a << 32) | b
@@ -237,20 +240,32 @@ def portions(texts: pa.Array):
         yield some
 
 
-@lru_cache(maxsize=4)
 def tokenizer(path: str, pattern: str) -> Tokenizer:
-    """The tokenizer of a rank file, read once per worker."""
+    """The tokenizer of a rank file."""
     with open(path, "rb") as f:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
     return Tokenizer(ranks, pattern)
 
 
+def once_per_task(path: str, pattern: str) -> Callable[[], Tokenizer]:
+    """Loads the tokenizer at the first call; functions go to executors by value, so each task has its own."""
+    held: list[Tokenizer] = []
+
+    def get() -> Tokenizer:
+        if not held:
+            held.append(tokenizer(path, pattern))
+        return held[0]
+
+    return get
+
+
 def encode_column(text: Column, path: str, pattern: str) -> Column:
     """array<int> of a text's ids."""
+    load = once_per_task(path, pattern)
 
     @F.arrow_udf("array<int>")
     def encode(texts: pa.Array) -> pa.Array:
-        t = tokenizer(path, pattern)
+        t = load()
         ids = chain.from_iterable(t.encode_all(some) for some in portions(texts))
         return pa.array(list(ids), pa.list_(pa.int32()))
 
@@ -259,10 +274,11 @@ def encode_column(text: Column, path: str, pattern: str) -> Column:
 
 def decode_column(ids: Column, path: str, pattern: str) -> Column:
     """The bytes of an array of ids."""
+    load = once_per_task(path, pattern)
 
     @F.arrow_udf("binary")
     def decode(rows: pa.Array) -> pa.Array:
-        t = tokenizer(path, pattern)
+        t = load()
         return pa.array([t.decode(x or ()) for x in rows.to_pylist()], pa.binary())
 
     return decode(ids)
@@ -273,10 +289,11 @@ DIGESTS = "struct<n_tokens:bigint,ids_sha256:string,decoded_sha256:string>"
 
 def digest_column(text: Column, path: str, pattern: str) -> Column:
     """Round trip of a text in one pass: number of ids, digest of the ids, digest of the bytes they decode to."""
+    load = once_per_task(path, pattern)
 
     @F.arrow_udf(DIGESTS)
     def digest(texts: pa.Array) -> pa.Array:
-        t = tokenizer(path, pattern)
+        t = load()
         n, ids_sha, bytes_sha = [], [], []
         for some in portions(texts):
             for ids in t.encode_all(some):

@@ -37,6 +37,12 @@ THRESHOLD = 0.05
 EVIDENCE = 100
 ROUNDS = 50
 CLEAN, JUNK, NONE = 1, 0, 2
+#: Frequent words of the languages at hand.
+SMALL_WORDS = (
+    *("the", "of", "and", "to", "in", "is"),
+    *("de", "la", "le", "que", "el", "en", "et", "les", "des"),
+    *("der", "die", "und", "das", "den"),
+)
 
 
 def _count(text: Column, pattern: str) -> Column:
@@ -60,7 +66,7 @@ def statistics(text: Column) -> dict[str, Column]:
         "marks": F.regexp_count(text, F.lit(r"[#$%&*@^~!?+=<>]{2,}")),
         "bars": F.regexp_count(text, F.lit(r"[\x20\x09][|\t][\x20\x09]")),
         "stops": F.regexp_count(text, F.lit(r"[.!?](?=[\x20\x09-\x0D]|$)")),
-        "small": F.regexp_count(text, F.lit(r"(?i)(?<![\p{L}])(the|of|and|to|in|is|de|la|le|que|el|en|et|les|der|die|und|des|das|den)(?![\p{L}])")),
+        "small": F.regexp_count(text, F.lit(rf"(?i)(?<![\p{{L}}])({'|'.join(SMALL_WORDS)})(?![\p{{L}}])")),
         "again": F.regexp_count(text, F.lit(rf"(?<![^\x20\x09-\x0D])({WORD})[\x20\x09-\x0D]+\1(?![^\x20\x09-\x0D])")),
         "runs": F.regexp_count(
             text, F.lit(rf"(?<![^\x20\x09-\x0D])({WORD})(?:[\x20\x09-\x0D]+\1(?![^\x20\x09-\x0D])){{4}}")

@@ -188,7 +188,9 @@ def scan_secrets(
             lambda x: F.struct(
                 (x["m"]["start"] + x["r"]["first"]).alias("start"),
                 (x["m"]["start"] + x["r"]["last"]).alias("end"),
-                F.substring(x["m"]["value"], (x["r"]["first"] + 1).cast("int"), (x["r"]["last"] - x["r"]["first"]).cast("int")).alias("value"),
+                F.substring(
+                    x["m"]["value"], (x["r"]["first"] + 1).cast("int"), (x["r"]["last"] - x["r"]["first"]).cast("int")
+                ).alias("value"),
             ),
         )
         some = F.size(f"_{c.kind}") > 0

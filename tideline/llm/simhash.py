@@ -196,7 +196,8 @@ def tiles_of(fps: DataFrame, tile: int) -> DataFrame:
     key = F.lit(0).cast("bigint")
     for i, c in enumerate(part):
         key = key.bitwiseOR(F.shiftleft(c, 64 - bits * (i + 1)))
-    keyed = fps.select("node", "fp", sum(part[1:], part[0]).cast("int").alias("p"), key.alias("key"), F.array(*part).alias("parts"))
+    total = sum(part[1:], part[0]).cast("int")
+    keyed = fps.select("node", "fp", total.alias("p"), key.alias("key"), F.array(*part).alias("parts"))
     # The first parts, leading bits of the key, cut a count's fingerprints into the buckets of the running count.
     placed = running(keyed, "p", "key", ["node"], F.lit(0), 10)
     low = F.array(*(F.min(F.col("parts")[i]) for i in range(4)))

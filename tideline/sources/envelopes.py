@@ -84,7 +84,7 @@ def parse_requests(lines: DataFrame, *, value: str = "value", on_error: str = "f
     lines = lines.withColumn(value, F.regexp_replace(value, r"\r$", ""))
     schema = T.StructType([*REQUEST.fields, T.StructField(CORRUPT, T.StringType())])
     parsed = F.from_json(F.col(value), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    # A struct tells of wrong types, a list of what stands beside the first value; only suspects are routed, so both are asked.
+    # A struct tells of wrong types, a list of what stands beside the first value: both are asked.
     lines = lines.withColumns({"_parsed": parsed, "_all": F.size(_requests(F.col(value), "PERMISSIVE"))})
     fields = [F.col(f"_parsed.{f.name}").alias(f.name) for f in REQUEST.fields]
     lines = lines.withColumn("_one", F.struct(*fields))

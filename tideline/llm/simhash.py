@@ -55,30 +55,43 @@ def shingle_spans(text: bytes, words: int) -> tuple[bytes, np.ndarray, np.ndarra
 def set_bits(text: bytes, words: int, wide: bool = False) -> np.ndarray:
     """The fingerprint's bits, lowest first: 64 by XXH64, or 128 by XXH3.
 
-    Wide ones break ties by the text's least shingle hash. Cleared bits instead
+    Wide ones count each distinct shingle once, so that their distance follows the
+    similarity of the sets, however often a line repeats, and break ties by the text's least shingle hash. Cleared bits instead
     would make the fingerprints of short texts sparse, and so close to each other.
     """
     joined, starts, ends = shingle_spans(text, words)
     size = 16 if wide else 8
-    counts = np.zeros(8 * size, np.int64)
-    least = None
+    found = []
     for i in range(0, len(starts), CHUNK):
         spans = zip(starts[i : i + CHUNK].tolist(), ends[i : i + CHUNK].tolist(), strict=True)
         if wide:
-            digests = [xxhash.xxh3_128_digest(joined[s:e], SEED) for s, e in spans]
-            least = min(digests) if least is None else min(least, *digests)
-            hashes = np.frombuffer(b"".join(digests), np.uint8)
+            found.append(distinct(np.frombuffer(b"".join(xxhash.xxh3_128_digest(joined[s:e], SEED) for s, e in spans), ">u8")))
         else:
-            hashes = np.array([xxhash.xxh64_intdigest(joined[s:e], SEED) for s, e in spans], dtype="<u8").view(np.uint8)
-        bits = np.unpackbits(hashes.reshape(-1, size), axis=1, bitorder="little")
-        counts += bits.sum(axis=0, dtype=np.uint32)
-    over = 2 * counts > len(starts)
-    if least is not None:
-        tie = 2 * counts == len(starts)
-        over[tie] = np.unpackbits(np.frombuffer(least, np.uint8), bitorder="little")[tie].astype(bool)
+            found.append(np.array([xxhash.xxh64_intdigest(joined[s:e], SEED) for s, e in spans], dtype="<u8"))
+    if wide and len(found) > 1:
+        found = [distinct(np.concatenate(found))]
+    counts = np.zeros(8 * size, np.int64)
+    total = 0
+    for part in found:
+        hashes = part.view(np.uint8).reshape(-1, size)
+        total += len(hashes)
+        for i in range(0, len(hashes), CHUNK):
+            counts += np.unpackbits(hashes[i : i + CHUNK], axis=1, bitorder="little").sum(axis=0, dtype=np.uint32)
+    over = 2 * counts > total
+    if wide and total:
+        # Sorted, so the least is the first.
+        tie = 2 * counts == total
+        over[tie] = np.unpackbits(found[0][:2].view(np.uint8), bitorder="little")[tie].astype(bool)
     return over
 
 
+def distinct(halves: np.ndarray) -> np.ndarray:
+    """Hashes of two 64-bit halves each, sorted, without repeats; equal first halves are the same shingle."""
+    pairs = halves.reshape(-1, 2)
+    _, at = np.unique(pairs[:, 0], return_index=True)
+    return pairs[at].reshape(-1)
+
+
 def fingerprint(text: bytes, words: int) -> int:
     return int.from_bytes(np.packbits(set_bits(text, words), bitorder="little").tobytes(), "little")
 

@@ -97,3 +97,27 @@ def test_no_rows_and_no_words(spark):
     df = spark.createDataFrame([(1, "a", ""), (2, None, None)], "doc_id long, source string, text string")
     assert [(r.size, r.target, r.taken) for r in mix_report(df).collect()] == [(0, 0.0, 0)] * 2
     assert mix(df).collect() == []
+
+
+def test_tiny_sources_beside_a_huge_one(spark):
+    rng = random.Random(7)
+    rows = [(i, "huge", "word " * 4000) for i in range(50)]
+    sizes = {"huge": 200_000}
+    for k in range(60):
+        lengths = [rng.choice([1, 2, 7, 40, 300]) for _ in range(rng.choice([1, 1, 2, 5]))]
+        sizes[f"s{k:02}"] = sum(lengths)
+        rows += [(1000 + 10 * k + j, f"s{k:02}", "x\t" * n) for j, n in enumerate(lengths)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(5)
+    target = water(sizes)
+    source = {r[0]: r[1] for r in rows}
+    # Blocks of about 10,000 words, as in a corpus of billions of words.
+    report = mix_report(df, slots=20).collect()
+    taken, emitted = dict.fromkeys(sizes, 0), dict.fromkeys(sizes, 0)
+    for r in report:
+        taken[source[r.doc_id]] += r.taken
+        assert 0 <= r.taken <= 3 * r["size"] and (r.first_slot is not None) == (r.taken > 0)
+    for r in mix(df, slots=20).collect():
+        emitted[r.source] += words(r.text)
+    assert emitted == taken
+    for s in sizes:
+        assert abs(taken[s] - target[s]) <= 1 + 0.05 * target[s]

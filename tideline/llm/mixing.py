@@ -8,6 +8,10 @@
 * Blocks: a source's documents, shuffled by hash, form a stream of words, which
   is cut to blocks of equal size; rank r takes block r, and the stream starts
   anew when it ends, up to ``repeats`` times.
+* Small sources: a source whose target is less than ``LEAST_SLOTS`` blocks has
+  slots of its own, finer ones, and its target is cut evenly over them, so that
+  it takes its target to the word, however large the others are. Slots grow
+  with the sources.
 
 Everything is spread: slots and documents are ranked by bucket (see
 ``shared.running``), points find their source through bins, blocks join on
@@ -30,8 +34,12 @@ from pyspark.sql import functions as F
 
 from tideline.llm.shared import WORD, bucket_bits, checkpointed, md5_bits, null_last, own_names, running, word_count
 
-#: A schedule has at most so many slots (and two for rounding): a block is this part of all words, one word at least.
+#: Large sources share so many slots (and two for rounding): a block is this part of all words, one word at least.
 SLOTS = 1 << 18
+#: A source whose target is fewer blocks is small: it has a slot per word of its target, but this many at most and
+#: ``FEWEST_SLOTS`` at least. Any interval that is due two slots or more gets one.
+LEAST_SLOTS = 64
+FEWEST_SLOTS = 4
 BINS = 1 << 12
 WEIGHTS = (1.0, 2.0, 3.0)
 REPEATS = 3
@@ -87,11 +95,36 @@ def block_words(total: int, slots: int = SLOTS) -> int:
     return max(1, -(-total // slots))
 
 
-def schedule(targets: DataFrame, n: int, bits: int | None = None) -> DataFrame:
+def with_small(targets: DataFrame, block: int) -> DataFrame:
+    """``targets`` with lo and hi in proportion to slots, and ``quota``: the words of a small source, NULL for others.
+
+    ``more`` is by how many slots a small source has more than its target is blocks.
+    """
+    by_name = W.orderBy("group").rowsBetween(W.unboundedPreceding, W.currentRow)
+    small = (F.col("target") > 0) & (F.col("target") < LEAST_SLOTS * block)
+    due = F.least(F.greatest("target", F.lit(float(FEWEST_SLOTS))), F.lit(float(LEAST_SLOTS)))
+    # In words, so that shares stay what they are, to the bit, where no source is small.
+    part = F.when(small, due * block).otherwise(F.col("target"))
+    share, whole = F.sum("_part").over(by_name), F.sum("_part").over(W.partitionBy())
+    return (
+        targets.withColumn("_part", part)
+        .withColumns(
+            {
+                "hi": F.try_divide(share, whole),
+                "lo": F.try_divide(share - F.col("_part"), whole),
+                "quota": F.when(small, F.greatest(F.round("target"), F.lit(1.0)).cast("bigint")),
+                "more": (F.col("_part") - F.col("target")) / block,
+            }
+        )
+        .drop("_part")
+    )
+
+
+def schedule(targets: DataFrame, n: int, bits: int | None = None, bin_count: int = BINS) -> DataFrame:
     """(slot, group, rank): the source of each of ``n`` slots, and its rank among the slots of that source."""
     point = F.pmod((F.col("id") + 1) * F.lit(GOLDEN), F.lit(1.0))
     slots = targets.sparkSession.range(n).select(
-        F.col("id").alias("slot"), point.alias("x"), F.floor(point * BINS).alias("bin")
+        F.col("id").alias("slot"), point.alias("x"), F.floor(point * bin_count).alias("bin")
     )
     bins = (
         targets.filter("hi > lo")
@@ -105,7 +138,8 @@ def schedule(targets: DataFrame, n: int, bits: int | None = None) -> DataFrame:
             "bin",
             F.explode(
                 F.sequence(
-                    F.floor(F.col("lo") * BINS), F.least(F.floor(F.col("hi") * BINS), F.lit(BINS).cast("bigint"))
+                    F.floor(F.col("lo") * bin_count),
+                    F.least(F.floor(F.col("hi") * bin_count), F.lit(bin_count).cast("bigint")),
                 )
             ),
         )
@@ -128,19 +162,41 @@ def _sized(df: DataFrame, text: str, source: str, key: str) -> DataFrame:
     )
 
 
-def _plan(sized: DataFrame, weights, repeats, slots) -> tuple[DataFrame, int, int]:
-    """Targets per source, words per block, number of slots."""
+def _plan(sized: DataFrame, weights, repeats, slots) -> tuple[DataFrame, DataFrame, int]:
+    """Per source (group, source_size, target, end, quota, blocks); its slots; words per block of large sources.
+
+    ``end`` is the number of words that the source's slots take.
+    """
     sizes = checkpointed(sized.groupBy("group").agg(F.sum("size").cast("bigint").alias("source_size")))
-    targets = checkpointed(source_targets(sizes, weights, repeats))
-    total = int(sizes.agg(F.sum("source_size")).first()[0] or 0)
-    block = block_words(total, slots)
-    return targets, block, -(-total // block)
+    total, sources = sizes.agg(F.coalesce(F.sum("source_size"), F.lit(0)), F.count(F.lit(1))).first()
+    block = block_words(int(total), slots)
+    targets = checkpointed(with_small(source_targets(sizes, weights, repeats), block))
+    more = targets.agg(F.sum("more")).first()[0] or 0.0
+    n = -(-int(total) // block) + math.ceil(more)
+    bin_count = max(BINS, 1 << sources.bit_length())
+    ranked = checkpointed(schedule(targets, n, bin_count=bin_count))
+    blocks = ranked.groupBy("group").agg(F.count(F.lit(1)).alias("blocks"))
+    plan = targets.join(blocks, "group", "left").fillna(0, ["blocks"])
+    end = F.when(F.col("blocks") > 0, F.coalesce("quota", F.col("blocks") * block)).otherwise(F.lit(0))
+    plan = plan.withColumn("end", end.cast("bigint")).drop("lo", "hi", "more")
+    return checkpointed(plan), ranked, block
+
+
+def _rank_at(at: Column, block: int) -> Column:
+    """The rank whose words hold position ``at`` of a source's stream."""
+    own = F.floor(((at + 1) * F.col("blocks") - 1) / F.col("quota"))
+    return F.when(F.col("quota").isNull(), F.floor(at / block)).otherwise(own)
 
 
-def _epochs(repeats: int, block: int) -> Column:
+def _begin_of(rank: Column, block: int) -> Column:
+    """The position at which a rank's words begin."""
+    return F.when(F.col("quota").isNull(), rank * block).otherwise(F.floor(rank * F.col("quota") / F.col("blocks")))
+
+
+def _epochs(repeats: int) -> Column:
     """Passes of the stream in which a document may be taken: all that begin before its source's last block ends."""
     begins = F.transform(F.sequence(F.lit(0), F.lit(repeats - 1)), lambda e: e * F.col("source_size") + F.col("start"))
-    return F.filter(begins, lambda at: at < F.col("blocks") * block)
+    return F.filter(begins, lambda at: at < F.col("end"))
 
 
 def mix_report(
@@ -158,28 +214,18 @@ def mix_report(
     rows = checkpointed(
         _sized(df.select("doc_id", "source", "text"), "text", "source", "doc_id").select("doc_id", "group", "_h", "size")
     )
-    targets, block, n = _plan(rows, weights, repeats, slots)
-    ranked = checkpointed(schedule(targets, n))
-    blocks = ranked.groupBy("group").agg(F.count(F.lit(1)).alias("blocks"))
+    plan, ranked, block = _plan(rows, weights, repeats, slots)
     largest = rows.groupBy("group").count().agg(F.max("count")).first()[0] or 0
-    plan = targets.join(blocks, "group", "left").fillna(0, ["blocks"]).drop("lo", "hi")
     bits = bucket_bits(largest, rows_per_bucket)
     placed = checkpointed(running(rows, "group", "_h", ["doc_id", "size"], F.col("size"), bits, plan))
     begin = placed.filter("size > 0").select(
-        "group", "pos", "size", "source_size", F.explode(_epochs(repeats, block)).alias("at")
+        "group", "pos", "size", "quota", "blocks", F.explode(_epochs(repeats)).alias("at")
     )
-    pieces = begin.select(
-        "group",
-        "pos",
-        "size",
-        "at",
-        F.explode(
-            F.sequence(F.floor(F.col("at") / block), F.floor((F.col("at") + F.col("size") - 1) / block))
-        ).alias("rank"),
-    ).withColumn(
-        "words",
-        F.least(F.col("at") + F.col("size"), (F.col("rank") + 1) * block) - F.greatest("at", F.col("rank") * block),
+    at, last, rank = F.col("at"), F.col("at") + F.col("size") - 1, F.col("rank")
+    pieces = begin.withColumn("rank", F.explode(F.sequence(_rank_at(at, block), _rank_at(last, block)))).withColumn(
+        "words", F.least(last + 1, _begin_of(rank + 1, block)) - F.greatest(at, _begin_of(rank, block))
     )
+    pieces = pieces.select("group", "pos", "rank", "words").filter("words > 0")
     taken = (
         pieces.join(ranked, ["group", "rank"])
         .groupBy("group", "pos")
@@ -214,16 +260,14 @@ def mix(
     own, names = own_names(df)
     sized = _sized(own, names[text], names[source], names[key])
     narrow = checkpointed(sized.select("group", "_h", "size", F.octet_length(names[text]).alias("_bytes")))
-    targets, block, n = _plan(narrow, weights, repeats, slots)
-    blocks = schedule(targets, n).groupBy("group").agg(F.count(F.lit(1)).alias("blocks"))
-    plan = checkpointed(targets.join(blocks, "group").select("group", "source_size", "blocks"))
+    plan = _plan(narrow, weights, repeats, slots)[0].select("group", "source_size", "end")
     largest = narrow.groupBy("group").agg(F.sum("_bytes").alias("b")).agg(F.max("b")).first()[0] or 0
     bits = bucket_bits(largest, bucket_bytes)
     placed = running(sized, "group", "_h", [names[key], "size"], F.col("size"), bits, plan)
     passes = (
         placed.filter("size > 0")
-        .withColumn("at", F.explode(_epochs(repeats, block)))
-        .withColumn("_take", F.least(F.col("size"), F.col("blocks") * block - F.col("at")))
+        .withColumn("at", F.explode(_epochs(repeats)))
+        .withColumn("_take", F.least(F.col("size"), F.col("end") - F.col("at")))
     )
     body = F.col(names[text])
     words = F.slice(F.regexp_extract_all(body, F.lit(WORD), F.lit(0)), F.lit(1), F.col("_take").cast("int"))

@@ -9,6 +9,7 @@ from tideline.operators.deaggregate import deaggregate
 from tideline.operators.frontier import frontier
 from tideline.operators.processor import process_shards
 from tideline.plans.queries import BYTE_MARKS, ByteMarks
+from tideline.plans import stream_queries
 from tideline.plans.streams import packed_orders
 from tideline.sources import parse_envelopes, read_dir, read_lines, stream_records, to_request_lines
 from tideline.streaming import (
@@ -198,3 +199,20 @@ def test_idle_shards_are_flushed_by_heartbeat_and_reported_as_stalled(spark, tmp
     assert {(r.base, r.batch_no, r.fired) for r in beats if r.kind == "record"} == {(str(i), 0, None) for i in range(5)}
     stalls = spark.read.parquet(str(tmp_path / "stalls")).collect()
     assert len(stalls) == 1 and stalls[0].noticed_ms - stalls[0].since_ms >= 1000
+
+
+def test_landed_files_are_bounded_and_in_order(spark, tmp_path, monkeypatch):
+    few = stream_queries.staged_events(spark, SF, str(tmp_path / "few"))
+    whole = sorted(map(tuple, stream_queries.stream_flush(spark, SF).collect()))
+    rows = spark.read.parquet(f"{SF}/events.parquet").count()
+    monkeypatch.setattr(stream_queries, "FILE_BYTES", 20_000)
+    groups = stream_queries.staged_events(spark, SF, str(tmp_path / "many"))
+    assert len(few) == stream_queries.LEAST_FILES < len(groups)
+    sizes, last = [], -1
+    for paths in groups:
+        ids = [r.event_id for r in spark.read.parquet(*paths).select("event_id").collect()]
+        assert min(ids) > last
+        sizes.append(len(ids))
+        last = max(ids)
+    assert sum(sizes) == rows and max(sizes) < 2 * rows / len(groups)
+    assert sorted(map(tuple, stream_queries.stream_flush(spark, SF).collect())) == whole

@@ -47,8 +47,9 @@ from tideline.operators.pack import key_dictionary, oversize_records, pack, pack
 from tideline.operators.processor import RecordProcessor, process_shards
 from tideline.operators.sizing import ensure_checkpoint_dir
 from tideline.plans.stream_queries import (
+    land,
     landed,
-    landing_files,
+    staged_events,
     stream_deaggregate,
     stream_end_to_end,
     stream_flush,
@@ -659,9 +660,9 @@ def checkpoint_log_query(spark, sf_dir):
 
 
 def stream_process_shards_query(spark, sf_dir):
-    """Marks of a processor whose state goes through four micro-batches."""
+    """Marks of a processor whose state goes through four micro-batches or more."""
     folder = work_folder(spark)
-    landing_files(spark, sf_dir, f"{folder}/in", range(4))
+    land(spark, staged_events(spark, sf_dir, f"{folder}/stage"), f"{folder}/in")
     events = landed(spark, f"{folder}/in").select("stream_name", "shard_id", "base", "base_key", "sub", "user_sub", "data")
     marks = process_shards_stream(events, ByteMarks(1000), BYTE_MARKS)
     writer = marks.writeStream.format("parquet").option("checkpointLocation", f"{folder}/progress")

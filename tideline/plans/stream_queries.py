@@ -3,19 +3,23 @@
 from __future__ import annotations
 
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.functions import base_key
 from tideline.operators.deaggregate import deaggregate
-from tideline.operators.sizing import ensure_checkpoint_dir
+from tideline.operators.sizing import ensure_checkpoint_dir, row_bytes
 from tideline.plans.streams import event_stream, packed_orders, table
 from tideline.sources.envelopes import parse_envelopes, read_lines, stream_records, to_request_lines
 from tideline.streaming.flush import flush_stream
 from tideline.streaming.frontier import FrontierTracker
 
 FILES_PER_TRIGGER = 1_000
+#: About the bytes of events that land in one file, and the fewest files.
+FILE_BYTES = 32 << 20
+LEAST_FILES = 4
 
 
 def work_folder(spark: SparkSession) -> str:
@@ -45,17 +49,37 @@ def stream_deaggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def landing_files(spark: SparkSession, sf_dir: str, folder: str, parts: range, of: int = 4) -> None:
-    """Events in ``of`` files in the order of their ids, some of them written now, one after the other."""
+def staged_events(spark: SparkSession, sf_dir: str, folder: str, file_bytes: int | None = None) -> list[list[str]]:
+    """Events as Parquet in the order of their ids: paths to land together, of about ``file_bytes`` of events.
+
+    Events are sorted into ranges by as many tasks as there are files to land,
+    ``LEAST_FILES`` at least; both grow with the events.
+    """
     events = event_stream(spark, sf_dir)
-    top = table(spark, sf_dir, "events").agg(F.max("event_id")).first()[0] + 1
-    for i in parts:
-        mine = F.col("event_id").between(top * i // of, top * (i + 1) // of - 1)
-        events.filter(mine).coalesce(1).write.mode("append").parquet(folder)
+    total = events.agg(F.sum(row_bytes(events))).first()[0] or 0
+    files = max(LEAST_FILES, -(-total // (file_bytes or FILE_BYTES)))
+    events.repartitionByRange(files, "event_id").write.parquet(folder)
+    # Spark numbers the files as their ranges; a session may cut more ranges than asked for.
+    paths = sorted(map(unquote, spark.read.parquet(folder).inputFiles()), key=_part)
+    n = len(paths)
+    groups = [paths[n * i // files : n * (i + 1) // files] for i in range(files)]
+    return [g for g in groups if g]
+
+
+def _part(path: str) -> tuple[int, str]:
+    name = path.rsplit("/", 1)[-1]
+    return int(name.split("-")[1]), name
+
+
+def land(spark: SparkSession, groups: list[list[str]], folder: str) -> None:
+    """Let staged events land, a file after the other, so that the files' times follow their order."""
+    for paths in groups:
+        # A bounded number of bytes, so that one task may write them as one file.
+        spark.read.parquet(*paths).coalesce(1).write.mode("append").parquet(folder)
 
 
 def landed(spark: SparkSession, folder: str) -> DataFrame:
-    """The files as a stream, one per micro-batch."""
+    """The files as a stream, one per micro-batch, so that a micro-batch is as bounded as a file."""
     schema = spark.read.parquet(folder).schema
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
 
@@ -66,9 +90,9 @@ def _run(writer, folder: str, **start) -> None:
 
 
 def stream_flush(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counters and batches of events that land in four micro-batches."""
+    """Counters and batches of events that land in four micro-batches or more."""
     folder = work_folder(spark)
-    landing_files(spark, sf_dir, f"{folder}/in", range(4))
+    land(spark, staged_events(spark, sf_dir, f"{folder}/stage"), f"{folder}/in")
     flushed = flush_stream(landed(spark, f"{folder}/in"), None, capacity=64)
     _run(flushed.writeStream.format("parquet"), folder, path=f"{folder}/out")
     return spark.read.parquet(f"{folder}/out").select("shard_id", "base", "counter", "batch_no")
@@ -82,8 +106,10 @@ def stream_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     def handled(rows: DataFrame, batch_id: int) -> None:
         tracker(rows.filter(F.col("counter").isNotNull()).drop("kind", "batch_no", "fired", "clock_ms"), batch_id)
 
-    for parts in (range(2), range(2, 4)):
-        landing_files(spark, sf_dir, f"{folder}/in", parts)
+    files = staged_events(spark, sf_dir, f"{folder}/stage")
+    half = (len(files) + 1) // 2
+    for some in filter(None, (files[:half], files[half:])):
+        land(spark, some, f"{folder}/in")
         records = landed(spark, f"{folder}/in").withColumn("skipped", F.col("event_type") == "view")
         flushed = flush_stream(records, None, capacity=64, ignored="skipped")
         _run(flushed.writeStream.foreachBatch(handled), folder)

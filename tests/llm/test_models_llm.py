@@ -149,3 +149,20 @@ def test_one_versus_one_within_a_family():
     model = Hierarchy(rows, {"germanic": ("de", "en", "nl"), "romance": ("fr", "es")})
     assert model.names == ["germanic", "romance"]
     assert [len(model.pairs[n]) for n in model.names] == [3, 1]
+
+
+def test_every_language_is_learned(spark):
+    rng = random.Random(5)
+    names = [f"l{i:02}" for i in range(70)]
+    words = {n: ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(12)] for n in names}
+    rows = []
+    for k, n in enumerate(names):
+        # The last languages are the least frequent ones, and half of their rows cannot be read.
+        for i in range(14 if k < 64 else 10):
+            rows.append((100 * k + i, " ".join(rng.choice(words[n]) for _ in range(30)), n))
+        rows += [(100 * k + 50 + i, "12 !", n) for i in range(40 if k >= 68 else 0)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    got = {r.doc_id: r.lang_pred for r in language_report(df, sample=5).collect()}
+    readable = [r for r in rows if r[1] != "12 !"]
+    assert {got[i] for i, _, _ in readable} == set(names)
+    assert sum(got[i] == n for i, _, n in readable) > 0.97 * len(readable)

@@ -61,14 +61,45 @@ def descend(gradient, dimensions: int, lipschitz: float, steps: int) -> np.ndarr
     return w
 
 
-def fit_svm(m: np.ndarray, positive: np.ndarray, ridge: float = 1e-4, steps: int = 200) -> np.ndarray:
-    """Linear support vector machine, squared hinge loss, classes weighted alike."""
+class SparseRows:
+    """Rows with an intercept, stored sparsely; multiplies like the matrix of :func:`dense`."""
+
+    def __init__(self, rows: list[tuple[list[int], list[float]]], dimensions: int = DIMENSIONS) -> None:
+        sizes = np.array([len(at) for at, _ in rows], np.int64)
+        self.shape = (len(rows), dimensions + 1)
+        self.row = np.repeat(np.arange(len(rows), dtype=np.int32), sizes)
+        self.at = np.concatenate([np.asarray(at, np.int32) for at, _ in rows])
+        self.x = np.concatenate([np.asarray(x, np.float32) for _, x in rows])
+
+    def times(self, w: np.ndarray) -> np.ndarray:
+        return np.bincount(self.row, self.x * w[self.at], self.shape[0]) + w[-1]
+
+    def transposed_times(self, v: np.ndarray) -> np.ndarray:
+        out = np.bincount(self.at, self.x * v[self.row], self.shape[1])
+        out[-1] = v.sum()
+        return out
+
+
+def fit_svm(
+    m: np.ndarray | SparseRows,
+    positive: np.ndarray,
+    weight: np.ndarray | None = None,
+    ridge: float = 1e-4,
+    steps: int = 200,
+) -> np.ndarray:
+    """Linear support vector machine, squared hinge loss, both sides weighted alike; ``weight`` shares a side among its rows."""
     y = np.where(positive, 1.0, -1.0)
-    share = np.where(positive, 0.5 / max(1, positive.sum()), 0.5 / max(1, (~positive).sum()))
+    weight = np.ones(len(y)) if weight is None else weight
+    up, down = weight[positive].sum(), weight[~positive].sum()
+    share = weight * np.where(positive, 0.5 / (up or 1.0), 0.5 / (down or 1.0))
+    if isinstance(m, SparseRows):
+        times, back = m.times, m.transposed_times
+    else:
+        times, back = (lambda w: m @ w.astype(m.dtype)), (lambda v: m.T @ v.astype(m.dtype))
 
     def gradient(w: np.ndarray) -> np.ndarray:
-        slack = np.maximum(0.0, 1.0 - y * (m @ w.astype(m.dtype)))
-        return ridge * w - 2.0 * (m.T @ (share * y * slack).astype(m.dtype))
+        slack = np.maximum(0.0, 1.0 - y * times(w))
+        return ridge * w - 2.0 * back(share * y * slack)
 
     return descend(gradient, m.shape[1], ridge + 4.0, steps)
 

@@ -3,11 +3,14 @@
 Texts are hashed byte n-grams, read whole. A linear support vector machine per
 family, against the rest, picks the family; inside it a machine per pair of
 languages votes, ties going to the larger sum of margins, then to the first
-name. Machines are fitted on the driver from a bounded sample: at most
-``SAMPLE`` texts for each of the ``LANGUAGES`` most frequent languages, drawn
-by hash. Only sparse features of the sample leave the executors; models are a
-few weights per language and travel with the function. Prediction is a pass
-over the texts, nothing is shuffled.
+name. Machines are fitted from a bounded sample of every language: at most
+``SAMPLE`` texts of each, drawn by hash among those with a letter. A family
+machine sees the whole sample, each family weighted alike and each language
+alike within it. Only sparse features of the sample leave the executors. Up to
+``DRIVER_LANGUAGES`` languages the driver fits the machines, beyond that Spark
+tasks do, one machine at a time. The sample grows with the number of languages,
+not of texts; models are a few weights per language and travel with the
+function. Prediction is a pass over the texts, nothing is shuffled.
 
 Learned from: text and language of rows that are not held out. Rows with NULL
 text, NULL language or no letter teach nothing. A prediction uses the text
@@ -23,15 +26,17 @@ from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tideline.llm.features import DIMENSIONS, dense, fit_svm, gram_counts, margin, sparse, unit
+from tideline.llm.features import DIMENSIONS, SparseRows, fit_svm, gram_counts, margin, sparse, unit
+from tideline.operators.sizing import lookup
 
-#: Texts per language, and languages, that the machines are fitted on.
+#: Texts per language that the machines are fitted on.
 SAMPLE = 300
-LANGUAGES = 64
+#: Most languages whose machines the driver fits by itself.
+DRIVER_LANGUAGES = 16
 LETTER = r"\p{L}"
 
 #: Language families by ISO 639-1 code. A language that is not listed is a family of its own.
@@ -45,40 +50,82 @@ FAMILIES = {
 }
 
 
+Rows = list[tuple[str, list[int], list[float]]]
+
+
+class Sample:
+    """The rows of a sample by language, and the fit of one machine on them."""
+
+    def __init__(self, rows: Rows, families: dict[str, list[str]]) -> None:
+        self.families = families
+        self.by_lang: dict[str, list] = {}
+        for lang, at, x in rows:
+            self.by_lang.setdefault(lang, []).append((at, x))
+        self.whole: tuple | None = None
+
+    def fit(self, job: tuple[str, str | None, str | None]) -> np.ndarray:
+        """The machine of a family against the rest, or of a pair of languages."""
+        name, one, other = job
+        if one is not None:
+            up, down = self.by_lang[one], self.by_lang[other]
+            return fit_svm(SparseRows(up + down), np.arange(len(up) + len(down)) < len(up))
+        if self.whole is None:
+            rows, of, weight = [], [], []
+            for family, langs in self.families.items():
+                for lang in langs:
+                    mine = self.by_lang[lang]
+                    rows += mine
+                    of += [family] * len(mine)
+                    weight += [1.0 / (len(langs) * len(mine))] * len(mine)
+            self.whole = SparseRows(rows), np.array(of), np.array(weight)
+        m, of, weight = self.whole
+        return fit_svm(m, of == name, weight)
+
+
+def fit_on_executors(spark: SparkSession):
+    """Fits machines as Spark tasks: jobs to weights, in the order of jobs."""
+
+    def fit_all(sample: Sample, jobs: list[tuple]) -> list[np.ndarray]:
+        shared = spark.sparkContext.broadcast(sample)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for i in batch.column("id").to_pylist():
+                    w = shared.value.fit(jobs[i]).astype(np.float64).tobytes()
+                    yield pa.RecordBatch.from_pydict({"i": pa.array([i], pa.int64()), "w": pa.array([w], pa.binary())})
+
+        found = spark.range(0, len(jobs), 1, len(jobs)).mapInArrow(run, "i bigint, w binary").collect()
+        shared.unpersist()
+        return [np.frombuffer(bytes(r.w)) for r in sorted(found, key=lambda r: r.i)]
+
+    return fit_all
+
+
 class Hierarchy:
     """Fitted machines; plain arrays, so that it travels with a function."""
 
-    def __init__(self, rows: list[tuple[str, list[int], list[float]]], families: Mapping[str, tuple[str, ...]]) -> None:
+    def __init__(self, rows: Rows, families: Mapping[str, tuple[str, ...]], fit_all=None) -> None:
         family_of = {lang: family for family, langs in families.items() for lang in langs}
         self.languages = sorted({lang for lang, *_ in rows})
         self.families: dict[str, list[str]] = {}
         for lang in self.languages:
             self.families.setdefault(family_of.get(lang, lang), []).append(lang)
         self.names = sorted(self.families)
-        by_lang: dict[str, list] = {}
-        for lang, at, x in rows:
-            by_lang.setdefault(lang, []).append((at, x))
-        self.family_machines = np.zeros((0, DIMENSIONS + 1))
-        if len(self.names) > 1:
-            # As many texts of each family, so that no matrix grows with the number of languages.
-            share = max(1, 2 * SAMPLE // len(self.names))
-            picked = []
-            for name in self.names:
-                each = max(1, share // len(self.families[name]))
-                picked += [(name, row) for lang in self.families[name] for row in by_lang[lang][:each]]
-            m = dense([row for _, row in picked])
-            of = np.array([name for name, _ in picked])
-            self.family_machines = np.stack([fit_svm(m, of == name) for name in self.names])
+        jobs: list[tuple] = [(name, None, None) for name in self.names] if len(self.names) > 1 else []
         self.pairs: dict[str, list[tuple[int, int]]] = {}
-        self.pair_machines: dict[str, np.ndarray] = {}
         for name, langs in self.families.items():
-            pairs = [(i, j) for i in range(len(langs)) for j in range(i + 1, len(langs))]
-            machines = []
-            for i, j in pairs:
-                one, other = by_lang[langs[i]], by_lang[langs[j]]
-                machines.append(fit_svm(dense(one + other), np.arange(len(one) + len(other)) < len(one)))
-            self.pairs[name] = pairs
-            self.pair_machines[name] = np.stack(machines) if machines else np.zeros((0, DIMENSIONS + 1))
+            self.pairs[name] = [(i, j) for i in range(len(langs)) for j in range(i + 1, len(langs))]
+            jobs += [(name, langs[i], langs[j]) for i, j in self.pairs[name]]
+        sample = Sample(rows, self.families)
+        fitted = fit_all(sample, jobs) if fit_all and jobs else [sample.fit(job) for job in jobs]
+        none = np.zeros((0, DIMENSIONS + 1))
+        machines: dict[str, list] = {name: [] for name in self.families}
+        for (name, one, _), w in zip(jobs, fitted, strict=True):
+            if one is not None:
+                machines[name].append(w)
+        of_family = [w for (_, one, _), w in zip(jobs, fitted, strict=True) if one is None]
+        self.family_machines = np.stack(of_family) if of_family else none
+        self.pair_machines = {name: np.stack(ws) if ws else none for name, ws in machines.items()}
 
     def predict(self, text: str) -> tuple[str, float]:
         x = unit(gram_counts(text.lower().encode()))
@@ -116,35 +163,38 @@ def readable(text: str = "text") -> Column:
 
 def _sparse_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
+        columns = (batch.column(c).to_pylist() for c in ("lang", "_rank", "text"))
+        for lang, rank, text in zip(*columns, strict=True):
             at, x = sparse(unit(gram_counts(text.lower().encode())))
             yield pa.RecordBatch.from_pydict(
-                {"lang": [lang], "at": pa.array([at], pa.list_(pa.int32())), "x": pa.array([x], pa.list_(pa.float32()))}
+                {
+                    "lang": [lang],
+                    "rank": pa.array([rank], pa.int32()),
+                    "at": pa.array([at], pa.list_(pa.int32())),
+                    "x": pa.array([x], pa.list_(pa.float32())),
+                }
             )
 
 
 def learn(
-    df: DataFrame,
-    sample: int = SAMPLE,
-    languages: int = LANGUAGES,
-    families: Mapping[str, tuple[str, ...]] = FAMILIES,
+    df: DataFrame, sample: int = SAMPLE, families: Mapping[str, tuple[str, ...]] = FAMILIES
 ) -> Hierarchy | None:
     """Machines from rows with ``doc_id``, ``text`` and ``lang``; NULL languages and letterless texts are left out."""
-    labelled = df.filter(F.col("lang").isNotNull())
-    counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()
-    if not counts:
-        return None
+    labelled = df.filter(F.col("lang").isNotNull() & readable())
+    counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("_count"))
     # Four times the sample passes the first filter on average; the rank makes the bound strict.
     h = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
-    share = F.lit(None).cast("double")
-    for row in counts:
-        share = F.when(F.col("lang") == row.lang, F.lit(min(1.0, 4 * sample / row["count"]))).otherwise(share)
-    some = labelled.withColumn("_h", h).filter((F.col("_h") < share * (1 << 30)) & readable())
-    ranked = some.withColumn("_rank", F.row_number().over(W.partitionBy("lang").orderBy("_h", "doc_id")))
-    chosen = ranked.filter(F.col("_rank") <= sample).select("lang", "text")
-    rows = chosen.mapInArrow(_sparse_rows, "lang string, at array<int>, x array<float>").collect()
-    rows = sorted((r.lang, r.at, r.x) for r in rows)
-    return Hierarchy(rows, families) if rows else None
+    known = lookup(labelled.withColumn("_h", h), counts, ["lang"])
+    some = known.filter(F.col("_h") < F.least(F.lit(1.0), 4 * sample / F.col("_count")) * (1 << 30))
+    ranked = some.withColumn("_rank", F.row_number().over(W.partitionBy("lang").orderBy("_h", "doc_id", "text")))
+    chosen = ranked.filter(F.col("_rank") <= sample).select("lang", "_rank", "text")
+    rows = chosen.mapInArrow(_sparse_rows, "lang string, rank int, at array<int>, x array<float>").collect()
+    # In the order of the hash within a language.
+    rows = [(r.lang, r.at, r.x) for r in sorted(rows, key=lambda r: (r.lang, r["rank"]))]
+    if not rows:
+        return None
+    many = len({lang for lang, *_ in rows}) > DRIVER_LANGUAGES
+    return Hierarchy(rows, families, fit_on_executors(df.sparkSession) if many else None)
 
 
 def predict_column(model: Hierarchy | None, text: Column) -> Column:

@@ -166,3 +166,13 @@ def test_every_language_is_learned(spark):
     readable = [r for r in rows if r[1] != "12 !"]
     assert {got[i] for i, _, _ in readable} == set(names)
     assert sum(got[i] == n for i, _, n in readable) > 0.97 * len(readable)
+
+
+def test_family_machines_see_the_whole_sample(monkeypatch):
+    from tideline.llm import langid
+
+    seen, fit = [], langid.fit_svm
+    monkeypatch.setattr(langid, "fit_svm", lambda m, *rest: seen.append(m.shape[0]) or fit(m, *rest))
+    rows = [(f"l{k:02}", [k, 900], [0.8, 0.6]) for k in range(12) for _ in range(60)]
+    Hierarchy(rows, {})
+    assert seen == [len(rows)] * 12

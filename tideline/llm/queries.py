@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tideline.llm.alignment import alignment_report
 from tideline.llm.bpe import bpe_report
 from tideline.llm.exact_dedup import dedup_report
 from tideline.llm.langid import language_report
@@ -68,6 +69,15 @@ def op10_mixing(spark, sf_dir):
     return mix_report(table(spark, sf_dir, "documents"))
 
 
+def op13_alignment(spark, sf_dir, a_path: str | None = None, b_path: str | None = None):
+    """``a_path``, ``b_path``: the two vocabularies; by default those of the public tokenizers."""
+    return alignment_report(
+        table(spark, sf_dir, "documents"),
+        a_path or tokenizers.path("byte_bpe_50k.json"),
+        b_path or tokenizers.path("piece_bpe_32k.model"),
+    )
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_secret_scans": op1_secret_scans,
@@ -80,4 +90,5 @@ def llm_queries() -> dict[str, Query]:
         "op8_simhash": op8_simhash,
         "op9_language_id": op9_language_id,
         "op10_mixing": op10_mixing,
+        "op13_alignment": op13_alignment,
     }

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tideline.operators.sizing import ensure_checkpoint_dir
+from tideline.operators.sizing import BROADCAST_BYTES, ensure_checkpoint_dir
 
 #: ASCII white space splits words; everything else belongs to one.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -37,6 +37,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def measured_join(rows: DataFrame, side: DataFrame, key: str) -> DataFrame:
+    """Inner join to a narrow table with a row per key: broadcast if it has been counted and is small, else shuffled."""
+    side = checkpointed(side)
+    n = side.count()
+    width = 8 * len(side.columns)
+    return rows.join(F.broadcast(side) if n * width <= BROADCAST_BYTES else side, key)
+
+
 def own_names(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     """``df`` with names that clash with nothing an operator adds, and the new name of each column."""
     names = {c: f"_own{i}" for i, c in enumerate(df.columns)}

@@ -13,6 +13,7 @@ from tideline.llm.exact_dedup import dedup_report
 from tideline.llm.langid import language_report
 from tideline.llm.mixing import mix_report
 from tideline.llm.quality import quality_report
+from tideline.llm.runs import run_report
 from tideline.llm.secret_scan import secret_report
 from tideline.llm.sharding import shard_report
 from tideline.llm.simhash import simhash_report
@@ -69,6 +70,10 @@ def op10_mixing(spark, sf_dir):
     return mix_report(table(spark, sf_dir, "documents"))
 
 
+def op11_runs(spark, sf_dir):
+    return run_report(table(spark, sf_dir, "documents"))
+
+
 def op13_alignment(spark, sf_dir, a_path: str | None = None, b_path: str | None = None):
     """``a_path``, ``b_path``: the two vocabularies; by default those of the public tokenizers."""
     return alignment_report(
@@ -90,5 +95,6 @@ def llm_queries() -> dict[str, Query]:
         "op8_simhash": op8_simhash,
         "op9_language_id": op9_language_id,
         "op10_mixing": op10_mixing,
+        "op11_runs": op11_runs,
         "op13_alignment": op13_alignment,
     }

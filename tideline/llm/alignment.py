@@ -17,8 +17,8 @@ document until the last one puts its row together. Shorter texts are one fragmen
 Spans. A blank behind a character that is neither white space nor U+2581
 starts a new span: A's pattern never matches across it, and no piece of B has
 U+2581 behind another character (checked when the model is loaded; otherwise a
-text is one span). So both tokenizers treat spans independently, and those that
-texts of one portion share are aligned once.
+text is one span). So both tokenizers treat spans independently, and a worker
+remembers the alignment of the last ones it has seen.
 
 NULL or empty texts, and texts that the tokens of A or B do not spell byte by
 byte in each span (B reads U+2581 as a blank), have no tokens: zeros and ''. Repeated rows
@@ -40,7 +40,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.llm.shared import measured_join, own_names, stored
@@ -52,8 +52,10 @@ FAN = 16
 #: Spans that are aligned together, and those of them that are tokenized as one text.
 SPANS = 20_000
 RUN_SPANS = 500
+#: Spans whose alignment a worker remembers; when there are more, it starts over.
+REMEMBERED = 400_000
 #: Characters of texts that are aligned together.
-PORTION_CHARS = 1 << 22
+PORTION_CHARS = 1 << 20
 
 BLANK = "▁"
 #: A blank that starts no span, as white space or U+2581 precedes it.
@@ -165,15 +167,19 @@ class Alignments:
     n: np.ndarray
     ends: np.ndarray
 
-    def array(self) -> pa.StructArray:
+    def array(self, digest: bool) -> pa.StructArray:
         items = pa.StructArray.from_arrays([pa.array(self.pairs), pa.array(self.n.astype(np.int32))], ["pair", "n"])
         ends = pa.array(np.concatenate([[0], self.ends]).astype(np.int32))
         return pa.StructArray.from_arrays(
-            [*(pa.array(c) for c in self.totals.T.copy()), pa.array(self.groups, pa.string()), pa.ListArray.from_arrays(ends, items)],
+            [*map(pa.array, self.totals.T.copy()), pa.array(map(line_digest, self.groups) if digest else self.groups, pa.string()), pa.ListArray.from_arrays(ends, items)],
             list(COLUMNS),
         )
 
 
+def line_digest(groups: str) -> str:
+    return hashlib.sha256(groups.encode()).hexdigest() if groups else ""
+
+
 def byte_alphabet() -> dict[str, int]:
     """The characters that stand for bytes in byte-level vocabularies: visible ones for themselves, then U+0100 on."""
     visible = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
@@ -207,6 +213,7 @@ class Aligner:
             [f"{i}{mark}" for i in range(n) for mark in (",", last)]
             for n, last in ((len(self.a_bytes), "|"), (len(self.b_bytes), ";"))
         )
+        self._forget()
         self.splits = not any(BLANK in self.b.id_to_piece(i).lstrip(BLANK) for i in range(self.b.get_piece_size()))
 
     def spans(self, text: str) -> list[str]:
@@ -248,34 +255,57 @@ class Aligner:
         ]
 
     def whole(self, texts: list[str]) -> Alignments:
-        """The alignments of whole texts; a span that several of them share is aligned once."""
+        """The alignments of whole texts."""
         parts = [self.spans(t) if t else [] for t in texts]
-        number = {s: i for i, s in enumerate(dict.fromkeys(chain.from_iterable(parts)))}
-        distinct = list(number)
-        known = [self._align(distinct[i : i + SPANS]) for i in range(0, len(distinct), SPANS)]
-        counts, pairs, groups, fits = (
-            list(chain.from_iterable(x)) if isinstance(x[0], list) else np.concatenate(x) for x in zip(*known, strict=True)
-        ) if known else (np.zeros((0, 4), np.int64), np.zeros(0, np.int64), [], np.zeros(0, bool))
-        at = np.fromiter(map(number.__getitem__, chain.from_iterable(parts)), np.int64)
+        self._learn(dict.fromkeys(chain.from_iterable(parts)))
+        at = np.fromiter(map(self.number.__getitem__, chain.from_iterable(parts)), np.int64)
         size = np.array([len(some) for some in parts], np.int64)
         text_of = np.repeat(np.arange(len(texts)), size)
         whole = size > 0
-        whole[text_of[~fits[at]]] = False
+        whole[text_of[~self.fits[at]]] = False
         at, text_of = at[whole[text_of]], text_of[whole[text_of]]
-        totals = np.stack([np.bincount(text_of, counts[at, i], len(texts)) for i in range(4)], axis=1).astype(np.int64)
-        n_links = counts[at, 3]
-        first = np.cumsum(counts[:, 3]) - counts[:, 3]
-        place = np.repeat(first[at] - (np.cumsum(n_links) - n_links), n_links) + np.arange(n_links.sum())
-        ids, pair = np.unique(pairs, return_inverse=True)
-        held, n = np.unique(np.repeat(text_of, n_links) * max(1, len(ids)) + pair[place], return_counts=True)
-        ends = np.searchsorted(held, np.arange(1, len(texts) + 1) * max(1, len(ids)))
-        ids = ids[held % len(ids)] if len(ids) else ids
-        at, n_spans = at.tolist(), np.bincount(text_of, minlength=len(texts)).tolist()
-        lines, i = [], 0
-        for k in n_spans:
-            lines.append(";".join([groups[j] for j in at[i : i + k]]))
+        counts = self.counts[at]
+        totals = np.stack([np.bincount(text_of, c, len(texts)) for c in counts.T], axis=1).astype(np.int64)
+        n_links = counts[:, 3]
+        place = np.repeat(self.first[at] - (np.cumsum(n_links) - n_links), n_links) + np.arange(n_links.sum())
+        # A text's links, each as text * pairs + pair.
+        pairs = len(self.pair_number) or 1
+        held, n = np.unique(np.repeat(text_of, n_links) * pairs + self.links[place], return_counts=True)
+        ends = np.searchsorted(held, np.arange(1, len(texts) + 1) * pairs)
+        ids = np.fromiter(self.pair_number, np.int64, len(self.pair_number))
+        at, lines, i = at.tolist(), [], 0
+        for k in np.bincount(text_of, minlength=len(texts)).tolist():
+            lines.append(";".join([self.groups[j] for j in at[i : i + k]]))
             i += k
-        return Alignments(totals, lines, ids, n, ends)
+        return Alignments(totals, lines, ids[held % pairs] if len(ids) else ids, n, ends)
+
+    def _forget(self) -> None:
+        self.number: dict[str, int] = {}
+        self.groups: list[str] = []
+        self.fits, self.counts = np.zeros(0, bool), np.zeros((0, 4), np.int64)
+        self.first, self.links = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.pair_number: dict[int, int] = {}
+
+    def _learn(self, some: dict[str, None]) -> None:
+        """Align the spans that are not remembered."""
+        new = [s for s in some if s not in self.number]
+        if len(self.number) + len(new) > REMEMBERED:
+            self._forget()
+            new = list(some)
+        if not new:
+            return
+        self.number.update(zip(new, range(len(self.groups), len(self.groups) + len(new)), strict=True))
+        counts, links, fits = [self.counts], [self.links], [self.fits]
+        for i in range(0, len(new), SPANS):
+            count, pairs, groups, fit = self._align(new[i : i + SPANS])
+            ids, which = np.unique(pairs, return_inverse=True)
+            numbers = [self.pair_number.setdefault(p, len(self.pair_number)) for p in ids.tolist()]
+            links.append(np.array(numbers, np.int32)[which])
+            counts.append(count)
+            fits.append(fit)
+            self.groups += groups
+        self.counts, self.links, self.fits = np.concatenate(counts), np.concatenate(links), np.concatenate(fits)
+        self.first = np.cumsum(self.counts[:, 3]) - self.counts[:, 3]
 
     def _align(self, some: list[str]) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray]:
         """Of each span: (n_a, n_b, n_groups, n_links), its pairs one after the other, its groups, and whether it fits."""
@@ -411,7 +441,7 @@ def _fragment_type() -> pa.Schema:
     return pa.schema([(c, kinds.get(c, pa.int64())) for c in names])
 
 
-def align_column(text, a_json: str, b_model: bytes):
+def align_column(text: Column, a_json: str, b_model: bytes, digest: bool) -> Column:
     """The alignment of whole texts, given as bytes."""
     load = once_per_process(a_json, b_model)
 
@@ -422,14 +452,14 @@ def align_column(text, a_json: str, b_model: bytes):
             some.append(readable(t.as_py()))
             size += len(some[-1])
             if size >= PORTION_CHARS or i == len(texts) - 1:
-                out.append(held.whole(some).array())
+                out.append(held.whole(some).array(digest))
                 some, size = [], 0
-        return pa.concat_arrays(out) if out else held.whole([]).array()
+        return pa.concat_arrays(out) if out else held.whole([]).array(digest)
 
     return align(text)
 
 
-def compose_long(docs: DataFrame, a_json: str, b_model: bytes, range_bytes: int) -> DataFrame:
+def compose_long(docs: DataFrame, a_json: str, b_model: bytes, digest: bool, range_bytes: int) -> DataFrame:
     """(doc, result) of long texts: spans, fragments, and levels of composition."""
     load = once_per_process(a_json, b_model)
     schema = _fragment_type()
@@ -475,18 +505,24 @@ def compose_long(docs: DataFrame, a_json: str, b_model: bytes, range_bytes: int)
             f = _fragment(row).closed()
             if not f.fits or f.tail[0] or f.tail[1]:
                 f = Fragment()
-            links = sum(f.pairs.values())
-            out.append(dict(zip(COLUMNS, (f.n_a, f.n_b, f.n_groups, links, ";".join(f.groups), _pair_list(f.pairs)), strict=True)))
+            links, line = sum(f.pairs.values()), ";".join(f.groups)
+            line = line_digest(line) if digest else line
+            out.append(dict(zip(COLUMNS, (f.n_a, f.n_b, f.n_groups, links, line, _pair_list(f.pairs)), strict=True)))
         kinds = {c: schema.field(c).type for c in ("groups", "pairs")}
         return pa.array(out, pa.struct([(c, kinds.get(c, pa.int64())) for c in COLUMNS]))
 
     return level.select("doc", finish(F.struct(*schema.names)).alias("_r"))
 
 
-def align(df: DataFrame, a_path: str, b_path: str, text: str = "text", range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """``df`` with n_a, n_b, n_groups, n_links, groups (``a1,a2|b1;a3|b2``) and pairs (A's id << 32 | B's, and links)."""
+def align(
+    df: DataFrame, a_path: str, b_path: str, text: str = "text", digest: bool = False, range_bytes: int = RANGE_BYTES
+) -> DataFrame:
+    """``df`` with n_a, n_b, n_groups, n_links, groups (``a1,a2|b1;a3|b2``) and pairs (A's id << 32 | B's, and links).
+
+    ``digest``: of groups, which take several times the text's bytes, the SHA-256 in hexadecimal only ('' if there are none).
+    """
     with open(a_path, encoding="utf-8") as a, open(b_path, "rb") as b:
-        models = a.read(), b.read()
+        models = a.read(), b.read(), digest
     kept = [c for c in df.columns if c not in COLUMNS]
     df, own = own_names(df)
     names = [own[c] for c in kept]
@@ -509,13 +545,8 @@ def link_counts(aligned: DataFrame) -> DataFrame:
 
 def alignment_report(df: DataFrame, a_path: str, b_path: str, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """One row per document: tokens, groups, links, and how common its links are corpus-wide."""
-    aligned = align(df.select("doc_id", "text"), a_path, b_path, range_bytes=range_bytes)
-    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise(F.lit(""))
-    aligned = aligned.select(
-        "doc_id", "n_a", "n_b", "n_groups", "n_links", digest.alias("groups_sha256"), "pairs",
-        F.monotonically_increasing_id().alias("row"),
-    )
-    aligned = stored(aligned, "aligned")
+    aligned = align(df.select("doc_id", "text"), a_path, b_path, digest=True, range_bytes=range_bytes)
+    aligned = stored(aligned.withColumn("row", F.monotonically_increasing_id()), "aligned")
     links = aligned.select("row", F.explode("pairs").alias("p")).select("row", "p.pair", "p.n")
     sums = (
         measured_join(links, link_counts(aligned), "pair")
@@ -528,5 +559,5 @@ def alignment_report(df: DataFrame, a_path: str, b_path: str, range_bytes: int =
     none = F.lit(0).cast("bigint")
     return aligned.drop("pairs").join(sums, "row", "left").select(
         "doc_id", "n_a", "n_b", "n_groups", "n_links",
-        F.coalesce("n_best", none).alias("n_best"), F.coalesce("count_sum", none).alias("count_sum"), "groups_sha256",
+        F.coalesce("n_best", none).alias("n_best"), F.coalesce("count_sum", none).alias("count_sum"), F.col("groups").alias("groups_sha256"),
     )

@@ -1,12 +1,12 @@
 """The same results as DuckDB SQL, where SQL can express them.
 
-Left out: op3 (byte pair merges), op6 and op9 (fitted models), op8 (XXH64);
+Left out: op3 and op13 (byte pair merges), op6 and op9 (fitted models), op8 (XXH64), op11 (suffix trees);
 those are tested against brute force, a round trip or held-out rows.
 """
 
 from __future__ import annotations
 
-from tideline.llm import mixing, secret_scan, sharding, warc
+from tideline.llm import fingerprints, mixing, secret_scan, sharding, warc
 
 OP2 = f"""
 WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
@@ -124,6 +124,34 @@ SELECT doc_id, size, o.source_size, target,
 FROM o LEFT JOIN y ON y.g = o.g AND y.rank = o.start // o.block AND o.start < o.reach"""
 
 
+def _op12() -> str:
+    k, digits, top = fingerprints.SHINGLE_WORDS, fingerprints.HEX_DIGITS, fingerprints.limit(fingerprints.FRACTION)
+
+    def sketch(text: str) -> str:
+        words = f"list_filter(string_split_regex({text}, '[\\x20\\x09-\\x0D]+'), x -> x <> '')"
+        return f"""(SELECT CASE WHEN len(low) > 0 OR len(h) = 0 THEN list_sort(list_distinct(low)) ELSE [list_min(h)] END FROM
+            (SELECT h, list_filter(h, x -> x < '{top}') AS low FROM (SELECT CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[]) ELSE
+                list_transform(range(greatest(len(w) - {k - 1}, 1)), i -> substr(md5(array_to_string(w[i + 1:i + {k}], ' ')), 1, {digits})) END AS h
+                FROM (SELECT {words} AS w))))"""
+
+    def near(a: str, b: str, jaccard: bool) -> str:
+        shared = f"CAST(len(list_intersect({a}, {b})) AS DOUBLE)"
+        of, some = (f"(len({a}) + len({b}) - {shared})", f"len({a}) + len({b})") if jaccard else (f"len({a})", f"len({a})")
+        return f"CASE WHEN {some} > 0 THEN {shared} / {of} WHEN len({b}) > 0 THEN 0.0 ELSE 1.0 END"
+
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+u AS (SELECT *, row_number() OVER (ORDER BY doc_id NULLS FIRST, md5(t)) - 1 AS pos FROM (SELECT DISTINCT doc_id, t FROM d)),
+p AS (SELECT u.doc_id, u.t, CAST(length(u.t) AS BIGINT) AS n_chars, n.doc_id AS next_id, n.t AS nt,
+             substr(u.t, 1, length(u.t) - length(u.t) // 2) || substr(n.t, 1, length(u.t) // 2) AS edited
+      FROM u JOIN u AS n ON n.pos = (u.pos + 1) % (SELECT count(*) FROM u)),
+k AS (SELECT *, {sketch("t")} AS s, {sketch("edited")} AS e, {sketch("nt")} AS n FROM p)
+SELECT d.doc_id, n_chars, sha256(edited) AS edited_sha256, array_to_string(s, ',') AS fingerprint,
+       array_to_string(e, ',') AS edited_fingerprint, {near("s", "e", False)} AS near_edited, {near("s", "n", False)} AS near_next,
+       next_id, {near("s", "e", True)} AS jaccard_edited, {near("s", "n", True)} AS jaccard_next
+FROM d JOIN k ON d.doc_id IS NOT DISTINCT FROM k.doc_id AND d.t = k.t"""
+
+
 def llm_oracles() -> dict[str, str]:
     return {
         "op1_secret_scans": _op1(),
@@ -132,4 +160,5 @@ def llm_oracles() -> dict[str, str]:
         "op5_top_k": OP5,
         "op7_sharding": _op7(),
         "op10_mixing": _op10(),
+        "op12_fingerprints": _op12(),
     }

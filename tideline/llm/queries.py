@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tideline.llm.alignment import alignment_report
 from tideline.llm.bpe import bpe_report
 from tideline.llm.exact_dedup import dedup_report
+from tideline.llm.fingerprints import fingerprint_report
 from tideline.llm.langid import language_report
 from tideline.llm.mixing import mix_report
 from tideline.llm.quality import quality_report
@@ -74,6 +75,10 @@ def op11_runs(spark, sf_dir):
     return run_report(table(spark, sf_dir, "documents"))
 
 
+def op12_fingerprints(spark, sf_dir):
+    return fingerprint_report(table(spark, sf_dir, "documents"))
+
+
 def op13_alignment(spark, sf_dir, a_path: str | None = None, b_path: str | None = None):
     """``a_path``, ``b_path``: the two vocabularies; by default those of the public tokenizers."""
     return alignment_report(
@@ -96,5 +101,6 @@ def llm_queries() -> dict[str, Query]:
         "op9_language_id": op9_language_id,
         "op10_mixing": op10_mixing,
         "op11_runs": op11_runs,
+        "op12_fingerprints": op12_fingerprints,
         "op13_alignment": op13_alignment,
     }

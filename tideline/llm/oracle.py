@@ -128,10 +128,10 @@ def _op12() -> str:
     k, digits, top = fingerprints.SHINGLE_WORDS, fingerprints.HEX_DIGITS, fingerprints.limit(fingerprints.FRACTION)
 
     def sketch(text: str) -> str:
-        words = f"list_filter(string_split_regex({text}, '[\\x20\\x09-\\x0D]+'), x -> x <> '')"
+        words = f"list_filter(string_split_regex({text}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
         return f"""(SELECT CASE WHEN len(low) > 0 OR len(h) = 0 THEN list_sort(list_distinct(low)) ELSE [list_min(h)] END FROM
-            (SELECT h, list_filter(h, x -> x < '{top}') AS low FROM (SELECT CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[]) ELSE
-                list_transform(range(greatest(len(w) - {k - 1}, 1)), i -> substr(md5(array_to_string(w[i + 1:i + {k}], ' ')), 1, {digits})) END AS h
+            (SELECT h, list_filter(h, lambda x: x < '{top}') AS low FROM (SELECT CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[]) ELSE
+                list_transform(range(greatest(len(w) - {k - 1}, 1)), lambda i: substr(md5(array_to_string(w[i + 1:i + {k}], ' ')), 1, {digits})) END AS h
                 FROM (SELECT {words} AS w))))"""
 
     def near(a: str, b: str, jaccard: bool) -> str:

@@ -30,6 +30,7 @@ gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 import sys
 from bisect import bisect_left
@@ -50,24 +51,25 @@ RANGE_BYTES = 1 << 16
 #: Fragments' ranges that one task composes.
 FAN = 16
 #: Spans that are aligned together, and those of them that are tokenized as one text.
-SPANS = 20_000
+SPANS = 10_000
 RUN_SPANS = 500
 #: Spans whose alignment a worker remembers; when there are more, it starts over.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 #: Characters of texts that are aligned together.
-PORTION_CHARS = 1 << 20
+PORTION_CHARS = 1 << 19
 
 BLANK = "▁"
 #: A blank that starts no span, as white space or U+2581 precedes it.
 INNER_BLANK = re.compile(rf"[\s{BLANK}] ")
 PAIR = "array<struct<pair:bigint,n:int>>"
-RESULT = f"struct<n_a:bigint,n_b:bigint,n_groups:bigint,n_links:bigint,groups:string,pairs:{PAIR}>"
+COLUMNS = ("n_a", "n_b", "n_groups", "n_links", "groups", "pairs")
+RESULT_TYPES = dict.fromkeys(COLUMNS, "bigint") | {"groups": "string", "pairs": PAIR}
+RESULT = "struct<" + ",".join(f"{c}:{kind}" for c, kind in RESULT_TYPES.items()) + ">"
 TOKENS = "array<struct<id:int,end:bigint>>"
 FRAGMENT = (
     f"doc bigint, part bigint, at bigint, fits boolean, cut boolean, n_a bigint, n_b bigint, n_groups bigint, groups string, "
     f"pairs {PAIR}, head_a {TOKENS}, head_b {TOKENS}, tail_a {TOKENS}, tail_b {TOKENS}"
 )
-COLUMNS = ("n_a", "n_b", "n_groups", "n_links", "groups", "pairs")
 
 Token = tuple[int, int]  # id and the byte where it ends
 
@@ -194,6 +196,8 @@ def piece_bytes(model, i: int) -> bytes:
 
 class Aligner:
     def __init__(self, a_json: str, b_model: bytes) -> None:
+        # Spark runs a task per core already.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
         from tokenizers import Tokenizer
 
@@ -463,6 +467,7 @@ def compose_long(docs: DataFrame, a_json: str, b_model: bytes, digest: bool, ran
     """(doc, result) of long texts: spans, fragments, and levels of composition."""
     load = once_per_process(a_json, b_model)
     schema = _fragment_type()
+    results = pa.schema([("doc", pa.int64()), *((c, schema.field(c).type if c in schema.names else pa.int64()) for c in COLUMNS)])
 
     @F.arrow_udf("array<struct<start:bigint,piece:string>>")
     def cut(texts: pa.Array) -> pa.Array:
@@ -481,37 +486,37 @@ def compose_long(docs: DataFrame, a_json: str, b_model: bytes, digest: bool, ran
                 rows = [_row(row["doc"], *f) for f in held.fragments(row["piece"], row["start"], range_bytes)]
                 yield from pa.Table.from_pylist(rows, schema).to_batches()
 
-    def compose(table: pa.Table) -> pa.Table:
+    def total(table: pa.Table) -> tuple[dict, Fragment]:
         rows = sorted(table.to_pylist(), key=lambda r: r["at"])
-        total = Fragment()
+        whole = Fragment()
         for row in rows:
-            total = total + _fragment(row)
-        return pa.Table.from_pylist([_row(rows[0]["doc"], rows[0]["part"], rows[0]["at"], total)], schema)
+            whole = whole + _fragment(row)
+        return rows[0], whole
+
+    def compose(table: pa.Table) -> pa.Table:
+        first, whole = total(table)
+        return pa.Table.from_pylist([_row(first["doc"], first["part"], first["at"], whole)], schema)
+
+    def finish(table: pa.Table) -> pa.Table:
+        first, whole = total(table)
+        whole = whole.closed()
+        if not whole.fits or whole.tail[0] or whole.tail[1]:
+            whole = Fragment()
+        links, line = sum(whole.pairs.values()), ";".join(whole.groups)
+        line = line_digest(line) if digest else line
+        row = (whole.n_a, whole.n_b, whole.n_groups, links, line, _pair_list(whole.pairs))
+        return pa.Table.from_pylist([{"doc": first["doc"], **dict(zip(COLUMNS, row, strict=True))}], results)
 
     longest = docs.agg(F.max(F.octet_length("text"))).first()[0] or 0
     pieces = docs.select("doc", F.explode(cut(F.col("text"))).alias("s")).select("doc", "s.start", "s.piece")
     level = pieces.repartition("doc", "start").mapInArrow(fragments, FRAGMENT)
     parts = longest // range_bytes + 1
-    while True:
+    while parts > FAN:
         level = level.withColumn("part", F.expr(f"part div {FAN}")).groupBy("doc", "part").applyInArrow(compose, FRAGMENT)
         parts = -(-parts // FAN)
-        if parts <= 1:
-            break
-
-    @F.arrow_udf(RESULT)
-    def finish(rows: pa.Array) -> pa.Array:
-        out = []
-        for row in rows.to_pylist():
-            f = _fragment(row).closed()
-            if not f.fits or f.tail[0] or f.tail[1]:
-                f = Fragment()
-            links, line = sum(f.pairs.values()), ";".join(f.groups)
-            line = line_digest(line) if digest else line
-            out.append(dict(zip(COLUMNS, (f.n_a, f.n_b, f.n_groups, links, line, _pair_list(f.pairs)), strict=True)))
-        kinds = {c: schema.field(c).type for c in ("groups", "pairs")}
-        return pa.array(out, pa.struct([(c, kinds.get(c, pa.int64())) for c in COLUMNS]))
-
-    return level.select("doc", finish(F.struct(*schema.names)).alias("_r"))
+    out = "doc bigint, " + ", ".join(f"{c} {kind}" for c, kind in RESULT_TYPES.items())
+    done = level.groupBy("doc").applyInArrow(finish, out)
+    return done.select("doc", F.struct(*COLUMNS).alias("_r"))
 
 
 def align(

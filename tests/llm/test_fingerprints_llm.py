@@ -27,12 +27,9 @@ def share(a, b):
 
 
 def brute(rows):
-    docs = sorted({(i, t or "") for i, t in rows}, key=lambda d: (d[0] is not None, d[0] or 0, hashlib.md5(d[1].encode()).hexdigest()))
-    after = dict(zip(docs, docs[1:] + docs[:1]))
+    docs = sorted([(i, t or "") for i, t in rows], key=lambda d: (d[0] is not None, d[0] or 0, hashlib.md5(d[1].encode()).hexdigest()))
     out = []
-    for i, t in rows:
-        t = t or ""
-        j, u = after[i, t]
+    for (i, t), (j, u) in zip(docs, docs[1:] + docs[:1]):
         half = len(t) // 2
         edited = t[: len(t) - half] + u[:half]
         s, e, n = small(t), small(edited), small(u)
@@ -47,8 +44,8 @@ def test_report_equals_plain_python(spark):
     rows += [(7, None), (8, ""), (8, ""), (None, "a null id"), (None, None), (9, "x y z"), (9, "x y z"), (9, "x y"), (10, "word " * 9000), (11, " \n ")]
     want = sorted(map(str, brute(rows)))
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("key", F.lit("clash")).repartition(5)
-    for per in (1_000_000, 7):
-        got = fingerprint_report(df, rows_per_partition=per).collect()
+    for size in (1 << 25, 400):
+        got = fingerprint_report(df, bucket_bytes=size).collect()
         assert sorted(str(tuple(r)[:8]) for r in got) == want
 
 

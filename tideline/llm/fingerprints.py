@@ -23,18 +23,19 @@ from __future__ import annotations
 import math
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tideline.llm.shared import checkpointed, own_names
+from tideline.llm.shared import own_names
 
 SHINGLE_WORDS = 5
 #: Share of all hashes that sketches keep.
 FRACTION = 1 / 8
 HEX_DIGITS = 16
 SPLIT = r"[\x20\x09-\x0D]+"
-#: Rows that one range partition orders.
-ROWS_PER_PARTITION = 1_000_000
-MAX_PARTITIONS = 50_000
+#: Text that one bucket of neighbours holds, and most buckets; beyond, they get larger, and Spark spills them.
+BUCKET_BYTES = 32 << 20
+MAX_BUCKETS = 100_000
 
 
 def limit(fraction: float) -> str:
@@ -97,78 +98,74 @@ def with_sketch(df: DataFrame, text: str = "text", fraction: float = FRACTION, w
     return df.select(*(own[c] for c in kept), sketch(F.col(own[text]), fraction, words).alias("sketch")).toDF(*kept, "sketch")
 
 
-def numbered(keys: DataFrame, order: list[Column], rows_per_partition: int = ROWS_PER_PARTITION) -> tuple[DataFrame, int]:
-    """``keys`` (narrow rows) with ``pos``, their place from 0 in an order, and their number.
+def bucket_of(key: Column, bounds: list[str]) -> Column:
+    """The last of the sorted ``bounds`` that is not above ``key``, by bisection; the first is not above any key."""
+    # One literal, however many bounds: the optimizer folds the split.
+    bound = F.split(F.lit(",".join(bounds)), ",")
 
-    Range partitions are sorted and kept at a checkpoint; the driver adds up their sizes, one number a partition.
-    """
-    total = keys.count()
-    n = min(MAX_PARTITIONS, max(1, math.ceil(total / rows_per_partition)))
-    spread = checkpointed(
-        keys.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
-    ).withColumn("_part", F.shiftright("_at", 33))
-    sizes = sorted(spread.groupBy("_part").agg(F.min("_at"), F.count(F.lit(1))).collect())
-    before, shifts = 0, []
-    for part, first, size in sizes:
-        shifts.append((part, before - first))
-        before += size
-    shift = F.broadcast(keys.sparkSession.createDataFrame(shifts or [(0, 0)], "_part bigint, _shift bigint"))
-    return spread.join(shift, "_part").withColumn("pos", F.col("_at") + F.col("_shift")).drop("_at", "_part", "_shift"), total
-
-
-def next_in_order(docs: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
-    """(key, n_chars, prev_key, prev_chars) of every different document; the first follows the last.
-
-    Documents are ordered by doc_id, NULL first, then by the MD5 of the text; rows that repeat both are one document.
-    """
-    keys = docs.groupBy("doc_id", "key").agg(F.first("n_chars").alias("n_chars"))
-    placed, total = numbered(keys, [F.asc_nulls_first("doc_id"), F.asc("key")], rows_per_partition)
-    placed = checkpointed(placed.select("key", "n_chars", "pos"))
-    after = placed.select(
-        ((F.col("pos") + 1) % max(1, total)).alias("pos"), F.col("key").alias("prev_key"), F.col("n_chars").alias("prev_chars")
-    )
-    return placed.join(after, "pos").drop("pos")
+    def halve(s: Column, _: Column) -> Column:
+        middle = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
+        below = F.get(bound, middle) <= key
+        return (
+            F.when(s["hi"] - s["lo"] <= 1, s)
+            .when(below, F.struct(middle.alias("lo"), s["hi"].alias("hi")))
+            .otherwise(F.struct(s["lo"].alias("lo"), middle.alias("hi")))
+        )
+
+    whole = F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi"))
+    steps = F.sequence(F.lit(0), F.lit(len(bounds).bit_length()))
+    return F.aggregate(steps, whole, halve, lambda s: s["lo"])
+
+
+def place_key(doc_id: Column, text: Column) -> Column:
+    """A text whose order is that of the documents: by doc_id, NULL first, then by the MD5 of the text."""
+    number = F.lpad((doc_id.cast("decimal(20,0)") + F.lit(str(1 << 63)).cast("decimal(20,0)")).cast("string"), 20, "0")
+    return F.concat(F.coalesce(number, F.lit("")), F.lit("/"), F.md5(text))
 
 
-def fingerprint_report(
-    df: DataFrame, fraction: float = FRACTION, rows_per_partition: int = ROWS_PER_PARTITION
-) -> DataFrame:
-    """Every document beside its edited text and the next document.
+def bucket_bounds(keys: DataFrame, buckets: int) -> list[str]:
+    """The least key of each of about ``buckets`` ranges of equal numbers of rows."""
+    ranges = keys.repartitionByRange(max(1, buckets), "key").groupBy(F.spark_partition_id()).agg(F.min("key").alias("key"))
+    return sorted(r.key for r in ranges.collect()) or [""]
 
-    A text moves once to meet its successor's first half, which has moved twice; ids and digests find who meets whom.
+
+def with_next(docs: DataFrame, columns: dict[str, str], bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+    """``docs`` (key, text, ...) with columns of the next document in the order of the keys; the first follows the last.
+
+    Ranges of keys are dealt to buckets. The first document of a bucket is also
+    sent to the bucket before, where it comes last and only lends its columns.
+    Rows are dealt once, whole; of the keys, only the least of each bucket is known beforehand.
     """
-    text = F.coalesce("text", F.lit(""))
-    docs = df.select("doc_id", text.alias("text")).select(
-        "doc_id",
-        "text",
-        F.concat_ws("/", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5("text")).alias("key"),
-        F.char_length("text").cast("bigint").alias("n_chars"),
+    size = docs.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
+    bounds = bucket_bounds(docs.select("key"), min(MAX_BUCKETS, math.ceil(size / bucket_bytes)))
+    n = len(bounds)
+    own = docs.withColumn("_own", bucket_of(F.col("key"), bounds))
+    is_first = F.get(F.split(F.lit(",".join(bounds)), ","), F.col("_own")) == F.col("key")
+    lent = F.struct(((F.col("_own") + (n - 1)) % n).alias("bucket"), F.lit(True).alias("lent"))
+    kept = F.struct(F.col("_own").alias("bucket"), F.lit(False).alias("lent"))
+    dealt = own.withColumn("_at", F.explode(F.when(is_first, F.array(kept, lent)).otherwise(F.array(kept))))
+    order = W.partitionBy("_at.bucket").orderBy("_at.lent", "key")
+    ahead = {new: F.lead(old).over(order) for old, new in columns.items()}
+    return dealt.withColumns(ahead).filter(~F.col("_at.lent")).drop("_own", "_at")
+
+
+def fingerprint_report(df: DataFrame, fraction: float = FRACTION, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+    """Every document beside its edited text and the next document; rows that repeat doc_id and text follow each other."""
+    docs = df.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    docs = docs.withColumn("key", place_key(F.col("doc_id"), F.col("text"))).withColumn("s", sketch(F.col("text"), fraction))
+    met = with_next(docs, {"doc_id": "next_id", "text": "next_text", "s": "next_s"}, bucket_bytes)
+    half = F.floor(F.char_length("text") / 2).cast("int")
+    edited = F.concat(
+        F.substring("text", F.lit(1), F.char_length("text") - half), F.substring("next_text", F.lit(1), half)
     )
-    ahead = next_in_order(docs.select("doc_id", "key", "n_chars"), rows_per_partition).drop("n_chars")
-    given = (
-        docs.drop("n_chars")
-        .join(ahead, "key")
-        .select(
-            F.col("prev_key").alias("key"),
-            F.col("doc_id").alias("next_id"),
-            F.substring("text", F.lit(1), (F.col("prev_chars") / 2).cast("int")).alias("head"),
-            sketch(F.col("text"), fraction).alias("next_sketch"),
-        )
-        # Repeated rows give the same.
-        .groupBy("key")
-        .agg(*(F.first(c).alias(c) for c in ("next_id", "head", "next_sketch")))
-    )
-    kept = (F.col("n_chars") - F.floor(F.col("n_chars") / 2)).cast("int")
-    met = docs.join(given, "key").select(
-        "doc_id", "n_chars", "next_id", "next_sketch", "text", F.concat(F.substring("text", F.lit(1), kept), "head").alias("edited")
+    met = met.select(
+        "doc_id", F.char_length("text").cast("bigint").alias("n_chars"), "next_id", "s", "next_s", edited.alias("edited")
     )
     met = met.select(
-        "doc_id", "n_chars", "next_id", "next_sketch",
-        F.sha2("edited", 256).alias("edited_sha256"),
-        sketch(F.col("text"), fraction).alias("s"),
-        sketch(F.col("edited"), fraction).alias("e"),
+        "doc_id", "n_chars", "next_id", "s", "next_s",
+        F.sha2("edited", 256).alias("edited_sha256"), sketch(F.col("edited"), fraction).alias("e"),
     )
-    s, e, n = F.col("s"), F.col("e"), F.col("next_sketch")
+    s, e, n = F.col("s"), F.col("e"), F.col("next_s")
     return met.select(
         "doc_id",
         "n_chars",

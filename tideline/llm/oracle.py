@@ -140,16 +140,15 @@ def _op12() -> str:
         return f"CASE WHEN {some} > 0 THEN {shared} / {of} WHEN len({b}) > 0 THEN 0.0 ELSE 1.0 END"
 
     return f"""
-WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
-u AS (SELECT *, row_number() OVER (ORDER BY doc_id NULLS FIRST, md5(t)) - 1 AS pos FROM (SELECT DISTINCT doc_id, t FROM d)),
+WITH u AS (SELECT doc_id, coalesce(text, '') AS t, row_number() OVER (ORDER BY doc_id NULLS FIRST, md5(coalesce(text, ''))) - 1 AS pos
+           FROM documents),
 p AS (SELECT u.doc_id, u.t, CAST(length(u.t) AS BIGINT) AS n_chars, n.doc_id AS next_id, n.t AS nt,
              substr(u.t, 1, length(u.t) - length(u.t) // 2) || substr(n.t, 1, length(u.t) // 2) AS edited
       FROM u JOIN u AS n ON n.pos = (u.pos + 1) % (SELECT count(*) FROM u)),
 k AS (SELECT *, {sketch("t")} AS s, {sketch("edited")} AS e, {sketch("nt")} AS n FROM p)
-SELECT d.doc_id, n_chars, sha256(edited) AS edited_sha256, array_to_string(s, ',') AS fingerprint,
+SELECT doc_id, n_chars, sha256(edited) AS edited_sha256, array_to_string(s, ',') AS fingerprint,
        array_to_string(e, ',') AS edited_fingerprint, {near("s", "e", False)} AS near_edited, {near("s", "n", False)} AS near_next,
-       next_id, {near("s", "e", True)} AS jaccard_edited, {near("s", "n", True)} AS jaccard_next
-FROM d JOIN k ON d.doc_id IS NOT DISTINCT FROM k.doc_id AND d.t = k.t"""
+       next_id, {near("s", "e", True)} AS jaccard_edited, {near("s", "n", True)} AS jaccard_next FROM k"""
 
 
 def llm_oracles() -> dict[str, str]:

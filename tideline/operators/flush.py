@@ -45,6 +45,37 @@ def flush_by_interval(
     return interval_gate(events, interval_ms, capacity, keys=keys, **sizing)
 
 
+def payload_bytes() -> Column:
+    """What a record takes of a sink that holds its key and its data."""
+    sizes = [F.coalesce(F.octet_length(c), F.lit(0)).cast("bigint") for c in ("partition_key", "data")]
+    return sizes[0] + sizes[1]
+
+
+def flush_by_bytes(
+    records: DataFrame,
+    capacity_bytes: int,
+    interval_ms: int | None = None,
+    size: Column | None = None,
+    clock: str = "arrival_ms",
+    ignored: Column | None = None,
+    keys: Sequence[str] = SHARD_KEYS,
+    **sizing,
+) -> DataFrame:
+    """Number the batches of a sink that holds ``capacity_bytes``, and flush by time too if ``interval_ms`` is given.
+
+    A record that would take the open batch above the capacity flushes it and
+    starts the next; a record that is too large by itself is a batch of its
+    own. ``size`` is at least one byte, by default that of key and data.
+    """
+    size = payload_bytes() if size is None else size
+    events = (
+        records.withColumn(CLOCK, F.lit(0).cast("bigint") if interval_ms is None else F.col(clock))
+        .withColumn(WEIGHT, (_weight(ignored) * F.greatest(size, F.lit(1))).cast("bigint"))
+        .withColumn(NEEDS, F.lit(False))
+    )
+    return interval_gate(events, interval_ms, capacity_bytes, keys=keys, **sizing)
+
+
 def heartbeat_flush(
     records: DataFrame,
     heartbeats: DataFrame,

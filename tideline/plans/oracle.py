@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tideline.plans.queries import (
+    CAPACITY_BYTES,
     DOCS_PER_BATCH,
     DOCS_PER_LANE,
     EVENTS_PER_REQUEST,
@@ -10,6 +11,7 @@ from tideline.plans.queries import (
     NOISE,
     SUMMARY_BYTES,
 )
+from tideline.plans.stream_queries import EVENT_MS, LANDINGS
 
 EVENTS = """
 e AS (SELECT event_id, 'shard-' || (user_id % 5) AS shard_id, CAST(user_id AS VARCHAR) AS partition_key,
@@ -63,9 +65,9 @@ def lone_bytes() -> str:
 NUMBERED = f"WITH {EVENTS}, n AS (SELECT *, row_number() OVER (PARTITION BY shard_id ORDER BY event_id) - 1 AS counter FROM e)"
 
 
-def gate(source: str, interval: int, capacity: int | None, extra: str) -> str:
+def gate(source: str, interval: int | str, capacity: int | None, extra: str) -> str:
     """Recursive walk over ``ev(shard_id, rn, clock, weight, needs, ...)``."""
-    full = f"(ev.weight = 1 AND g.held >= {capacity})" if capacity is not None else "false"
+    full = f"(ev.weight > 0 AND g.held > 0 AND g.held + ev.weight > {capacity})" if capacity is not None else "false"
     due = f"(ev.clock - g.last >= {interval} AND (NOT ev.needs OR g.held + ev.weight > 0))"
     return f"""
     WITH RECURSIVE {source},
@@ -78,7 +80,7 @@ def gate(source: str, interval: int, capacity: int | None, extra: str) -> str:
       UNION ALL
       SELECT ev.shard_id, ev.rn,
              CASE WHEN {full} OR {due} THEN ev.clock ELSE g.last END,
-             CASE WHEN {full} THEN 1 WHEN {due} THEN 0 ELSE g.held + ev.weight END,
+             CASE WHEN {full} THEN ev.weight WHEN {due} THEN 0 ELSE g.held + ev.weight END,
              CASE WHEN {full} THEN g.closed + 1 ELSE g.closed END,
              CASE WHEN {full} OR {due} THEN g.closed + 1 ELSE g.closed END,
              CASE WHEN {full} THEN 'full' WHEN {due} THEN 'interval' END
@@ -176,11 +178,35 @@ def all_oracles() -> dict[str, str]:
     found = _oracles()
     found["stream_process_shards"] = found["process_shards"]
     # One shard for all events, and many chunks in it: the result does not know about chunks.
-    for name in ("arrival_counter", "flush_by_interval", "frontier_history", "process_shards"):
+    for name in ("arrival_counter", "flush_by_interval", "flush_by_bytes", "frontier_history", "process_shards"):
         found[f"{name}_hot"] = found[name].replace("'shard-' || (user_id % 5) AS shard_id", "'all' AS shard_id")
+    found["stream_flush_hot"] = event_gate(
+        6 * HOUR, 12, NOT_VIEW,
+        f"""SELECT g.shard_id, ev.base, g.batch_no, g.fired, CASE WHEN ev.weight > 0 THEN
+            CAST(sum(ev.weight) OVER (PARTITION BY g.shard_id ORDER BY g.rn ROWS UNBOUNDED PRECEDING) - 1 AS BIGINT) END AS counter {JOINED}""",
+    ).replace("'shard-' || (user_id % 5) AS shard_id", "'all' AS shard_id")
+    found["stream_processor_checkpoints"] = found["processor_checkpoints"]
     return found
 
 
+LANDED = f"""{EVENTS},
+ld AS (SELECT *, event_id * {LANDINGS} // (SELECT max(event_id) + 1 FROM events) AS landing FROM e)"""
+
+#: Rounds are landings, one record in seven completes a landing late; shard 0 completes nothing in the last two.
+STREAM_SCHEDULE = f"""{LANDED},
+cn AS (SELECT *, row_number() OVER (PARTITION BY shard_id ORDER BY event_id) - 1 AS counter,
+              landing + CASE WHEN event_id % 7 = 3 AND landing < {LANDINGS - 1} THEN 1 ELSE 0 END AS done_round FROM ld),
+cr AS (SELECT *, max(CASE WHEN shard_id = 'shard-0' AND done_round >= {LANDINGS - 2} THEN 1000000 ELSE done_round END)
+                 OVER (PARTITION BY shard_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS ready FROM cn),
+h AS (SELECT shard_id, ready AS round, max(event_id) AS reached FROM cr WHERE ready < 1000000 GROUP BY 1, 2),
+o AS (SELECT shard_id, landing AS round, max(event_id) * {EVENT_MS} AS clock_ms FROM ld GROUP BY 1, 2),
+ev AS (SELECT o.shard_id, o.round, o.clock_ms, o.clock_ms AS clock,
+              CASE WHEN h.reached IS NULL THEN 0 ELSE 1 END AS weight, true AS needs,
+              max(h.reached) OVER (PARTITION BY o.shard_id ORDER BY o.round ROWS UNBOUNDED PRECEDING) AS reached,
+              row_number() OVER (PARTITION BY o.shard_id ORDER BY o.round) AS rn
+       FROM o LEFT JOIN h ON h.shard_id = o.shard_id AND h.round = o.round)"""
+
+
 def _oracles() -> dict[str, str]:
     noise = "|".join(f"(?:{p})" for p in NOISE)
     return {
@@ -335,6 +361,23 @@ def _oracles() -> dict[str, str]:
         "checkpoint_log": f"""{NUMBERED} SELECT shard_id, base,
             '{{"action":"checkpoint","sequenceNumber":"' || base || '","subSequenceNumber":0}}' AS line
             FROM n WHERE (counter + 1) % 11 = 0""",
+        "flush_by_bytes": event_gate(
+            12 * HOUR, CAPACITY_BYTES,
+            "CASE WHEN event_type = 'view' THEN 0 ELSE strlen(props) + strlen(partition_key) END",
+            f"SELECT g.shard_id, ev.base, g.batch_no, g.fired {JOINED}",
+        ),
+        "stream_final_checkpoints": f"""WITH {LANDED},
+            s AS (SELECT *, CAST(right(shard_id, 1) AS BIGINT) AS k, landing > CAST(right(shard_id, 1) AS BIGINT) + 1 AS again FROM ld),
+            t AS (SELECT *, row_number() OVER (PARTITION BY shard_id, k <= 3 AND again ORDER BY event_id) AS n FROM s)
+            SELECT shard_id, 'checkpoint' AS kind, base FROM t WHERE n % 11 = 0
+            UNION ALL SELECT shard_id, 'final', CAST(max(event_id) AS VARCHAR) FROM s WHERE k <= 2 AND NOT again GROUP BY 1, 2""",
+        "stream_checkpoint_schedule": gate(
+            STREAM_SCHEDULE,
+            f"(SELECT count(*) * {EVENT_MS} // 4 FROM events)",
+            None,
+            f"SELECT g.shard_id, g.batch_no AS checkpoint_no, ev.round, ev.clock_ms, CAST(ev.reached AS VARCHAR) AS base {JOINED}"
+            " WHERE g.fired IS NOT NULL",
+        ),
         "stream_flush": f"{NUMBERED} SELECT shard_id, base, counter, counter // 64 AS batch_no FROM n",
         "stream_end_to_end": f"""WITH {EVENTS}
             SELECT shard_id, CAST(max(event_id) AS VARCHAR) AS base FROM e WHERE event_type <> 'view' GROUP BY 1""",

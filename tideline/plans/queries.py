@@ -35,7 +35,7 @@ from tideline.operators.counters import (
     shard_counters,
 )
 from tideline.operators.deaggregate import deaggregate
-from tideline.operators.flush import flush_batches, flush_by_interval, flush_log, flush_tokens, heartbeat_flush
+from tideline.operators.flush import flush_batches, flush_by_bytes, flush_by_interval, flush_log, flush_tokens, heartbeat_flush
 from tideline.operators.frontier import (
     checkpoint_schedule,
     final_checkpoints,
@@ -47,13 +47,20 @@ from tideline.operators.pack import key_dictionary, oversize_records, pack, pack
 from tideline.operators.processor import RecordProcessor, process_shards
 from tideline.operators.sizing import ensure_checkpoint_dir
 from tideline.plans.stream_queries import (
+    HOT,
+    HOUR,
+    CountingWorker,
     land,
     landed,
     staged_events,
+    stream_checkpoint_schedule,
     stream_deaggregate,
     stream_end_to_end,
+    stream_final_checkpoints,
     stream_flush,
+    stream_flush_hot,
     stream_frontier,
+    stream_processor_checkpoints,
     work_folder,
 )
 from tideline.plans.streams import (
@@ -76,11 +83,11 @@ from tideline.streaming.processor import process_shards_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-HOUR = 3_600_000
 EVENTS_PER_REQUEST = 100
 DOCS_PER_BATCH = 50
 DOCS_PER_LANE = 100
 SUMMARY_BYTES = 1 << 18
+CAPACITY_BYTES = 400
 NOISE = ("^The ", "^(Is|Au) ", "en\\.$")
 
 
@@ -418,10 +425,6 @@ def hot_events(spark, sf_dir):
     return event_stream(spark, sf_dir).withColumn("shard_id", F.lit("all"))
 
 
-#: Sizes that cut a single shard of the smallest tables into several chunks; production sizes are the defaults.
-HOT = {"fits": False, "chunk_rows": 300}
-
-
 def arrival_counter_hot_query(spark, sf_dir):
     return arrival_counter(hot_events(spark, sf_dir), **HOT).select("shard_id", "base", "counter")
 
@@ -494,6 +497,20 @@ def interval_batches(spark, sf_dir):
     )
 
 
+def byte_batches(events, **sizing):
+    return flush_by_bytes(
+        events, CAPACITY_BYTES, 12 * HOUR, ignored=F.col("event_type") == "view", **sizing
+    ).select("shard_id", "base", "batch_no", "fired")
+
+
+def flush_by_bytes_query(spark, sf_dir):
+    return byte_batches(event_stream(spark, sf_dir))
+
+
+def flush_by_bytes_hot_query(spark, sf_dir):
+    return byte_batches(hot_events(spark, sf_dir), **HOT)
+
+
 def flush_by_interval_query(spark, sf_dir):
     return interval_batches(spark, sf_dir).select("shard_id", "base", "batch_no", "fired")
 
@@ -617,30 +634,6 @@ def process_shards_query(spark, sf_dir):
     return marks.select("shard_id", "base", "n_bytes")
 
 
-class CountingWorker(RecordProcessor):
-    """Asks for a checkpoint at every ``every``-th record."""
-
-    splittable = True
-
-    def __init__(self, every: int = 11):
-        self.every = every
-
-    def initialize(self, shard):
-        return 0
-
-    def process(self, shard, state, records):
-        return state + records.num_rows, None
-
-    def checkpoints(self, shard, state, records):
-        return (np.arange(state, state + records.num_rows) + 1) % self.every == 0
-
-    def summarize(self, batches):
-        return sum(b.num_rows for b in batches)
-
-    def advance(self, state, summary):
-        return state + summary
-
-
 def asked_checkpoints(spark, sf_dir):
     events = event_stream(spark, sf_dir).select("stream_name", "shard_id", "base", "base_key", "sub", "user_sub", "user_total")
     return processor_checkpoints(events, CountingWorker())
@@ -752,4 +745,10 @@ def all_queries() -> dict[str, Query]:
         "aggregated_frontier": aggregated_frontier,
         "stream_deaggregate": stream_deaggregate,
         "stream_frontier": stream_frontier,
+        "flush_by_bytes": flush_by_bytes_query,
+        "flush_by_bytes_hot": flush_by_bytes_hot_query,
+        "stream_flush_hot": stream_flush_hot,
+        "stream_processor_checkpoints": stream_processor_checkpoints,
+        "stream_final_checkpoints": stream_final_checkpoints,
+        "stream_checkpoint_schedule": stream_checkpoint_schedule,
     }

@@ -5,18 +5,27 @@ from __future__ import annotations
 import uuid
 from urllib.parse import unquote
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tideline.functions import base_key
+from tideline.operators.counters import arrival_counter
 from tideline.operators.deaggregate import deaggregate
+from tideline.operators.processor import RecordProcessor
 from tideline.operators.sizing import ensure_checkpoint_dir, row_bytes
 from tideline.plans.streams import event_stream, packed_orders, table
 from tideline.sources.envelopes import parse_envelopes, read_lines, stream_records, to_request_lines
-from tideline.streaming.flush import flush_stream
+from tideline.streaming.flush import flush_sink, flush_stream
+from tideline.streaming.folds import StreamFold
 from tideline.streaming.frontier import FrontierTracker
+from tideline.streaming.processor import processor_sink
 
 FILES_PER_TRIGGER = 1_000
+HOUR = 3_600_000
+#: Times that the streams below let new files land; each starts the stream anew, from its checkpoint.
+LANDINGS = 6
 #: About the bytes of events that land in one file, and the fewest files.
 FILE_BYTES = 32 << 20
 LEAST_FILES = 4
@@ -148,3 +157,126 @@ def stream_frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     query.awaitTermination()
     return tracker.current(spark).select("shard_id", "base")
+
+
+def in_landings(spark: SparkSession, rows: DataFrame, landing: str, folder: str, sink, landings: int = LANDINGS) -> None:
+    """Write ``rows`` landing after landing, in as many files as there are tasks, and let the stream run after each.
+
+    Every landing is one micro-batch, and every micro-batch follows a restart.
+    """
+    rows = rows.withColumn(landing, F.col(landing).cast("int"))
+    for i in range(landings):
+        rows.filter(F.col(landing) == i).drop(landing).write.mode("append").parquet(f"{folder}/in")
+        schema = rows.drop(landing).schema
+        files = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1_000_000).parquet(f"{folder}/in")
+        _run(files.writeStream.foreachBatch(sink), folder)
+
+
+def numbered_landings(spark: SparkSession, rows: DataFrame, of: str) -> DataFrame:
+    """``rows`` with ``landing``: equal ranges of the whole number ``of``, from 0."""
+    top = rows.agg(F.max(of)).first()[0] or 0
+    return rows.withColumn("landing", F.expr(f"CAST({of} AS BIGINT) * {LANDINGS} div {top + 1}"))
+
+
+def landing_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = event_stream(spark, sf_dir).select(
+        "stream_name", "shard_id", "base", "base_key", "sub", "user_sub", "user_total", "arrival_ms", "event_id", "event_type", "data"
+    )
+    return numbered_landings(spark, events, "event_id")
+
+
+class CountingWorker(RecordProcessor):
+    """Asks for a checkpoint at every ``every``-th record."""
+
+    splittable = True
+
+    def __init__(self, every: int = 11):
+        self.every = every
+
+    def initialize(self, shard):
+        return 0
+
+    def process(self, shard, state, records):
+        return state + records.num_rows, None
+
+    def checkpoints(self, shard, state, records):
+        return (np.arange(state, state + records.num_rows) + 1) % self.every == 0
+
+    def summarize(self, batches):
+        return sum(b.num_rows for b in batches)
+
+    def advance(self, state, summary):
+        return state + summary
+
+
+#: Sizes that cut a single shard of the smallest tables into several chunks; production sizes are the defaults.
+HOT = {"fits": False, "chunk_rows": 300}
+NO_ROWS = T.StructType([T.StructField(c, T.StringType()) for c in ("stream_name", "shard_id")])
+
+
+def worker_sink(spark: SparkSession, events: DataFrame, folder: str, **more) -> StreamFold:
+    return processor_sink(f"{folder}/work", events, CountingWorker(), NO_ROWS, columns=["base"], **more)
+
+
+def stream_processor_checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checkpoints that a processor asks for while records land, one restart after another."""
+    folder = work_folder(spark)
+    events = landing_events(spark, sf_dir)
+    sink = worker_sink(spark, events, folder)
+    in_landings(spark, events, "landing", folder, sink)
+    return sink.output(spark).filter("kind = 'checkpoint'").select("shard_id", "at.base")
+
+
+def with_ends(events: DataFrame) -> DataFrame:
+    """Shards 0 to 3 end with landings 1 to 4, one of them lost; what they get later is a new session."""
+    ends = events.select("stream_name", "shard_id").distinct().withColumn(
+        "landing", F.regexp_extract("shard_id", "(\\d+)$", 1).cast("bigint") + 1
+    )
+    ends = ends.filter(F.col("landing") <= 4).withColumn(
+        "reason", F.when(F.col("shard_id") == "shard-3", "ZOMBIE").otherwise("TERMINATE")
+    )
+    return events.unionByName(ends, allowMissingColumns=True)
+
+
+def stream_final_checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checkpoints of shards that end while the stream goes on; counters start again with their next record."""
+    folder = work_folder(spark)
+    events = with_ends(landing_events(spark, sf_dir))
+    sink = worker_sink(spark, events, folder, ends="reason")
+    in_landings(spark, events, "landing", folder, sink)
+    return sink.output(spark).select("shard_id", "kind", "at.base")
+
+
+def stream_flush_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches of one hot shard that lands in parts, each cut into chunks for many tasks."""
+    folder = work_folder(spark)
+    events = landing_events(spark, sf_dir).withColumn("shard_id", F.lit("all"))
+    sink = flush_sink(
+        f"{folder}/flush", events, 6 * HOUR, capacity=12, ignored=F.col("event_type") == "view", **HOT
+    )
+    in_landings(spark, events, "landing", folder, sink)
+    return sink.output(spark).select("shard_id", "base", "counter", "batch_no", "fired")
+
+
+#: The clock of the schedule: so many milliseconds an event.
+EVENT_MS = 60_000
+
+
+def stream_checkpoint_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checkpoints of a stream's frontier, at most one per interval; shard 0 only gives signs of life in the end.
+
+    A landing is a round. Records complete out of order, one in seven a landing late.
+    """
+    folder = work_folder(spark)
+    events = landing_events(spark, sf_dir)
+    late = (F.col("event_id") % 7 == 3) & (F.col("landing") < LANDINGS - 1)
+    counted = arrival_counter(events.drop("landing"), name="counter").join(events.select("base", "landing"), "base")
+    completed = counted.withColumn("landing", F.col("landing") + F.when(late, 1).otherwise(0)).filter(
+        (F.col("shard_id") != "shard-0") | (F.col("landing") < LANDINGS - 2)
+    )
+    clock = (F.max("event_id") * EVENT_MS).alias("clock_ms")
+    signs = events.groupBy("stream_name", "shard_id", "landing").agg(clock)
+    rows = completed.unionByName(signs, allowMissingColumns=True)
+    tracker = FrontierTracker(f"{folder}/frontier", interval_ms=events.count() * EVENT_MS // 4)
+    in_landings(spark, rows, "landing", folder, tracker)
+    return tracker.sent(spark).select("shard_id", "checkpoint_no", "round", "clock_ms", "base")

@@ -20,17 +20,32 @@ CORRUPT = "_corrupt_record"
 ACTIONS = ("initialize", "processRecords", "shutdown", "shutdownRequested", "checkpoint")
 
 
-def read_lines(spark: SparkSession, path: str, stream_name: str, *, streaming: bool = False, **options) -> DataFrame:
+#: Where a line stands: its file, the part of the file that a task read, and its place in that part.
+LINE_PLACE = ("file", "block", "row")
+
+
+def read_lines(
+    spark: SparkSession, path: str, stream_name: str, *, streaming: bool = False, places: bool = False, **options
+) -> DataFrame:
     """Request lines below ``path``, one row per line, tagged with the stream's name.
 
     Lay files out as ``<path>/shard_id=<id>/...``: the directory name becomes the
     ``shard_id`` column, and a filter on it prunes directories. ``options`` go to
-    the text reader (``maxFilesPerTrigger`` bounds a streaming fetch).
+    the text reader (``maxFilesPerTrigger`` bounds a streaming fetch). With
+    ``places``, batch only, each line gets its place among the shard's lines,
+    ``(file, block, row)``: files follow each other by their paths.
     """
+    if places and streaming:
+        raise ValueError("lines of a stream have no places; their order is that of the micro-batches")
     reader = spark.readStream if streaming else spark.read
     schema = T.StructType([T.StructField("value", T.StringType()), T.StructField(SHARD, T.StringType())])
     lines = reader.schema(schema).options(**{k: str(v) for k, v in options.items()}).format("text").load(path)
-    return lines.select(F.lit(stream_name).alias(STREAM), SHARD, "value")
+    if not places:
+        return lines.select(F.lit(stream_name).alias(STREAM), SHARD, "value")
+    # A task reads a part of a file from its start on, so its row ids rise with the lines.
+    place = (F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    named = [c.alias(name) for c, name in zip(place, LINE_PLACE, strict=True)]
+    return lines.select(F.lit(stream_name).alias(STREAM), SHARD, *named, "value")
 
 
 def _requests(value: Column, mode: str = "FAILFAST") -> Column:

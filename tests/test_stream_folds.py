@@ -1,0 +1,188 @@
+"""Stream folds: equal to the batch operators over all micro-batches, after restarts, retries, ends and in chunks."""
+
+import pickle
+import random
+import sys
+
+import pytest
+from pyspark import cloudpickle
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from helpers import records
+from tideline.operators.flush import flush_by_bytes, flush_by_interval
+from tideline.operators.processor import RecordProcessor
+from tideline.plans.stream_queries import NO_ROWS, CountingWorker
+from tideline.streaming import FrontierTracker
+from tideline.streaming.flush import flush_sink
+from tideline.streaming.processor import checkpoints_of, processor_sink, rows_of
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+def events(spark, n=400, shards=3, seed=1):
+    rng = random.Random(seed)
+    clock, rows = 0, []
+    for i in range(n):
+        clock += rng.choice([0, 1, 5, 60])
+        rows.append((f"s{rng.randrange(shards)}", 1000 + i, None, None, clock, rng.random() < 0.2, rng.randrange(1, 30)))
+    return records(spark, rows, "skipped boolean, size long")
+
+
+def in_batches(df, sink, n=4, ends=None, twice=()):
+    """Batches by the sequence number; those in ``twice`` are run again, as after a failure."""
+    base = F.col("base").cast("int") - 1000
+    top = df.agg(F.max(base)).first()[0] + 1
+    for i in range(n):
+        part = df.filter(F.floor(base * n / top) == i)
+        if ends is not None:
+            part = part.withColumn("reason", F.lit(None).cast("string"))
+            for shard, reason in ends.get(i, []):
+                end = df.sparkSession.createDataFrame([("s", shard, reason)], "stream_name string, shard_id string, reason string")
+                part = part.unionByName(end, allowMissingColumns=True)
+        for _ in range(2 if i in twice else 1):
+            sink(part, i)
+
+
+@pytest.mark.parametrize("sizing", [{}, {"fits": False, "chunk_rows": 9}])
+@pytest.mark.parametrize("weight", [None, "size"])
+def test_flush_sink_equals_batch(spark, tmp_path, sizing, weight):
+    df = events(spark)
+    skip = F.col("skipped")
+    if weight is None:
+        want = flush_by_interval(df, 200, 6, ignored=skip)
+    else:
+        want = flush_by_bytes(df, 70, 200, F.col("size"), ignored=skip)
+    sink = flush_sink(
+        str(tmp_path / "f"), df, 200, 6 if weight is None else 70, weight=weight and F.col(weight), ignored=skip, **sizing
+    )
+    in_batches(df, sink, 5, twice=(2,))
+    got = {r.base: (r.batch_no, r.fired) for r in sink.output(spark).collect()}
+    assert got == {r.base: (r.batch_no, r.fired) for r in want.collect()}
+    counters = {}
+    for r in sink.output(spark).orderBy("base").collect():
+        if r.counter is not None:
+            assert r.counter == counters.get(r.shard_id, 0)
+            counters[r.shard_id] = r.counter + 1
+    # One row per open shard, and only the two newest versions.
+    assert sink.states(spark).count() == 3
+    assert len(list((tmp_path / "f").glob("*/what=state"))) == 2
+
+
+@pytest.mark.parametrize("sizing", [{}, {"fits": False, "chunk_rows": 9}])
+def test_ends_give_one_last_checkpoint_and_drop_the_state(spark, tmp_path, sizing):
+    df = events(spark)
+    ends = {1: [("s0", "TERMINATE")], 2: [("s1", "ZOMBIE"), ("s9", "TERMINATE")], 3: [("s2", "TERMINATE")]}
+    sink = processor_sink(str(tmp_path / "p"), df, CountingWorker(7), NO_ROWS, columns=["base"], ends="reason", **sizing)
+    in_batches(df, sink, 4, ends, twice=(1,))
+    out = checkpoints_of(sink.output(spark)).collect()
+    top = {}
+    for r in df.collect():
+        i = (int(r.base) - 1000) * 4 // 400
+        top[r.shard_id, i] = max(top.get((r.shard_id, i), ""), r.base)
+    finals = sorted((r.shard_id, r.base) for r in out if r.kind == "final")
+    assert [f for f in finals if f[0] != "s9"] == [("s0", top["s0", 1]), ("s2", top["s2", 3])]
+    # A shard that ends without records is checkpointed at the newest one, wherever that is.
+    assert [f for f in finals if f[0] == "s9"] == [("s9", None)]
+    # s0 and s1 came back after their ends, s2 and s9 did not.
+    states = {r.shard_id: pickle.loads(r.state) for r in sink.states(spark).collect()}
+    assert set(states) == {"s0", "s1"}
+    again = df.filter((F.col("shard_id") == "s1") & (F.col("base") >= "1300")).count()
+    assert states["s1"][0] == again
+
+
+def test_no_state_is_left_when_all_shards_end(spark, tmp_path):
+    df = events(spark, 40)
+    sink = processor_sink(str(tmp_path / "p"), df, CountingWorker(7), NO_ROWS, columns=["base"], ends="reason")
+    in_batches(df, sink, 2, {1: [(s, "TERMINATE") for s in ("s0", "s1", "s2")]})
+    assert sink.states(spark).count() == 0
+    bad = processor_sink(str(tmp_path / "q"), df, CountingWorker(7), NO_ROWS, columns=["base"], ends="reason")
+    with pytest.raises(PySparkException, match="unknown shutdown reason"):
+        in_batches(df, bad, 1, {0: [("s0", "TIRED")]})
+
+
+class Confirmed(RecordProcessor):
+    """Puts out, for each record, how many checkpoints have been confirmed; asks at every fifth."""
+
+    def initialize(self, shard):
+        return 0, 0
+
+    def process(self, shard, state, records):
+        import pyarrow as pa
+
+        seen, confirmed = state
+        n = records.num_rows
+        names = ["stream_name", "shard_id", "base", "confirmed"]
+        columns = [records.column(c) for c in names[:3]] + [pa.array([confirmed] * n)]
+        return (seen + n, confirmed), pa.RecordBatch.from_arrays(columns, names=names)
+
+    def checkpoints(self, shard, state, records):
+        return [(state[0] + i + 1) % 5 == 0 for i in range(records.num_rows)]
+
+    def checkpointed(self, shard, state, position):
+        assert position["base"]
+        return state[0], state[1] + 1
+
+    def shutdown(self, shard, state):
+        import pyarrow as pa
+
+        return pa.RecordBatch.from_pydict({"stream_name": [shard[0]], "shard_id": [shard[1]], "base": ["end"], "confirmed": [state[1]]})
+
+
+def test_rows_checkpoints_and_feedback_from_one_pass(spark, tmp_path):
+    df = events(spark, 120, 1)
+    fields = [T.StructField(c, T.StringType()) for c in ("stream_name", "shard_id", "base")]
+    out = T.StructType([*fields, T.StructField("confirmed", T.LongType())])
+    seen, failures = [], [2]
+
+    def hook(checkpoints, batch_id):
+        if failures and batch_id == failures[0]:
+            failures.clear()
+            raise RuntimeError("not confirmed")
+        seen.extend((batch_id, r.base) for r in checkpoints.collect())
+
+    sink = processor_sink(str(tmp_path / "p"), df, Confirmed(), out, columns=["base"], ends="reason", on_checkpoint=hook)
+    with pytest.raises(RuntimeError):
+        in_batches(df, sink, 4, {3: [("s0", "TERMINATE")]})
+    assert max(b for b, _ in seen) == 1
+    in_batches(df, sink, 4, {3: [("s0", "TERMINATE")]})
+    out = sink.output(spark)
+    assert rows_of(out).filter("base <> 'end'").count() == 120
+    # Four deliveries asked, and each was told of the last one it had asked for.
+    assert [r.confirmed for r in rows_of(out).filter("base = 'end'").collect()] == [4]
+    assert out.filter("kind = 'checkpoint'").count() == 24
+    assert sum(b == 3 and base == "1119" for b, base in seen) == 2  # the 120th record, and the end
+
+
+def completions(spark, rows):
+    """(shard, counter or None, clock, reason) rows."""
+    full = [("s", s, "k", str(100 + n) if n is not None else None, None if n is None else f"{100 + n:020d}", 0 if n is not None else None, None, None, n, c, r) for s, n, c, r in rows]
+    ddl = "stream_name string, shard_id string, partition_key string, base string, base_key string, sub long, user_sub long, user_total long, counter long, clock_ms long, reason string"
+    return spark.createDataFrame(full, ddl)
+
+
+def test_throttled_frontier_with_signs_of_life(spark, tmp_path):
+    sent = []
+    tracker = FrontierTracker(str(tmp_path / "t"), interval_ms=100, on_checkpoint=lambda df, i: sent.extend((i, r.base) for r in df.collect()))
+    tracker(completions(spark, [("a", 0, 0, None), ("a", 2, 1, None)]), 0)  # moved, but the clock starts here
+    tracker(completions(spark, [("a", 1, 50, None)]), 1)  # moved further, too early
+    tracker(completions(spark, [("a", None, 120, None)]), 2)  # nothing new, but due
+    tracker(completions(spark, [("a", None, 300, None)]), 3)  # due, but nothing has moved since
+    tracker(completions(spark, [("a", 3, 301, None)]), 4)
+    assert sent == [(2, "102"), (4, "103")]
+    assert [(r.checkpoint_no, r.round, r.base) for r in tracker.sent(spark).orderBy("round").collect()] == [(0, 2, "102"), (1, 4, "103")]
+
+
+def test_frontier_of_shards_that_end(spark, tmp_path):
+    tracker = FrontierTracker(str(tmp_path / "t"), ends="reason", interval_ms=10)
+    tracker(completions(spark, [("a", 0, 0, None), ("b", 1, 0, None), ("c", None, 5, None)]), 0)
+    tracker(completions(spark, [("a", 1, 1, None), ("a", None, 2, "TERMINATE"), ("b", None, 2, "ZOMBIE"), ("c", None, 9, "TERMINATE")]), 1)
+    assert {(r.shard_id, r.kind, r.base) for r in tracker.finals(spark).collect()} == {("a", "frontier", "101"), ("c", "latest", None)}
+    assert spark.read.parquet(f"{tmp_path}/t/state/batch_id=1").count() == 0
+    assert tracker.schedule.states(spark).count() == 0
+    # The shard's next session counts from zero again.
+    tracker(completions(spark, [("a", 0, 3, None)]), 2)
+    assert {(r.shard_id, r.base) for r in tracker.current(spark).collect()} == {("a", "100")}
+    with pytest.raises(PySparkException, match="left over"):
+        tracker(completions(spark, [("a", 5, 4, None), ("a", None, 4, "TERMINATE")]), 3)

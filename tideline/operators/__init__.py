@@ -7,7 +7,8 @@ from tideline.operators.counters import (
     shard_counters,
 )
 from tideline.operators.deaggregate import deaggregate
-from tideline.operators.flush import flush_batches, flush_by_interval, flush_log, flush_tokens, heartbeat_flush
+from tideline.operators.flush import flush_batches, flush_by_bytes, flush_by_interval, flush_log, flush_tokens, heartbeat_flush
+from tideline.operators.flusher import Flusher, open_records, partial_tokens, run_flusher
 from tideline.operators.fold import OrderedFold, ordered_fold
 from tideline.operators.frontier import (
     checkpoint_schedule,
@@ -21,6 +22,7 @@ from tideline.operators.pack import key_dictionary, oversize_records, pack, pack
 from tideline.operators.processor import RecordProcessor, process_shards
 
 __all__ = [
+    "Flusher",
     "OrderedFold",
     "RecordProcessor",
     "arrival_counter",
@@ -31,6 +33,7 @@ __all__ = [
     "drop_ignored",
     "final_checkpoints",
     "flush_batches",
+    "flush_by_bytes",
     "flush_by_count",
     "flush_by_interval",
     "flush_log",
@@ -40,13 +43,16 @@ __all__ = [
     "heartbeat_flush",
     "key_dictionary",
     "latest_checkpoint",
+    "open_records",
     "ordered_chunks",
     "ordered_fold",
     "oversize_records",
     "pack",
     "pack_header",
+    "partial_tokens",
     "process_shards",
     "running_max",
+    "run_flusher",
     "shard_counters",
     "stalled_shards",
     "with_lanes",

@@ -9,6 +9,7 @@ from tideline.plans.queries import (
     EVENTS_PER_REQUEST,
     HOUR,
     NOISE,
+    SESSION_EVENTS,
     SUMMARY_BYTES,
 )
 from tideline.plans.stream_queries import EVENT_MS, LANDINGS
@@ -361,6 +362,20 @@ def _oracles() -> dict[str, str]:
         "checkpoint_log": f"""{NUMBERED} SELECT shard_id, base,
             '{{"action":"checkpoint","sequenceNumber":"' || base || '","subSequenceNumber":0}}' AS line
             FROM n WHERE (counter + 1) % 11 = 0""",
+        "session_counters": f"""WITH {EVENTS},
+            b AS (SELECT *, event_id // {SESSION_EVENTS} AS block FROM e),
+            n AS (SELECT *, dense_rank() OVER (PARTITION BY shard_id ORDER BY block) - 1 AS session,
+                         row_number() OVER (PARTITION BY shard_id, block ORDER BY event_id) - 1 AS counter FROM b)
+            SELECT shard_id, session, base, counter, CASE WHEN (counter + 1) % 11 = 0 THEN counter // 11 END AS checkpoint_no FROM n""",
+        "flush_partial_tokens": event_gate(
+            6 * HOUR,
+            12,
+            "1",
+            f"""SELECT shard_id, base, batch_no, CAST(CASE WHEN last < closed THEN 1 ELSE 0 END AS BIGINT) AS done,
+                CASE WHEN last < closed THEN last END AS done_round
+                FROM (SELECT g.shard_id, ev.base, g.batch_no, max(g.closed) OVER (PARTITION BY g.shard_id) AS closed,
+                             g.batch_no + CASE WHEN e.event_type = 'purchase' THEN 1 ELSE 0 END AS last {JOINED} JOIN e ON e.base = ev.base)""",
+        ),
         "flush_by_bytes": event_gate(
             12 * HOUR, CAPACITY_BYTES,
             "CASE WHEN event_type = 'view' THEN 0 ELSE strlen(props) + strlen(partition_key) END",

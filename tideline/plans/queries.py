@@ -36,6 +36,7 @@ from tideline.operators.counters import (
 )
 from tideline.operators.deaggregate import deaggregate
 from tideline.operators.flush import flush_batches, flush_by_bytes, flush_by_interval, flush_log, flush_tokens, heartbeat_flush
+from tideline.operators.flusher import Flusher, partial_tokens, run_flusher
 from tideline.operators.frontier import (
     checkpoint_schedule,
     final_checkpoints,
@@ -71,7 +72,16 @@ from tideline.plans.streams import (
     table,
 )
 from tideline.sources.directory import arrow_uri, dump_to_dir, latest_per_key, read_dir
-from tideline.sources.envelopes import deliveries, parse_envelopes, parse_requests, stream_records, to_request_lines
+from tideline.sources.envelopes import (
+    LINE_PLACE,
+    deliveries,
+    parse_envelopes,
+    parse_requests,
+    read_lines,
+    stream_records,
+    to_request_lines,
+)
+from tideline.sources.sessions import SESSION_KEYS, worker_sessions
 from tideline.sources.streams import (
     fetch_batches,
     initial_position,
@@ -669,6 +679,90 @@ def flush_tokens_query(spark, sf_dir):
     return tokens.select("shard_id", "base", "batch_no", F.col("done").cast("bigint").alias("done"), "done_round")
 
 
+class LateFlusher(Flusher):
+    """Completes what it holds at each flush, but some kinds of records only at the next occasion."""
+
+    def __init__(self, late: str):
+        self.late = late
+
+    def initialize(self, shard):
+        return [], []
+
+    def add(self, shard, state, records):
+        held, overdue = state
+        rows = zip(records.column("counter").to_pylist(), records.column("event_type").to_pylist(), strict=True)
+        return [*held, *rows], overdue
+
+    def flush(self, shard, state, full):
+        held, overdue = state
+        kept = [] if full else [n for n, kind in held if kind == self.late]
+        done = [n for n, kind in held if full or kind != self.late]
+        # Later records first: order does not matter.
+        return ([], kept), [*reversed(done), *overdue]
+
+    def heartbeat(self, shard, state):
+        held, overdue = state
+        return (held, []), overdue
+
+
+def flush_partial_tokens_query(spark, sf_dir):
+    """Purchases are completed one flush after the rest of their batch."""
+    events = arrival_counter(event_stream(spark, sf_dir).select(
+        "stream_name", "shard_id", "base", "base_key", "sub", "user_sub", "arrival_ms", "event_type"
+    ))
+    batched = flush_by_interval(events, 6 * HOUR, capacity=12)
+    tokens = run_flusher(batched, LateFlusher("purchase"), columns=["event_type"])
+    return partial_tokens(batched, tokens).select(
+        "shard_id", "base", "batch_no", F.col("done").cast("bigint").alias("done"), "done_round"
+    )
+
+
+#: Events of a shard that one worker session sees, by their ids.
+SESSION_EVENTS = 400
+
+
+def session_lines(spark, sf_dir, folder):
+    """Request lines of events, several sessions a shard, in files that cut sessions anywhere."""
+    events = event_stream(spark, sf_dir).withColumn("block", F.floor(F.col("event_id") / SESSION_EVENTS))
+    lines = to_request_lines_with(events, "block", "event_id").withColumn("at", F.lit(1))
+    sessions = events.groupBy("stream_name", "shard_id", "block").agg(F.min("base").alias("first"))
+    opening = F.to_json(F.struct(F.lit("initialize").alias("action"), F.col("shard_id").alias("shardId"), F.col("first").alias("sequenceNumber")))
+    closing = F.when(F.col("block") % 2 == 0, F.lit('{"action":"shutdown","reason":"ZOMBIE"}')).otherwise(F.lit('{"action":"shutdownRequested"}'))
+    marks = [
+        sessions.select("stream_name", "shard_id", value.alias("value"), "block", F.lit(edge).cast("bigint").alias("event_id"), F.lit(at).alias("at"))
+        for value, edge, at in ((opening, -1, 0), (closing, 1 << 62, 2))
+    ]
+    files = max(4, lines.count() // 1_000_000)
+    every = lines.unionByName(marks[0]).unionByName(marks[1])
+    (
+        every.repartitionByRange(files, "block", "at", "event_id")
+        .sortWithinPartitions("shard_id", "block", "at", "event_id")
+        .select("shard_id", "value")
+        .write.partitionBy("shard_id")
+        .text(folder)
+    )
+
+
+def to_request_lines_with(records, *columns):
+    """A request line per record, with columns of the record beside it."""
+    named = [F.col(c).alias(f"_{c}") for c in columns]
+    body = to_request_lines(records.select("*", *named).withColumn("shard_id", F.struct("shard_id", *named)))
+    return body.select("stream_name", "shard_id.shard_id", "value", *[F.col(f"shard_id._{c}").alias(c) for c in columns])
+
+
+def session_counters_query(spark, sf_dir):
+    """Arrival counters and checkpoints by count that start anew with every worker session."""
+    folder = f"{work_folder(spark)}/requests"
+    session_lines(spark, sf_dir, folder)
+    lines = worker_sessions(read_lines(spark, folder, "events", places=True))
+    records = stream_records(parse_envelopes(lines.drop(*LINE_PLACE)))
+    counted = arrival_counter(records, keys=SESSION_KEYS)
+    due = (F.col("counter") + 1) % 11 == 0
+    return counted.select(
+        "shard_id", "session", "base", "counter", F.when(due, F.floor(F.col("counter") / 11)).cast("bigint").alias("checkpoint_no")
+    )
+
+
 def flush_log_query(spark, sf_dir):
     return flush_log(interval_batches(spark, sf_dir)).select("shard_id", "batch_no", "fired", "flushed_ms")
 
@@ -745,6 +839,8 @@ def all_queries() -> dict[str, Query]:
         "aggregated_frontier": aggregated_frontier,
         "stream_deaggregate": stream_deaggregate,
         "stream_frontier": stream_frontier,
+        "session_counters": session_counters_query,
+        "flush_partial_tokens": flush_partial_tokens_query,
         "flush_by_bytes": flush_by_bytes_query,
         "flush_by_bytes_hot": flush_by_bytes_hot_query,
         "stream_flush_hot": stream_flush_hot,

@@ -8,6 +8,7 @@ from tideline.sources.envelopes import (
     stream_records,
     to_request_lines,
 )
+from tideline.sources.sessions import SESSION_KEYS, session_bounds, worker_sessions
 from tideline.sources.streams import (
     fetch_batches,
     initial_position,
@@ -17,6 +18,7 @@ from tideline.sources.streams import (
 )
 
 __all__ = [
+    "SESSION_KEYS",
     "dump_to_dir",
     "fetch_batches",
     "initial_position",
@@ -26,10 +28,12 @@ __all__ = [
     "read_dir",
     "read_lines",
     "resume_from_checkpoint",
+    "session_bounds",
     "shard_ends",
     "shard_starts",
     "stream_records",
     "stream_tip",
     "to_request_lines",
     "union_streams",
+    "worker_sessions",
 ]

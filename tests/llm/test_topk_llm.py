@@ -2,6 +2,7 @@ import math
 import random
 
 import pytest
+from pyspark.errors import PySparkException
 
 from tideline.llm.topk import topk_report
 
@@ -50,6 +51,15 @@ def test_large_components_and_few_rows(spark):
     assert sorted((tuple(r) for r in got.collect()), key=str) == brute(rows, 20)
 
 
+def test_components_near_the_end_of_doubles(spark):
+    rows = [(0, [1e301, 0.0], None, None), (20, [0.0, 3.0], None, None), (21, [0.0, -2.0], None, None), (40, [-1e305, 0.0], None, None)]
+    few = rows[:3]
+    assert sorted((tuple(r) for r in topk_report(spark.createDataFrame(few, SCHEMA)).collect()), key=str) == brute(few, 20)
+    # A score beyond 64 bits fails and is not left out.
+    with pytest.raises(PySparkException):
+        topk_report(spark.createDataFrame(rows, SCHEMA)).collect()
+
+
 def test_nothing(spark):
     assert topk_report(spark.createDataFrame([], SCHEMA)).collect() == []
     assert topk_report(spark.createDataFrame([(0, [1.0], None, None)], SCHEMA)).collect() == []

@@ -209,7 +209,7 @@ def usable(vector: Column) -> Column:
 
     def finite(x: Column) -> Column:
         x = x.cast("double")
-        return x.isNotNull() & ~F.isnan(x) & (F.abs(x) < 1e300)
+        return x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
 
     return vector.isNotNull() & F.coalesce(F.forall(vector, finite), F.lit(False))
 

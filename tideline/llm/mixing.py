@@ -6,12 +6,11 @@
   cumulative targets to a source. Any run of slots holds every source in
   proportion. Slots are ranked within their source.
 * Blocks: a source's documents, shuffled by hash, form a stream of words, which
-  is cut to blocks of equal size; rank r takes block r, and the stream starts
-  anew when it ends, up to ``repeats`` times.
-* Small sources: a source whose target is less than ``LEAST_SLOTS`` blocks has
-  slots of its own, finer ones, and its target is cut evenly over them, so that
-  it takes its target to the word, however large the others are. Slots grow
-  with the sources.
+  starts anew when it ends, up to ``repeats`` times. The source's target, in
+  whole words, is its quota: the stream up to there is cut evenly over the
+  source's slots, rank r takes block r, so every source takes its target to the
+  word. Blocks of all sources are of nearly equal size, but a source has
+  ``LEAST_SLOTS`` slots at least, or one for each word of its target.
 
 Everything is spread: slots and documents are ranked by bucket (see
 ``shared.running``), points find their source through bins, blocks join on
@@ -32,12 +31,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tideline.llm.shared import WORD, bucket_bits, checkpointed, md5_bits, null_last, own_names, running, word_count
+from tideline.llm.shared import bucket_bits, checkpointed, md5_bits, null_last, own_names, running, word_count
 
-#: Large sources share so many slots (and two for rounding): a block is this part of all words, one word at least.
+#: A block is this part of all words, one word at least.
 SLOTS = 1 << 18
-#: A source whose target is fewer blocks is small: it has a slot per word of its target, but this many at most and
-#: ``FEWEST_SLOTS`` at least. Any interval that is due two slots or more gets one.
+#: A source is due so many slots at least, or one for each word of its target, and ``FEWEST_SLOTS`` in any case.
+#: Any interval that is due two slots or more gets one.
 LEAST_SLOTS = 64
 FEWEST_SLOTS = 4
 BINS = 1 << 12
@@ -95,16 +94,15 @@ def block_words(total: int, slots: int = SLOTS) -> int:
     return max(1, -(-total // slots))
 
 
-def with_small(targets: DataFrame, block: int) -> DataFrame:
-    """``targets`` with lo and hi in proportion to slots, and ``quota``: the words of a small source, NULL for others.
+def with_quotas(targets: DataFrame, block: int) -> DataFrame:
+    """``targets`` with lo and hi in proportion to slots, ``quota`` (the words that a source takes) and ``more``.
 
-    ``more`` is by how many slots a small source has more than its target is blocks.
+    ``more`` is by how many slots a source has more than its target is blocks.
     """
     by_name = W.orderBy("group").rowsBetween(W.unboundedPreceding, W.currentRow)
-    small = (F.col("target") > 0) & (F.col("target") < LEAST_SLOTS * block)
     due = F.least(F.greatest("target", F.lit(float(FEWEST_SLOTS))), F.lit(float(LEAST_SLOTS)))
-    # In words, so that shares stay what they are, to the bit, where no source is small.
-    part = F.when(small, due * block).otherwise(F.col("target"))
+    # In words: shares stay what they are, to the bit, where no source is due more slots.
+    part = F.when(F.col("target") > 0, F.greatest("target", due * block)).otherwise(F.lit(0.0))
     share, whole = F.sum("_part").over(by_name), F.sum("_part").over(W.partitionBy())
     return (
         targets.withColumn("_part", part)
@@ -112,7 +110,7 @@ def with_small(targets: DataFrame, block: int) -> DataFrame:
             {
                 "hi": F.try_divide(share, whole),
                 "lo": F.try_divide(share - F.col("_part"), whole),
-                "quota": F.when(small, F.greatest(F.round("target"), F.lit(1.0)).cast("bigint")),
+                "quota": F.when(F.col("target") > 0, F.greatest(F.round("target"), F.lit(1.0))).otherwise(0).cast("bigint"),
                 "more": (F.col("_part") - F.col("target")) / block,
             }
         )
@@ -162,41 +160,35 @@ def _sized(df: DataFrame, text: str, source: str, key: str) -> DataFrame:
     )
 
 
-def _plan(sized: DataFrame, weights, repeats, slots) -> tuple[DataFrame, DataFrame, int]:
-    """Per source (group, source_size, target, end, quota, blocks); its slots; words per block of large sources.
-
-    ``end`` is the number of words that the source's slots take.
-    """
+def _plan(sized: DataFrame, weights, repeats, slots) -> tuple[DataFrame, DataFrame]:
+    """Per source (group, source_size, target, quota, blocks), and its slots."""
     sizes = checkpointed(sized.groupBy("group").agg(F.sum("size").cast("bigint").alias("source_size")))
     total, sources = sizes.agg(F.coalesce(F.sum("source_size"), F.lit(0)), F.count(F.lit(1))).first()
     block = block_words(int(total), slots)
-    targets = checkpointed(with_small(source_targets(sizes, weights, repeats), block))
+    targets = checkpointed(with_quotas(source_targets(sizes, weights, repeats), block))
     more = targets.agg(F.sum("more")).first()[0] or 0.0
     n = -(-int(total) // block) + math.ceil(more)
     bin_count = max(BINS, 1 << sources.bit_length())
     ranked = checkpointed(schedule(targets, n, bin_count=bin_count))
     blocks = ranked.groupBy("group").agg(F.count(F.lit(1)).alias("blocks"))
-    plan = targets.join(blocks, "group", "left").fillna(0, ["blocks"])
-    end = F.when(F.col("blocks") > 0, F.coalesce("quota", F.col("blocks") * block)).otherwise(F.lit(0))
-    plan = plan.withColumn("end", end.cast("bigint")).drop("lo", "hi", "more")
-    return checkpointed(plan), ranked, block
+    plan = targets.join(blocks, "group", "left").fillna(0, ["blocks"]).drop("lo", "hi", "more")
+    return checkpointed(plan), ranked
 
 
-def _rank_at(at: Column, block: int) -> Column:
+def _rank_at(at: Column) -> Column:
     """The rank whose words hold position ``at`` of a source's stream."""
-    own = F.floor(((at + 1) * F.col("blocks") - 1) / F.col("quota"))
-    return F.when(F.col("quota").isNull(), F.floor(at / block)).otherwise(own)
+    return F.floor(((at + 1) * F.col("blocks") - 1) / F.col("quota"))
 
 
-def _begin_of(rank: Column, block: int) -> Column:
+def _begin_of(rank: Column) -> Column:
     """The position at which a rank's words begin."""
-    return F.when(F.col("quota").isNull(), rank * block).otherwise(F.floor(rank * F.col("quota") / F.col("blocks")))
+    return F.floor(rank * F.col("quota") / F.col("blocks"))
 
 
 def _epochs(repeats: int) -> Column:
-    """Passes of the stream in which a document may be taken: all that begin before its source's last block ends."""
+    """Passes of the stream in which a document may be taken: all that begin before its source's quota ends."""
     begins = F.transform(F.sequence(F.lit(0), F.lit(repeats - 1)), lambda e: e * F.col("source_size") + F.col("start"))
-    return F.filter(begins, lambda at: at < F.col("end"))
+    return F.filter(begins, lambda at: at < F.col("quota"))
 
 
 def mix_report(
@@ -214,7 +206,7 @@ def mix_report(
     rows = checkpointed(
         _sized(df.select("doc_id", "source", "text"), "text", "source", "doc_id").select("doc_id", "group", "_h", "size")
     )
-    plan, ranked, block = _plan(rows, weights, repeats, slots)
+    plan, ranked = _plan(rows, weights, repeats, slots)
     largest = rows.groupBy("group").count().agg(F.max("count")).first()[0] or 0
     bits = bucket_bits(largest, rows_per_bucket)
     placed = checkpointed(running(rows, "group", "_h", ["doc_id", "size"], F.col("size"), bits, plan))
@@ -222,8 +214,8 @@ def mix_report(
         "group", "pos", "size", "quota", "blocks", F.explode(_epochs(repeats)).alias("at")
     )
     at, last, rank = F.col("at"), F.col("at") + F.col("size") - 1, F.col("rank")
-    pieces = begin.withColumn("rank", F.explode(F.sequence(_rank_at(at, block), _rank_at(last, block)))).withColumn(
-        "words", F.least(last + 1, _begin_of(rank + 1, block)) - F.greatest(at, _begin_of(rank, block))
+    pieces = begin.withColumn("rank", F.explode(F.sequence(_rank_at(at), _rank_at(last)))).withColumn(
+        "words", F.least(last + 1, _begin_of(rank + 1)) - F.greatest(at, _begin_of(rank))
     )
     pieces = pieces.select("group", "pos", "rank", "words").filter("words > 0")
     taken = (
@@ -251,26 +243,21 @@ def mix(
     slots: int = SLOTS,
     bucket_bytes: int = BUCKET_BYTES,
 ) -> DataFrame:
-    """The mixed documents: a row for each pass that takes one.
+    """The mixed documents: a row for each pass that takes one, always whole.
 
-    A source's blocks are its ranks 0 to b-1, so what a pass takes of a
-    document is all of it, nothing, or, where the last block ends, its
-    first words. Columns are those of ``df``.
+    A source's blocks are its ranks 0 to b-1, so a pass takes a document or
+    not; only the one at which the source's quota ends lies across. It is taken
+    if at least half of it lies before, and in any case if it is the first:
+    words are off the target by half a document at most, and no source with a target is left out.
+    Columns are those of ``df``.
     """
     own, names = own_names(df)
     sized = _sized(own, names[text], names[source], names[key])
     narrow = checkpointed(sized.select("group", "_h", "size", F.octet_length(names[text]).alias("_bytes")))
-    plan = _plan(narrow, weights, repeats, slots)[0].select("group", "source_size", "end")
+    plan = _plan(narrow, weights, repeats, slots)[0].select("group", "source_size", "quota")
     largest = narrow.groupBy("group").agg(F.sum("_bytes").alias("b")).agg(F.max("b")).first()[0] or 0
     bits = bucket_bits(largest, bucket_bytes)
     placed = running(sized, "group", "_h", [names[key], "size"], F.col("size"), bits, plan)
-    passes = (
-        placed.filter("size > 0")
-        .withColumn("at", F.explode(_epochs(repeats)))
-        .withColumn("_take", F.least(F.col("size"), F.col("end") - F.col("at")))
-    )
-    body = F.col(names[text])
-    words = F.slice(F.regexp_extract_all(body, F.lit(WORD), F.lit(0)), F.lit(1), F.col("_take").cast("int"))
-    whole = F.col("_take") == F.col("size")
-    taken = passes.withColumn(names[text], F.when(whole, body).otherwise(F.array_join(words, " ")))
+    passes = placed.filter("size > 0").withColumn("at", F.explode(_epochs(repeats)))
+    taken = passes.filter((F.col("at") == 0) | (2 * (F.col("quota") - F.col("at")) >= F.col("size")))
     return taken.select(*names.values()).toDF(*df.columns)

@@ -108,20 +108,23 @@ l AS (SELECT *, (total - coalesce(sum(lim) OVER (ORDER BY lim / w, g ROWS BETWEE
                 / sum(w) OVER (ORDER BY lim / w, g ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM t),
 a AS (SELECT arg_min(level, (lim / w, g)) AS level FROM l WHERE level * w <= lim),
 p AS (SELECT g, source_size, total, least(lim, a.level * w) AS target FROM l, a),
-i AS (SELECT *, sum(target) OVER (ORDER BY g) / sum(target) OVER () AS hi,
-             (sum(target) OVER (ORDER BY g) - target) / sum(target) OVER () AS lo FROM p),
 z AS (SELECT CAST(greatest(1, ceil(max(total) / {mixing.SLOTS})) AS BIGINT) AS block, CAST(max(total) AS BIGINT) AS total FROM p),
-n AS (SELECT unnest(range(CAST(ceil(total / block) AS BIGINT))) AS slot FROM z),
+v AS (SELECT p.*, z.block, CASE WHEN target > 0 THEN greatest(target,
+             least(greatest(target, {float(mixing.FEWEST_SLOTS)}), {float(mixing.LEAST_SLOTS)}) * z.block) ELSE 0 END AS part,
+             CASE WHEN target > 0 THEN CAST(greatest(round(target), 1) AS BIGINT) ELSE 0 END AS quota FROM p, z),
+i AS (SELECT *, sum(part) OVER (ORDER BY g) / sum(part) OVER () AS hi,
+             (sum(part) OVER (ORDER BY g) - part) / sum(part) OVER () AS lo FROM v),
+n AS (SELECT unnest(range(CAST(ceil(max(z.total) / max(z.block)) + ceil(sum((part - target) / i.block)) AS BIGINT))) AS slot FROM i, z),
 x AS (SELECT slot, ((slot + 1) * CAST({mixing.GOLDEN!r} AS DOUBLE)) % 1.0 AS pt FROM n),
 y AS (SELECT slot, g, row_number() OVER (PARTITION BY g ORDER BY slot) - 1 AS rank FROM x JOIN i ON pt >= lo AND pt < hi),
 m AS (SELECT g, count(*) AS blocks FROM y GROUP BY g),
-o AS (SELECT d.*, i.source_size, i.target, coalesce(m.blocks, 0) * z.block AS reach, z.block,
+o AS (SELECT d.*, i.source_size, i.target, i.quota, coalesce(m.blocks, 0) AS blocks,
              CAST(sum(size) OVER (PARTITION BY d.g ORDER BY h, doc_id, size ROWS UNBOUNDED PRECEDING) - size AS BIGINT) AS start
-      FROM d JOIN i USING (g) LEFT JOIN m USING (g), z)
+      FROM d JOIN i USING (g) LEFT JOIN m USING (g))
 SELECT doc_id, size, o.source_size, target,
-       CAST(list_sum(list_transform(range({r}), lambda e: greatest(0, least(size, reach - (e * source_size + start))))) AS BIGINT) AS taken,
+       CAST(list_sum(list_transform(range({r}), lambda e: greatest(0, least(size, quota - (e * source_size + start))))) AS BIGINT) AS taken,
        CASE WHEN size > 0 THEN y.slot END AS first_slot
-FROM o LEFT JOIN y ON y.g = o.g AND y.rank = o.start // o.block AND o.start < o.reach"""
+FROM o LEFT JOIN y ON y.g = o.g AND y.rank = ((o.start + 1) * o.blocks - 1) // greatest(o.quota, 1) AND o.start < o.quota"""
 
 
 def _op12() -> str:

@@ -1,9 +1,12 @@
 import base64
+import gzip
 import hashlib
 import io
+import zlib
 
 import pyarrow as pa
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tideline.llm.warc import Cursor, archive_report, decode_payload, encode_record, page_records, records, register
@@ -65,7 +68,82 @@ def test_unwanted_payloads_are_not_read():
     got = list(records(file, lambda r: r["record_id"] == "a", payload=True))
     assert [r["payload"] for r in got] == [b"abc", b"abc"]
     assert decode_payload(b"HTTP/1.1 200 OK\r\nContent-Length: 2\r\n\r\nhi") == b"hi"
-    assert decode_payload(b"HTTP/1.1 200 OK\r\n\r\n") is None
+    assert decode_payload(b"HTTP/1.1 204 No Content\r\n\r\n") is None
+    assert decode_payload(b"HTTP/1.1 200 OK\r\n\r\n") == b"" and decode_payload(b"HTTP/1.1 200 OK\r\n\r\n", "revisit") is None
+
+
+ROW = {"record_type": "response", "record_id": "a", "target_uri": None, "refers_to": None, "payload_digest": None, "payload_bytes": 3}
+
+
+def load(spark, path, **options):
+    register(spark)
+    return spark.read.format("warc").options(**options).load(str(path))
+
+
+def test_jobs_append_and_overwrite(spark, tmp_path):
+    register(spark)
+    path = f"{tmp_path}/w"
+    for i in (1, 2, 3):
+        mode = "append" if i < 3 else "overwrite"
+        page_records(spark.createDataFrame([(i, "u", f"html {i}", "c")], PAGES)).write.format("warc").mode(mode).save(path)
+        want = {2: [1, 2], 1: [1], 3: [3]}[i]
+        assert sorted(r.record_id for r in load(spark, path).collect()) == [f"urn:page:{k}" for k in want]
+    assert len(list((tmp_path / "w").glob("*.warc"))) == 1
+
+
+@pytest.mark.parametrize("payload", ["true", "false"])
+@pytest.mark.parametrize("cut", [1, 3, 5, 40])
+@pytest.mark.parametrize("name", ["a.warc", "a.warc.gz"])
+def test_truncated_archives_fail(spark, tmp_path, payload, cut, name):
+    data = encode_record(ROW | {"payload": b"abc"}) * 2
+    data = gzip.compress(data) if name.endswith("gz") else data
+    (tmp_path / name).write_bytes(data)
+    assert load(spark, tmp_path, payload=payload).count() == 2
+    (tmp_path / name).write_bytes(data[:-cut])
+    with pytest.raises(PySparkException):
+        load(spark, tmp_path, payload=payload).collect()
+
+
+def test_foreign_archives(spark, tmp_path):
+    def record(kind, block, more=b"", content=b"application/http; msgtype=response"):
+        head = b"WARC/1.0\r\nWARC-Type: " + kind + b"\r\n" + more + b"Content-Type: " + content
+        return head + b"\r\nContent-Length: " + str(len(block)).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+    ok, wide = b"HTTP/1.1 200 OK\r\n", b"x" * 3_000_000
+    bodies = [
+        (record(b"warcinfo", b"software: x", content=b"application/warc-fields"), b"software: x"),
+        (record(b"response", ok + b"Server: x\r\n\r\nto the end"), b"to the end"),
+        (record(b"response", ok + b"Transfer-Encoding: chunked\r\n\r\n3;a=b\r\nabc\r\nA\r\n0123456789\r\n0\r\n\r\n"), b"abc0123456789"),
+        (record(b"response", ok + b"Content-Encoding: deflate\r\n\r\n" + zlib.compress(b"deflated")), b"deflated"),
+        (record(b"response", ok + b"Content-Encoding: gzip\r\n\r\n" + gzip.compress(b"two ") + gzip.compress(b"members")), b"two members"),
+        (record(b"response", ok + b"Content-Length: 99\r\n\r\nearly", b"WARC-Truncated: length\r\n"), b"early"),
+        (record(b"response", ok + b"\r\n" + wide), wide),
+        (record(b"request", b"GET / HTTP/1.1\r\nHost: x\r\n\r\n"), b""),
+        (record(b"revisit", ok + b"Server: x\r\n\r\n"), None),
+    ]
+    (tmp_path / "x.warc.gz").write_bytes(b"".join(gzip.compress(r) for r, _ in bodies))
+    (tmp_path / "y.warc").write_bytes(b"".join(r for r, _ in bodies))
+    got = load(spark, tmp_path).collect()
+    assert sorted(map(str, (r.payload and bytes(r.payload) for r in got))) == sorted(map(str, [b or (None if b is None else b) for _, b in bodies] * 2))
+    assert load(spark, tmp_path, payload="false").count() == 18
+    short = record(b"response", ok + b"Content-Length: 99\r\n\r\nearly")
+    coded = record(b"response", ok + b"Content-Encoding: br\r\n\r\n??")
+    for bad in (short, coded):
+        (tmp_path / "y.warc").write_bytes(bad)
+        with pytest.raises(PySparkException):
+            load(spark, tmp_path).collect()
+    assert b"??" in [r.payload and bytes(r.payload) for r in load(spark, tmp_path, undecodable="raw").collect()]
+    with pytest.raises(PySparkException):
+        load(spark, tmp_path, undecodable="drop").collect()
+
+
+def test_urls_of_repeated_pages_stay(spark, tmp_path):
+    rows = [(1, u, "same", "c") for u in ("b", "a", "a", None)] + [(2, "z", "same", "c")]
+    got = [(r.record_type, r.target_uri, r.refers_to) for r in page_records(spark.createDataFrame(rows, PAGES)).collect()]
+    one = "urn:page:1"
+    assert sorted(got, key=str) == sorted(
+        [("response", "a", None), ("revisit", "a", one), ("revisit", "b", one), ("revisit", None, one), ("revisit", "z", one)], key=str
+    )
 
 
 def test_marks_across_blocks():

@@ -1,19 +1,27 @@
 """WARC files as a PySpark data source, and pages written to and read from them.
 
-Reading: the driver lists the archives (their manifest, or all ``.warc`` files)
-and packs whole files into partitions by size. A task parses a record's
+Reading: the driver lists the archives (what the manifests name, or all
+``.warc`` and ``.warc.gz`` files) and packs whole files into partitions by size. A task parses a record's
 headers first. Predicates on them that were pushed down are tested there; a
 record that fails, or whose payload is not asked for, is passed over by a
 seek, neither read nor decoded. ``spark.sql.python.filterPushdown.enabled``
 must be on, which :func:`register` sees to.
 
 Writing: a task rolls its file at ``file_bytes``. Names carry the attempt, so
-a retried task never meets its other attempt, and readers only see what the
-manifest, written when all tasks have ended, lists. Bodies are compressed each
-by itself, as HTTP content.
+a retried task never meets its other attempt, and readers only see what
+manifests list. Each job writes one when all its tasks have ended: jobs that
+append add to the folder, one that overwrites replaces what others listed.
+Bodies are compressed each by itself, as HTTP content.
 
-Options: ``payload`` (false: leave it NULL), ``partition_bytes``,
-``file_bytes``. Paths may have any scheme that pyarrow opens.
+Payloads: of HTTP records the body, with chunks joined and ``gzip`` or
+``deflate`` undone; without a length it reaches to the end of the block. Of
+other records the block. Status 204 and revisits without body have none
+(NULL). A record or body that ends early fails, whether its payload is asked
+for or not, unless it says that it was truncated (``WARC-Truncated``); so
+does another content coding, unless ``undecodable`` is ``raw``, which leaves the bytes as they are.
+
+Options: ``payload`` (false: leave it NULL), ``undecodable``,
+``partition_bytes``, ``file_bytes``. Paths may have any scheme that pyarrow opens.
 
 Columns: record_type, record_id, target_uri, refers_to, payload_digest,
 payload_bytes, payload. NULL headers are left out and read as NULL; line ends
@@ -25,6 +33,7 @@ from __future__ import annotations
 
 import gzip
 import json
+import uuid
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -69,7 +78,7 @@ BRACKETED = ("record_id", "refers_to")
 VERSION = b"WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "1970-01-01T00:00:00Z"
-MANIFEST = "_manifest.json"
+MANIFEST = "_manifest"
 END = b"\r\n\r\n"
 
 READ_BYTES = 1 << 20
@@ -93,7 +102,8 @@ def encode_record(row: dict) -> bytes:
             head.append(f"{field}: <{value}>" if name in BRACKETED else f"{field}: {value}")
     if row["record_type"] == "revisit":
         head.append(f"WARC-Profile: {PROFILE}")
-    block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
+    status = b"204 No Content" if row["payload"] is None else b"200 OK"
+    block = b"HTTP/1.1 " + status + b"\r\nContent-Type: text/html; charset=utf-8\r\n"
     if row["payload"] is None:
         block += b"\r\n"
     else:
@@ -103,22 +113,75 @@ def encode_record(row: dict) -> bytes:
     return "\r\n".join(head).encode() + END + block + END
 
 
-def decode_payload(block: bytes) -> bytes | None:
-    """The payload of an HTTP response; NULL if it announces no body."""
+def _unchunked(body: bytes, truncated: bool) -> bytes:
+    out, at = [], 0
+    while True:
+        end = body.find(b"\r\n", at)
+        size = body[at:end].split(b";")[0].strip() if end >= 0 else b""
+        if not size:
+            if truncated:
+                return b"".join(out)
+            raise ValueError("a body ends within its chunks")
+        n = int(size, 16)
+        if n == 0:
+            return b"".join(out)
+        out.append(body[end + 2 : end + 2 + n])
+        if len(out[-1]) < n and not truncated:
+            raise ValueError("a body ends within its chunks")
+        at = end + 2 + n + 2
+
+
+def _inflated(body: bytes, wbits: int, truncated: bool) -> bytes:
+    out = []
+    while body:
+        one = zlib.decompressobj(wbits)
+        out.append(one.decompress(body) + one.flush())
+        if not one.eof and not truncated:
+            raise ValueError("a body ends within its compressed data")
+        # A body may hold several members.
+        body = one.unused_data if one.eof and wbits == 31 else b""
+    return b"".join(out)
+
+
+def decode_payload(
+    block: bytes, record_type: str | None = "response", http: bool = True, truncated: bool = False, undecodable: str = "fail"
+) -> bytes | None:
+    """The payload of a record's block; NULL if it says that it has none."""
+    if not http or not block.startswith((b"HTTP/", b"http/")) and record_type == "response":
+        return block
     head, _, body = block.partition(END)
-    lines = [line.partition(b":") for line in head.split(b"\r\n")[1:]]
-    fields = {name.strip().lower(): value.strip() for name, _, value in lines}
-    if b"content-length" not in fields:
+    status, *lines = head.split(b"\r\n")
+    fields = {name.strip().lower(): value.strip() for name, _, value in (line.partition(b":") for line in lines)}
+    if not body and (status.split(b" ")[1:2] in ([b"204"], [b"304"]) or record_type == "revisit"):
         return None
-    body = body[: int(fields[b"content-length"])]
-    return zlib.decompress(body, wbits=31) if fields.get(b"content-encoding") == b"gzip" else body
+    if b"chunked" in fields.get(b"transfer-encoding", b"").lower():
+        body = _unchunked(body, truncated)
+    elif b"content-length" in fields:
+        length = int(fields[b"content-length"])
+        if len(body) < length and not truncated:
+            raise ValueError("a body is shorter than its length")
+        body = body[:length]
+    for coding in reversed(fields.get(b"content-encoding", b"").lower().split(b",")):
+        coding = coding.strip()
+        if coding in (b"gzip", b"x-gzip"):
+            body = _inflated(body, 31, truncated)
+        elif coding == b"deflate":
+            # Some send zlib's format, some the bare one.
+            body = _inflated(body, 15 if body[:1] and body[0] & 15 == 8 else -15, truncated)
+        elif coding not in (b"", b"identity"):
+            if undecodable == "raw":
+                return body
+            raise ValueError(f"content coding {coding.decode()} cannot be undone")
+    return body
 
 
 class Cursor:
     """Reads a file forward in blocks; skipping beyond the block seeks."""
 
-    def __init__(self, file: pa.NativeFile) -> None:
+    def __init__(self, file) -> None:
         self.file, self.buffer, self.at = file, b"", 0
+        #: Bytes of a file in which seeking is cheap.
+        self.size = file.size() if isinstance(file, pa.NativeFile) and file.seekable() else None
 
     def until(self, mark: bytes) -> bytes | None:
         """Bytes up to and without a mark; None at the end of the file."""
@@ -145,17 +208,28 @@ class Cursor:
         return held
 
     def skip(self, n: int) -> None:
+        """Pass over bytes; that they are there is checked, though they are not read."""
         held = len(self.buffer) - self.at
         if n <= held:
             self.at += n
-        else:
-            self.file.seek(n - held, 1)
-            self.buffer, self.at = b"", 0
+            return
+        n -= held
+        self.buffer, self.at = b"", 0
+        if self.size is not None:
+            if self.file.tell() + n > self.size:
+                raise ValueError("archive ends within a record")
+            self.file.seek(n, 1)
+            return
+        while n:
+            some = self.file.read(min(n, READ_BYTES))
+            if not some:
+                raise ValueError("archive ends within a record")
+            n -= len(some)
 
 
-def parse_header(head: bytes) -> tuple[dict, int]:
-    """Columns of a record's header, and the length of its block."""
-    version, *lines = head.split(b"\r\n")
+def parse_header(head: bytes) -> tuple[dict, int, bool, bool]:
+    """Columns of a record's header, the length of its block, whether that is HTTP, and whether it was truncated."""
+    version, *lines = head.lstrip(b"\r\n").split(b"\r\n")
     if not version.startswith(b"WARC/"):
         raise ValueError(f"no record starts here: {version[:40]!r}")
     fields = {}
@@ -167,25 +241,34 @@ def parse_header(head: bytes) -> tuple[dict, int]:
         if row[name] is not None:
             row[name] = row[name].removeprefix("<").removesuffix(">")
     row["payload_bytes"] = None if row["payload_bytes"] is None else int(row["payload_bytes"])
-    return row, int(fields[b"content-length"])
+    http = fields.get(b"content-type", "").replace(" ", "").lower().startswith("application/http")
+    return row, int(fields[b"content-length"]), http, b"warc-truncated" in fields
 
 
 def records(
-    file: pa.NativeFile, wanted: Callable[[dict], bool], payload: bool
+    file: pa.NativeFile, wanted: Callable[[dict], bool], payload: bool, undecodable: str = "fail"
 ) -> Iterator[dict]:
     cursor = Cursor(file)
     while (head := cursor.until(END)) is not None:
-        row, length = parse_header(head)
-        if not wanted(row):
-            cursor.skip(length + len(END))
-            continue
-        row["payload"] = None
-        if payload:
-            row["payload"] = decode_payload(cursor.take(length))
-            cursor.skip(len(END))
+        row, length, http, truncated = parse_header(head)
+        if payload and wanted(row):
+            block = cursor.take(length)
+            row["payload"] = decode_payload(block, row["record_type"], http, truncated, undecodable)
+            yield row
         else:
-            cursor.skip(length + len(END))
-        yield row
+            cursor.skip(length)
+            row["payload"] = None
+            if wanted(row):
+                yield row
+        if cursor.take(len(END)) != END:
+            raise ValueError("a record's length is wrong")
+
+
+def opened(system: pafs.FileSystem, path: str):
+    """An archive to read forward; compressed ones are members behind each other, as a rule one a record."""
+    if path.endswith(".gz"):
+        return gzip.GzipFile(fileobj=system.open_input_stream(path, compression=None))
+    return system.open_input_file(path)
 
 
 @dataclass
@@ -210,6 +293,9 @@ class WarcReader(DataSourceReader):
     def __init__(self, options: dict) -> None:
         self.path = _uri(options["path"])
         self.payload = options.get("payload", "true").lower() == "true"
+        self.undecodable = options.get("undecodable", "fail")
+        if self.undecodable not in ("fail", "raw"):
+            raise ValueError("undecodable is 'fail' or 'raw'")
         self.partition_bytes = int(options.get("partition_bytes", PARTITION_BYTES))
         self.tests: list[tuple] = []
 
@@ -243,13 +329,12 @@ class WarcReader(DataSourceReader):
 
     def partitions(self) -> list[Files]:
         system, path = file_system(self.path)
-        manifest = system.get_file_info(f"{path}/{MANIFEST}")
-        if manifest.type == pafs.FileType.File:
-            with system.open_input_stream(manifest.path) as f:
-                files = [(x["name"], x["bytes"]) for x in json.loads(f.read())]
+        found = system.get_file_info(pafs.FileSelector(path))
+        listed = manifests(found)
+        if listed:
+            files = sorted((x["name"], x["bytes"]) for m in listed for x in _manifest(system, m))
         else:
-            found = system.get_file_info(pafs.FileSelector(path))
-            files = sorted((x.base_name, x.size) for x in found if x.base_name.endswith(".warc"))
+            files = sorted((x.base_name, x.size) for x in found if x.base_name.endswith((".warc", ".warc.gz")))
         out: list[Files] = []
         some: list[str] = []
         size = 0
@@ -266,8 +351,8 @@ class WarcReader(DataSourceReader):
         rows: list[dict] = []
         size = 0
         for name in partition.paths:
-            with system.open_input_file(f"{path}/{name}") as file:
-                for row in records(file, self.wanted, self.payload):
+            with opened(system, f"{path}/{name}") as file:
+                for row in records(file, self.wanted, self.payload, self.undecodable):
                     rows.append(row)
                     size += 500 + len(row["payload"] or b"")
                     if size >= BATCH_BYTES or len(rows) >= BATCH_ROWS:
@@ -277,6 +362,16 @@ class WarcReader(DataSourceReader):
             yield _batch(rows)
 
 
+def manifests(found: list[pafs.FileInfo]) -> list[str]:
+    """Paths of the manifests among a folder's files."""
+    return sorted(x.path for x in found if x.base_name.startswith(MANIFEST) and x.base_name.endswith(".json"))
+
+
+def _manifest(system: pafs.FileSystem, path: str) -> list[dict]:
+    with system.open_input_stream(path) as f:
+        return json.loads(f.read())
+
+
 ARROW = pa.schema(
     [(n, pa.string()) for n in ("record_type", "record_id", "target_uri", "refers_to", "payload_digest")]
     + [("payload_bytes", pa.int64()), ("payload", pa.binary())]
@@ -293,7 +388,8 @@ class Written(WriterCommitMessage):
 
 
 class WarcWriter(DataSourceWriter):
-    def __init__(self, options: dict) -> None:
+    def __init__(self, options: dict, overwrite: bool = False) -> None:
+        self.overwrite = overwrite
         self.path = _uri(options["path"])
         self.file_bytes = int(options.get("file_bytes", FILE_BYTES))
 
@@ -301,7 +397,8 @@ class WarcWriter(DataSourceWriter):
         system, path = file_system(self.path)
         system.create_dir(path, recursive=True)
         task = TaskContext.get()
-        stem = f"part-{task.partitionId():05d}-{task.taskAttemptId()}"
+        # Task ids start again with each application, so a part of its own tells jobs apart.
+        stem = f"part-{task.partitionId():05d}-{task.taskAttemptId()}-{uuid.uuid4().hex[:12]}"
         files: list[tuple[str, int]] = []
         out, size = None, 0
         for row in iterator:
@@ -323,9 +420,15 @@ class WarcWriter(DataSourceWriter):
     def commit(self, messages: list[Written | None]) -> None:
         system, path = file_system(self.path)
         system.create_dir(path, recursive=True)
+        before = manifests(system.get_file_info(pafs.FileSelector(path))) if self.overwrite else []
         files = sorted(f for m in messages if m is not None for f in m.files)
-        with system.open_output_stream(f"{path}/{MANIFEST}") as f:
+        with system.open_output_stream(f"{path}/{MANIFEST}-{uuid.uuid4().hex}.json") as f:
             f.write(json.dumps([{"name": name, "bytes": size} for name, size in files]).encode())
+        for old in before:
+            gone = _manifest(system, old)
+            system.delete_file(old)
+            for x in gone:
+                system.delete_file(f"{path}/{x['name']}")
 
     def abort(self, messages: list[Written | None]) -> None:
         system, path = file_system(self.path)
@@ -346,7 +449,7 @@ class WarcSource(DataSource):
         return WarcReader(dict(self.options))
 
     def writer(self, schema: StructType, overwrite: bool) -> WarcWriter:
-        return WarcWriter(dict(self.options))
+        return WarcWriter(dict(self.options), overwrite)
 
 
 def register(spark: SparkSession) -> None:
@@ -377,8 +480,9 @@ def page_records(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     """A record per row of ``pages`` (page_id, url, html).
 
     Of rows with equal payloads of ``min_bytes`` or more, the one with the
-    smallest page_id (NULL counts as largest; of repeated rows one) carries the
-    payload, the others refer to it. Who is first is found from digests; only
+    smallest page_id (NULL counts as largest), of several that with the smallest
+    url (NULL last), of repeated rows one, carries the payload; the others refer
+    to it. Every record has the url of its row. An empty table gives no records. Who is first is found from digests; only
     payloads that are written move, and the join on a payload that many pages
     share is narrow.
     """
@@ -391,10 +495,13 @@ def page_records(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     }
     rows = pages.withColumns(facts).drop("html")
     shared = rows.filter(F.col("payload_bytes") >= min_bytes)
-    place = F.struct(F.col("page_id").isNull(), F.col("page_id"), F.col("n"))
-    first = shared.groupBy("id", "page_id").agg(F.count(F.lit(1)).alias("n")).groupBy("id").agg(F.min(place).alias("p"))
-    first = checkpointed(first.select("id", F.col("p.page_id").alias("first_id"), F.col("p.n").alias("ties")))
-    is_first = F.col("page_id").eqNullSafe(F.col("first_id"))
+    place = F.struct(F.col("page_id").isNull(), F.col("page_id"), F.col("url").isNull(), F.col("url"), F.col("n"))
+    counted = shared.groupBy("id", "page_id", "url").agg(F.count(F.lit(1)).alias("n"))
+    first = counted.groupBy("id").agg(F.min(place).alias("p"))
+    first = checkpointed(
+        first.select("id", F.col("p.page_id").alias("first_id"), F.col("p.url").alias("first_url"), F.col("p.n").alias("ties"))
+    )
+    is_first = F.col("page_id").eqNullSafe(F.col("first_id")) & F.col("url").eqNullSafe(F.col("first_url"))
     none = F.lit(None).cast("string")
 
     def records_of(df: DataFrame, kind: str, refers_to: Column, body: Column) -> DataFrame:
@@ -415,8 +522,8 @@ def page_records(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     if tied:
         again = (
             joined.filter(is_first & (F.col("ties") > 1))
-            .groupBy("id", "first_id", "ties", "page_id", "payload_digest", "payload_bytes")
-            .agg(F.min("url").alias("url"))
+            .select("id", "first_id", "first_url", "ties", "page_id", "url", "payload_digest", "payload_bytes")
+            .distinct()
             .withColumn("i", F.explode(F.sequence(F.lit(2).cast("bigint"), F.col("ties"))))
         )
         later = later.unionByName(again.select(joined.columns))

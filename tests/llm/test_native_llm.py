@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -39,7 +40,7 @@ def scan(text):
         for m in re.finditer(c.pattern, text):
             if any(s < m.end() and m.start() < e for s, _, e, _ in spans):
                 continue
-            if any(re.search(p, m[0]) for p in ALLOW):
+            if any(re.search(p, m[0]) for p in ALLOW) or not all(re.search(p, m[0]) for p in c.must):
                 continue
             v = m[0].lower() if c.fold else m[0]
             high = [i for i in range(len(v) - 19) if entropy(v[i : i + 20]) >= c.threshold]
@@ -79,6 +80,52 @@ def test_secrets_equal_plain_python(spark):
         assert all((r.text or "")[s.start : s.end].endswith(s.value) for s in r.secrets)
 
 
+ALPHABETS = {
+    "hex": "0123456789ABCDEF",
+    "lower": "abcdefghijklmnopqrstuvwxyz0123456789",
+    "upper": "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789",
+    "base62": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789",
+    "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
+    "url": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_",
+}
+
+
+def test_random_strings_are_found(spark):
+    """Nine of ten random strings of each alphabet and length, from 20 characters on; and no words, paths or identifiers."""
+    rng = random.Random(12)
+    rows = [
+        (f"{name} {n}", "some text (" + "".join(rng.choice(a) for _ in range(n)) + ") and more")
+        for name, a in ALPHABETS.items() for n in (20, 24, 32, 40) for _ in range(300)
+    ]
+    df = scan_secrets(spark.createDataFrame(rows, "kind string, text string"))
+    found = df.groupBy("kind").agg((F.avg((F.size("secrets") > 0).cast("int"))).alias("share"))
+    shares = {r.kind: r.share for r in found.collect()}
+    assert len(shares) == 24 and min(shares.values()) >= 0.9, shares
+    plain = [
+        "an-ordinary-hyphenated-phrase-of-some-length", "/usr/local/share/applications/defaults.list", "THE_GREATEST_CONSTANT_OF_THEM_ALL",
+        "how-to-install-python-3-on-ubuntu-22-04-lts", "123e4567-e89b-12d3-a456-426614174000", "2024-01-01-12-30-45-000000-999999",
+        "internationalization", "zzzzzzzzzzzzzzzzzzzzzzzz1", "some_module_name_42_of_a_package", "====================--------------------",
+    ]
+    quiet = scan_secrets(spark.createDataFrame([(t,) for t in plain], "text string")).filter(F.size("secrets") > 0)
+    assert [r.text for r in quiet.collect()] == []
+
+
+@pytest.mark.parametrize("kind", ["hex", "base64"])
+def test_a_megabyte_of_matches_takes_seconds(spark, kind):
+    rng = random.Random(13)
+    alphabet = "0123456789abcdef" if kind == "hex" else ALPHABETS["base64"]
+    text = " ".join("".join(rng.choice(alphabet) for _ in range(32)) for _ in range(1 << 15))
+    began = time.time()
+    row = secret_report(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert time.time() - began < 60
+    assert row.n_hex == (1 << 15 if kind == "hex" else 0)
+    if kind == "hex":
+        assert row.spans.count(",") == (1 << 15) - 1
+    else:
+        assert row.spans.count("entropy_base64") > 30_000
+        assert tuple(row)[1:] == scan(text)
+
+
 def test_sharding_equals_plain_python(spark):
     rng = random.Random(1)
     rows = [(i, rng.choice([None, "", "é", "text", "hot " * 99])) for i in range(2000)] + [(5, "x"), (5, "x"), (None, "x"), (None, None)]

@@ -47,7 +47,15 @@ def _op1() -> str:
     w = secret_scan.WINDOW
     classes = " ".join(f"WHEN '{c.kind}' THEN {c.threshold}" for c in secret_scan.CLASSES)
     folded = ", ".join(f"'{c.kind}'" for c in secret_scan.CLASSES if c.fold)
-    (first, second) = (c.kind for c in secret_scan.CLASSES)
+    musts = " ".join(
+        f"WHEN '{c.kind}' THEN {' AND '.join([f"regexp_matches(val, '{p}')" for p in c.must] or ['true'])}" for c in secret_scan.CLASSES
+    )
+    # Class by class: what an earlier one has found is not reported again.
+    steps, so_far = [], []
+    for i, c in enumerate(secret_scan.CLASSES):
+        apart = "".join(f" AND NOT EXISTS (SELECT 1 FROM z{j} AS o WHERE o.doc_id = y.doc_id AND o.s < y.ce AND y.cs < o.e)" for j in range(i))
+        steps.append(f"z{i} AS (SELECT doc_id, rank, kind, s, e FROM y WHERE kind = '{c.kind}'{apart}),")
+        so_far.append(f"SELECT * FROM z{i}")
     return f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 f AS ({" UNION ALL ".join(found(i, *k) for i, k in enumerate(kinds))}),
@@ -58,16 +66,14 @@ m AS (SELECT doc_id, rank, kind, vals[i] AS val, length(hits[i]) AS size,
 b AS (SELECT doc_id, rank, kind, s, s + size AS e FROM m
       WHERE rank < 3 AND (kind <> 'assign' OR length(val) >= {secret_scan.ASSIGN_VALUE_CHARS})),
 c AS (SELECT *, CASE WHEN kind IN ({folded}) THEN lower(val) ELSE val END AS v FROM m
-      WHERE rank >= 3 AND NOT ({allow})
+      WHERE rank >= 3 AND NOT ({allow}) AND CASE kind {musts} END
         AND NOT EXISTS (SELECT 1 FROM b WHERE b.doc_id = m.doc_id AND b.s < m.s + m.size AND m.s < b.e)),
 x AS (SELECT *, list_filter(range(0, length(v) - {w - 1}), lambda k:
           list_aggregate(string_split(substr(v, k + 1, {w}), ''), 'entropy') >= CASE kind {classes} END) AS high FROM c),
 y AS (SELECT doc_id, rank, kind, s + list_min(high) AS s, s + list_max(high) + {w} AS e, s AS cs, s + size AS ce FROM x
       WHERE len(high) > 0),
-z AS (SELECT doc_id, rank, kind, s, e FROM y WHERE kind = '{first}'
-      UNION ALL SELECT doc_id, rank, kind, s, e FROM y WHERE kind = '{second}' AND NOT EXISTS
-        (SELECT 1 FROM y AS o WHERE o.kind = '{first}' AND o.doc_id = y.doc_id AND o.s < y.ce AND y.cs < o.e)),
-a AS (SELECT * FROM b UNION ALL SELECT * FROM z),
+{' '.join(steps)}
+a AS (SELECT * FROM b UNION ALL {' UNION ALL '.join(so_far)}),
 r AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
              count(*) FILTER (kind = 'hex') AS n_hex,
              string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) FILTER (rank < 3) AS base,

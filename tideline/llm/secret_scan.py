@@ -9,10 +9,15 @@ in code points, end exclusive.
   ``WINDOW`` characters slides over it; per step one count goes up and one
   down, and the sum of c*log2(c), kept as an exact integer, changes by four
   table values. The span reaches from the first to the last window at or
-  above the class's threshold.
+  above the class's threshold, which is set so that random strings of the
+  class reach it: of those of ``WINDOW`` characters 97 of 100 do, of longer ones more.
 * An allow-list of patterns suppresses candidates; candidates that overlap a
   pattern's span, or a span of an earlier class, are not reported again.
 
+A text with many matches takes time in proportion to them: places are summed
+up in blocks, and overlaps are found by bisection in each kind's spans, which
+are sorted and apart.
+
 NULL counts as empty. Texts of any length are read whole; repeated rows and
 other columns, whatever their names, pass through (``secrets`` is replaced if
 it exists). An empty table gives an empty result.
@@ -21,6 +26,7 @@ it exists). An empty table gives an empty result.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -41,34 +47,47 @@ FRACTION_BITS = 32
 
 @dataclass(frozen=True)
 class CharacterClass:
-    """Runs of ``pattern`` are candidates; ``alphabet`` (after lower-casing, if ``fold``) numbers the characters."""
+    """Runs of ``pattern`` in which every pattern of ``must`` is found are candidates.
+
+    ``alphabet`` (after lower-casing, if ``fold``) numbers the characters.
+    """
 
     kind: str
     pattern: str
     alphabet: str
     threshold: float
     fold: bool = False
+    must: tuple[str, ...] = ()
 
 
 CLASSES = (
-    CharacterClass("entropy_hex", r"[0-9A-Fa-f]{20,}", "0123456789abcdef", 3.0, fold=True),
+    CharacterClass("entropy_hex", r"[0-9A-Fa-f]{20,}", "0123456789abcdef", 2.95, fold=True),
+    CharacterClass(
+        "entropy_alnum", r"[a-z0-9]{20,}|[A-Z0-9]{20,}", "abcdefghijklmnopqrstuvwxyz0123456789", 3.45, fold=True, must=("[0-9]",)
+    ),
+    # Plain and URL-safe base64; without all three kinds of characters it is a path, a slug or an identifier.
     CharacterClass(
         "entropy_base64",
-        r"[A-Za-z0-9+/_]{20,}",
-        "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_",
-        3.97,
+        r"[A-Za-z0-9+/_-]{20,}",
+        "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-",
+        3.7,
+        must=("[0-9]", "[a-z]", "[A-Z]"),
     ),
 )
 
-#: Whole candidates that are no secrets: numbers, words, lower-case paths and identifiers, documentation samples.
+#: Whole candidates that are no secrets: numbers, words, UUIDs, lower-case paths and identifiers, documentation samples.
 ALLOW = (
     r"^[0-9]+$",
-    r"^[A-Za-z_/+]+$",
+    r"^[A-Za-z_/+-]+$",
+    r"^[0-9a-fA-F]{8}-([0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$",
     r"^/?([a-z0-9_]*[a-z][a-z0-9_]*/)+[a-z0-9_]*$",
     r"^[a-z]+(_[a-z0-9]+)+$",
     r"(?i)example|sample|placeholder|xxxxxx",
 )
 
+#: Matches whose places are summed up together.
+BLOCK = 128
+
 KINDS = ("assign", "access", "hex", *(c.kind for c in CLASSES))
 SPAN = "struct<start:bigint,rank:int,end:bigint,kind:string,value:string>"
 
@@ -79,8 +98,7 @@ def matches(text: Column, pattern: str, group: int = 0) -> Column:
     values = found if group == 0 else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
     between = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found))
     parts = F.arrays_zip(between.alias("gap"), found.alias("hit"), values.alias("value"))
-    empty = F.lit(None).cast("array<struct<start:bigint,end:bigint,value:string>>")
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.coalesce(empty, F.array()).alias("out"))
+    empty = F.array().cast("array<struct<start:bigint,end:bigint,value:string>>")
 
     def step(state: Column, part: Column) -> Column:
         begin = state["at"] + F.char_length(part["gap"])
@@ -88,8 +106,29 @@ def matches(text: Column, pattern: str, group: int = 0) -> Column:
         span = F.struct(begin.alias("start"), end.alias("end"), part["value"].alias("value"))
         return F.struct(end.alias("at"), F.concat(state["out"], F.array(span)).alias("out"))
 
-    spans = F.aggregate(parts, start, step, lambda state: state["out"])
-    return F.when(text.rlike(pattern), spans).otherwise(F.coalesce(empty, F.array()))
+    def shift(state: Column, block: Column) -> Column:
+        moved = F.transform(
+            block["out"],
+            lambda m: F.struct((m["start"] + state["at"]).alias("start"), (m["end"] + state["at"]).alias("end"), m["value"].alias("value")),
+        )
+        return F.struct((state["at"] + block["at"]).alias("at"), F.concat(state["out"], F.array(moved)).alias("out"))
+
+    def summed(p: Column) -> Column:
+        """Places within blocks of matches, then of the blocks: appending to one array would copy it for each match."""
+        zero = F.lit(0).cast("bigint").alias("at")
+        blocks = F.transform(
+            F.sequence(F.lit(0), F.floor((F.size(p) - 1) / BLOCK).cast("int")), lambda b: F.slice(p, b * BLOCK + 1, BLOCK)
+        )
+        inside = F.transform(blocks, lambda b: F.aggregate(b, F.struct(zero, empty.alias("out")), step))
+        none = F.array().cast("array<array<struct<start:bigint,end:bigint,value:string>>>").alias("out")
+        return F.flatten(F.aggregate(inside, F.struct(zero, none), shift, lambda state: state["out"]))
+
+    return F.when(text.rlike(pattern), bound(parts, summed)).otherwise(empty)
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value as a lambda's variable: computed once, however often ``use`` refers to it."""
+    return F.get(F.transform(F.array(value), use), 0)
 
 
 def entropy_range(value: Column, cls: CharacterClass, window: int = WINDOW) -> Column:
@@ -149,10 +188,40 @@ def _spans(found: Column, kind: str) -> Column:
     ).cast(f"array<{SPAN}>")
 
 
-def _apart(found: Column, taken: Column) -> Column:
-    return F.filter(
-        found, lambda m: ~F.exists(taken, lambda t: (t["start"] < m["end"]) & (m["start"] < t["end"]))
-    )
+def _touches(m: Column, spans: Column) -> Column:
+    """Whether ``m`` overlaps one of sorted spans that are apart: if any, the last that starts before its end."""
+
+    def halve(s: Column, _: Column) -> Column:
+        middle = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
+        before = F.get(spans, middle)["start"] < m["end"]
+        return (
+            F.when(s["lo"] >= s["hi"], s)
+            .when(before, F.struct((middle + 1).alias("lo"), s["hi"].alias("hi")))
+            .otherwise(F.struct(s["lo"].alias("lo"), middle.alias("hi")))
+        )
+
+    whole = F.struct(F.lit(0).alias("lo"), F.size(spans).alias("hi"))
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(spans) + 1)).cast("int"))
+    last = F.aggregate(steps, whole, halve, lambda s: s["lo"]) - 1
+    return (F.size(spans) > 0) & F.coalesce(F.get(spans, last)["end"] > m["start"], F.lit(False))
+
+
+def _fit(found: Column, taken: list[Column], cls: CharacterClass, allow: tuple[str, ...]) -> Column:
+    """The candidates that are apart from all spans so far, hold what the class asks for and are not allowed."""
+    together = F.struct(found.alias("found"), *(t.alias(f"t{i}") for i, t in enumerate(taken)))
+
+    def kept(all_: Column) -> Column:
+        def fits(m: Column) -> Column:
+            good = ~_any(m["value"], allow)
+            for p in cls.must:
+                good = good & m["value"].rlike(p)
+            for i in range(len(taken)):
+                good = good & ~_touches(m, all_[f"t{i}"])
+            return good
+
+        return F.filter(all_["found"], fits)
+
+    return bound(together, kept)
 
 
 def scan_secrets(
@@ -171,20 +240,17 @@ def scan_secrets(
     assign = F.filter(matches(t, ASSIGN, 2), lambda m: F.char_length(m["value"]) >= ASSIGN_VALUE_CHARS)
     df = df.withColumns(
         {
-            "_assign": _spans(assign, "assign"),
-            "_access": _spans(matches(t, ACCESS), "access"),
-            "_hex": _spans(matches(t, HEX), "hex"),
+            "_assign": assign,
+            "_access": matches(t, ACCESS),
+            "_hex": matches(t, HEX),
             **{f"_{c.kind}": matches(t, c.pattern) for c in classes},
         }
-    ).withColumn("_all", F.concat("_assign", "_access", "_hex"))
+    )
+    taken = ["_assign", "_access", "_hex"]
     for c in classes:
-        fit = F.filter(
-            _apart(F.col(f"_{c.kind}"), F.col("_all")),
-            lambda m: ~_any(m["value"], allow),
-        )
-        ranged = _ranged(fit, c, window)
+        fit = _fit(F.col(f"_{c.kind}"), [F.col(k) for k in taken], c, allow)
         high = F.transform(
-            F.filter(ranged, lambda x: x["r"]["first"] >= 0),
+            F.filter(_ranged(fit, c, window), lambda x: x["r"]["first"] >= 0),
             lambda x: F.struct(
                 (x["m"]["start"] + x["r"]["first"]).alias("start"),
                 (x["m"]["start"] + x["r"]["last"]).alias("end"),
@@ -193,12 +259,12 @@ def scan_secrets(
                 ).alias("value"),
             ),
         )
-        some = F.size(f"_{c.kind}") > 0
-        df = df.withColumn(
-            "_all", F.when(some, F.concat("_all", _spans(high, c.kind))).otherwise(F.col("_all"))
-        )
+        found = F.col(f"_{c.kind}")
+        df = df.withColumn(f"_{c.kind}", F.when(F.size(found) > 0, high).otherwise(found))
+        taken.append(f"_{c.kind}")
     # Structs order by start, then kind; spans of one kind never share a start.
-    return df.select(*names, F.array_sort("_all")).toDF(*kept, "secrets")
+    every = F.concat(*(_spans(F.col(k), k[1:]) for k in taken))
+    return df.select(*names, F.array_sort(every)).toDF(*kept, "secrets")
 
 
 def _ranged(found: Column, cls: CharacterClass, window: int) -> Column:

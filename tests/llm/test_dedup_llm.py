@@ -6,7 +6,7 @@ import pytest
 import xxhash
 
 from tideline.llm.components import components
-from tideline.llm.exact_dedup import dedup, dedup_report
+from tideline.llm.exact_dedup import content_classes, dedup, dedup_report
 from tideline.llm.simhash import fingerprint, near_duplicates, simhash_report, tile_links
 
 DOCS = "doc_id long, text string, lang string, source string"
@@ -35,6 +35,20 @@ def test_exact_dedup_equals_brute_force(spark, table_bytes):
     assert got == brute_dedup(rows)
 
 
+def test_levels_grow_with_the_logarithm_of_the_bytes(spark):
+    """One bucket that overflows is split ever finer: 64 times the texts take a level more or two."""
+    levels = {}
+    for n in (40, 160, 640, 2560):
+        seen = []
+        df = spark.range(n).selectExpr("id AS doc_id", f"repeat(concat('text ', id % {n * 9 // 10}), 20) AS text").repartition(3)
+        got = content_classes(df, table_bytes=1000, buckets=1, watch=lambda level, left: seen.append(left))
+        rows = got.collect()
+        assert len(rows) == n * 9 // 10 and sum(r.group_size for r in rows) == n
+        assert seen[-1] == 0 and seen == sorted(seen, reverse=True)
+        levels[n] = len(seen)
+    assert levels[160] <= levels[40] + 1 and levels[2560] <= levels[40] + 2, levels
+
+
 def test_exact_dedup_keeps_columns_and_one_row_per_class(spark):
     rows = [(1, "a", "en", "s"), (5, "a", "de", "t"), (5, "a", "de", "t"), (2, None, None, None), (None, "b", "x", "y")]
     df = spark.createDataFrame(rows, "doc_id long, text string, sha string, _keep string")

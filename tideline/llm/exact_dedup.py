@@ -2,11 +2,15 @@
 
 1. Every input partition folds its rows in an open-addressing table, so a text
    leaves it once per ``table_bytes`` of other texts, however often it occurs.
-2. A shuffle deals what is left by hash into buckets; its files are the spill
-   files. A task folds its bucket in a table of the same kind.
-3. Texts that no longer fit a full table are handed on and dealt again by
-   another hash, until no bucket overflows. All copies of a text share its
-   bucket and its fate, so a class is complete at the level that holds it.
+2. A shuffle deals what is left by hash into buckets, as many as the measured
+   bytes need; its files are the spill files. A task folds its bucket in a
+   table of the same kind.
+3. Texts that no longer fit a full table are handed on. Each bucket that has
+   overflowed is split by further hash bits, ``FAN_OUT`` ways, and its parts
+   are folded one after the other, until none overflows: k levels take
+   ``FAN_OUT``^k tables a bucket, so levels grow with the logarithm of the
+   bytes. All copies of a text share its bucket and its fate, so a class is
+   complete at the level that holds it.
 
 Texts are equal when their UTF-8 bytes are; NULL counts as empty, so NULL and
 empty texts form one class. Of a class the row with the largest doc_id stays
@@ -17,7 +21,7 @@ empty table gives an empty result. Other columns pass through ``dedup``.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -28,6 +32,10 @@ from tideline.llm.shared import own_names, stored
 #: Bytes of text that a table holds, and about the bytes of one output batch.
 TABLE_BYTES = 64 << 20
 BATCH_BYTES = 16 << 20
+#: Most buckets of the first level, and hash bits by which each level splits an overflowing bucket.
+MAX_BUCKETS = 20_000
+FAN_BITS = 6
+FAN_OUT = 1 << FAN_BITS
 
 PARTIAL = "h bigint, text string, max_id bigint, ties bigint, n bigint"
 LEVEL = f"sha string, overflow boolean, {PARTIAL}"
@@ -139,14 +147,17 @@ def fold_partition(table_bytes: int):
 
 
 def fold_bucket(table_bytes: int):
-    """A bucket: classes that fit the table are complete; other texts overflow to the next level."""
+    """Buckets, one after the other: classes that fit the table are complete; other texts overflow to the next level."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = ContentTable()
+        table, bucket = ContentTable(), None
         over: list[tuple] = []
         size = 0
         for batch in batches:
-            for row in _rows(batch):
+            for b, row in zip(batch.column("bucket").to_pylist(), _rows(batch), strict=True):
+                if b != bucket:
+                    yield from table.batches(resolved=True)
+                    table, bucket = ContentTable(), b
                 e, slot = table.find(row[0], row[1])
                 if e >= 0:
                     table.merge(e, *row[2:])
@@ -165,8 +176,33 @@ def fold_bucket(table_bytes: int):
     return run
 
 
-def content_classes(df: DataFrame, text: str = "text", key: str = "doc_id", table_bytes: int = TABLE_BYTES) -> DataFrame:
-    """One row per distinct text: ``sha``, ``keep_id``, ``ties`` (rows with that id), ``group_size``."""
+def _deal(pending: DataFrame, buckets: int, level: int, tasks: int) -> DataFrame:
+    """Rows by bucket; a task has the rows of a bucket together. On the first level a task's rows are one bucket."""
+    first = F.pmod(F.xxhash64("h"), F.lit(buckets))
+    if level == 0:
+        return pending.withColumn("bucket", F.lit(0).cast("bigint")).repartition(buckets, first)
+    # The further bits are those of another hash; of 64 some are left at any level.
+    further = F.shiftrightunsigned(F.xxhash64("h", F.lit(1)), max(0, 64 - FAN_BITS * level))
+    return (
+        pending.withColumn("bucket", F.xxhash64(first, further))
+        .repartition(tasks, "bucket")
+        .sortWithinPartitions("bucket")
+    )
+
+
+def content_classes(
+    df: DataFrame,
+    text: str = "text",
+    key: str = "doc_id",
+    table_bytes: int = TABLE_BYTES,
+    buckets: int | None = None,
+    watch: Callable[[int, int], None] | None = None,
+) -> DataFrame:
+    """One row per distinct text: ``sha``, ``keep_id``, ``ties`` (rows with that id), ``group_size``.
+
+    ``buckets``: of the first level, by default as many as the bytes need.
+    ``watch(level, bytes)`` is told what a level hands on.
+    """
     content = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     one = F.lit(1).cast("bigint")
     rows = df.select(
@@ -176,17 +212,29 @@ def content_classes(df: DataFrame, text: str = "text", key: str = "doc_id", tabl
         one.alias("ties"),
         one.alias("n"),
     )
+    held = (F.octet_length("text") + 200).cast("bigint")
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def needed(frame: DataFrame) -> tuple[int, int]:
+        """Bytes in tables, and the tables that hold them, half as many again for unevenness, of several rows each."""
+        size, count = frame.agg(F.sum(held), F.count(F.lit(1))).first()
+        return size or 0, max(least, min(-(-3 * (size or 0) // (2 * table_bytes)), count // 16))
+
+    n = buckets or min(MAX_BUCKETS, needed(rows)[1])
     pending = rows.mapInArrow(fold_partition(table_bytes), LEVEL)
-    done = None
-    level = 0
+    done, level, tasks = None, 0, n
     while True:
-        dealt = pending.repartition(F.xxhash64("h", F.lit(level)))
+        dealt = _deal(pending, n, level, tasks)
         folded = stored(dealt.mapInArrow(fold_bucket(table_bytes), LEVEL), f"dedup-level{level}")
         complete = folded.filter(~F.col("overflow"))
         done = complete if done is None else done.unionByName(complete)
         pending = folded.filter("overflow")
-        if pending.isEmpty():
+        left, tasks = needed(pending)
+        if watch is not None:
+            watch(level, left)
+        if not left:
             break
+        tasks = min(MAX_BUCKETS, tasks)
         level += 1
     return done.select("sha", F.col("max_id").alias("keep_id"), "ties", F.col("n").alias("group_size"))
 

@@ -14,7 +14,7 @@ from helpers import records
 from tideline.operators.flush import flush_by_bytes, flush_by_interval
 from tideline.operators.processor import RecordProcessor
 from tideline.plans.stream_queries import NO_ROWS, CountingWorker
-from tideline.streaming import FrontierTracker
+from tideline.streaming import FrontierTracker, ShardCounters, merge_runs
 from tideline.streaming.flush import flush_sink
 from tideline.streaming.processor import checkpoints_of, processor_sink, rows_of
 
@@ -186,3 +186,38 @@ def test_frontier_of_shards_that_end(spark, tmp_path):
     assert {(r.shard_id, r.base) for r in tracker.current(spark).collect()} == {("a", "100")}
     with pytest.raises(PySparkException, match="left over"):
         tracker(completions(spark, [("a", 5, 4, None), ("a", None, 4, "TERMINATE")]), 3)
+
+
+@pytest.mark.parametrize("sizing", [{}, {"fits": False, "chunk_rows": 5}])
+def test_union_of_runs_equals_a_walk(spark, sizing):
+    rng = random.Random(8)
+    rows = []
+    for shard in ("a", "b"):
+        for _ in range(120):
+            lo = rng.randrange(0, 900)
+            rows.append(("s", shard, lo, lo + rng.randrange(0, 12), lo))
+    df = spark.createDataFrame(rows, "stream_name string, shard_id string, lo long, hi long, at long").repartition(4)
+    want = []
+    for shard in ("a", "b"):
+        mine = sorted((r[2], r[3]) for r in rows if r[1] == shard)
+        merged = [list(mine[0])]
+        for lo, hi in mine[1:]:
+            if lo <= merged[-1][1] + 1:
+                merged[-1][1] = max(merged[-1][1], hi)
+            else:
+                merged.append([lo, hi])
+        want += [(shard, lo, hi) for lo, hi in merged]
+    got = merge_runs(df, **sizing).collect()
+    assert sorted((r.shard_id, r.lo, r.hi) for r in got) == sorted(want)
+    assert all(r.at == max(x[2] for x in rows if x[1] == r.shard_id and r.lo <= x[2] <= r.hi) for r in got)
+
+
+def test_counters_of_a_stream_count_each_micro_batch_once(spark, tmp_path):
+    df = events(spark, 60, 2)
+    counters = ShardCounters(str(tmp_path / "c"), F.col("skipped"))
+    in_batches(df, counters, 3, twice=(1,))
+    got = {r.shard_id: (r.n_records, r.n_checkpoints) for r in counters.totals(spark).collect()}
+    rows = df.collect()
+    assert got == {s: (sum(r.shard_id == s and not r.skipped for r in rows), 0) for s in ("s0", "s1")}
+    assert sum(o["n_ignored"] for o in counters.observed.values()) == sum(r.skipped for r in rows)
+    assert sorted(counters.observed) == [0, 1, 2]

@@ -187,6 +187,7 @@ def all_oracles() -> dict[str, str]:
             CAST(sum(ev.weight) OVER (PARTITION BY g.shard_id ORDER BY g.rn ROWS UNBOUNDED PRECEDING) - 1 AS BIGINT) END AS counter {JOINED}""",
     ).replace("'shard-' || (user_id % 5) AS shard_id", "'all' AS shard_id")
     found["stream_processor_checkpoints"] = found["processor_checkpoints"]
+    found["stream_shard_counters"] = found["shard_counters"]
     return found
 
 

@@ -62,6 +62,7 @@ from tideline.plans.stream_queries import (
     stream_flush_hot,
     stream_frontier,
     stream_processor_checkpoints,
+    stream_shard_counters,
     work_folder,
 )
 from tideline.plans.streams import (
@@ -847,4 +848,5 @@ def all_queries() -> dict[str, Query]:
         "stream_processor_checkpoints": stream_processor_checkpoints,
         "stream_final_checkpoints": stream_final_checkpoints,
         "stream_checkpoint_schedule": stream_checkpoint_schedule,
+        "stream_shard_counters": stream_shard_counters,
     }

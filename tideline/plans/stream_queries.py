@@ -17,10 +17,11 @@ from tideline.operators.processor import RecordProcessor
 from tideline.operators.sizing import ensure_checkpoint_dir, row_bytes
 from tideline.plans.streams import event_stream, packed_orders, table
 from tideline.sources.envelopes import parse_envelopes, read_lines, stream_records, to_request_lines
+from tideline.streaming.counters import ShardCounters
 from tideline.streaming.flush import flush_sink, flush_stream
 from tideline.streaming.folds import StreamFold
 from tideline.streaming.frontier import FrontierTracker
-from tideline.streaming.processor import processor_sink
+from tideline.streaming.processor import checkpoints_of, processor_sink
 
 FILES_PER_TRIGGER = 1_000
 HOUR = 3_600_000
@@ -258,6 +259,22 @@ def stream_flush_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sink.output(spark).select("shard_id", "base", "counter", "batch_no", "fired")
 
 
+def stream_shard_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records and checkpoints of shards, counted while the stream runs."""
+    folder = work_folder(spark)
+    events = landing_events(spark, sf_dir)
+    ignored = F.col("event_type") == "view"
+    counters = ShardCounters(f"{folder}/counters", ignored)
+    sink = worker_sink(spark, events, folder)
+
+    def work(batch: DataFrame, batch_id: int) -> None:
+        sink(batch.filter(~ignored), batch_id)
+        counters(batch, batch_id, checkpoints_of(sink.output_of(spark, batch_id)))
+
+    in_landings(spark, events, "landing", folder, work)
+    return counters.totals(spark).select("shard_id", "n_records", "n_checkpoints")
+
+
 #: The clock of the schedule: so many milliseconds an event.
 EVENT_MS = 60_000
 

@@ -1,3 +1,4 @@
+from tideline.streaming.counters import ShardCounters
 from tideline.streaming.flush import flush_sink, flush_stream
 from tideline.streaming.folds import EndingFold, StreamFold
 from tideline.streaming.frontier import FrontierTracker, completion_runs, merge_runs
@@ -7,6 +8,7 @@ from tideline.streaming.stalls import stalled_shards_stream
 __all__ = [
     "EndingFold",
     "FrontierTracker",
+    "ShardCounters",
     "StreamFold",
     "checkpoints_of",
     "completion_runs",

@@ -83,13 +83,15 @@ def latest_per_key(records: DataFrame, keys: Sequence[str] = ("partition_key",))
 
     Shards are written in the order of their ids and each shard in record order.
     The last place of each key is found on narrow columns; only records at that
-    place, one per key but for repeated ones, are then aggregated.
+    place, one per key but for repeated ones, are then aggregated. Of unequal
+    data at one place the hash decides, so reruns agree.
     """
     keys = list(keys)
     place = F.struct(F.col(SHARD), order_key())
     last = records.groupBy(*keys).agg(F.max(place).alias("_place"))
     at = keyed_join(records.withColumn("_place", place), last, [*keys, "_place"])
-    one = F.first(F.struct(SHARD, "base", "sub", "user_sub", "data")).alias("_last")
+    record = F.struct(SHARD, "base", "sub", "user_sub", "data")
+    one = F.max_by(record, F.struct(F.xxhash64("data"), F.col("data"))).alias("_last")
     return at.groupBy(*keys).agg(one).select(*keys, "_last.*")
 
 

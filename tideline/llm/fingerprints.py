@@ -34,7 +34,7 @@ FRACTION = 1 / 8
 HEX_DIGITS = 16
 SPLIT = r"[\x20\x09-\x0D]+"
 #: Text that one bucket of neighbours holds, and most buckets; beyond, they get larger, and Spark spills them.
-BUCKET_BYTES = 32 << 20
+BUCKET_BYTES = 8 << 20
 MAX_BUCKETS = 100_000
 
 

@@ -156,7 +156,7 @@ def test_sizes(spark):
         data = b"d" * rng.choice([0, 1, 120, 127, 128, 20_000])
         agg = codec.OpenAggregate()
         agg.keys = {str(i).encode(): i for i in range(rng.choice([0, 3, 127, 128, 500]))}
-        _, expected = agg.head(pk.encode(), data, ehk.encode() if len(ehk) % 2 else None)
+        _, expected = agg.head(pk.encode(), len(data), ehk.encode() if len(ehk) % 2 else None)
         rows.append((len(pk), len(agg.keys), len(data), len(ehk) if len(ehk) % 2 else None, expected))
     df = spark.createDataFrame(rows, "pk int, idx int, d int, ehk int, expected bigint")
     got = record_size("pk", F.lit(True), "idx", "d", "ehk", F.lit(True), F.lit(0))
@@ -230,7 +230,7 @@ def test_formats(spark):
 def test_keys_need_not_be_text(spark):
     key, data = b"\xff\xfe", b"d"
     agg = codec.OpenAggregate()
-    agg.add(key, data, None, *agg.head(key, data, None))
+    agg.add(key, data, None, *agg.head(key, len(data), None))
     df = spark.createDataFrame([("k", "1", 0, None, None, agg.finish(False))], ENVELOPE_DDL)
     assert bytes(deaggregate(df).select(F.col("partition_key").cast("binary")).first()[0]) == key
     rows = spark.createDataFrame([(0, 0, key, data, None)], "lane int, n int, k binary, data binary, explicit_hash_key string")

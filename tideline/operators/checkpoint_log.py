@@ -23,6 +23,7 @@ class _Checkpoints(OrderedFold):
     def __init__(self, processor: RecordProcessor, columns: Sequence[str]):
         self.processor = processor
         self.splittable = processor.splittable
+        self.combine = processor.combine
         self.columns = list(columns)
 
     def start(self, key):

@@ -15,6 +15,9 @@ from __future__ import annotations
 import pickle
 import zlib
 from collections.abc import Iterable, Iterator, Sequence
+from functools import reduce
+from itertools import chain, groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -24,13 +27,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tideline.operators.ordering import CHUNK, CHUNK_ROWS, _before, _orders, ordered_chunks
+from tideline.operators.ordering import CHUNK, CHUNK_ROWS, POS, _before, _orders, ordered_chunks
 from tideline.operators.sizing import fits_one_task, ordered_lookup
 from tideline.schema import SHARD_KEYS
 
 CARRY = "_carry"
 ENTRY = "_entry"
 FINAL = "_final"
+FIRST = "_first"
 
 
 class OrderedFold:
@@ -59,6 +63,22 @@ class OrderedFold:
         """State after a run of rows, from the state before it and its summary."""
         raise NotImplementedError
 
+    def freeze(self, state):
+        """A state in plain values, to go from worker to worker: classes of this package are not the same there."""
+        return state
+
+    def thaw(self, frozen):
+        return frozen
+
+    #: ``combine(first, second)``: summary of two runs, one after the other; None if only a whole run can be summarised.
+    combine = None
+
+    def summary(self, slices: Iterator[pa.RecordBatch]):
+        """``summarize`` of slices that come one at a time; with ``combine``, one slice is held, otherwise all are."""
+        if self.combine is None:
+            return self.summarize(list(slices))
+        return reduce(self.combine, (self.summarize([s]) for s in slices))
+
 
 def slices_by_key(batch: pa.RecordBatch, n_keys: int) -> Iterator[tuple[tuple, pa.RecordBatch]]:
     """Cut a batch where one of its first ``n_keys`` columns changes."""
@@ -102,24 +122,16 @@ def _run(fold: OrderedFold, n_keys: int):
 
 
 def _summaries(fold: OrderedFold, n_keys: int, schema: pa.Schema):
-    def row(place, slices):
-        blob = zlib.compress(pickle.dumps(fold.summarize(slices)), 1)
-        return pa.RecordBatch.from_arrays(
-            [pa.array([v], t.type) for v, t in zip([*place, blob], schema)], schema=schema
-        )
-
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Holds one chunk of one group at a time. The chunk is the column after the keys.
-        current, held = None, []
-        for batch in batches:
-            for place, rows in slices_by_key(batch, n_keys + 1):
-                if place != current:
-                    if current is not None:
-                        yield row(current, held)
-                    current, held = place, []
-                held.append(rows)
-        if current is not None:
-            yield row(current, held)
+        # The chunk is the column after the keys; the row's place in all rows comes after it.
+        slices = (found for batch in batches for found in slices_by_key(batch, n_keys + 1))
+        for place, run_of in groupby(slices, key=itemgetter(0)):
+            run_of = (rows for _, rows in run_of)
+            head = next(run_of)
+            first = head.column(POS)[0].as_py()
+            blob = zlib.compress(pickle.dumps(fold.summary(chain([head], run_of))), 1)
+            values = [*place, first, blob]
+            yield pa.RecordBatch.from_arrays([pa.array([v], t.type) for v, t in zip(values, schema)], schema=schema)
 
     return run
 
@@ -133,10 +145,10 @@ def _entries(fold: OrderedFold, n_keys: int):
                     current, state = key, fold.start(key)
                 entries = []
                 for blob in rows.column("_summary"):
-                    entries.append(pickle.dumps(state))
+                    entries.append(pickle.dumps(fold.freeze(state)))
                     state = fold.advance(state, pickle.loads(zlib.decompress(blob.as_py())))
-                kept = [rows.column(i) for i in range(n_keys)] + [rows.column(CHUNK), rows.column(FINAL)]
-                names = [*rows.schema.names[:n_keys], CHUNK, FINAL, ENTRY]
+                kept = [rows.column(i) for i in range(n_keys)] + [rows.column(c) for c in (CHUNK, FIRST, FINAL)]
+                names = [*rows.schema.names[:n_keys], CHUNK, FIRST, FINAL, ENTRY]
                 yield pa.RecordBatch.from_arrays([*kept, pa.array(entries, pa.binary())], names=names)
 
     return run
@@ -152,7 +164,7 @@ def _run_chunks(fold: OrderedFold, n_keys: int):
                     if current is not None and final:
                         yield from _emit(fold.finish(current[:n_keys], state))
                     current = place
-                    state = pickle.loads(rows.column(ENTRY)[0].as_py())
+                    state = fold.thaw(pickle.loads(rows.column(ENTRY)[0].as_py()))
                     final = rows.column(FINAL)[0].as_py()
                 bare = rows.drop_columns([CHUNK, ENTRY, FINAL])
                 state, out = fold.step(key, state, bare)
@@ -198,16 +210,21 @@ def ordered_fold(
     chunks = ordered_chunks(df, keys, order, chunk_rows)
     key_fields = [df.schema[k] for k in keys]
     wanted = list(summary_columns)
-    source = chunks.select(*keys, CHUNK, *wanted)
+    source = chunks.select(*keys, CHUNK, POS, *wanted)
     if carry_max is not None:
         tops = chunks.groupBy(*keys, CHUNK).agg(F.max(carry_max).alias("_top"))
         tops = tops.withColumn(CARRY, _before(keys, F.max("_top"))).select(*keys, CHUNK, CARRY)
         source, in_order = ordered_lookup(chunks, tops, [*keys, CHUNK])
         if not in_order:
             source = source.sortWithinPartitions(*by)
-        source = source.select(*keys, CHUNK, *wanted, CARRY)
+        source = source.select(*keys, CHUNK, POS, *wanted, CARRY)
     summary_schema = T.StructType(
-        [*key_fields, T.StructField(CHUNK, T.LongType()), T.StructField("_summary", T.BinaryType())]
+        [
+            *key_fields,
+            T.StructField(CHUNK, T.LongType()),
+            T.StructField(FIRST, T.LongType()),
+            T.StructField("_summary", T.BinaryType()),
+        ]
     )
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -218,6 +235,7 @@ def ordered_fold(
         [
             *key_fields,
             T.StructField(CHUNK, T.LongType()),
+            T.StructField(FIRST, T.LongType()),
             T.StructField(FINAL, T.BooleanType()),
             T.StructField(ENTRY, T.BinaryType()),
         ]
@@ -228,6 +246,8 @@ def ordered_fold(
         .mapInArrow(_entries(fold, len(keys)), entry_schema)
     )
     placed, in_order = ordered_lookup(chunks, entries, [*keys, CHUNK])
+    # States may be large: only the first row of a chunk carries one, and no sort or worker sees it more than once.
+    placed = placed.withColumn(ENTRY, F.when(F.col(POS) == F.col(FIRST), F.col(ENTRY)))
     if not in_order:
         placed = placed.sortWithinPartitions(*by)
     placed = placed.select(*keys, CHUNK, *rest, FINAL, ENTRY)

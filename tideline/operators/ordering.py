@@ -23,7 +23,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tideline.functions.sequence import order_columns
-from tideline.operators.sizing import fits_one_task, lookup, materialize
+from tideline.operators.sizing import fits_one_task, lookup, materialize, row_bytes
 from tideline.schema import SHARD_KEYS
 
 CHUNK = "_chunk"
@@ -32,6 +32,9 @@ POS = "_pos"
 #: Rows per chunk.
 CHUNK_ROWS = 1_000_000
 
+#: About the bytes of rows that a partition of the range shuffle gets.
+PARTITION_BYTES = 256 << 20
+
 #: Most partitions of the range shuffle; larger inputs get several chunks per partition.
 MAX_PARTITIONS = 50_000
 
@@ -54,10 +57,11 @@ def ordered_chunks(
     ``_pos`` numbers the rows increasingly in that order, with jumps between
     partitions. ``_chunk`` names the run of ``chunk_rows`` rows a row lies in by
     the ``_pos`` of its first. A chunk may hold the end of one group and the
-    start of others.
+    start of others. Partitions, and with them the chunks of wide rows, are bounded by bytes as well.
     """
-    total = df.count()
-    n = min(MAX_PARTITIONS, max(1, math.ceil(total / chunk_rows)))
+    total, size = df.agg(F.count(F.lit(1)), F.sum(row_bytes(df))).first()
+    wanted = max(math.ceil(total / chunk_rows), math.ceil((size or 0) / PARTITION_BYTES))
+    n = min(MAX_PARTITIONS, max(1, wanted))
     row = F.col(POS).bitwiseAND(F.lit((1 << _PARTITION_SHIFT) - 1))
     by = [F.col(k) for k in keys] + _orders(order)
     return materialize(

@@ -153,6 +153,13 @@ p AS (
                     FROM p JOIN x ON x.lang = p.lang AND x.lane = p.lane AND x.k = p.k + 1)))
 )"""
 
+#: The same for all documents as one producer without lanes.
+PACK_HOT = (
+    PACK.replace("PARTITION BY lang ORDER BY doc_id", "ORDER BY doc_id")
+    .replace("x AS (SELECT *, ", "x AS (SELECT * REPLACE ('all' AS lang), ")
+    .replace(f"i // {DOCS_PER_LANE} AS lane, i % {DOCS_PER_LANE} AS k", "0 AS lane, i AS k")
+)
+
 ROUNDTRIP = f"""{PACK}
 SELECT x.lang, x.lane, p.batch_no, p.sub AS user_sub, count(*) OVER (PARTITION BY x.lang, x.lane, p.batch_no) AS user_total,
        x.pk AS partition_key, md5(x.text) AS digest
@@ -304,6 +311,11 @@ def _oracles() -> dict[str, str]:
                    arg_min(ehk, p.k) FILTER (ehk IS NOT NULL) AS explicit_hash_key, count(*) AS n_records,
                    CAST(20 + max(size) + max(own) AS BIGINT) AS est_bytes
             FROM p JOIN x ON x.lang = p.lang AND x.lane = p.lane AND x.k = p.k GROUP BY 1, 2, 3""",
+        "pack_hot": f"""{PACK_HOT}
+            SELECT 'all' AS producer, batch_no, arg_min(pk, p.k) AS partition_key,
+                   arg_min(ehk, p.k) FILTER (ehk IS NOT NULL) AS explicit_hash_key, count(*) AS n_records,
+                   CAST(20 + max(size) + max(own) AS BIGINT) AS est_bytes
+            FROM p JOIN x ON x.k = p.k GROUP BY 1, 2""",
         "key_dictionary": f"""WITH {DOCS},
             k AS (SELECT lang, batch, pk, min(doc_id) AS first FROM d GROUP BY 1, 2, 3)
             SELECT lang, batch, pk AS partition_key, row_number() OVER (PARTITION BY lang, batch ORDER BY first) - 1 AS key_index

@@ -389,7 +389,7 @@ def deaggregate_query(deflate: bool) -> Query:
 
 def packed_documents(spark, sf_dir, max_bytes, deflate=False):
     docs = with_lanes(document_records(spark, sf_dir), ["lang"], [F.col("doc_id")], DOCS_PER_LANE)
-    return pack(docs, ["lang", "lane"], [F.col("doc_id")], max_bytes=max_bytes, deflate=deflate)
+    return pack(docs, ["lang", "lane"], [F.col("doc_id")], max_bytes=max_bytes, deflate=deflate, fits=True)
 
 
 def pack_roundtrip_query(deflate: bool) -> Query:
@@ -411,6 +411,13 @@ def pack_summary_query(spark, sf_dir):
     )
 
 
+def pack_hot_query(spark, sf_dir):
+    """All documents from one producer, packed without lanes by many chunks."""
+    docs = document_records(spark, sf_dir).withColumn("producer", F.lit("all"))
+    packed = pack(docs, ["producer"], [F.col("doc_id")], max_bytes=SUMMARY_BYTES, **HOT)
+    return packed.select("producer", "batch_no", "partition_key", "explicit_hash_key", "n_records", "est_bytes")
+
+
 def key_dictionary_query(spark, sf_dir):
     return key_dictionary(doc_batches(spark, sf_dir), ["lang", "batch"], F.col("doc_id"))
 
@@ -624,6 +631,9 @@ class ByteMarks(RecordProcessor):
     def summarize(self, batches):
         return int(sum(self._sizes(b).sum() for b in batches))
 
+    def combine(self, first, second):
+        return first + second
+
     def advance(self, state, summary):
         return state + summary
 
@@ -806,6 +816,7 @@ def all_queries() -> dict[str, Query]:
         "pack_roundtrip": pack_roundtrip_query(False),
         "pack_deflated": pack_roundtrip_query(True),
         "pack_summary": pack_summary_query,
+        "pack_hot": pack_hot_query,
         "key_dictionary": key_dictionary_query,
         "pack_header": pack_header_query,
         "oversize_records": oversize_query,

@@ -206,6 +206,9 @@ class CountingWorker(RecordProcessor):
     def summarize(self, batches):
         return sum(b.num_rows for b in batches)
 
+    def combine(self, first, second):
+        return first + second
+
     def advance(self, state, summary):
         return state + summary
 

@@ -112,7 +112,7 @@ def packed_orders(spark: SparkSession, sf_dir: str, deflate: bool = False) -> Da
     """``lineitem`` packed into one aggregated record per order, as stream records."""
     lines = line_records(spark, sf_dir)
     order = [F.col(c) for c in LINE_ORDER]
-    packed = pack(lines, ["lane"], order, batch_key="l_orderkey", deflate=deflate)
+    packed = pack(lines, ["lane"], order, batch_key="l_orderkey", deflate=deflate, fits=True)
     none = F.lit(None).cast("bigint")
     base = F.col("l_orderkey").cast("string")
     return packed.select(

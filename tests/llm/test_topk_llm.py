@@ -60,6 +60,48 @@ def test_components_near_the_end_of_doubles(spark):
         topk_report(spark.createDataFrame(rows, SCHEMA)).collect()
 
 
+def test_buckets_are_full_whatever_the_partitions():
+    from tideline.llm.topk import _partitions
+
+    assert [_partitions(n, 100, 200) for n in (0, 99, 250, 19_999, 20_000, 10**6, 10**8)] == [1, 1, 2, 199, 200, 200, 15_625]
+
+
+def test_vectors_move_for_surviving_pairs_only(spark):
+    """Short buckets are excluded on narrow rows: no block of queries is sent to them."""
+    from tideline.llm import topk
+
+    rows = [(i, [2.0 if i < 300 else 0.01, 0.01], None, None) for i in range(2000)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    seen = spark.sparkContext.accumulator(0)
+    inner = topk.compare_blobs
+
+    def counting(k):
+        run = inner(k)
+
+        def counted(batches):
+            def each():
+                for b in batches:
+                    seen.add(b.num_rows)
+                    yield b
+
+            return run(each())
+
+        return counted
+
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    topk.compare_blobs = counting
+    try:
+        # A query with a long vector has k long ones before it; the sixteen buckets and more of short ones are left out.
+        got = topk.top_k(df, (df.vec_id % 20 == 0) & (df.vec_id < 300), 20, bucket_rows=100, query_rows=100).collect()
+    finally:
+        topk.compare_blobs = inner
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    assert sorted((tuple(r) for r in got), key=str) == [r for r in brute(rows, 20) if r[0] < 300]
+    blocks = 4
+    assert seen.value <= blocks * 6
+
+
 def test_nothing(spark):
     assert topk_report(spark.createDataFrame([], SCHEMA)).collect() == []
     assert topk_report(spark.createDataFrame([(0, [1.0], None, None)], SCHEMA)).collect() == []

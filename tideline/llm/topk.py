@@ -24,6 +24,7 @@ give fewer rows; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -233,7 +234,8 @@ def top_k(
         F.transform("vector", lambda x: F.floor(x * scale).cast("double")), F.lit(0.0), lambda a, x: a + x * x
     )
     # Equal lengths, a hot vector's too, are spread by the hash of the id.
-    longest_first = rows.withColumn("_far", -length).repartitionByRange("_far", F.xxhash64("id"))
+    parts = _partitions(rows.count(), bucket_rows, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    longest_first = rows.withColumn("_far", -length).repartitionByRange(parts, "_far", F.xxhash64("id"))
     buckets = stored(
         longest_first.sortWithinPartitions("_far").select("id", "vector").mapInArrow(pack_rows(bucket_rows, scale), BLOB),
         "topk-buckets",
@@ -250,14 +252,10 @@ def top_k(
     if not first:
         return _ranked(df.sparkSession.createDataFrame([], HITS), k)
     query = F.struct("no", "n", "ids", "width", "type", "data").alias("query")
-    groups = buckets.count()
-    group = F.pmod(F.xxhash64("no"), F.lit(groups)).cast("int").alias("g")
-    every_group = F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g")
     bucket = F.struct("no", "longest", "n", "ids", "width", "type", "data").alias("bucket")
-    targets = buckets.select("no", F.col("longest").alias("reach"), bucket, group)
-    is_first = F.col("no").isin(first)
+    targets = buckets.select("no", bucket)
     none = F.lit(None).cast("array<struct<less:bigint,unknown:boolean,id:bigint>>").alias("bounds")
-    beginning = blocks.select(query, every_group).join(targets.filter(is_first), "g")
+    beginning = blocks.select(query, F.explode(F.lit(first).cast("array<bigint>")).alias("no")).join(targets, "no")
     initial = stored(beginning.select("query", "bucket", none).mapInArrow(compare_blobs(k), HITS), "topk-first")
 
     # The k-th hit so far, per query; a query without k hits has no bound.
@@ -286,14 +284,28 @@ def top_k(
             ),
         )
     )
-    sent = bounded.select("query", "bounds", "longest", "least", every_group)
-    # No query of the block can reach its bound in a bucket whose vectors are this short.
+    bounded = stored(
+        bounded.select(F.col("no").alias("block"), "longest", "least", "query", "bounds"), "topk-bounded"
+    )
+    # Which block goes to which bucket is settled on a few bytes of each, before any vector moves.
+    groups = buckets.count()
+    every_group = F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g")
+    reaches = buckets.filter(~F.col("no").isin(first)).select(
+        "no", F.col("longest").alias("reach"), F.pmod(F.xxhash64("no"), F.lit(groups)).cast("int").alias("g")
+    )
+    # No query of the block can reach its bound in a bucket whose vectors are shorter.
     near = (F.col("reach") * F.col("longest")) * (1 + 1e-6) + 1e-6 >= F.col("least")
-    rest = sent.join(targets.filter(~is_first), "g").filter(near)
+    pairs = bounded.select("block", "longest", "least", every_group).join(reaches, "g").filter(near).select("block", "no")
+    rest = pairs.join(bounded.select("block", "query", "bounds"), "block").join(targets, "no")
     hits = rest.select("query", "bucket", "bounds").mapInArrow(compare_blobs(k), HITS)
     return _ranked(initial.unionByName(hits), k)
 
 
+def _partitions(rows: int, bucket_rows: int, usual: int) -> int:
+    """Partitions of the vectors by length: each fills a bucket at least, and 64 at most."""
+    return max(1, min(usual, rows // bucket_rows), math.ceil(rows / (64 * bucket_rows)))
+
+
 def _ranked(hits: DataFrame, k: int) -> DataFrame:
     best = W.partitionBy("block", "place").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"))
     return (

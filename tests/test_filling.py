@@ -117,3 +117,21 @@ def test_a_hot_producer_has_the_same_aggregates_in_chunks(spark, monkeypatch, br
 def test_nothing_to_pack_in_chunks(spark):
     ddl = "producer string, n int, partition_key string, data binary, explicit_hash_key string"
     assert pack(spark.createDataFrame([], ddl), ["producer"], [F.col("n")], fits=False).collect() == []
+
+
+def test_a_summary_holds_less_than_an_aggregate_of_data():
+    n = 20_000
+    rng = random.Random(3)
+    sizes = [rng.randrange(40, 60) for _ in range(n)]
+    rows = pa.RecordBatch.from_pydict(
+        {
+            "lane": [0] * n,
+            "partition_key": [str(rng.randrange(500)) for _ in range(n)],
+            "data": [bytes(s) for s in sizes],
+            "explicit_hash_key": pa.nulls(n, pa.string()),
+        }
+    )
+    summary = fold(max_bytes=20_000).summary(rows.slice(at, 64) for at in range(0, n, 64))
+    assert sum(map(len, summary["tail"][2])) < 20_000 < sum(sizes)
+    assert len(summary["head"][0]) < 20_000 // 40
+    assert len(summary["last"]) == len(summary["hops"]) == len(summary["head"][0])

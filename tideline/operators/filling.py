@@ -9,6 +9,9 @@ on; the window keeps these lengths exact while it moves.
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterator
+
 import numpy as np
 
 from tideline.operators.codec import OpenAggregate
@@ -16,6 +19,9 @@ from tideline.operators.codec import OpenAggregate
 # Keys whose index takes one byte; two bytes hold the square of it, and so on.
 _ONE_BYTE = 1 << 7
 
+# Two indexes of five bytes each: more keys than rows.
+_MOST_INDEX_BYTES = 10
+
 
 def varint_bytes(n: int) -> int:
     return max(1, (n.bit_length() + 6) // 7)
@@ -25,9 +31,13 @@ def table_bytes(key: bytes) -> int:
     return 1 + varint_bytes(len(key)) + len(key)
 
 
+def _inner_bytes(key_index: int, hash_index: int, n: int) -> int:
+    return 1 + key_index + (1 + hash_index if hash_index else 0) + 1 + varint_bytes(n) + n
+
+
 def record_bytes(key_index: int, hash_index: int, n: int) -> int:
     """Bytes of a record of ``n`` bytes of data, given the lengths of its indexes; no hash key has length 0."""
-    inner = 1 + key_index + (1 + hash_index if hash_index else 0) + 1 + varint_bytes(n) + n
+    inner = _inner_bytes(key_index, hash_index, n)
     return 1 + varint_bytes(inner) + inner
 
 
@@ -59,12 +69,12 @@ class _Indexes:
             self.cuts.append((short, row))
             room *= _ONE_BYTE
 
-    def leave(self, row: int) -> list[int]:
-        """Take the first row away; for every key whose index changes its length, the next row that has it."""
+    def leave(self, row: int) -> Iterator[tuple[bytes, int]]:
+        """Take the first row away; after every change, a key and how much longer its index has become."""
         keys, n = self.keys, len(self.keys)
-        key, again, changed = keys[row], self.later[row], []
+        key, again = keys[row], self.later[row]
         if key is None:
-            return changed
+            return
         for i, (short, beyond) in enumerate(self.cuts):
             if again < beyond:
                 continue
@@ -73,14 +83,13 @@ class _Indexes:
                 continue
             short.add(keys[beyond])
             self.length[keys[beyond]] -= 1
-            changed.append(beyond)
+            yield keys[beyond], -1
             if again < n:
                 self.length[key] += 1
-                changed.append(again)
+                yield key, 1
             while beyond < n and (keys[beyond] is None or keys[beyond] in short):
                 beyond += 1
             self.cuts[i] = (short, beyond)
-        return changed
 
 
 class _Window:
@@ -90,12 +99,22 @@ class _Window:
         self.lengths = lengths
         self.kinds = [_Indexes(keys), _Indexes(hash_keys)]
         self.held: list[dict] = [{}, {}]
-        self.cost = [0] * len(keys)
         self.total = 0
+        # A longer index makes a record longer by as much; by more only if the record's own length takes a byte more.
+        self.edges: list[dict] = [{}, {}]
+        for row, (key, hash_key, n) in enumerate(zip(keys, hash_keys, lengths)):
+            least = _inner_bytes(1, int(hash_key is not None), n)
+            if varint_bytes(least) != varint_bytes(least + _MOST_INDEX_BYTES):
+                self.edges[0].setdefault(key, []).append(row)
+                self.edges[1].setdefault(hash_key, []).append(row)
+
+    def _inner(self, row: int) -> int:
+        a, b = self.kinds
+        return _inner_bytes(a.length[a.keys[row]], b.length[b.keys[row]], self.lengths[row])
 
     def _record(self, row: int) -> int:
-        a, b = self.kinds
-        return record_bytes(a.length[a.keys[row]], b.length[b.keys[row]], self.lengths[row])
+        inner = self._inner(row)
+        return 1 + varint_bytes(inner) + inner
 
     def add(self, row: int) -> None:
         for kind, held in zip(self.kinds, self.held):
@@ -105,8 +124,7 @@ class _Window:
                 held[key] = count + 1
                 if not count:
                     self.total += table_bytes(key)
-        self.cost[row] = self._record(row)
-        self.total += self.cost[row]
+        self.total += self._record(row)
 
     def remove(self, row: int) -> None:
         for kind, held in zip(self.kinds, self.held):
@@ -116,18 +134,18 @@ class _Window:
                 if not held[key]:
                     del held[key]
                     self.total -= table_bytes(key)
-        self.total -= self.cost[row]
+        self.total -= self._record(row)
 
     def leave(self, row: int, end: int) -> None:
         """Take the first row away, of rows up to ``end``."""
         self.remove(row)
-        for kind in self.kinds:
-            for other in kind.leave(row):
-                while other < end:
-                    cost = self._record(other)
-                    self.total += cost - self.cost[other]
-                    self.cost[other] = cost
-                    other = kind.later[other]
+        for kind, held, edges in zip(self.kinds, self.held, self.edges):
+            for key, longer in kind.leave(row):
+                self.total += longer * held.get(key, 0)
+                at = edges.get(key, ())
+                for other in at[bisect_right(at, row) : bisect_left(at, end)]:
+                    inner = self._inner(other)
+                    self.total += varint_bytes(inner) - varint_bytes(inner - longer)
 
 
 def ends(

@@ -49,6 +49,15 @@ def test_a_partition_may_hold_many_chunks(skewed, monkeypatch):
         assert expected.setdefault("first", got) == got
 
 
+def test_small_chunks_do_not_multiply_with_the_input(spark):
+    rows = spark.range(30_000).select(F.lit("all").alias("shard_id"), F.col("id").alias("base"))
+    chunks = ordered_chunks(rows, ["shard_id"], [F.col("base")], chunk_rows=20).cache()
+    # Every range partition costs the driver a sample of 300 keys.
+    assert 200 < chunks.rdd.getNumPartitions() <= 256
+    assert chunks.select(CHUNK).distinct().count() <= 512
+    assert [r.base for r in chunks.orderBy(POS).collect()] == list(range(30_000))
+
+
 def test_counter_is_the_same_in_both_forms(skewed):
     plain = arrival_counter(skewed, ignored=F.col("v") > 900)
     chunked = arrival_counter(skewed, ignored=F.col("v") > 900, max_group_rows=0, chunk_rows=100)

@@ -34,7 +34,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Whole documents, as often as the mix takes them."""
+    """Whole documents, as often as the mix takes them, in its order: each file is a run of the schedule."""
     return mix(docs)
 
 

@@ -134,3 +134,19 @@ def test_tiny_sources_beside_a_huge_one(spark):
     whole_documents(report, mix(df, slots=20).collect(), rows, sizes)
     for s in sizes:
         assert abs(taken[s] - target[s]) <= 0.5 or taken[s] == 1
+
+
+def test_emitted_rows_come_in_the_order_of_the_schedule(spark, monkeypatch):
+    from tideline.llm import mixing
+
+    monkeypatch.setattr(mixing, "RUN_BYTES", 100_000, raising=False)
+    rows = [(i, "abc"[i % 3], f"w{i} " * 50) for i in range(1200)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    mixed = mix(df, slots=2000)
+    assert mixed.rdd.getNumPartitions() > 2
+    got = mixed.collect()
+    assert [r.doc_id for r in mix(df.repartition(7), slots=2000).collect()] == [r.doc_id for r in got]
+    # Weights 1, 2 and 3: any run of rows holds the sources in proportion.
+    for first in range(0, len(got) - 60, 20):
+        some = [r.source for r in got[first : first + 60]]
+        assert all(abs(some.count(s) - due) <= 4 for s, due in (("a", 10), ("b", 20), ("c", 30)))

@@ -32,6 +32,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tideline.llm.shared import bucket_bits, checkpointed, md5_bits, null_last, own_names, running, word_count
+from tideline.operators.sizing import BROADCAST_BYTES
 
 #: A block is this part of all words, one word at least.
 SLOTS = 1 << 18
@@ -46,6 +47,9 @@ GOLDEN = (math.sqrt(5) - 1) / 2
 #: Bytes of text that one task orders when documents are emitted.
 BUCKET_BYTES = 64 << 20
 ROWS_PER_BUCKET = 1_000_000
+#: About the bytes of text in a partition of the mixed documents; beyond ``MOST_RUNS`` of them, the larger number.
+RUN_BYTES, LARGE_RUN_BYTES = 4 << 20, 256 << 20
+MOST_RUNS = 4096
 
 
 def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, repeats: int = REPEATS) -> DataFrame:
@@ -250,14 +254,32 @@ def mix(
     if at least half of it lies before, and in any case if it is the first:
     words are off the target by half a document at most, and no source with a target is left out.
     Columns are those of ``df``.
+
+    Rows come in the order of the schedule: a pass stands at the slot in which
+    its first word lies. Partitions are runs of slots, so each holds every source in proportion.
     """
     own, names = own_names(df)
     sized = _sized(own, names[text], names[source], names[key])
     narrow = checkpointed(sized.select("group", "_h", "size", F.octet_length(names[text]).alias("_bytes")))
-    plan = _plan(narrow, weights, repeats, slots)[0].select("group", "source_size", "quota")
-    largest = narrow.groupBy("group").agg(F.sum("_bytes").alias("b")).agg(F.max("b")).first()[0] or 0
-    bits = bucket_bits(largest, bucket_bytes)
+    plan, ranked = _plan(narrow, weights, repeats, slots)
+    plan = plan.select("group", "source_size", "quota", "blocks")
+    largest, size = narrow.groupBy("group").agg(F.sum("_bytes").alias("b")).agg(F.max("b"), F.sum("b")).first()
+    bits = bucket_bits(largest or 0, bucket_bytes)
     placed = running(sized, "group", "_h", [names[key], "size"], F.col("size"), bits, plan)
     passes = placed.filter("size > 0").withColumn("at", F.explode(_epochs(repeats)))
     taken = passes.filter((F.col("at") == 0) | (2 * (F.col("quota") - F.col("at")) >= F.col("size")))
-    return taken.select(*names.values()).toDF(*df.columns)
+    taken = taken.withColumn("rank", _rank_at(F.col("at")))
+    n = ranked.count()
+    ranked = F.broadcast(ranked) if n * 8 * len(ranked.columns) <= BROADCAST_BYTES else ranked
+    runs = _runs(size or 0)
+    ordered = (
+        taken.join(ranked, ["group", "rank"])
+        .repartitionById(runs, F.floor(F.col("slot") * runs / max(n, 1)).cast("int"))
+        .sortWithinPartitions("slot", "at")
+    )
+    return ordered.select(*names.values()).toDF(*df.columns)
+
+
+def _runs(size: int) -> int:
+    """Partitions for mixed documents of ``size`` bytes, which are about as many as went in."""
+    return max(1, min(MOST_RUNS, -(-size // RUN_BYTES)), -(-size // LARGE_RUN_BYTES))

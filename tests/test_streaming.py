@@ -216,3 +216,18 @@ def test_landed_files_are_bounded_and_in_order(spark, tmp_path, monkeypatch):
         last = max(ids)
     assert sum(sizes) == rows and max(sizes) < 2 * rows / len(groups)
     assert sorted(map(tuple, stream_queries.stream_flush(spark, SF).collect())) == whole
+
+
+def test_tracker_works_a_micro_batch_out_once(spark, tmp_path):
+    worked = spark.sparkContext.accumulator(0)
+
+    def work(batches):
+        for batch in batches:
+            worked.add(batch.num_rows)
+            yield batch
+
+    rows = records(spark, [("a", i, None, None, i) for i in range(50)]).withColumn("counter", F.col("base").cast("bigint"))
+    tracker = FrontierTracker(str(tmp_path / "frontier"))
+    tracker(rows.mapInArrow(work, rows.schema), 0)
+    assert [r.base for r in tracker.current(spark).collect()] == ["49"]
+    assert worked.value == 50

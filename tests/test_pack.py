@@ -2,6 +2,7 @@ import hashlib
 import random
 import zlib
 
+import pyarrow as pa
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -252,3 +253,18 @@ def test_unknown_fields_and_tags_are_skipped(spark):
     blob = MAGIC_PLAIN + body + hashlib.md5(body).digest()
     df = spark.createDataFrame([("k", "1", 0, None, None, blob)], ENVELOPE_DDL)
     assert [(r.partition_key, bytes(r.data)) for r in deaggregate(df).collect()] == [("k", b"d")]
+
+
+def test_a_fold_is_given_wide_rows_in_portions():
+    from tideline.operators.fold import STEP_BYTES, OrderedFold, _run
+
+    class Widths(OrderedFold):
+        seen: list = []
+
+        def step(self, key, state, rows):
+            self.seen.append((rows.num_rows, rows.nbytes))
+            return state, None
+
+    wide = pa.RecordBatch.from_pydict({"k": ["a"] * 40, "data": [bytes(1 << 20)] * 40})
+    assert list(_run(Widths(), 1)([wide])) == []
+    assert sum(n for n, _ in Widths.seen) == 40 and max(size for _, size in Widths.seen) <= STEP_BYTES

@@ -13,7 +13,7 @@ from tideline.functions.payload import is_aggregated
 from tideline.operators import codec
 
 #: About the bytes and at most the rows of an output batch. Deflated aggregates grow without any fixed ratio.
-OUT_BYTES = 64 << 20
+OUT_BYTES = 8 << 20
 OUT_ROWS = 20_000
 
 
@@ -51,7 +51,8 @@ def _unpack(columns: list[str], check: bool, out_bytes: int, out_rows: int):
             if not flags.any():
                 yield batch.select(columns)
                 continue
-            blobs = batch.column("data").to_pylist()
+            # One at a time: a batch of aggregates is large, and need not be held twice.
+            blobs = (blob.as_py() for blob in batch.column("data"))
             plain = {
                 c: (batch.column(c).cast(pa.binary()) if c == "partition_key" else batch.column(c)).to_pylist()
                 for c in ("partition_key", "user_sub", "user_total")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from helpers import records, walk_gate
 from tideline.operators.fold import CARRY
-from tideline.operators.flush import flush_by_interval, heartbeat_flush
+from tideline.operators.flush import flush_batches, flush_by_interval, heartbeat_flush
 from tideline.operators.gate import CLOCK, NEEDS, WEIGHT, _Gate, interval_gate
 
 
@@ -137,3 +137,17 @@ def test_gate_refuses_settings_that_cannot_work(spark):
         interval_gate(df, 10, capacity=0)
     with pytest.raises(ValueError):
         interval_gate(df, -1)
+
+
+def test_batches_are_numbered_once_to_be_written(spark):
+    worked = spark.sparkContext.accumulator(0)
+
+    def work(batches):
+        for batch in batches:
+            worked.add(batch.num_rows)
+            yield batch
+
+    rows = records(spark, [("a", i, None, None, i) for i in range(50)]).withColumn("batch_no", F.floor(F.col("base") / 10).cast("bigint"))
+    written = flush_batches(rows.mapInArrow(work, rows.schema), lambda shard, batch_no, batches: None)
+    assert sorted((r.batch_no, r.n_written) for r in written.collect()) == [(i, 10) for i in range(4)]
+    assert worked.value == 50

@@ -231,3 +231,19 @@ def test_tracker_works_a_micro_batch_out_once(spark, tmp_path):
     tracker(rows.mapInArrow(work, rows.schema), 0)
     assert [r.base for r in tracker.current(spark).collect()] == ["49"]
     assert worked.value == 50
+
+
+def test_landings_are_worked_out_once(spark, tmp_path):
+    worked, landed = spark.sparkContext.accumulator(0), []
+
+    def work(batches):
+        for batch in batches:
+            worked.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(40).withColumn("landing", F.col("id") % 3)
+    rows = rows.mapInArrow(work, rows.schema)
+    sink = lambda batch, batch_id: landed.append(sorted(r.id for r in batch.collect()))
+    stream_queries.in_landings(spark, rows, "landing", str(tmp_path), sink, landings=3)
+    assert landed == [list(range(i, 40, 3)) for i in range(3)]
+    assert worked.value == 40

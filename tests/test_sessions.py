@@ -6,8 +6,11 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from tideline.operators import ordering
 from tideline.operators.counters import arrival_counter
-from tideline.sources import read_lines
+from tideline.operators.sizing import ordered_lookup
+from tideline.plans import queries
+from tideline.sources import read_lines, sessions
 from tideline.sources.envelopes import LINE_PLACE, parse_envelopes, stream_records
 from tideline.sources.sessions import SESSION_KEYS, session_bounds, worker_sessions
 
@@ -85,3 +88,31 @@ def test_lines_outside_any_session(spark, tmp_path):
     with pytest.raises(ValueError):
         read_lines(spark, str(tmp_path), "s", places=True, streaming=True)
     assert worker_sessions(lines.limit(0)).collect() == []
+
+
+def test_lines_are_compared_with_few_sessions(spark, tmp_path, monkeypatch):
+    """One part of a file with one long session and many short ones: pairs grow with the lines, not with lines times sessions."""
+    lines, want, n = [], {}, 0
+    for session, length in enumerate([600, *[1] * 300, 400]):
+        lines.append(OPEN.format("a", n))
+        for n in range(n, n + length):
+            lines.append(RECORD.format(n))
+            want[f"{n}"] = session
+        n += 1
+        lines.append(CLOSE[session % 3])
+    pairs = []
+
+    def counted(rows, side, keys, *args):
+        pairs.append(rows.join(side, list(keys)).count())
+        return ordered_lookup(rows, side, keys, *args)
+
+    monkeypatch.setattr(sessions, "ordered_lookup", counted)
+    found = worker_sessions(read_lines(spark, written(tmp_path, {"a": [lines]}), "s", places=True))
+    records = stream_records(parse_envelopes(found.drop(*LINE_PLACE)))
+    assert {r.base: r.session for r in records.collect()} == want
+    assert sum(pairs) < 20 * len(lines)
+
+
+def test_session_counters_ask_for_no_largest_session(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "fits_one_task", None)
+    assert queries.session_counters_query(spark, "/root/testdata/sf0.001").count() > 0

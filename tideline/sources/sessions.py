@@ -8,15 +8,17 @@ gets the number of its session, and any per-shard operator takes
 Lines never move. One pass over them collects, for each (shard, part of a
 file), the few lines that open or close a session; a window over those parts,
 one small row each, tells in which session a part starts; and lines look their
-session up by part. A part is what one task reads, so both what is collected
-of it and what its lines are compared with are bounded by the part's size.
+session up by part and by bin, a run of the part's rows. A part is what one task
+reads, so what is collected of it is bounded by the part's size. Its bins are as
+wide as its marks are rare: the lines of a part are compared with about
+``MARKS_PER_BIN`` stretches each, however many sessions it holds and wherever they lie.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -31,18 +33,25 @@ OPENING = ("initialize",)
 CLOSING = ("shutdown", "shutdownRequested")
 _NEVER = (1 << 63) - 1
 
+#: Marks of a part per bin, on the average: more of them make the lookup smaller and its comparisons more.
+MARKS_PER_BIN = 8
+
 
 def session_marks(lines: DataFrame, *, value: str = "value", keys: Sequence[str] = SHARD_KEYS) -> DataFrame:
-    """(keys, file, block, marks) of every part of a file: its lines that open or close a session, in order."""
-    action = F.get_json_object(value, "$.action")
+    """(keys, file, block, marks, first_row, last_row) of every part of a file: its lines that open or close a session, in order."""
+    # A projection of its own, so that no line is searched twice.
+    lines = lines.withColumn("_action", F.get_json_object(value, "$.action"))
+    action = F.col("_action")
     mark = F.struct("row", action.isin(*OPENING).alias("opens"))
     return lines.groupBy(*keys, "file", "block").agg(
-        F.sort_array(F.collect_list(F.when(action.isin(*OPENING, *CLOSING), mark))).alias("marks")
+        F.sort_array(F.collect_list(F.when(action.isin(*OPENING, *CLOSING), mark))).alias("marks"),
+        F.min("row").alias("first_row"),
+        F.max("row").alias("last_row"),
     )
 
 
 def _segments(marks: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """(keys, file, block, _from, _until, session): stretches of a part's rows; session is NULL between sessions."""
+    """(_part, _from, _until, session, first_row, last_row, _width): stretches of a part's rows; session is NULL between sessions."""
     earlier = W.partitionBy(*keys).orderBy("file", "block").rowsBetween(W.unboundedPreceding, -1)
     opened = F.size(F.filter("marks", lambda m: m["opens"])).cast("bigint")
     known = marks.withColumns(
@@ -60,20 +69,40 @@ def _segments(marks: DataFrame, keys: Sequence[str]) -> DataFrame:
     steps = F.transform(
         "marks", lambda m: F.struct((m["row"] + F.when(m["opens"], 0).otherwise(1)).alias("at"), m["opens"].alias("opens"))
     )
+    rows = ("first_row", "last_row", "_width")
     parts = known.withColumn("_steps", F.concat(F.array(first), steps)).select(
-        *keys, "file", "block", "_before", "_steps", F.posexplode("_steps").alias("_i", "_step")
+        "_part", *rows, "_before", F.posexplode("_steps").alias("_i", "_step")
     )
-    openings = F.size(F.filter(F.slice("_steps", F.lit(2), F.col("_i")), lambda s: s["opens"]))
-    until = F.when(F.col("_i") + 1 < F.size("_steps"), F.get("_steps", F.col("_i") + 1)["at"]).otherwise(F.lit(_NEVER))
+    in_part = W.partitionBy("_part").orderBy("_i")
+    opens = F.when((F.col("_i") > 0) & F.col("_step.opens"), 1).otherwise(0)
+    openings = F.sum(opens).over(in_part.rowsBetween(W.unboundedPreceding, 0))
+    until = F.coalesce(F.lead("_step.at").over(in_part), F.lit(_NEVER))
     number = F.col("_before") + openings - 1
     return parts.select(
-        *keys, "file", "block",
+        "_part", *rows,
         F.col("_step.at").alias("_from"),
         until.alias("_until"),
         F.when(F.col("_step.opens"), number).cast("bigint").alias(SESSION),
     ).filter("_from < _until")
 
 
+def _bin(row: Column) -> Column:
+    """The bin of a row of its part."""
+    return F.floor((row - F.col("first_row")) / F.col("_width")).cast("bigint")
+
+
+def _binned(segments: DataFrame) -> DataFrame:
+    """(_part, _bin, _from, _until, session): a stretch once for each bin that it reaches into.
+
+    That is once, and once more for each bin that begins within it, so bins add no more rows than there are bins.
+    """
+    inside = segments.filter((F.col("_from") <= F.col("last_row")) & (F.col("_until") > F.col("first_row")))
+    bins = F.sequence(
+        _bin(F.greatest("_from", "first_row")), _bin(F.least(F.col("_until") - 1, F.col("last_row")))
+    )
+    return inside.select("_part", F.explode(bins).alias("_bin"), "_from", "_until", SESSION)
+
+
 def worker_sessions(
     lines: DataFrame, *, value: str = "value", keys: Sequence[str] = SHARD_KEYS, on_error: str = "fail"
 ) -> DataFrame:
@@ -88,11 +117,17 @@ def worker_sessions(
         raise ValueError("on_error is 'fail' or 'null'")
     keys = list(keys)
     lines = lines.filter(~F.col(value).isin("", "\r"))
-    marks = materialize(session_marks(lines, value=value, keys=keys))
-    segments = _segments(marks, keys)
-    # Most parts lie in one session: they find it by an equality alone.
-    joined = ordered_lookup(lines, segments, [*keys, "file", "block"])[0]
-    found = joined.filter((F.col("row") >= F.col("_from")) & (F.col("row") < F.col("_until"))).drop("_from", "_until")
+    span = F.col("last_row") - F.col("first_row") + 1
+    width = F.ceil(span * MARKS_PER_BIN / (F.size("marks") + 1)).cast("bigint")
+    # Parts get numbers: paths are long, and would be most of what is broadcast.
+    marks = materialize(
+        session_marks(lines, value=value, keys=keys).withColumns({"_part": F.monotonically_increasing_id(), "_width": width})
+    )
+    parts = marks.select(*keys, "file", "block", "_part", "first_row", "_width")
+    placed = ordered_lookup(lines, parts, [*keys, "file", "block"])[0].withColumn("_bin", _bin(F.col("row")))
+    joined = ordered_lookup(placed, _binned(_segments(marks, keys)), ["_part", "_bin"])[0]
+    found = joined.filter((F.col("row") >= F.col("_from")) & (F.col("row") < F.col("_until")))
+    found = found.select(*lines.columns, SESSION)
     if on_error == "fail":
         outside = F.raise_error(F.concat(F.lit("a line outside any session of shard "), F.concat_ws("/", *keys)))
         found = found.withColumn(SESSION, F.coalesce(F.col(SESSION), outside.cast("bigint")))

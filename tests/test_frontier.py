@@ -1,3 +1,4 @@
+import importlib
 import random
 
 import pytest
@@ -14,6 +15,7 @@ from tideline.operators.frontier import (
     frontier_history,
     stalled_shards,
 )
+from tideline.operators.sizing import materialize
 
 
 def reached(spark, done, subs=None, **kw):
@@ -175,3 +177,35 @@ def test_a_writer_may_leave_rows_unread(spark):
     df = records(spark, [("a", i, None, None, i) for i in range(25)])
     written = flush_batches(flush_by_count(df, 10), lambda shard, number, batches: None, final=True)
     assert {(r.batch_no, r.n_written) for r in written.collect()} == {(0, 10), (1, 10), (2, 5)}
+
+
+@pytest.mark.parametrize("subsequence", [False, True])
+def test_computed_completions_are_kept_only_as_far_as_they_matter(spark, subsequence, monkeypatch):
+    rng = random.Random(14)
+    rows = []
+    for s in range(30):
+        rows += [(f"sh{s}", b, sub, total, 0, rnd is not None) for b, sub, total, rnd in random_history(rng, 300)]
+    # A shard whose records no checkpoint may name is still a shard; one has nothing open; a flag may be NULL.
+    rows += [("inside", 1, 0, 3, 0, True), ("done", 1, None, None, 0, True), ("done", 10, None, None, 0, True)]
+    rows += [("null", 1, None, None, 0, True), ("null", 2, None, None, 0, None), ("null", 3, None, None, 0, True)]
+    every = records(spark, rows, "done boolean")
+    kept = []
+
+    def counted(df):
+        found = materialize(df)
+        kept.append(found.count())
+        return found
+
+    monkeypatch.setattr(importlib.import_module("tideline.operators.frontier"), "materialize", counted)
+
+    def result(df, **kw):
+        found = frontier(df, subsequence=subsequence, **kw).collect()
+        return sorted((tuple(r) for r in found), key=lambda r: r[1])
+
+    want = result(every)
+    assert len(want) == 33 and dict((r[1], r[2]) for r in want)["done"] == "10"
+    assert result(every, computed=True) == want
+    # In order a task sees the first open record before what lies behind it.
+    sorted_rows = every.coalesce(1).sortWithinPartitions("base_key", F.coalesce("user_sub", F.lit(0)))
+    assert result(sorted_rows, computed=True) == want
+    assert len(kept) == 2 and kept[1] < kept[0] < len(rows) and kept[1] < len(rows) / 4

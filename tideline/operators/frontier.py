@@ -7,8 +7,12 @@ newest done record before the shard's first open one.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -30,6 +34,56 @@ def _eligible(subsequence: bool) -> Column:
     return F.lit(True) if subsequence else ~is_sub_record()
 
 
+def _codes(columns: list[pa.Array]) -> np.ndarray:
+    """A number for every row, equal where all ``columns`` are; NULLs are equal."""
+    parts = [c.dictionary_encode("encode").indices.to_numpy(zero_copy_only=False).astype(np.int64) for c in columns]
+    # Made dense again at every step, so that products of many columns do not overflow.
+    return reduce(lambda a, b: np.unique(a * (b.max() + 1) + b, return_inverse=True)[1], parts)
+
+
+def _raw(column: pa.Array) -> pa.Array:
+    """Texts as bytes, whose order is Spark's."""
+    return column.cast(pa.binary()) if pa.types.is_string(column.type) else column
+
+
+def _before_open(n_keys: int, columns: list[str]):
+    """Leave out rows that cannot matter to a frontier: those behind an open record that the task has already seen
+    in the shard, and done ones that no checkpoint may name. A shard's first row always stays."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        opened: dict[tuple, bytes | None] = {}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = [_raw(batch.column(i)) for i in range(n_keys)]
+            _, first, shard = np.unique(_codes(keys), return_index=True, return_inverse=True)
+            names = [tuple(c[i].as_py() for c in keys) for i in first.tolist()]
+            place = _raw(batch.column("base_key"))
+            is_open = batch.column("_is_open")
+            least = pa.table({"shard": shard, "place": place}).filter(is_open).group_by("shard").aggregate([("place", "min")])
+            new = [i for i, name in zip(first.tolist(), names) if name not in opened]
+            for s, found in zip(least["shard"].to_pylist(), least["place_min"].to_pylist()):
+                old = opened.get(names[s])
+                opened[names[s]] = found if old is None or (found is not None and found < old) else old
+            # Places within one base are left to Spark's own comparison, and so are NULLs.
+            limit = pa.array([opened.setdefault(name, None) for name in names], place.type).take(pa.array(shard))
+            kept = pc.and_(batch.column("_may_matter"), pc.fill_null(pc.less_equal(place, limit), True))
+            kept = kept.to_numpy(zero_copy_only=False).copy()
+            kept[new] = True
+            yield batch.select(columns).filter(pa.array(kept))
+
+    return run
+
+
+def _narrowed(completions: DataFrame, is_done: Column, done: str, subsequence: bool, keys: Sequence[str]) -> DataFrame:
+    """Keys, positions and flags of the rows that may decide the frontier, without a shuffle."""
+    columns = [*keys, *POSITION_FIELDS, done]
+    marked = completions.select(
+        *columns, (~is_done).alias("_is_open"), (~is_done | _eligible(subsequence)).alias("_may_matter")
+    )
+    return marked.mapInArrow(_before_open(len(keys), columns), marked.select(*columns).schema)
+
+
 def frontier(
     completions: DataFrame,
     done: str = "done",
@@ -42,12 +96,13 @@ def frontier(
     Two plain aggregates with map-side combine and one join against a row per
     shard: no window, and a hot shard costs no more than any other rows.
     ``completions`` is read twice. Say ``computed`` if that means more than
-    scanning a table: positions and flags are then kept in between.
+    scanning a table: positions and flags are then kept in between, of the rows
+    that may still matter by what their task has seen of the shard.
     """
     keys = list(keys)
-    if computed:
-        completions = materialize(completions.select(*keys, *POSITION_FIELDS, done))
     is_done = F.coalesce(F.col(done), F.lit(False))
+    if computed:
+        completions = materialize(_narrowed(completions, is_done, done, subsequence, keys))
     first_open = completions.groupBy(*keys).agg(F.min(F.when(~is_done, order_key())).alias("_open"))
     joined = lookup(completions, first_open, keys)
     before = F.col("_open").isNull() | (order_key() < F.col("_open"))

@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 import xxhash
 
+from tideline.llm import components as components_module
 from tideline.llm.components import components
 from tideline.llm.exact_dedup import content_classes, dedup, dedup_report
 from tideline.llm.simhash import fingerprint, near_duplicates, simhash_report, tile_links
@@ -83,6 +84,23 @@ def test_components_equal_union_find(spark):
     assert sorted(map(tuple, got.collect())) == sorted((x, find(x)) for x in linked)
 
 
+def test_components_stop_at_stars(spark, monkeypatch):
+    rounds = []
+    step = components_module._large_star
+    monkeypatch.setattr(components_module, "_large_star", lambda e: rounds.append(1) or step(e))
+    stars = [(1, i) for i in range(2, 40)] + [(100, 101), (-7, -6), (-6, -7)]
+    got = components(spark.createDataFrame(stars, "a long, b long"))
+    assert sorted(map(tuple, got.collect())) == sorted(
+        [(i, 1) for i in range(1, 40)] + [(100, 100), (101, 100), (-7, -7), (-6, -7)]
+    )
+    assert not rounds
+    path = spark.createDataFrame([(1, 2), (2, 3)], "a long, b long")
+    assert sorted(map(tuple, components(path).collect())) == [(1, 1), (2, 1), (3, 1)]
+    assert len(rounds) == 1
+    with pytest.raises(RuntimeError):
+        components(path, max_rounds=0)
+
+
 def plain_fingerprint(text, words):
     w = text.encode().translate(bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))).split()
     shingles = [b" ".join(w[i : i + words]) for i in range(len(w) - words + 1)] or ([b" ".join(w)] if w else [])

@@ -3,15 +3,17 @@
 import base64
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import public_tokenizers as tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from tideline.llm import bpe
-from tideline.llm.features import gram_counts
+from tideline.llm import bpe, quality
+from tideline.llm.features import gram_counts, sparse
 from tideline.llm.langid import Hierarchy, language_report
 from tideline.llm.quality import CLEAN, JUNK, NONE, LabelModel, keep_clean, quality_report, with_votes
 
@@ -114,6 +116,29 @@ def test_quality_edge_cases(spark):
     assert all(len(r.pattern) == len(with_votes(df).first().pattern) for r in with_votes(df).collect())
 
 
+def test_packed_features_keep_numbers_and_order():
+    texts = [*(t for t in odd_texts() if t), "the same", "the same"]
+    votes = [[i % 3, i % 2] for i in range(len(texts))]
+    batch = pa.RecordBatch.from_pydict({"text": texts, "pattern": pa.array(votes, pa.list_(pa.int32()))})
+    packed = [tuple(b.column(c)[0].as_py() for c in ("pattern", "at", "x")) for b in quality._features(iter([batch]))]
+    plain = [(v, *(a.tolist() for a in sparse(quality.text_features(t.encode())))) for t, v in zip(texts, votes, strict=True)]
+    unpacked = [tuple(np.frombuffer(v, k).tolist() for v, k in zip(r, ("u1", ">i4", ">f4"), strict=True)) for r in sorted(packed)]
+    assert unpacked == sorted(plain)
+
+
+def test_sample_reaches_the_driver_as_bytes(spark):
+    rng = random.Random(6)
+    texts = ["".join(chr(rng.randrange(32, 127)) for _ in range(6000)) for _ in range(300)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    tracemalloc.start()
+    weights = quality.fit_scorer(df)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert weights is not None
+    # About 3,500 features a text, of 8 bytes packed and 70 as objects; the matrix takes 10 MB.
+    assert peak < 45_000_000
+
+
 def test_languages_on_held_out_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     got = language_report(docs, sample=100).join(docs.select("doc_id", "lang"), "doc_id").toPandas()

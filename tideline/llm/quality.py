@@ -150,16 +150,12 @@ def text_features(text: bytes) -> np.ndarray:
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Votes and features of each text, packed: big-endian bytes take the order of the numbers, none of which is negative."""
     for batch in batches:
         for text, pattern in zip(batch.column("text").to_pylist(), batch.column("pattern").to_pylist(), strict=True):
             at, x = sparse(text_features(text.encode()))
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "pattern": pa.array([pattern], pa.list_(pa.int32())),
-                    "at": pa.array([at], pa.list_(pa.int32())),
-                    "x": pa.array([x], pa.list_(pa.float32())),
-                }
-            )
+            packed = {"pattern": np.array(pattern, "u1"), "at": at.astype(">i4"), "x": x.astype(">f4")}
+            yield pa.RecordBatch.from_pydict({k: pa.array([v.tobytes()], pa.binary()) for k, v in packed.items()})
 
 
 def fit_scorer(df: DataFrame, text: str = "text", sample: int = SAMPLE) -> np.ndarray | None:
@@ -176,12 +172,13 @@ def fit_scorer(df: DataFrame, text: str = "text", sample: int = SAMPLE) -> np.nd
     )
     first = some.withColumn("_rank", F.row_number().over(W.partitionBy(F.pmod("_h", F.lit(8))).orderBy("_h", "text")))
     chosen = with_votes(first.filter(F.col("_rank") <= sample // 8).select("text"))
-    rows = chosen.mapInArrow(_features, "pattern array<int>, at array<int>, x array<float>").collect()
-    rows = sorted((r.pattern, r.at, r.x) for r in rows)
+    # Bytes, not arrays: the driver would hold each number as an object, twice, in the JVM and in Python.
+    rows = chosen.mapInArrow(_features, "pattern binary, at binary, x binary").collect()
+    rows = sorted((bytes(r.pattern), bytes(r.at), bytes(r.x)) for r in rows)
     if not rows:
         return None
-    target = labels.posterior(np.array([p for p, *_ in rows]))
-    return fit_logistic(dense([(at, x) for _, at, x in rows]), target)
+    target = labels.posterior(np.array([np.frombuffer(p, "u1") for p, *_ in rows]))
+    return fit_logistic(dense([(np.frombuffer(at, ">i4"), np.frombuffer(x, ">f4")) for _, at, x in rows]), target)
 
 
 def score_column(weights: np.ndarray | None, text: Column) -> Column:

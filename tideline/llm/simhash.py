@@ -196,7 +196,8 @@ def tiles_of(fps: DataFrame, tile: int) -> DataFrame:
 
     All fingerprints of a tile have p set bits; lo and hi are the least and most set bits of each part.
     """
-    words = len(fps.select("fp").first()[0]) if not fps.isEmpty() else 1
+    some = fps.select("fp").first()
+    words = len(some[0]) if some else 1
     width = 16 * words
     # A part is a quarter of the bits.
     part = [

@@ -3,6 +3,8 @@ import random
 import numpy as np
 import pytest
 
+from tideline.llm import near_texts
+from tideline.llm.components import components
 from tideline.llm.near_texts import alike, drop_near_duplicates
 
 
@@ -74,5 +76,65 @@ def test_repeated_lines_equal_brute_force(spark, times):
     assert {r.doc_id for r in drop_near_duplicates(df).collect()} == kept(rows)
 
 
+def test_proofs_refuse_no_pair_with_the_similarity():
+    rng = np.random.default_rng(3)
+    could = near_texts.may_be_alike(0.8)
+    for n in (0, 1, 4, 8, 40, 300, 3000):
+        for _ in range(200):
+            hashes = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+            # As few of all shingles shared as the similarity allows, the others dealt at random.
+            shared = -(-4 * n // 5)
+            cut = int(rng.integers(shared, n + 1))
+            a, b = hashes[:cut], np.concatenate([hashes[:shared], hashes[cut:]])
+            assert could(near_texts.proof(a)[None], near_texts.proof(b)[None]).all()
+    strangers = np.stack([near_texts.proof(rng.integers(0, 1 << 63, 300, dtype=np.uint64)) for _ in range(200)])
+    assert not could(strangers[:100], strangers[100:]).any()
+
+
+def test_strangers_within_the_radius_are_no_family(spark, monkeypatch):
+    """Only texts with a near copy have their shingles compared, however many strangers are within the radius."""
+    rng = random.Random(9)
+    rows = [(i, " ".join(f"w{rng.randrange(5000)}" for _ in range(200))) for i in range(120)]
+    rows += [(1000 + i, rows[i][1] + " one more") for i in range(10)]
+    compared = []
+    numbered = near_texts.running
+    monkeypatch.setattr(near_texts, "running", lambda df, *more: compared.append(df.count()) or numbered(df, *more))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    # Any two texts are within this radius.
+    got = {r.doc_id for r in drop_near_duplicates(df, radius=128).collect()}
+    assert got == set(range(120)) == kept(rows)
+    assert compared == [20]
+
+
+@pytest.mark.parametrize("group_rows", [1, 40, 1 << 18])
+def test_groups_of_tiles_equal_brute_force(spark, group_rows):
+    rng = random.Random(group_rows)
+    fps = [rng.getrandbits(128) for _ in range(60)]
+    while len(fps) < 160:
+        x = rng.choice(fps)
+        for _ in range(rng.randrange(12)):
+            x ^= 1 << rng.randrange(128)
+        fps.append(x)
+    fps = list(dict.fromkeys(fps))
+    color = [rng.randrange(2) for _ in fps]
+    words = [[int(np.uint64(x >> 64 * k & (1 << 64) - 1).view(np.int64)) for k in (0, 1)] for x in fps]
+    rows = [(i, w, [c]) for i, (w, c) in enumerate(zip(words, color))]
+    df = spark.createDataFrame(rows, "node long, fp array<long>, proof array<long>")
+
+    def same_color(a, b):
+        return a[:, 0] == b[:, 0]
+
+    for could, fits in ((None, lambda i, j: True), (same_color, lambda i, j: color[i] == color[j])):
+        label = list(range(len(fps)))
+        for i in range(len(fps)):
+            for j in range(i):
+                if label[i] != label[j] and fits(i, j) and (fps[i] ^ fps[j]).bit_count() <= 8:
+                    label = [min(label[i], label[j]) if x in (label[i], label[j]) else x for x in label]
+        source = df if could else df.drop("proof")
+        got = components(near_texts.links(source, 8, tile=3, could=could, group_rows=group_rows)).collect()
+        sizes = {x: label.count(x) for x in label}
+        assert sorted(map(tuple, got)) == [(i, x) for i, x in enumerate(label) if sizes[x] > 1]
+
+
 def test_nothing(spark):
     assert drop_near_duplicates(spark.createDataFrame([], "doc_id long, text string")).collect() == []

@@ -5,10 +5,16 @@ similarity of 0.8 or more. SimHash fingerprints of 128 bits over the distinct
 shingles within a radius that such pairs seldom exceed (at 0.8 their expected
 distance is 19 bits, four deviations more are allowed; texts of about ten
 shingles vary more, see the README) tie texts to families, by the tiled
-comparison of ``simhash``. Only texts with a family go on: each family is cut
-to tiles by its shingles, and a pair of tiles is compared exactly, by counting
-shared shingles for all its pairs at once. Again a spanning forest goes on,
-and connected components of it are the classes.
+comparison of ``simhash``. Of a million texts every one has a stranger within
+the radius, which would make them one family, so a pair within the radius is
+a link only if its proofs leave room for the similarity: the numbers of
+shingles, and the parities of how many fall into each of 512 buckets. A shingle
+of one set only changes one parity, so no pair with the similarity is refused.
+
+Only texts with a family go on: each family is cut to tiles by its shingles,
+and a pair of tiles is compared exactly, by counting shared shingles for all
+its pairs at once. Again a spanning forest goes on, and connected components
+of it are the classes. Families of one tile are shuffled once.
 
 Of a class the row with the smallest key stays (NULL keys last). Texts of
 fewer words than a shingle are one shingle; texts without words are alike.
@@ -18,7 +24,7 @@ empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,12 +33,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.llm.components import components
-from tideline.llm.shared import checkpointed, own_names, running
-from tideline.llm.simhash import EDGES, SEED, TILE, Forest, edge_batch, links, set_bits, shingle_spans
+from tideline.llm.shared import checkpointed, measured_join, own_names, running
+from tideline.llm.simhash import EDGES, SEED, TILE, Forest, edge_batch, links, majority, shingle_hashes, shingle_spans
 
 WORDS = 5
 SIMILARITY = 0.8
 RADIUS = 36
+#: Buckets of a proof's parities.
+PARITIES = 512
 #: Shingles in a tile of a family, and what a text counts at least, so that a tile has 500 texts at most.
 TILE_SHINGLES = 200_000
 LEAST_SHINGLES = 400
@@ -40,15 +48,37 @@ LEAST_SHINGLES = 400
 STRIP = 4096
 
 
+def proof(hashes: np.ndarray) -> np.ndarray:
+    """The number of distinct shingle hashes, and the parity of how many fall into each bucket, packed to 64-bit numbers."""
+    odd = np.bincount((hashes % PARITIES).astype(np.int64), minlength=PARITIES) & 1
+    bits = np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+    return np.concatenate([np.array([len(hashes)], "<i8"), bits])
+
+
+def may_be_alike(similarity: float) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """Which pairs of proofs, a row each, leave room for the similarity: all whose sets have it, and few others."""
+
+    def could(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        # Shingles of one set only: of two sets with the similarity they are this share of both sizes at most.
+        most = (1 - similarity) * (a[:, 0] + b[:, 0]) + 1e-3
+        least = np.maximum(np.bitwise_count((a[:, 1:] ^ b[:, 1:]).view(np.uint64)).sum(axis=1), np.abs(a[:, 0] - b[:, 0]))
+        return (1 + similarity) * least <= most
+
+    return could
+
+
 def wide_fingerprint(text: Column, words: int) -> Column:
-    """128 bits as two signed 64-bit numbers."""
+    """128 bits as two signed 64-bit numbers, and behind them the proof."""
 
     @F.arrow_udf("array<bigint>")
     def simhash(texts: pa.Array) -> pa.Array:
-        rows = [
-            np.packbits(set_bits(t or b"", words, wide=True), bitorder="little").view("<i8")
-            for t in texts.cast(pa.binary()).to_pylist()
-        ]
+        rows = []
+        for t in texts.cast(pa.binary()).to_pylist():
+            found = shingle_hashes(t or b"", words, wide=True)
+            bits = np.packbits(majority(found, wide=True), bitorder="little").view("<i8")
+            # The first halves tell shingles apart.
+            firsts = found[0][::2].astype(np.uint64) if found else np.zeros(0, np.uint64)
+            rows.append(np.concatenate([bits, proof(firsts)]))
         return pa.array(rows, pa.list_(pa.int64()))
 
     return simhash(text)
@@ -120,33 +150,51 @@ def text_classes(
     tile_shingles: int = TILE_SHINGLES,
 ) -> DataFrame:
     """(node, label) of the texts (node, text) that are like another; nodes must be distinct."""
-    prints = checkpointed(texts.select("node", wide_fingerprint(F.col("text"), words).alias("fp")))
-    # Equal fingerprints meet once; their texts are compared like those of neighbours.
-    first = prints.groupBy("fp").agg(F.min("node").alias("rep"), F.count(F.lit(1)).alias("n"))
+    prints = texts.select("node", wide_fingerprint(F.col("text"), words).alias("print"))
+    prints = checkpointed(
+        prints.select("node", F.slice("print", 1, 2).alias("fp"), F.slice("print", 3, 1 + PARITIES // 64).alias("proof"))
+    )
+    # Equal fingerprints and proofs meet once; their texts are compared like those of neighbours.
+    first = prints.groupBy("fp", "proof").agg(F.min("node").alias("rep"), F.count(F.lit(1)).alias("n"))
     first = checkpointed(first)
-    family = components(links(first.select(F.col("rep").alias("node"), "fp"), radius, tile))
+    fps = first.select(F.col("rep").alias("node"), "fp", "proof")
+    family = components(links(fps, radius, tile, may_be_alike(similarity)))
     of_print = first.join(family.withColumnRenamed("node", "rep"), "rep", "left").filter("label is not null or n > 1")
     members = checkpointed(
-        prints.join(of_print.select("fp", F.coalesce("label", "rep").alias("family")), "fp").select("node", "family")
+        prints.join(of_print.select("fp", "proof", F.coalesce("label", "rep").alias("family")), ["fp", "proof"]).select(
+            "node", "family", F.col("proof")[0].alias("size")
+        )
     )
-    sets = texts.join(members, "node").select("node", "family", shingle_set(F.col("text"), words).alias("shingles"))
-    sets = checkpointed(sets)
-    weight = F.greatest(F.size("shingles"), F.lit(LEAST_SHINGLES))
-    placed = running(sets.withColumn("_h", F.xxhash64("node")), "family", "_h", ["node"], weight, 10)
-    tiles = checkpointed(
-        placed.groupBy("family", F.floor(F.col("start") / tile_shingles).alias("tile")).agg(
-            F.collect_list(F.struct("node", "shingles")).alias("members")
+    # Tiles are numbered on narrow rows; shingles are worked out for texts with a family, and shuffled to their tiles.
+    weight = F.greatest("size", F.lit(LEAST_SHINGLES))
+    placed = running(members.withColumn("_h", F.xxhash64("node")), "family", "_h", ["node"], weight, 10)
+    placed = placed.select("node", "family", F.floor(F.col("start") / tile_shingles).alias("tile"))
+    placed = checkpointed(placed)
+    last = placed.groupBy("family").agg(F.max("tile").alias("last")).filter("last > 0").select("family")
+
+    def tiles_of(some: DataFrame) -> DataFrame:
+        sets = measured_join(texts, some, "node").select(
+            "node", "family", "tile", shingle_set(F.col("text"), words).alias("shingles")
         )
+        return sets.groupBy("family", "tile").agg(F.collect_list(F.struct("node", "shingles")).alias("members"))
+
+    alone = tiles_of(placed.join(last, "family", "left_anti")).select(
+        F.col("members").alias("a"), F.lit(None).alias("b"), F.lit(True).alias("same")
     )
-    names = tiles.select("family", "tile")
-    pairs = names.withColumnRenamed("tile", "a_tile").join(names.withColumnRenamed("tile", "b_tile"), "family")
-    pairs = pairs.filter("a_tile <= b_tile")
-    left = tiles.withColumnsRenamed({"tile": "a_tile", "members": "a"})
-    right = tiles.withColumnsRenamed({"tile": "b_tile", "members": "b"})
-    full = pairs.join(left, ["family", "a_tile"]).join(right, ["family", "b_tile"])
-    same = F.col("a_tile") == F.col("b_tile")
-    edges = full.select("a", F.when(~same, F.col("b")).alias("b"), same.alias("same"))
-    return components(edges.mapInArrow(compare_families(similarity), EDGES))
+    found = alone.mapInArrow(compare_families(similarity), EDGES)
+    wide = placed.join(last, "family")
+    if not wide.isEmpty():
+        tiles = checkpointed(tiles_of(wide))
+        names = tiles.select("family", "tile")
+        pairs = names.withColumnRenamed("tile", "a_tile").join(names.withColumnRenamed("tile", "b_tile"), "family")
+        pairs = pairs.filter("a_tile <= b_tile")
+        left = tiles.withColumnsRenamed({"tile": "a_tile", "members": "a"})
+        right = tiles.withColumnsRenamed({"tile": "b_tile", "members": "b"})
+        full = pairs.join(left, ["family", "a_tile"]).join(right, ["family", "b_tile"])
+        same = F.col("a_tile") == F.col("b_tile")
+        edges = full.select("a", F.when(~same, F.col("b")).alias("b"), same.alias("same"))
+        found = found.unionByName(edges.mapInArrow(compare_families(similarity), EDGES))
+    return components(found)
 
 
 def drop_near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
@@ -170,4 +218,4 @@ def drop_near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id",
     order = F.struct(F.col("key").isNull(), F.col("key"), F.col("node"))
     stays = keyed.groupBy("label").agg(F.min_by("node", order).alias("kept"))
     dropped = keyed.join(stays, "label").filter("node <> kept").select(F.col("node").alias("_node"))
-    return own.join(dropped, "_node", "left_anti").select(*names.values()).toDF(*df.columns)
+    return measured_join(own, dropped, "_node", "left_anti").select(*names.values()).toDF(*df.columns)

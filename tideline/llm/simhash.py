@@ -9,9 +9,11 @@ apart is skipped unread. Other pairs are compared in full: exclusive-or and
 bit counts in numpy. A pair of tiles hands on a spanning forest of its links,
 never the pairs of a group, and connected components are found from those.
 
-Tiles are numbered by distributed running counts, found by joins on their bit
-counts, and compared one pair of tiles per row. The work is quadratic in the
-number of distinct fingerprints, less what is skipped; equal texts meet once.
+Tiles are numbered by distributed running counts. Neighbouring tiles make a
+group, found by joins on their bit counts, and a task gets two groups and
+compares their tiles: a tile is sent once for every group, not once for every
+tile. The work is quadratic in the number of distinct fingerprints, less what
+is skipped; equal texts meet once.
 
 NULL and empty texts, or white space only, have fingerprint zero and link like
 any other. Repeated rows share a fingerprint. A component's id is its smallest
@@ -20,12 +22,14 @@ doc_id, NULL if it has none. An empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import combinations_with_replacement, product
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tideline.llm.components import components
@@ -33,8 +37,11 @@ from tideline.llm.shared import checkpointed, running
 
 SEED = 42
 TILE = 8192
-#: Rows of a tile that are compared with the other at once.
-STRIP = 64
+#: Rows of a tile that are compared with the other at once: the distances stay in the processor's cache.
+STRIP = 8
+#: Groups that tiles are cut to, and most rows of one, which a task holds two of.
+GROUPS = 8
+GROUP_ROWS = 1 << 18
 #: Shingles hashed at once.
 CHUNK = 1 << 16
 EDGES = "a bigint, b bigint"
@@ -52,15 +59,9 @@ def shingle_spans(text: bytes, words: int) -> tuple[bytes, np.ndarray, np.ndarra
     return b" ".join(w), (ends - lengths)[: len(w) - k + 1], ends[k - 1 :]
 
 
-def set_bits(text: bytes, words: int, wide: bool = False) -> np.ndarray:
-    """The fingerprint's bits, lowest first: 64 by XXH64, or 128 by XXH3.
-
-    Wide ones count each distinct shingle once, so that their distance follows the
-    similarity of the sets, however often a line repeats, and break ties by the text's least shingle hash. Cleared bits instead
-    would make the fingerprints of short texts sparse, and so close to each other.
-    """
+def shingle_hashes(text: bytes, words: int, wide: bool = False) -> list[np.ndarray]:
+    """Hashes of a text's shingles in parts: XXH64 with repeats, or each distinct XXH3 as two halves, sorted, in one part."""
     joined, starts, ends = shingle_spans(text, words)
-    size = 16 if wide else 8
     found = []
     for i in range(0, len(starts), CHUNK):
         spans = zip(starts[i : i + CHUNK].tolist(), ends[i : i + CHUNK].tolist(), strict=True)
@@ -70,6 +71,17 @@ def set_bits(text: bytes, words: int, wide: bool = False) -> np.ndarray:
             found.append(np.array([xxhash.xxh64_intdigest(joined[s:e], SEED) for s, e in spans], dtype="<u8"))
     if wide and len(found) > 1:
         found = [distinct(np.concatenate(found))]
+    return found
+
+
+def majority(found: list[np.ndarray], wide: bool = False) -> np.ndarray:
+    """The fingerprint's bits, lowest first, of a text's shingle hashes: 64, or 128.
+
+    Wide ones count each distinct shingle once, so that their distance follows the
+    similarity of the sets, however often a line repeats, and break ties by the text's least shingle hash. Cleared bits instead
+    would make the fingerprints of short texts sparse, and so close to each other.
+    """
+    size = 16 if wide else 8
     counts = np.zeros(8 * size, np.int64)
     total = 0
     for part in found:
@@ -93,7 +105,7 @@ def distinct(halves: np.ndarray) -> np.ndarray:
 
 
 def fingerprint(text: bytes, words: int) -> int:
-    return int.from_bytes(np.packbits(set_bits(text, words), bitorder="little").tobytes(), "little")
+    return int.from_bytes(np.packbits(majority(shingle_hashes(text, words)), bitorder="little").tobytes(), "little")
 
 
 def fingerprint_column(text: Column, words: int) -> Column:
@@ -140,28 +152,46 @@ class Forest:
         self.label = moved[self.label]
 
 
-def tile_links(a: np.ndarray, b: np.ndarray | None, radius: int) -> list[tuple[int, int]]:
+def tile_links(
+    a: np.ndarray, b: np.ndarray | None, radius: int, may: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None
+) -> list[tuple[int, int]]:
     """A spanning forest of the links between two tiles, or within one if ``b`` is None, by position.
 
     Rows are fingerprints of one or more 64-bit words. Positions in the second tile follow those in the first.
+    ``may`` tells of pairs of positions within the radius which of them are links; all are without it.
     """
     # Unsigned, as bits are counted in the absolute value.
     a = np.ascontiguousarray(a.reshape(len(a), -1).T).view(np.uint64)
     other = a if b is None else np.ascontiguousarray(b.reshape(len(b), -1).T).view(np.uint64)
-    n = a.shape[1]
+    n, m = a.shape[1], other.shape[1]
     shift = 0 if b is None else n
-    forest = Forest(n if b is None else n + other.shape[1])
+    forest = Forest(n if b is None else n + m)
+    # Written over strip by strip: new arrays would cost more than the counts.
+    differ, bits = np.empty(STRIP * m, np.uint64), np.empty(STRIP * m, np.uint8)
+    apart, near = np.empty_like(bits), np.empty(STRIP * m, bool)
     for i in range(0, n, STRIP):
         first = i if b is None else 0
-        apart = np.bitwise_count(a[0, i : i + STRIP, None] ^ other[0, None, first:])
-        for word in range(1, len(a)):
-            apart += np.bitwise_count(a[word, i : i + STRIP, None] ^ other[word, None, first:])
-        near = apart <= radius
-        if b is None:
-            near = np.triu(near, 1)
-        if near.any():
-            x, y = np.nonzero(near)
-            forest.add(x + i, y + first + shift)
+        shape = min(STRIP, n - i), m - first
+        size = shape[0] * shape[1]
+        d, c, t, within = (x[:size].reshape(shape) for x in (differ, bits, apart, near))
+        for word in range(len(a)):
+            np.bitwise_xor(a[word, i : i + STRIP, None], other[word, None, first:], out=d)
+            np.bitwise_count(d, out=c if word else t)
+            if word:
+                t += c
+        np.less_equal(t, radius, out=within)
+        if within.any():
+            x, y = np.nonzero(within)
+            x, y = x + i, y + first + shift
+            if b is None:
+                x, y = x[x < y], y[x < y]
+            if may is not None:
+                # Pairs that are connected already need no proof.
+                new = forest.label[x] != forest.label[y]
+                x, y = x[new], y[new]
+                good = may(x, y)
+                x, y = x[good], y[good]
+            forest.add(x, y)
     return forest.edges
 
 
@@ -170,21 +200,31 @@ def edge_batch(edges: list[tuple[int, int]], nodes: np.ndarray) -> pa.RecordBatc
     return pa.RecordBatch.from_pydict({"a": pa.array(nodes[at[:, 0]]), "b": pa.array(nodes[at[:, 1]])})
 
 
-def compare_tiles(radius: int):
+def compare_groups(radius: int, could: Callable[[np.ndarray, np.ndarray], np.ndarray] | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def column(batch: pa.RecordBatch, name: str, i: int) -> np.ndarray:
-            return batch.column(name)[i].values.to_numpy()
-
+        deals: dict[int, dict[int, list[dict]]] = {}
         for batch in batches:
             for i in range(batch.num_rows):
-                a, nodes = column(batch, "a_fps", i), column(batch, "a_nodes", i)
-                a = a.reshape(len(nodes), -1)
-                b = None
-                if not batch.column("same")[i].as_py():
-                    more = column(batch, "b_nodes", i)
-                    b = column(batch, "b_fps", i).reshape(len(more), -1)
-                    nodes = np.concatenate([nodes, more])
-                edges = tile_links(a, b, radius)
+                row = {c: batch.column(c)[i] for c in batch.schema.names}
+                found = {"p": row["p"].as_py()} | {c: row[c].values.to_numpy() for c in ("lo", "hi", "nodes")}
+                for c in {"fps", "proofs"} & row.keys():
+                    found[c] = row[c].values.to_numpy().reshape(len(found["nodes"]), -1)
+                deals.setdefault(row["deal"].as_py(), {}).setdefault(row["g"].as_py(), []).append(found)
+        while deals:
+            _, groups = deals.popitem()
+            sides = list(groups.values())
+            for a, b in combinations_with_replacement(sides[0], 2) if len(sides) == 1 else product(*sides):
+                if abs(a["p"] - b["p"]) > radius:
+                    continue
+                if np.maximum(np.maximum(a["lo"] - b["hi"], b["lo"] - a["hi"]), 0).sum() > radius:
+                    continue
+                both = [a] if a is b else [a, b]
+                nodes = np.concatenate([t["nodes"] for t in both])
+                may = None
+                if could is not None:
+                    proofs = np.concatenate([t["proofs"] for t in both])
+                    may = lambda x, y, proofs=proofs: could(proofs[x], proofs[y])
+                edges = tile_links(a["fps"], None if a is b else b["fps"], radius, may)
                 if edges:
                     yield edge_batch(edges, nodes)
 
@@ -194,8 +234,10 @@ def compare_tiles(radius: int):
 def tiles_of(fps: DataFrame, tile: int) -> DataFrame:
     """Tiles of fingerprints (node, fp array<bigint>): (p, tile, nodes, fps, lo, hi).
 
-    All fingerprints of a tile have p set bits; lo and hi are the least and most set bits of each part.
+    All fingerprints of a tile have p set bits; lo and hi are the least and most set bits of each part. A column
+    proof array<bigint> goes along, as proofs.
     """
+    more = [c for c in ("proof",) if c in fps.columns]
     some = fps.select("fp").first()
     words = len(some[0]) if some else 1
     width = 16 * words
@@ -211,24 +253,39 @@ def tiles_of(fps: DataFrame, tile: int) -> DataFrame:
     for i, c in enumerate(part):
         key = key.bitwiseOR(F.shiftleft(c, 64 - bits * (i + 1)))
     total = sum(part[1:], part[0]).cast("int")
-    keyed = fps.select("node", "fp", total.alias("p"), key.alias("key"), F.array(*part).alias("parts"))
+    keyed = fps.select("node", "fp", *more, total.alias("p"), key.alias("key"), F.array(*part).alias("parts"))
     # The first parts, leading bits of the key, cut a count's fingerprints into the buckets of the running count.
     placed = running(keyed, "p", "key", ["node"], F.lit(0), 10)
     low = F.array(*(F.min(F.col("parts")[i]) for i in range(4)))
     high = F.array(*(F.max(F.col("parts")[i]) for i in range(4)))
-    both = F.collect_list(F.struct("node", "fp"))
+    both = F.collect_list(F.struct("node", "fp", *more))
     tiles = placed.groupBy("p", F.floor(F.col("pos") / tile).alias("tile")).agg(
         both.alias("both"), low.alias("lo"), high.alias("hi")
     )
-    return tiles.select(
-        "p", "tile", F.col("both.node").alias("nodes"), F.flatten("both.fp").alias("fps"), "lo", "hi"
-    )
+    flat = [F.flatten(f"both.{c}").alias(f"{c}s") for c in ("fp", *more)]
+    return tiles.select("p", "tile", F.col("both.node").alias("nodes"), *flat, "lo", "hi")
+
 
+def links(
+    fps: DataFrame,
+    radius: int,
+    tile: int = TILE,
+    could: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None,
+    group_rows: int = GROUP_ROWS,
+) -> DataFrame:
+    """Edges (a, b) between nodes that connect all whose fingerprints (node, fp array<bigint>) are within ``radius`` bits.
 
-def links(fps: DataFrame, radius: int, tile: int = TILE) -> DataFrame:
-    """Edges (a, b) between nodes that connect all whose fingerprints (node, fp array<bigint>) are within ``radius`` bits."""
+    With ``could``, ``fps`` has a column proof array<bigint>, and those are connected that are within the radius and that
+    ``could`` lets pass: it gets the proofs of pairs, a row each, and tells which pairs are links.
+    """
+    spark = fps.sparkSession
     tiles = checkpointed(tiles_of(fps, tile))
-    bounds = tiles.select("p", "tile", "lo", "hi")
+    bounds = tiles.select("p", "tile", "lo", "hi", F.size("nodes").alias("n"))
+    rows = bounds.agg(F.sum("n")).first()[0] or 0
+    # One small row per tile goes through this window.
+    before = F.coalesce(F.sum("n").over(W.orderBy("p", "tile").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    g = F.floor(before / min(max(rows // GROUPS, tile), group_rows)).cast("int")
+    bounds = checkpointed(bounds.withColumn("g", g).drop("n"))
     other = bounds.select(*(F.col(c).alias(f"b_{c}") for c in bounds.columns))
     mine = bounds.withColumnsRenamed({c: f"a_{c}" for c in bounds.columns}).withColumn(
         "b_p", F.explode(F.sequence(F.col("a_p"), F.col("a_p") + radius))
@@ -241,15 +298,14 @@ def links(fps: DataFrame, radius: int, tile: int = TILE) -> DataFrame:
         mine.join(other, "b_p")
         .filter((F.col("a_p") < F.col("b_p")) | (F.col("a_tile") <= F.col("b_tile")))
         .filter(sum(gaps[1:], gaps[0]) <= radius)
-        .select("a_p", "a_tile", "b_p", "b_tile")
+        .select(F.least("a_g", "b_g").alias("a"), F.greatest("a_g", "b_g").alias("b"))
+        .distinct()
     )
-    content = tiles.select("p", "tile", "nodes", "fps")
-    left = content.withColumnsRenamed({c: f"a_{c}" for c in content.columns})
-    right = content.withColumnsRenamed({c: f"b_{c}" for c in content.columns})
-    same = (F.col("a_p") == F.col("b_p")) & (F.col("a_tile") == F.col("b_tile"))
-    full = pairs.join(left, ["a_p", "a_tile"]).join(right, ["b_p", "b_tile"])
-    columns = ["a_nodes", "a_fps", "b_nodes", "b_fps", same.alias("same")]
-    return full.select(*columns).mapInArrow(compare_tiles(radius), EDGES)
+    deals = [(g, i) for i, r in enumerate(sorted(map(tuple, pairs.collect()))) for g in sorted(set(r))]
+    dealt = spark.createDataFrame(deals, "g int, deal int")
+    full = tiles.join(F.broadcast(bounds.select("p", "tile", "g")), ["p", "tile"]).join(F.broadcast(dealt), "g")
+    full = full.repartitionById(1 + max((i for _, i in deals), default=0), "deal").drop("tile")
+    return full.mapInArrow(compare_groups(radius, could), EDGES)
 
 
 def near_duplicates(

@@ -1,11 +1,13 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tideline.llm import near_texts
 from tideline.llm.components import components
 from tideline.llm.near_texts import alike, drop_near_duplicates
+from tideline.llm.simhash import Forest, compare_groups
 
 
 def shingles(text, k=5):
@@ -136,5 +138,28 @@ def test_groups_of_tiles_equal_brute_force(spark, group_rows):
         assert sorted(map(tuple, got)) == [(i, x) for i, x in enumerate(label) if sizes[x] > 1]
 
 
+def test_sizes_that_fit_are_all_compared():
+    rng = random.Random(4)
+    for _ in range(5):
+        tiles = []
+        for n in (1, 37, 150):
+            sizes = sorted(rng.choice([0, 1, 4, 5, 8, 10, 100, 125, rng.randrange(300)]) for _ in range(n))
+            tile = {"p": 5, "lo": np.zeros(4, int), "hi": np.full(4, 9), "nodes": np.arange(n) + 1000 * len(tiles)}
+            tiles.append((tile, np.array(sizes)[:, None]))
+        batch = [
+            {"deal": 0, "g": k, **t, "fps": np.zeros(2 * len(z), int), "proofs": z[::-1].reshape(-1)}
+            for k, (t, z) in enumerate(tiles[1:])
+        ]
+        run = compare_groups(0, lambda a, b: np.minimum(a, b)[:, 0] >= 0.8 * np.maximum(a, b)[:, 0], 0.8)
+        got = [e for b in run(iter([pa.RecordBatch.from_pylist(batch)])) for e in zip(*b.to_pydict().values())]
+        size = {int(x): int(z) for t, zs in tiles[1:] for x, z in zip(t["nodes"], zs[::-1, 0])}
+        left, right = (t["nodes"].tolist() for t, _ in tiles[1:])
+        want = Forest(5000)
+        want.add(*np.array([(x, y) for x in left for y in right if min(size[x], size[y]) >= 0.8 * max(size[x], size[y])]).T)
+        found = Forest(5000)
+        found.add(*np.array(got).T)
+        assert (want.label == found.label).all()
+
+
 def test_nothing(spark):
     assert drop_near_duplicates(spark.createDataFrame([], "doc_id long, text string")).collect() == []

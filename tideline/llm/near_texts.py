@@ -158,7 +158,7 @@ def text_classes(
     first = prints.groupBy("fp", "proof").agg(F.min("node").alias("rep"), F.count(F.lit(1)).alias("n"))
     first = checkpointed(first)
     fps = first.select(F.col("rep").alias("node"), "fp", "proof")
-    family = components(links(fps, radius, tile, may_be_alike(similarity)))
+    family = components(links(fps, radius, tile, may_be_alike(similarity), similarity))
     of_print = first.join(family.withColumnRenamed("node", "rep"), "rep", "left").filter("label is not null or n > 1")
     members = checkpointed(
         prints.join(of_print.select("fp", "proof", F.coalesce("label", "rep").alias("family")), ["fp", "proof"]).select(

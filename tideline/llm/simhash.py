@@ -38,7 +38,7 @@ from tideline.llm.shared import checkpointed, running
 SEED = 42
 TILE = 8192
 #: Rows of a tile that are compared with the other at once: the distances stay in the processor's cache.
-STRIP = 8
+STRIP = 16
 #: Groups that tiles are cut to, and most rows of one, which a task holds two of.
 GROUPS = 8
 GROUP_ROWS = 1 << 18
@@ -153,12 +153,17 @@ class Forest:
 
 
 def tile_links(
-    a: np.ndarray, b: np.ndarray | None, radius: int, may: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None
+    a: np.ndarray,
+    b: np.ndarray | None,
+    radius: int,
+    may: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None,
+    reach: tuple[np.ndarray, np.ndarray] | None = None,
 ) -> list[tuple[int, int]]:
     """A spanning forest of the links between two tiles, or within one if ``b`` is None, by position.
 
     Rows are fingerprints of one or more 64-bit words. Positions in the second tile follow those in the first.
-    ``may`` tells of pairs of positions within the radius which of them are links; all are without it.
+    ``may`` tells of pairs of positions within the radius which of them are links; all are without it. ``reach`` holds
+    for each row of ``a`` the first and the end of the rows of the other tile that it is compared with, in rising order.
     """
     # Unsigned, as bits are counted in the absolute value.
     a = np.ascontiguousarray(a.reshape(len(a), -1).T).view(np.uint64)
@@ -170,12 +175,17 @@ def tile_links(
     differ, bits = np.empty(STRIP * m, np.uint64), np.empty(STRIP * m, np.uint8)
     apart, near = np.empty_like(bits), np.empty(STRIP * m, bool)
     for i in range(0, n, STRIP):
-        first = i if b is None else 0
-        shape = min(STRIP, n - i), m - first
+        last = min(i + STRIP, n) - 1
+        first, end = (0, m) if reach is None else (int(reach[0][i]), int(reach[1][last]))
+        if b is None:
+            first = max(first, i)
+        if first >= end:
+            continue
+        shape = last + 1 - i, end - first
         size = shape[0] * shape[1]
         d, c, t, within = (x[:size].reshape(shape) for x in (differ, bits, apart, near))
         for word in range(len(a)):
-            np.bitwise_xor(a[word, i : i + STRIP, None], other[word, None, first:], out=d)
+            np.bitwise_xor(a[word, i : i + STRIP, None], other[word, None, first:end], out=d)
             np.bitwise_count(d, out=c if word else t)
             if word:
                 t += c
@@ -200,7 +210,7 @@ def edge_batch(edges: list[tuple[int, int]], nodes: np.ndarray) -> pa.RecordBatc
     return pa.RecordBatch.from_pydict({"a": pa.array(nodes[at[:, 0]]), "b": pa.array(nodes[at[:, 1]])})
 
 
-def compare_groups(radius: int, could: Callable[[np.ndarray, np.ndarray], np.ndarray] | None):
+def compare_groups(radius: int, could: Callable[[np.ndarray, np.ndarray], np.ndarray] | None, ratio: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         deals: dict[int, dict[int, list[dict]]] = {}
         for batch in batches:
@@ -209,6 +219,9 @@ def compare_groups(radius: int, could: Callable[[np.ndarray, np.ndarray], np.nda
                 found = {"p": row["p"].as_py()} | {c: row[c].values.to_numpy() for c in ("lo", "hi", "nodes")}
                 for c in {"fps", "proofs"} & row.keys():
                     found[c] = row[c].values.to_numpy().reshape(len(found["nodes"]), -1)
+                if could is not None:
+                    order = np.argsort(found["proofs"][:, 0], kind="stable")
+                    found |= {c: found[c][order] for c in ("nodes", "fps", "proofs")}
                 deals.setdefault(row["deal"].as_py(), {}).setdefault(row["g"].as_py(), []).append(found)
         while deals:
             _, groups = deals.popitem()
@@ -220,11 +233,14 @@ def compare_groups(radius: int, could: Callable[[np.ndarray, np.ndarray], np.nda
                     continue
                 both = [a] if a is b else [a, b]
                 nodes = np.concatenate([t["nodes"] for t in both])
-                may = None
+                may = reach = None
                 if could is not None:
                     proofs = np.concatenate([t["proofs"] for t in both])
                     may = lambda x, y, proofs=proofs: could(proofs[x], proofs[y])
-                edges = tile_links(a["fps"], None if a is b else b["fps"], radius, may)
+                    # Rows lie by size; one more or less makes up for rounding.
+                    mine, other = a["proofs"][:, 0], b["proofs"][:, 0]
+                    reach = np.searchsorted(other, mine * ratio - 1), np.searchsorted(other, mine / ratio + 1, "right")
+                edges = tile_links(a["fps"], None if a is b else b["fps"], radius, may, reach)
                 if edges:
                     yield edge_batch(edges, nodes)
 
@@ -271,12 +287,14 @@ def links(
     radius: int,
     tile: int = TILE,
     could: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None,
+    ratio: float = 1e-9,
     group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
     """Edges (a, b) between nodes that connect all whose fingerprints (node, fp array<bigint>) are within ``radius`` bits.
 
     With ``could``, ``fps`` has a column proof array<bigint>, and those are connected that are within the radius and that
-    ``could`` lets pass: it gets the proofs of pairs, a row each, and tells which pairs are links.
+    ``could`` lets pass: it gets the proofs of pairs, a row each, and tells which pairs are links. The first
+    number of a proof is a size, and sizes further apart than ``ratio`` are not compared.
     """
     spark = fps.sparkSession
     tiles = checkpointed(tiles_of(fps, tile))
@@ -305,7 +323,7 @@ def links(
     dealt = spark.createDataFrame(deals, "g int, deal int")
     full = tiles.join(F.broadcast(bounds.select("p", "tile", "g")), ["p", "tile"]).join(F.broadcast(dealt), "g")
     full = full.repartitionById(1 + max((i for _, i in deals), default=0), "deal").drop("tile")
-    return full.mapInArrow(compare_groups(radius, could), EDGES)
+    return full.mapInArrow(compare_groups(radius, could, ratio), EDGES)
 
 
 def near_duplicates(
